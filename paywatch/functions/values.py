@@ -42,11 +42,7 @@ def to_number(column: Column, data_type: T.DataType) -> Column:
 
 def iso_format(moment: Column) -> Column:
     """ISO 8601 text; the fraction appears only when it is not zero."""
-    fraction = F.date_format(moment, "SSSSSS")
-    return F.concat(
-        F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss"),
-        F.when(fraction != "000000", F.concat(F.lit("."), fraction)).otherwise(""),
-    )
+    return F.regexp_replace(F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), r"\.000000$", "")
 
 
 def local_time(text: Column) -> Column:

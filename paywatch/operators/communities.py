@@ -129,7 +129,7 @@ def communities(
         assigned = scratch.write(assigned, "assigned")
         near = settled.select("node", F.col("community").alias("_from"))
         far = settled.select(F.col("node").alias("neighbour"), F.col("community").alias("_to"))
-        merged = join_lookup(join_lookup(arcs, near, ["node"]), far, ["neighbour"])
+        merged = join_lookup(join_lookup(arcs, near, ["node"]), far, ["neighbour"], count_from=arcs)
         arcs = scratch.write(
             merged.groupBy(F.col("_from").alias("node"), F.col("_to").alias("neighbour")).agg(
                 F.sum("weight").alias("weight")
@@ -145,7 +145,7 @@ def modularity(edges: DataFrame, assignment: DataFrame) -> DataFrame:
     arcs = _arcs(edges)
     near = assignment.select(F.col("node_id").alias("node"), F.col("community_id").alias("_from"))
     far = assignment.select(F.col("node_id").alias("neighbour"), F.col("community_id").alias("_to"))
-    placed = join_lookup(join_lookup(arcs, near, ["node"]), far, ["neighbour"])
+    placed = join_lookup(join_lookup(arcs, near, ["node"]), far, ["neighbour"], count_from=arcs)
     per_community = placed.groupBy("_from").agg(
         F.sum("weight").alias("total"),
         F.sum(F.when(F.col("_from") == F.col("_to"), F.col("weight")).otherwise(0.0)).alias("inside"),

@@ -109,7 +109,8 @@ def attach_graph_signals(df: DataFrame, signals: DataFrame) -> DataFrame:
         )
 
     rows = with_nodes(df)
-    both = join_lookup(join_lookup(rows, side("src", "c"), ["src"]), side("dst", "m"), ["dst"])
+    with_customer = join_lookup(rows, side("src", "c"), ["src"])
+    both = join_lookup(with_customer, side("dst", "m"), ["dst"], count_from=rows)
 
     def larger(column: str, zero) -> Column:
         return F.coalesce(F.greatest(f"c_{column}", f"m_{column}"), F.lit(zero))

@@ -69,15 +69,18 @@ def join_lookup(
     slices: int = SLICES,
     rows_per_slice: int = ROWS_PER_SLICE,
     total_rows: int | None = None,
+    count_from: DataFrame | None = None,
 ) -> DataFrame:
     """Left join many rows to a lookup with one row per key.
 
     When the caller knows `total_rows` and they fit one slice, no key can be heavy and the join is plain.
+    `count_from` is a cheaper table with the same keys in about the same proportions, such as the rows
+    before earlier joins; heavy keys are then counted there. Any proportions give right results.
     """
     keys = list(keys)
     if total_rows is not None and total_rows <= rows_per_slice:
         return rows.join(lookup, keys, "left")
-    heavy = heavy_keys(rows, keys, slices, rows_per_slice)
+    heavy = heavy_keys(rows if count_from is None else count_from, keys, slices, rows_per_slice)
     return (
         slice_rows(rows, keys, heavy, slices)
         .join(slice_lookup(lookup, keys, heavy), [*keys, "_slice"], "left")

@@ -6,14 +6,17 @@ from pyspark.sql import DataFrame, functions as F
 
 from paywatch.operators.graph import both_directions, simple_pairs
 from paywatch.operators.skew import join_lookup
+from paywatch.session import Scratch
 
 
-def _oriented(pairs: DataFrame) -> DataFrame:
+def _oriented(pairs: DataFrame, rows: int) -> DataFrame:
     """Each pair directed from the node with fewer neighbours to the one with more (ties by id)."""
     degree = both_directions(pairs).groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
     first = degree.select(F.col("node").alias("node_a"), F.col("degree").alias("degree_a"))
     second = degree.select(F.col("node").alias("node_b"), F.col("degree").alias("degree_b"))
-    known = join_lookup(join_lookup(pairs, first, ["node_a"]), second, ["node_b"])
+    known = join_lookup(
+        join_lookup(pairs, first, ["node_a"], total_rows=rows), second, ["node_b"], total_rows=rows, count_from=pairs
+    )
     forward = F.struct("degree_a", "node_a") < F.struct("degree_b", "node_b")
     return known.select(
         F.when(forward, F.col("node_a")).otherwise(F.col("node_b")).alias("low"),
@@ -28,14 +31,18 @@ def triangles(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
     included, so out-neighbours fit an array. Each directed pair then intersects the arrays of its two
     ends; pairs of neighbours are never listed. A hub's incoming pairs are split over many tasks.
     """
-    oriented = _oriented(simple_pairs(edges))
-    lists = oriented.groupBy("low").agg(F.collect_list("high").alias("targets"))
+    scratch = Scratch(edges.sparkSession, "triangles")
+    pairs = scratch.write(simple_pairs(edges), "pairs")
+    rows = pairs.count()
+    lists = scratch.write(
+        _oriented(pairs, rows).groupBy("low").agg(F.collect_list("high").alias("targets")), "lists"
+    )
     arcs = lists.where(F.size("targets") > 1).select(
         "low", F.col("targets").alias("low_targets"), F.explode("targets").alias("high")
     )
     lookup = lists.select(F.col("low").alias("high"), F.col("targets").alias("high_targets"))
     closed = (
-        join_lookup(arcs, lookup, ["high"])
+        join_lookup(arcs, lookup, ["high"], total_rows=rows)
         .where(F.col("high_targets").isNotNull())
         .select("low", "high", F.array_intersect("low_targets", "high_targets").alias("third"))
         .where(F.size("third") > 0)

@@ -10,6 +10,16 @@ from paywatch.functions.values import TEMPORAL, iso_text, is_time_like, to_numbe
 REASON = "reject_reason"
 
 
+def _plain_value(field: T.StructField) -> Column:
+    """NaN as null, decimals as doubles; everything else as it is."""
+    value, kind = F.col(field.name), field.dataType
+    if isinstance(kind, T.DecimalType):
+        return value.cast("double")
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return F.when(~F.isnan(value), value)
+    return value
+
+
 def normalize_values(df: DataFrame) -> DataFrame:
     """Null-likes to null, points in time to ISO text, decimals to doubles."""
     columns = []
@@ -17,12 +27,10 @@ def normalize_values(df: DataFrame) -> DataFrame:
         value, kind = F.col(field.name), field.dataType
         if isinstance(kind, TEMPORAL):
             value = iso_text(value, kind)
-        elif isinstance(kind, T.DecimalType):
-            value = value.cast("double")
-        elif isinstance(kind, (T.DoubleType, T.FloatType)):
-            value = F.when(~F.isnan(value), value)
         elif isinstance(kind, T.StringType) and is_time_like(field.name):
             value = F.coalesce(iso_text(value, kind), value)
+        else:
+            value = _plain_value(field)
         columns.append(value.alias(field.name))
     return df.select(columns)
 
@@ -48,15 +56,14 @@ def validate_amount(df: DataFrame) -> DataFrame:
     return df.withColumns({"amount_error": amount_error(df), "amount": number})
 
 
-def _time_columns(df: DataFrame) -> list[str]:
-    return [c for c in df.columns if is_time_like(c)]
+def _with_iso(df: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Add the ISO text of every time-like column as `_iso_<name>`, parsed once; and the names of those columns."""
+    columns = [c for c in df.columns if is_time_like(c)]
+    return df.withColumns({f"_iso_{c}": iso_text(F.col(c), df.schema[c].dataType) for c in columns}), columns
 
 
-def _time_errors(df: DataFrame, columns: list[str]) -> dict[str, Column]:
-    return {
-        c: F.when(F.col(c).isNotNull() & iso_text(F.col(c), df.schema[c].dataType).isNull(), F.lit(f"{c} must be parseable"))
-        for c in columns
-    }
+def _time_error(name: str) -> Column:
+    return F.when(F.col(name).isNotNull() & F.col(f"_iso_{name}").isNull(), F.lit(f"{name} must be parseable"))
 
 
 def _first_reason(reasons: list[Column]) -> Column:
@@ -65,10 +72,10 @@ def _first_reason(reasons: list[Column]) -> Column:
 
 def normalize_timestamps(df: DataFrame) -> DataFrame:
     """ISO text in every column whose name speaks of a time or date, plus `time_error` for the first that does not parse."""
-    columns = _time_columns(df)
-    error = _first_reason(list(_time_errors(df, columns).values()))
-    iso = {c: iso_text(F.col(c), df.schema[c].dataType) for c in columns}
-    return df.withColumns({"time_error": error, **iso})
+    parsed, columns = _with_iso(df)
+    error = _first_reason([_time_error(c) for c in columns]).alias("time_error")
+    kept = [F.col(f"_iso_{c}").alias(c) if c in columns else F.col(c) for c in df.columns]
+    return parsed.select(*kept, error)
 
 
 def core_rule_error(df: DataFrame) -> Column:
@@ -94,25 +101,29 @@ def validate_core_rules(df: DataFrame) -> DataFrame:
 
 
 def validate(df: DataFrame) -> DataFrame:
-    """Normalised records plus `reject_reason`.
+    """Normalised records plus `reject_reason`; a text that does not parse stays as it came.
 
     Order of the checks: amount and timestamp as fields, then the other time-like columns, then the
     core rules.
     """
-    clean = normalize_identifiers(normalize_values(df))
+    parsed, times = _with_iso(df)
+    clean = normalize_identifiers(parsed.select([_plain_value(f).alias(f.name) for f in parsed.schema.fields]))
     reasons = []
-    if "amount" in clean.columns:
+    if "amount" in df.columns:
         reasons.append(F.concat(F.lit("amount: Value error, "), amount_error(clean)))
-    times = _time_errors(clean, _time_columns(clean))
     if "timestamp" in times:
-        reasons.append(F.concat(F.lit("timestamp: Value error, "), times.pop("timestamp")))
-    reasons.extend(times.values())
+        reasons.append(F.concat(F.lit("timestamp: Value error, "), _time_error("timestamp")))
+    reasons.extend(_time_error(c) for c in times if c != "timestamp")
     reasons.append(core_rule_error(clean))
 
-    normalised = {c: iso_text(F.col(c), clean.schema[c].dataType) for c in _time_columns(clean)}
-    if "amount" in clean.columns:
-        normalised["amount"] = to_number(F.col("amount"), clean.schema["amount"].dataType)
-    return clean.withColumns({REASON: _first_reason(reasons), **normalised})
+    def output(name: str) -> Column:
+        if name in times:
+            return F.coalesce(F.col(f"_iso_{name}"), F.col(name).cast("string")).alias(name)
+        if name == "amount":
+            return to_number(F.col(name), clean.schema[name].dataType).alias(name)
+        return F.col(name)
+
+    return clean.select(*[output(c) for c in df.columns], _first_reason(reasons).alias(REASON))
 
 
 def validation_split(df: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -175,8 +175,9 @@ QUERIES["parse_json_payload"] = QUERIES.pop("parse_json_payload_query")
 
 @query
 def training_sample(spark, sf_dir):
-    rows = views.enriched(spark, sf_dir).withColumn("row_id", F.concat_ws("@", "transaction_id", "window_start"))
-    return history.training_sample(rows, "row_id", 2000)
+    rows = stored(spark, sf_dir, "enriched", lambda: views.enriched(spark, sf_dir))
+    keyed = rows.withColumn("row_id", F.concat_ws("@", "transaction_id", "window_start"))
+    return history.training_sample(keyed, "row_id", 2000)
 
 
 @query
@@ -472,14 +473,9 @@ def class_balance(spark, sf_dir):
     return history.class_balance(labelled).withColumn("scale_pos_weight", F.round("scale_pos_weight", 6))
 
 
-def _training_rows(spark, sf_dir) -> DataFrame:
-    """One row per transaction and window with all features and the label."""
-    return views.enriched(spark, sf_dir)
-
-
 @query
 def score_fraud(spark, sf_dir):
-    rows = stored(spark, sf_dir, "enriched", lambda: _training_rows(spark, sf_dir))
+    rows = stored(spark, sf_dir, "enriched", lambda: views.enriched(spark, sf_dir))
     model, _ = fraud.train_fraud_model(rows, trees=10, depth=4)
     return fraud.score_fraud(rows, model).select(
         "transaction_id", ntz("window_start"), "fraud_probability", "fraud_prediction"
@@ -488,7 +484,7 @@ def score_fraud(spark, sf_dir):
 
 @query
 def score_anomaly(spark, sf_dir):
-    rows = stored(spark, sf_dir, "enriched", lambda: _training_rows(spark, sf_dir))
+    rows = stored(spark, sf_dir, "enriched", lambda: views.enriched(spark, sf_dir))
     keyed = rows.withColumn("row_id", F.concat_ws("@", "transaction_id", "window_start"))
     sample = history.training_sample(keyed, "row_id", 50_000)
     trees, details = isolation_forest.train_isolation_forest(sample, "row_id")
@@ -572,7 +568,7 @@ def q_component_sizes(spark, sf_dir):
 
 @query
 def edge_risk(spark, sf_dir):
-    return edges(spark, sf_dir).select("edge_key", F.round(risk.edge_risk(), 6).alias("edge_risk"))
+    return edges(spark, sf_dir).select("edge_key", F.round(risk.edge_risk(), 9).alias("edge_risk"))
 
 
 @query
@@ -736,4 +732,5 @@ def pipeline_latency(spark, sf_dir):
 @query
 def kpi_delta_7d(spark, sf_dir):
     rows = reports.kpi_delta_7d(dashboard(spark, sf_dir))
-    return rows.withColumns({c: F.round(c, 6) for c in ("fraud_probability_delta", "anomaly_score_delta")})
+    means = {c: F.round(c, 6) for c in ("fraud_probability_delta", "anomaly_score_delta")}
+    return rows.withColumns({"day": F.col("day").cast("string"), **means})

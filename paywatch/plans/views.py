@@ -93,7 +93,7 @@ def entity_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Window and history features of every transaction, once per window."""
     source = transactions(spark, sf_dir)
-    return historical_enrich(window_enrich(source, EVENT_SETTINGS), historical_profile(source))
+    return historical_enrich(window_enrich(source, EVENT_SETTINGS), historical_profile(source), source)
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:

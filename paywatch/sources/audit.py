@@ -14,16 +14,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from paywatch.functions.identity import strip
 from paywatch.functions.values import known
 from paywatch.operators.dedup import first_per_id, unseen
+from paywatch.sources.schema import table_schema
 
 # Columns of the two tables, in order.
-SCORED_SCHEMA = T.StructType.fromDDL(
+SCORED_SCHEMA = table_schema(
     "transaction_id string, user_id string, account_id string, merchant_id string, amount double, "
     "timestamp string, fraud_probability double, fraud_prediction int, anomaly_score double, is_anomaly int, "
     "propagated_risk_score double, pagerank_score double, community_id string, triangle_count long, "
     "component_id string, component_size long, alert_triggered int, alert_reason string, alert_severity string, "
     "alert_timestamp string, batch_id long, processed_at string"
 )
-ALERT_SCHEMA = T.StructType.fromDDL(
+ALERT_SCHEMA = table_schema(
     "transaction_id string, user_id string, account_id string, merchant_id string, amount double, "
     "timestamp string, fraud_probability double, anomaly_score double, propagated_risk_score double, "
     "pagerank_score double, community_id string, triangle_count long, component_id string, component_size long, "

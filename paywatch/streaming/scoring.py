@@ -26,6 +26,7 @@ from paywatch.operators.triangles import no_triangles
 from paywatch.session import Scratch
 from paywatch.settings import Settings
 from paywatch.sources import audit
+from paywatch.sources.schema import table_schema
 from paywatch.sources.transactions import write_messages
 
 EDGE_SCHEMA = T.StructType(
@@ -34,8 +35,8 @@ EDGE_SCHEMA = T.StructType(
         for c in EDGE_COLUMNS
     ]
 )
-NODE_SCHEMA = T.StructType.fromDDL("node_id string, node_type string, entity_id string")
-SIGNAL_SCHEMA = T.StructType.fromDDL(
+NODE_SCHEMA = table_schema("node_id string, node_type string, entity_id string")
+SIGNAL_SCHEMA = table_schema(
     "node_id string, pagerank_score double, community_id string, triangle_count long, component_id string, "
     "component_size long, propagated_risk_score double"
 )
