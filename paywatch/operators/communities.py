@@ -10,88 +10,128 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from paywatch.operators.graph import both_directions, weighted_projection
-from paywatch.operators.skew import join_lookup
+from paywatch.operators.skew import BROADCAST_ROWS, join_lookup
 from paywatch.session import Scratch
 
 SEED = 42
+
+# Gain in modularity below which a move, or another level, is not worth it.
 THRESHOLD = 1e-7
-PATIENCE = 3
+
+# A level ends after this many rounds in a row that add less than MIN_GAIN: each is a pass over all links.
+PATIENCE = 2
+MIN_GAIN = 2e-3
 
 
 def _arcs(edges: DataFrame) -> DataFrame:
-    """Weighted pairs in both directions; a self loop once, with twice its weight."""
+    """Weighted pairs in both directions, and one loop per node with twice the weight of its self loops."""
     pairs = weighted_projection(edges)
-    loops = pairs.where(F.col("node_a") == F.col("node_b")).select(
-        F.col("node_a").alias("node"), F.col("node_b").alias("neighbour"), (2 * F.col("weight")).alias("weight")
-    )
     proper = pairs.where(F.col("node_a") != F.col("node_b"))
+    loops = (
+        pairs.select(
+            F.explode(F.array("node_a", "node_b")).alias("node"),
+            F.when(F.col("node_a") == F.col("node_b"), F.col("weight")).otherwise(0.0).alias("weight"),
+        )
+        .groupBy("node")
+        .agg(F.sum("weight").alias("weight"))
+        .select("node", F.col("node").alias("neighbour"), "weight")
+    )
     return both_directions(proper, "node_a", "node_b", "weight").unionByName(loops)
 
 
-def _with_totals(labels: DataFrame, rows: int) -> DataFrame:
+def _state(labels: DataFrame, rows: int) -> DataFrame:
     """Labels with the total strength and the number of members of their community."""
     totals = labels.groupBy("community").agg(F.sum("strength").alias("total"), F.count(F.lit(1)).alias("members"))
-    return join_lookup(labels, totals, ["community"], total_rows=rows)
+    return join_lookup(labels, totals, ["community"], total_rows=rows, lookup_rows=rows)
 
 
-def _moves(arcs: DataFrame, labels: DataFrame, weight: float, arc_rows: int, node_rows: int) -> DataFrame:
-    """Per node: its community, the weight it has towards it, and the best other community with its gain."""
-    state = _with_totals(labels, node_rows)
-    theirs = state.select(F.col("node").alias("neighbour"), "community", "total", "members")
-    own = state.select("node", F.col("community").alias("own"), "strength", F.col("members").alias("own_members"))
-    links = arcs.where(F.col("node") != F.col("neighbour"))
+def _moves(arcs: DataFrame, state: DataFrame, weight: float, arc_rows: int, node_rows: int) -> DataFrame:
+    """Per node: its community, the weight it has towards it, and the best other community with its gain.
+
+    The loop every node has keeps its own community among the options.
+    """
+    # the same columns in the same order, so that one broadcast serves both joins
+    theirs = state.select(
+        F.col("node").alias("neighbour"), "community", F.col("strength").alias("_strength"), "total", "members"
+    )
+    own = state.select(
+        "node",
+        F.col("community").alias("own"),
+        "strength",
+        F.col("total").alias("own_total"),
+        F.col("members").alias("own_members"),
+    )
+    link = F.when(F.col("node") == F.col("neighbour"), 0.0).otherwise(F.col("weight"))
     towards = (
-        join_lookup(links, theirs, ["neighbour"], total_rows=arc_rows)
+        join_lookup(arcs, theirs, ["neighbour"], total_rows=arc_rows, lookup_rows=node_rows)
         .groupBy("node", "community")
-        .agg(F.sum("weight").alias("towards"), F.max("total").alias("total"), F.max("members").alias("members"))
+        .agg(F.sum(link).alias("towards"), F.max("total").alias("total"), F.max("members").alias("members"))
     )
-    options = join_lookup(towards, own, ["node"], total_rows=arc_rows)
+    options = join_lookup(towards, own, ["node"], total_rows=arc_rows, lookup_rows=node_rows)
     # two single nodes would swap for ever: only the one with the larger name may move
     allowed = (F.col("community") != F.col("own")) & ~(
         (F.col("members") == 1) & (F.col("own_members") == 1) & (F.col("community") > F.col("own"))
     )
     score = F.col("towards") - F.col("strength") * F.col("total") / F.lit(weight)
-    best = options.groupBy("node").agg(
-        F.max(F.when(allowed, F.struct(score.alias("score"), F.col("community").alias("target")))).alias("best"),
-        F.max(F.when(F.col("community") == F.col("own"), F.col("towards"))).alias("own_towards"),
-    )
-    inside = F.coalesce("own_towards", F.lit(0.0))
-    stay = inside - F.col("strength") * (F.col("total") - F.col("strength")) / F.lit(weight)
-    return state.join(best, "node", "left").select(
-        "node",
-        "community",
-        "strength",
-        inside.alias("inside"),
-        (F.col("best.score") - stay).alias("gain"),
-        F.col("best.target").alias("target"),
+    stay = F.col("inside") - F.col("strength") * (F.col("total") - F.col("strength")) / F.lit(weight)
+    return (
+        options.groupBy("node")
+        .agg(
+            F.max("own").alias("community"),
+            F.max("strength").alias("strength"),
+            F.max("own_total").alias("total"),
+            F.max(F.when(F.col("community") == F.col("own"), F.col("towards"))).alias("inside"),
+            F.max(F.when(allowed, F.struct(score.alias("score"), F.col("community").alias("target")))).alias("best"),
+        )
+        .select(
+            "node",
+            "community",
+            "strength",
+            "total",
+            "inside",
+            (F.col("best.score") - stay).alias("gain"),
+            F.col("best.target").alias("target"),
+        )
     )
 
 
-def _settle(scratch: Scratch, arcs: DataFrame, level: int, max_rounds: int) -> tuple[DataFrame, float]:
-    """Rounds of moves on one level; the best labels found and their modularity."""
-    arc_rows = arcs.count()
-    labels = arcs.groupBy("node").agg(F.sum("weight").alias("strength")).withColumn("community", F.col("node"))
-    labels = scratch.write(labels, f"labels{level}")
-    weight, node_rows = labels.agg(F.sum("strength"), F.count(F.lit(1))).first()
-    loops = arcs.where(F.col("node") == F.col("neighbour")).agg(F.coalesce(F.sum("weight"), F.lit(0.0))).first()[0]
+def _settle(scratch: Scratch, arcs: DataFrame, level: int, max_rounds: int) -> tuple[DataFrame, float, int]:
+    """Rounds of moves on one level; the best labels found, their modularity and the number of nodes."""
+    is_loop = F.col("node") == F.col("neighbour")
+    labels, totals = scratch.write_with(
+        arcs.groupBy("node")
+        .agg(
+            F.sum("weight").alias("strength"),
+            F.sum(F.when(is_loop, F.col("weight")).otherwise(0.0)).alias("loop"),
+            F.count(F.lit(1)).alias("arcs"),
+        )
+        .withColumn("community", F.col("node")),
+        f"labels{level}",
+        weight=F.sum("strength"),
+        loops=F.sum("loop"),
+        nodes=F.count(F.lit(1)),
+        arcs=F.sum("arcs"),
+    )
+    weight, loops, node_rows, arc_rows = (totals[name] for name in ("weight", "loops", "nodes", "arcs"))
 
     best, best_quality, misses = None, float("-inf"), 0
     for step in range(max_rounds):
-        moves = scratch.write(_moves(arcs, labels, weight, arc_rows, node_rows), f"moves{level}", keep_last=PATIENCE + 3)
-        per_community = moves.groupBy("community").agg(
-            F.sum("inside").alias("inside"),
-            F.sum("strength").alias("total"),
-            F.count_if(F.col("gain") > THRESHOLD).alias("movable"),
+        state = _state(labels, node_rows)
+        if node_rows > BROADCAST_ROWS:
+            state = scratch.write(state, f"state{level}")
+        moves, totals = scratch.write_with(
+            _moves(arcs, state, weight, arc_rows, node_rows),
+            f"moves{level}",
+            keep_last=PATIENCE + 2,
+            inside=F.sum("inside"),
+            # over the nodes of a community this adds up to its total squared
+            squares=F.sum(F.col("strength") * F.col("total")),
+            movable=F.count_if(F.col("gain") > THRESHOLD),
         )
-        inside, squares, movable = per_community.agg(
-            F.sum("inside"), F.sum(F.col("total") * F.col("total")), F.sum("movable")
-        ).first()
-        quality = (inside + loops) / weight - squares / weight**2
-        if quality > best_quality + THRESHOLD:
-            best, best_quality, misses = moves, quality, 0
-        else:
-            misses += 1
-            movable = None
+        quality = (totals["inside"] + loops) / weight - totals["squares"] / weight**2
+        misses = 0 if quality > best_quality + MIN_GAIN else misses + 1
+        if quality > best_quality:
+            best, best_quality, movable = moves, quality, totals["movable"]
         if misses >= PATIENCE or movable == 0:
             break
         chosen = (F.pmod(F.xxhash64("node", F.lit(SEED), F.lit(step)), F.lit(2)) == 0) & (F.col("gain") > THRESHOLD)
@@ -99,7 +139,7 @@ def _settle(scratch: Scratch, arcs: DataFrame, level: int, max_rounds: int) -> t
             "node", "strength", F.when(chosen, F.col("target")).otherwise(F.col("community")).alias("community")
         )
     settled = scratch.write(best.select("node", "community"), f"settled{level}")
-    return settled, best_quality
+    return settled, best_quality, node_rows
 
 
 def communities(
@@ -117,7 +157,7 @@ def communities(
 
     assigned, quality = None, float("-inf")
     for level in range(max_levels):
-        settled, level_quality = _settle(scratch, arcs, level, max_rounds)
+        settled, level_quality, groups = _settle(scratch, arcs, level, max_rounds)
         if level_quality <= quality + THRESHOLD:
             break
         quality = level_quality
@@ -125,11 +165,12 @@ def communities(
             assigned = settled
         else:
             step = settled.select(F.col("node").alias("community"), F.col("community").alias("_next"))
-            assigned = join_lookup(assigned, step, ["community"]).select("node", F.col("_next").alias("community"))
+            assigned = join_lookup(assigned, step, ["community"], lookup_rows=groups).select("node", F.col("_next").alias("community"))
         assigned = scratch.write(assigned, "assigned")
         near = settled.select("node", F.col("community").alias("_from"))
         far = settled.select(F.col("node").alias("neighbour"), F.col("community").alias("_to"))
-        merged = join_lookup(join_lookup(arcs, near, ["node"]), far, ["neighbour"], count_from=arcs)
+        placed = join_lookup(arcs, near, ["node"], lookup_rows=groups)
+        merged = join_lookup(placed, far, ["neighbour"], count_from=arcs, lookup_rows=groups)
         arcs = scratch.write(
             merged.groupBy(F.col("_from").alias("node"), F.col("_to").alias("neighbour")).agg(
                 F.sum("weight").alias("weight")

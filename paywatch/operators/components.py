@@ -14,9 +14,10 @@ def _link_to_minimum(rows: DataFrame, total_rows: int, keep_own: bool) -> DataFr
 
     The minimum is pre-aggregated, and handing it back to the rows of a hub is split over many tasks.
     """
+    # there are no more minima than rows
     minima = rows.groupBy("node").agg(F.least("node", F.min("neighbour")).alias("root"))
     if keep_own:  # small star: smaller neighbours and the node itself
-        links = join_lookup(rows, minima, ["node"], total_rows=total_rows).select(
+        links = join_lookup(rows, minima, ["node"], total_rows=total_rows, lookup_rows=total_rows).select(
             F.explode(
                 F.array(
                     F.struct(F.col("neighbour").alias("node"), F.col("root").alias("neighbour")),
@@ -26,7 +27,7 @@ def _link_to_minimum(rows: DataFrame, total_rows: int, keep_own: bool) -> DataFr
         ).select("link.*")
     else:  # large star: only larger neighbours
         larger = rows.where(F.col("neighbour") > F.col("node"))
-        links = join_lookup(larger, minima, ["node"], total_rows=total_rows).select(
+        links = join_lookup(larger, minima, ["node"], total_rows=total_rows, lookup_rows=total_rows).select(
             F.col("neighbour").alias("node"), F.col("root").alias("neighbour")
         )
     return links.where(F.col("node") != F.col("neighbour")).distinct()
@@ -39,18 +40,16 @@ def connected_components(edges: DataFrame, nodes: DataFrame | None = None, max_r
     The number of rounds grows with the logarithm of the size.
     """
     scratch = Scratch(edges.sparkSession, "components")
-    stars = scratch.write(
-        simple_pairs(edges).select(F.col("node_b").alias("node"), F.col("node_a").alias("neighbour")), "stars"
-    )
-    fingerprint = None
+    state = {"rows": F.count(F.lit(1)), "print": F.bit_xor(F.xxhash64("node", "neighbour"))}
+    first = simple_pairs(edges).select(F.col("node_b").alias("node"), F.col("node_a").alias("neighbour"))
+    stars, before = scratch.write_with(first, "stars", **state)
     for _ in range(max_rounds):
-        state = stars.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("node", "neighbour"))).first()
-        if state == fingerprint:
+        rows = 2 * before["rows"]
+        large = scratch.write(_link_to_minimum(both_directions(stars, "node", "neighbour"), rows, keep_own=False), "large")
+        stars, after = scratch.write_with(_link_to_minimum(large, rows, keep_own=True), "stars", **state)
+        if after == before:
             break
-        fingerprint, size = state, state[0]
-        symmetric = both_directions(stars, "node", "neighbour")
-        large = scratch.write(_link_to_minimum(symmetric, 2 * size, keep_own=False), "large")
-        stars = scratch.write(_link_to_minimum(large, 2 * size, keep_own=True), "stars")
+        before = after
     else:
         raise RuntimeError(f"Components did not settle in {max_rounds} rounds.")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from paywatch.operators.skew import ROWS_PER_SLICE, heavy_keys, slice_lookup, slice_rows
+from paywatch.operators.skew import BROADCAST_ROWS, ROWS_PER_SLICE, heavy_keys, slice_lookup, slice_rows
 from paywatch.session import Scratch
 
 DAMPING = 0.85
@@ -87,26 +87,40 @@ def pagerank_power(
 
     for _ in range(max_rounds):
         sent = scores.select(F.col("node_id").alias("src"), "score")
-        if plain:
+        if size <= BROADCAST_ROWS:
+            flow = links.join(F.broadcast(sent), "src")
+        elif plain:
             flow = links.join(sent, "src")
         else:
             flow = links.join(slice_lookup(sent, ["src"], heavy), ["src", "_slice"])
-        inflow = flow.groupBy(F.col("dst").alias("node_id")).agg(
-            F.sum(F.col("score") * F.col("share")).alias("_in")
+        # the nodes themselves join the grouping, so nodes nothing flows to stay without another join
+        arrived = flow.select(
+            F.col("dst").alias("node_id"),
+            (F.col("score") * F.col("share")).alias("_in"),
+            F.lit(None).cast("double").alias("score"),
+            F.lit(None).cast("boolean").alias("_dangling"),
         )
+        held = scores.select("node_id", F.lit(0.0).alias("_in"), "score", "_dangling")
         even = (1.0 - damping + damping * dangling) / size
-        updated = scores.join(inflow, "node_id", "left").select(
-            "node_id",
-            "_dangling",
-            (F.lit(damping) * F.coalesce("_in", F.lit(0.0)) + F.lit(even)).alias("score"),
-            F.abs(F.lit(damping) * F.coalesce("_in", F.lit(0.0)) + F.lit(even) - F.col("score")).alias("_change"),
+        updated = (
+            arrived.unionByName(held)
+            .groupBy("node_id")
+            .agg(
+                (F.lit(damping) * F.sum("_in") + F.lit(even)).alias("score"),
+                F.max("score").alias("_before"),
+                F.max("_dangling").alias("_dangling"),
+            )
+            .withColumn("_change", F.abs(F.col("score") - F.col("_before")))
         )
-        written = scratch.write(updated, "scores")
-        change, dangling = written.agg(
-            F.sum("_change"), F.coalesce(F.sum(F.when(F.col("_dangling"), F.col("score"))), F.lit(0.0))
-        ).first()
-        scores = written.drop("_change")
-        if change < size * tolerance:
+        written, totals = scratch.write_with(
+            updated,
+            "scores",
+            change=F.sum("_change"),
+            dangling=F.coalesce(F.sum(F.when(F.col("_dangling"), F.col("score"))), F.lit(0.0)),
+        )
+        dangling = totals["dangling"]
+        scores = written.drop("_change", "_before")
+        if totals["change"] < size * tolerance:
             return scores.select("node_id", F.col("score").alias("pagerank_score"))
     raise RuntimeError(f"PageRank did not converge in {max_rounds} rounds.")
 

@@ -17,6 +17,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 SLICES = 2000
 ROWS_PER_SLICE = 1_000_000
 
+# A lookup of at most this many rows (an id and a few numbers each, some 20 MB) may go to every task.
+BROADCAST_ROWS = 200_000
+
 
 def all_present(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
@@ -70,14 +73,18 @@ def join_lookup(
     rows_per_slice: int = ROWS_PER_SLICE,
     total_rows: int | None = None,
     count_from: DataFrame | None = None,
+    lookup_rows: int | None = None,
 ) -> DataFrame:
     """Left join many rows to a lookup with one row per key.
 
-    When the caller knows `total_rows` and they fit one slice, no key can be heavy and the join is plain.
+    When the caller has counted the lookup and it is small, it is broadcast and no row moves. When the
+    caller knows `total_rows` and they fit one slice, no key can be heavy and the join is plain.
     `count_from` is a cheaper table with the same keys in about the same proportions, such as the rows
     before earlier joins; heavy keys are then counted there. Any proportions give right results.
     """
     keys = list(keys)
+    if lookup_rows is not None and lookup_rows <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(lookup), keys, "left")
     if total_rows is not None and total_rows <= rows_per_slice:
         return rows.join(lookup, keys, "left")
     heavy = heavy_keys(rows if count_from is None else count_from, keys, slices, rows_per_slice)

@@ -483,7 +483,7 @@ oracle(
     USING (batch_id)""",
 )
 oracle("pagerank", ["rank"], "SELECT node_id, round(pagerank_score, 9) AS pagerank_score FROM rank")
-oracle("pagerank_power", ["rank"], "SELECT node_id, round(pagerank_score, 9) AS pagerank_score FROM rank")
+oracle("pagerank_power", ["rank"], "SELECT node_id, round(pagerank_score, 8) AS pagerank_score FROM rank")
 oracle(
     "weighted_projection",
     ["edge"],

@@ -538,7 +538,7 @@ def q_pagerank(spark, sf_dir):
 
 @query
 def q_pagerank_power(spark, sf_dir):
-    return pagerank_power(edges(spark, sf_dir), tolerance=1e-14).select("node_id", rounded("pagerank_score", 9))
+    return pagerank_power(edges(spark, sf_dir), tolerance=1e-12).select("node_id", rounded("pagerank_score", 8))
 
 
 @query

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def build_session(app_name: str = "paywatch", master: str | None = None, **conf: str) -> SparkSession:
@@ -67,3 +67,9 @@ class Scratch:
         while len(versions) > keep_last:
             delete_path(self.spark, versions.pop(0))
         return self.spark.read.schema(df.schema).parquet(path)
+
+    def write_with(self, df: DataFrame, table: str, keep_last: int = 2, **metrics: Column) -> tuple[DataFrame, dict]:
+        """Write, and take totals over the rows on the way, which spares a second job."""
+        seen = Observation()
+        written = self.write(df.observe(seen, *[m.alias(name) for name, m in metrics.items()]), table, keep_last)
+        return written, seen.get
