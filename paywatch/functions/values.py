@@ -72,6 +72,7 @@ def event_time(column: str = "timestamp") -> Column:
 
 
 def clip01(value: Column) -> Column:
+    """Into [0, 1]; null becomes 0."""
     return F.least(F.lit(1.0), F.greatest(F.lit(0.0), value))
 
 

@@ -141,7 +141,7 @@ def train_isolation_forest(
             raise ValueError("The training sample is empty.")
         size = min(SUBSAMPLE, total)
 
-        def grow(key, group: pd.DataFrame) -> pd.DataFrame:
+        def grow(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
             # at most a few hundred rows per tree, whatever the size of the sample
             chosen = group.sort_values(["_rank", *features]).head(size)
             return grow_tree(int(key[0]), chosen[features].to_numpy(dtype=float), seed)

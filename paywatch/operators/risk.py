@@ -75,7 +75,8 @@ def risk_propagation(base: DataFrame, edges: DataFrame) -> DataFrame:
     )
     spread = clip01(0.7 * F.col("base_risk") + 0.3 * F.col("_around"))
     return own.join(around, "node_id", "left").select(
-        "node_id", F.coalesce(spread, F.col("base_risk")).alias("propagated_risk_score")
+        "node_id",
+        F.when(F.col("_around").isNull(), F.col("base_risk")).otherwise(spread).alias("propagated_risk_score"),
     )
 
 

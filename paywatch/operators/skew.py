@@ -36,14 +36,19 @@ def heavy_keys(
     )
 
 
-def slice_rows(rows: DataFrame, keys: Sequence[str], heavy: DataFrame, slices: int = SLICES) -> DataFrame:
-    """Add the slice of each row. Rows without a key match nothing and are spread over all slices.
+def spread_hash(rows: DataFrame) -> Column:
+    """A number that differs between the rows of a key: their columns (maps have no hash) and partition.
 
     The partition id keeps exact copies of a row apart; both inputs are stable when a task is retried.
     """
-    spread = F.xxhash64(*rows.columns, F.spark_partition_id())
+    hashable = [f.name for f in rows.schema.fields if not any(k in f.dataType.simpleString() for k in ("map<", "variant"))]
+    return F.xxhash64(*hashable, F.spark_partition_id())
+
+
+def slice_rows(rows: DataFrame, keys: Sequence[str], heavy: DataFrame, slices: int = SLICES) -> DataFrame:
+    """Add the slice of each row. Rows without a key match nothing and are spread over all slices."""
     return (
-        rows.withColumn("_spread", spread)
+        rows.withColumn("_spread", spread_hash(rows))
         .join(F.broadcast(heavy), list(keys), "left")
         .withColumn(
             "_slice",

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
 from paywatch.functions.identity import user_key
 from paywatch.operators.features import base_features
 from paywatch.operators.history import HISTORY_KEY
+from paywatch.operators.skew import spread_hash
 from paywatch.settings import Settings
 
 # A stream cannot count its keys beforehand, so every key of a window is cut into this many slices.
@@ -33,8 +34,7 @@ def window_enrich_stream(parsed: DataFrame, settings: Settings = Settings(), sli
         return F.window("event_timestamp", settings.window_duration, settings.slide_duration)
 
     plain = F.timestamp_micros(F.unix_micros("event_timestamp"))
-    hashable = [f.name for f in parsed.schema.fields if not isinstance(f.dataType, T.MapType)]
-    spread = F.pmod(F.xxhash64(*hashable, F.spark_partition_id()), F.lit(slices)).cast("int")
+    spread = F.pmod(spread_hash(parsed), F.lit(slices)).cast("int")
     rows = prepared.withColumns({"feature_window": slot(), "_plain": plain, "_slice": spread})
     rows = rows.drop("event_timestamp").withColumnRenamed("_plain", "event_timestamp")
 
