@@ -7,17 +7,18 @@ from pyspark.sql import Column, functions as F, types as T
 # What counts as a number written as text.
 NUMBER_PATTERN = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:nan|inf|infinity))$"
 
-# Date spellings accepted besides ISO 8601.
+# Date spellings accepted besides ISO 8601, each with the shape of its texts. The shape
+# is tested first because a failed parse costs far more than a failed match.
 DATE_FORMATS = (
-    "M/d/yyyy",
-    "M/d/yyyy H:mm",
-    "M/d/yyyy H:mm:ss",
-    "yyyy/M/d",
-    "yyyy/M/d H:mm:ss",
-    "yyyyMMdd",
-    "MMM d, yyyy",
-    "MMM d yyyy",
-    "d MMM yyyy",
+    (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
+    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}$", "M/d/yyyy H:mm"),
+    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}:\d{2}$", "M/d/yyyy H:mm:ss"),
+    (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
+    (r"^\d{4}/\d{1,2}/\d{1,2} \d{1,2}:\d{2}:\d{2}$", "yyyy/M/d H:mm:ss"),
+    (r"^\d{8}$", "yyyyMMdd"),
+    (r"^[A-Za-z]{3} \d{1,2}, \d{4}$", "MMM d, yyyy"),
+    (r"^[A-Za-z]{3} \d{1,2} \d{4}$", "MMM d yyyy"),
+    (r"^\d{1,2} [A-Za-z]{3} \d{4}$", "d MMM yyyy"),
 )
 
 # Fixed value: zone offset at the end of a text that also holds a time of day.
@@ -48,7 +49,10 @@ def iso_format(moment: Column) -> Column:
 def local_time(text: Column) -> Column:
     """Wall-clock time of a text, its zone offset aside; null when no known format fits."""
     trimmed = F.trim(text)
-    parsers = [F.try_to_timestamp(trimmed, F.lit(f)).cast("timestamp_ntz") for f in DATE_FORMATS]
+    parsers = [
+        F.when(trimmed.rlike(shape), F.try_to_timestamp(trimmed, F.lit(spelling)).cast("timestamp_ntz"))
+        for shape, spelling in DATE_FORMATS
+    ]
     return F.coalesce(trimmed.try_cast("timestamp_ntz"), *parsers)
 
 

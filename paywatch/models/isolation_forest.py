@@ -7,11 +7,12 @@ data; that bound is what makes it fit for broadcasting to the scoring tasks.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from paywatch.operators.features import schema_guard
@@ -19,13 +20,17 @@ from paywatch.operators.history import feature_matrix
 from paywatch.settings import FEATURE_COLUMNS
 
 SUBSAMPLE = 256
+DEPTH = 8  # log2 of the subsample
 EULER_GAMMA = 0.5772156649015329
 
-TREE_SCHEMA = "tree_id int, node_id int, feature int, threshold double, left int, right int, path double"
+TREE_SCHEMA = "tree_id int, node_id int, feature int, threshold double, path double"
 SCORE_SCHEMA = T.StructType(
     [T.StructField("anomaly_score", T.DoubleType()), T.StructField("is_anomaly", T.IntegerType())]
 )
 
+# Workers receive the functions of this module with the task, so the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def average_path(n):
     """Mean depth of an unsuccessful search among n points; the scale of path lengths."""
@@ -36,79 +41,60 @@ def average_path(n):
 
 
 def grow_tree(tree_id: int, points: np.ndarray, seed: int) -> pd.DataFrame:
-    """One tree over at most 256 points: random feature, random cut, until depth log2(n) or one point is left."""
+    """One tree over at most 256 points: random feature, random cut, until depth log2(n) or one point is left.
+
+    The children of node i are 2 i + 1 and 2 i + 2; a leaf has feature -1 and its path length.
+    """
     rng = np.random.default_rng([seed, tree_id])
     limit = math.ceil(math.log2(max(len(points), 2)))
-    nodes: list[list] = []
-    open_nodes = [(np.arange(len(points)), 0, None, None)]
-    while open_nodes:
-        rows, depth, parent, side = open_nodes.pop()
-        node_id = len(nodes)
-        if parent is not None:
-            nodes[parent][4 if side == "left" else 5] = node_id
-        inside = points[rows]
-        spread = np.flatnonzero(inside.max(axis=0) > inside.min(axis=0)) if len(rows) > 1 else []
-        if depth >= limit or len(spread) == 0:
-            nodes.append([tree_id, node_id, -1, 0.0, -1, -1, depth + float(average_path(len(rows)))])
+    nodes = []
+    waiting = [(0, 0, points)]
+    while waiting:
+        node_id, depth, inside = waiting.pop()
+        varying = np.flatnonzero(np.ptp(inside, axis=0) > 0) if depth < limit else []
+        if len(varying) == 0:
+            nodes.append((tree_id, node_id, -1, 0.0, depth + float(average_path(len(inside)))))
             continue
-        feature = int(rng.choice(spread))
+        feature = int(rng.choice(varying))
         column = inside[:, feature]
         cut = float(rng.uniform(column.min(), column.max()))
         if cut >= column.max():  # rounding; both sides must keep a point
             cut = float(column.min())
-        goes_left = column <= cut
-        nodes.append([tree_id, node_id, feature, cut, -1, -1, 0.0])
-        open_nodes.append((rows[~goes_left], depth + 1, node_id, "right"))
-        open_nodes.append((rows[goes_left], depth + 1, node_id, "left"))
-    return pd.DataFrame(nodes, columns=["tree_id", "node_id", "feature", "threshold", "left", "right", "path"])
-
-
-@dataclass(frozen=True)
-class Forest:
-    """Trees as arrays of equal length, one row per tree."""
-
-    feature: np.ndarray
-    threshold: np.ndarray
-    left: np.ndarray
-    right: np.ndarray
-    path: np.ndarray
-    scale: float
-
-    @classmethod
-    def from_nodes(cls, nodes: pd.DataFrame, subsample: int) -> "Forest":
-        tree = nodes["tree_id"].rank(method="dense").astype(int).to_numpy() - 1
-        shape = (tree.max() + 1, int(nodes["node_id"].max()) + 1)
-
-        def table(column: str, fill, kind) -> np.ndarray:
-            out = np.full(shape, fill, dtype=kind)
-            out[tree, nodes["node_id"].to_numpy()] = nodes[column].to_numpy()
-            return out
-
-        return cls(
-            table("feature", -1, np.int32),
-            table("threshold", 0.0, np.float64),
-            table("left", -1, np.int32),
-            table("right", -1, np.int32),
-            table("path", 0.0, np.float64),
-            max(float(average_path(subsample)), 1e-12),
-        )
+        nodes.append((tree_id, node_id, feature, cut, 0.0))
+        waiting.append((2 * node_id + 2, depth + 1, inside[column > cut]))
+        waiting.append((2 * node_id + 1, depth + 1, inside[column <= cut]))
+    return pd.DataFrame(nodes, columns=["tree_id", "node_id", "feature", "threshold", "path"])
 
-    def scores(self, points: np.ndarray) -> np.ndarray:
-        """Score in (0, 1], larger for rows that are easier to isolate."""
-        total = np.zeros(len(points))
-        rows = np.arange(len(points))
-        for tree in range(self.feature.shape[0]):
-            at = np.zeros(len(points), dtype=np.int32)
-            while True:
-                feature = self.feature[tree, at]
-                inner = feature >= 0
-                if not inner.any():
-                    break
-                goes_left = points[rows, np.maximum(feature, 0)] <= self.threshold[tree, at]
-                step = np.where(goes_left, self.left[tree, at], self.right[tree, at])
-                at = np.where(inner, step, at)
-            total += self.path[tree, at]
-        return np.power(2.0, -total / self.feature.shape[0] / self.scale)
+
+def forest_arrays(nodes: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Feature, cut and path tables, one row per tree, all leaves moved down to the last level.
+
+    Below a leaf every cut is infinite, so a row that reaches it keeps turning left.
+    """
+    tree = nodes["tree_id"].rank(method="dense").to_numpy().astype(int) - 1
+    trees, inner = tree.max() + 1, 2**DEPTH - 1
+    feature, cut = np.zeros((trees, inner), dtype=np.int32), np.full((trees, inner), np.inf)
+    path = np.zeros((trees, inner + 1))
+    at = nodes["node_id"].to_numpy()
+    leaf = nodes["feature"].to_numpy() < 0
+    feature[tree[~leaf], at[~leaf]] = nodes["feature"].to_numpy()[~leaf]
+    cut[tree[~leaf], at[~leaf]] = nodes["threshold"].to_numpy()[~leaf]
+    down = DEPTH - np.floor(np.log2(at[leaf] + 1)).astype(int)
+    path[tree[leaf], (at[leaf] + 1) * 2**down - 1 - inner] = nodes["path"].to_numpy()[leaf]
+    return feature, cut, path
+
+
+def forest_scores(forest: tuple, points: np.ndarray, scale: float) -> np.ndarray:
+    """Score in (0, 1], larger for rows that are easier to isolate."""
+    feature, cut, path = forest
+    total = np.zeros(len(points))
+    values, start = np.ascontiguousarray(points).ravel(), np.arange(len(points)) * points.shape[1]
+    for tree in range(len(feature)):
+        at = np.zeros(len(points), dtype=np.int64)
+        for _ in range(DEPTH):
+            at = 2 * at + 1 + (values[start + feature[tree][at]] > cut[tree][at])
+        total += path[tree][at - (2**DEPTH - 1)]
+    return np.power(2.0, -total / len(feature) / scale)
 
 
 def _subsamples(sample: DataFrame, id_column: str, features, trees: int, size: int, total: int, seed: int) -> DataFrame:
@@ -172,14 +158,14 @@ def score_anomaly(df: DataFrame, nodes: DataFrame, details: dict) -> DataFrame:
     features = list(details["feature_columns"])
     schema_guard(df.columns, features, "anomaly scoring", identity=False)
     spark: SparkSession = df.sparkSession
-    forest = spark.sparkContext.broadcast(Forest.from_nodes(nodes.toPandas(), details["subsample"]))
+    forest = spark.sparkContext.broadcast(forest_arrays(nodes.toPandas()))
     offset = float(details["offset"])
+    scale = max(float(average_path(details["subsample"])), 1e-12)
 
     @F.pandas_udf(SCORE_SCHEMA)
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = forest.value
         for batch in batches:
-            odd = model.scores(batch.to_numpy(dtype=float)) - offset
+            odd = forest_scores(forest.value, batch.to_numpy(dtype=float), scale) - offset
             yield pd.DataFrame({"anomaly_score": odd, "is_anomaly": (odd > 0).astype("int32")})
 
     numbers = {c: F.col(c).try_cast("double") for c in features}

@@ -10,52 +10,51 @@ from paywatch.session import Scratch
 DAMPING = 0.85
 
 
-def _transition(edges: DataFrame) -> DataFrame:
-    """One row per linked pair: src, dst and the share of src's rank that flows to dst."""
-    pairs = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("_n"))
-    out = edges.groupBy("src").agg(F.count(F.lit(1)).alias("_out"))
+def link_counts(edges: DataFrame) -> DataFrame:
+    """One row per linked pair with its number of parallel edges: all that PageRank needs of the graph."""
+    return edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _shares(pairs: DataFrame) -> DataFrame:
+    """src, dst and the share of src's rank that flows to dst; a source with very many targets is sliced."""
+    out = pairs.groupBy("src").agg(F.sum("n").alias("_out"))
     heavy = heavy_keys(pairs, ["src"])
     return (
         slice_rows(pairs, ["src"], heavy)
         .join(slice_lookup(out, ["src"], heavy), ["src", "_slice"])
-        .select("src", "_slice", "dst", (F.col("_n") / F.col("_out")).alias("share"))
+        .select("src", "_slice", "dst", (F.col("n") / F.col("_out")).alias("share"))
     )
 
 
-def all_nodes(edges: DataFrame) -> DataFrame:
-    ends = F.explode(F.array("src", "dst")).alias("node_id")
-    return edges.select("src", "dst").distinct().select(ends).distinct()
+def _ends(pairs: DataFrame) -> DataFrame:
+    """Every node once, and whether something leaves it."""
+    ends = F.array(
+        F.struct(F.col("src").alias("id"), F.lit(True).alias("out")),
+        F.struct(F.col("dst").alias("id"), F.lit(False).alias("out")),
+    )
+    return (
+        pairs.select(F.explode(ends).alias("end"))
+        .groupBy(F.col("end.id").alias("node_id"))
+        .agg(F.max("end.out").alias("is_source"), (F.max("end.out") & ~F.min("end.out")).alias("is_both"))
+    )
 
 
-def pagerank_bipartite(edges: DataFrame, damping: float = DAMPING) -> DataFrame:
+def pagerank_bipartite(pairs: DataFrame, damping: float = DAMPING) -> DataFrame:
     """Exact PageRank where no node has both incoming and outgoing edges, without iterating.
 
     Sources receive only the even share b = 1 / (N + damping * S) of N nodes of which S have
     out-edges; a target adds damping * b for each unit of share that flows to it.
     """
-    totals = (
-        edges.select("src", "dst")
-        .distinct()
-        .select(F.explode(F.array(F.struct(F.col("src").alias("id"), F.lit(1).alias("out")),
-                                  F.struct(F.col("dst").alias("id"), F.lit(0).alias("out")))).alias("end"))
-        .groupBy("end.id")
-        .agg(F.max("end.out").alias("out"))
-        .agg((1.0 / (F.count(F.lit(1)) + F.lit(damping) * F.sum("out"))).alias("b"))
-    )
-    inflow = _transition(edges).groupBy(F.col("dst").alias("node_id")).agg(F.sum("share").alias("inflow"))
-    sources = edges.select(F.col("src").alias("node_id"), F.lit(0.0).alias("inflow")).distinct()
+    even = _ends(pairs).agg((1.0 / (F.count(F.lit(1)) + F.lit(damping) * F.count_if("is_source"))).alias("b")).scalar()
+    inflow = _shares(pairs).groupBy(F.col("dst").alias("node_id")).agg(F.sum("share").alias("inflow"))
+    sources = pairs.select(F.col("src").alias("node_id")).distinct().withColumn("inflow", F.lit(0.0))
     return inflow.unionByName(sources).select(
-        "node_id", (totals.scalar() * (1.0 + F.lit(damping) * F.col("inflow"))).alias("pagerank_score")
+        "node_id", (even * (1.0 + F.lit(damping) * F.col("inflow"))).alias("pagerank_score")
     )
 
 
-def is_bipartite_flow(edges: DataFrame) -> bool:
-    """True when no node is both a source and a target."""
-    return edges.select("src").distinct().join(edges.select(F.col("dst").alias("src")), "src", "left_semi").isEmpty()
-
-
 def pagerank_power(
-    edges: DataFrame,
+    pairs: DataFrame,
     nodes: DataFrame | None = None,
     damping: float = DAMPING,
     tolerance: float = 1e-6,
@@ -65,22 +64,15 @@ def pagerank_power(
 
     The links are written once, heavy sources already sliced; a round moves only the scores.
     """
-    spark = edges.sparkSession
-    scratch = Scratch(spark, "pagerank")
-    links = scratch.write(_transition(edges), "links")
-    if links.isEmpty():
-        ids = all_nodes(edges) if nodes is None else nodes.select("node_id").distinct()
-        return ids.withColumn("pagerank_score", 1.0 / ids.agg(F.count(F.lit(1))).scalar())
-    plain = links.count() <= ROWS_PER_SLICE
+    scratch = Scratch(pairs.sparkSession, "pagerank")
+    links, totals = scratch.write_with(_shares(pairs), "links", rows=F.count(F.lit(1)))
+    plain = totals["rows"] <= ROWS_PER_SLICE
     heavy = None if plain else scratch.write(heavy_keys(links, ["src"]), "heavy")
-    known_nodes = all_nodes(edges)
+    every = _ends(pairs).select("node_id", (~F.col("is_source")).alias("_dangling"))
     if nodes is not None:
-        known_nodes = known_nodes.union(nodes.select("node_id")).distinct()
-    sources = links.select(F.col("src").alias("node_id")).distinct().withColumn("_dangling", F.lit(False))
-    base = scratch.write(
-        known_nodes.join(sources, "node_id", "left").withColumn("_dangling", F.coalesce("_dangling", F.lit(True))),
-        "nodes",
-    )
+        alone = nodes.select("node_id", F.lit(True).alias("_dangling"))
+        every = every.unionByName(alone).groupBy("node_id").agg(F.min("_dangling").alias("_dangling"))
+    base = scratch.write(every, "nodes")
     size = base.count()
     scores = base.withColumn("score", F.lit(1.0 / size))
     dangling = base.where("_dangling").count() / size
@@ -126,7 +118,8 @@ def pagerank_power(
 
 
 def pagerank(edges: DataFrame, damping: float = DAMPING) -> DataFrame:
-    """PageRank score of every node: the closed form where it holds, else the iteration."""
-    if is_bipartite_flow(edges):
-        return pagerank_bipartite(edges, damping)
-    return pagerank_power(edges, damping=damping)
+    """PageRank score of every node: the closed form where no node is both source and target, else the iteration."""
+    pairs = Scratch(edges.sparkSession, "pairs").write(link_counts(edges), "pairs")
+    if _ends(pairs).where("is_both").isEmpty():
+        return pagerank_bipartite(pairs, damping)
+    return pagerank_power(pairs, damping=damping)

@@ -68,7 +68,10 @@ def risk_propagation(base: DataFrame, edges: DataFrame) -> DataFrame:
     own = base.select("node_id", "base_risk")
     neighbours = both_directions(simple_pairs(edges))
     seen = join_lookup(
-        neighbours, own.select(F.col("node_id").alias("neighbour"), F.col("base_risk").alias("_risk")), ["neighbour"]
+        neighbours,
+        own.select(F.col("node_id").alias("neighbour"), F.col("base_risk").alias("_risk")),
+        ["neighbour"],
+        count_from=both_directions(edges, "src", "dst"),
     )
     around = seen.groupBy(F.col("node").alias("node_id")).agg(
         F.avg(F.coalesce("_risk", F.lit(0.0))).alias("_around")

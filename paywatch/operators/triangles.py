@@ -9,18 +9,28 @@ from paywatch.operators.skew import join_lookup
 from paywatch.session import Scratch
 
 
-def _oriented(pairs: DataFrame, rows: int) -> DataFrame:
-    """Each pair directed from the node with fewer neighbours to the one with more (ties by id)."""
+def _numbered(pairs: DataFrame) -> DataFrame:
+    """Every node with its degree and a number of its own; numbers are shorter than names in what follows."""
     degree = both_directions(pairs).groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
-    first = degree.select(F.col("node").alias("node_a"), F.col("degree").alias("degree_a"))
-    second = degree.select(F.col("node").alias("node_b"), F.col("degree").alias("degree_b"))
+    return degree.withColumn("number", F.monotonically_increasing_id())
+
+
+def _oriented(pairs: DataFrame, numbered: DataFrame, rows: int) -> DataFrame:
+    """Each pair directed from the node with fewer neighbours to the one with more (ties by number)."""
+
+    def side(name: str) -> DataFrame:
+        return numbered.select(F.col("node").alias(name), F.struct("degree", "number").alias(f"rank_{name}"))
+
     known = join_lookup(
-        join_lookup(pairs, first, ["node_a"], total_rows=rows), second, ["node_b"], total_rows=rows, count_from=pairs
+        join_lookup(pairs, side("node_a"), ["node_a"], total_rows=rows),
+        side("node_b"),
+        ["node_b"],
+        total_rows=rows,
+        count_from=pairs,
     )
-    forward = F.struct("degree_a", "node_a") < F.struct("degree_b", "node_b")
     return known.select(
-        F.when(forward, F.col("node_a")).otherwise(F.col("node_b")).alias("low"),
-        F.when(forward, F.col("node_b")).otherwise(F.col("node_a")).alias("high"),
+        F.least("rank_node_a", "rank_node_b")["number"].alias("low"),
+        F.greatest("rank_node_a", "rank_node_b")["number"].alias("high"),
     )
 
 
@@ -29,39 +39,40 @@ def triangles(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
 
     Directed towards the higher degree, no node has more than sqrt(2 * pairs) out-neighbours, hubs
     included, so out-neighbours fit an array. Each directed pair then intersects the arrays of its two
-    ends; pairs of neighbours are never listed. A hub's incoming pairs are split over many tasks.
+    ends; pairs of neighbours are never listed. The many pairs that lead to a hub are split over tasks.
     """
     scratch = Scratch(edges.sparkSession, "triangles")
     pairs = scratch.write(simple_pairs(edges), "pairs")
     rows = pairs.count()
+    numbered = scratch.write(_numbered(pairs), "numbered")
     lists = scratch.write(
-        _oriented(pairs, rows).groupBy("low").agg(F.collect_list("high").alias("targets")), "lists"
-    )
-    arcs = lists.where(F.size("targets") > 1).select(
-        "low", F.col("targets").alias("low_targets"), F.explode("targets").alias("high")
+        _oriented(pairs, numbered, rows).groupBy("low").agg(F.collect_list("high").alias("targets")), "lists"
     )
+    arcs = lists.select("low", F.explode("targets").alias("high"))
     lookup = lists.select(F.col("low").alias("high"), F.col("targets").alias("high_targets"))
+    # narrow rows go to the hubs; the rows that carry an array go to `low`, which has few by the bound above
+    reached = join_lookup(arcs, lookup, ["high"], total_rows=rows).where(F.col("high_targets").isNotNull())
     closed = (
-        join_lookup(arcs, lookup, ["high"], total_rows=rows)
-        .where(F.col("high_targets").isNotNull())
-        .select("low", "high", F.array_intersect("low_targets", "high_targets").alias("third"))
+        reached.join(lists.where(F.size("targets") > 1), "low")
+        .select("low", "high", F.array_intersect("targets", "high_targets").alias("third"))
         .where(F.size("third") > 0)
     )
     corner = F.explode(
         F.concat(
             F.array(
-                F.struct(F.col("low").alias("node_id"), F.size("third").cast("long").alias("n")),
-                F.struct(F.col("high").alias("node_id"), F.size("third").cast("long").alias("n")),
+                F.struct(F.col("low").alias("number"), F.size("third").cast("long").alias("n")),
+                F.struct(F.col("high").alias("number"), F.size("third").cast("long").alias("n")),
             ),
-            F.transform("third", lambda t: F.struct(t.alias("node_id"), F.lit(1).cast("long").alias("n"))),
+            F.transform("third", lambda t: F.struct(t.alias("number"), F.lit(1).cast("long").alias("n"))),
         )
     )
-    counts = closed.select(corner.alias("c")).groupBy("c.node_id").agg(F.sum("c.n").alias("triangle_count"))
+    counts = closed.select(corner.alias("c")).groupBy("c.number").agg(F.sum("c.n").alias("triangle_count"))
+    named = numbered.join(counts, "number", "left").select(F.col("node").alias("node_id"), "triangle_count")
     if nodes is None:
         nodes = edges.select(F.explode(F.array("src", "dst")).alias("node_id")).distinct()
     return (
         nodes.select("node_id")
-        .join(counts, "node_id", "left")
+        .join(named, "node_id", "left")
         .select("node_id", F.coalesce("triangle_count", F.lit(0)).alias("triangle_count"))
     )
 

@@ -13,7 +13,7 @@ from paywatch.models.zscore import spending_spread, zscore_score
 from paywatch.operators import alerts, features, graph, history, reports, risk, validation
 from paywatch.operators.communities import communities as louvain
 from paywatch.operators.components import component_sizes, connected_components
-from paywatch.operators.pagerank import pagerank, pagerank_power
+from paywatch.operators.pagerank import link_counts, pagerank, pagerank_power
 from paywatch.operators.triangles import no_triangles, triangles
 from paywatch.plans import views
 from paywatch.plans.views import EVENT_SETTINGS, entity_edges, order_transactions, raw_transactions, session_edges, transactions
@@ -399,7 +399,6 @@ def window_enrich(spark, sf_dir):
 def stream_window_enrich(spark, sf_dir):
     """The streaming form over the same events; windows the watermark has not passed are still open."""
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    spark.conf.set("spark.sql.streaming.metricsEnabled", "false")
     events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     event = F.col("event_id")
     parsed = events.select(
@@ -415,7 +414,13 @@ def stream_window_enrich(spark, sf_dir):
     def keep(batch: DataFrame, batch_id: int) -> None:
         _window_output(batch).write.mode("overwrite").parquet(f"{folder}/out/write_id={batch_id}")
 
-    run_available(window_enrich_stream(parsed, EVENT_SETTINGS), f"{folder}/checkpoint", keep).awaitTermination()
+    # state stores are kept per partition and cannot be merged later, so there is one per core
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", spark.sparkContext.defaultParallelism)
+    try:
+        run_available(window_enrich_stream(parsed, EVENT_SETTINGS), f"{folder}/checkpoint", keep).awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     return spark.read.parquet(f"{folder}/out").drop("write_id")
 
 
@@ -538,7 +543,7 @@ def q_pagerank(spark, sf_dir):
 
 @query
 def q_pagerank_power(spark, sf_dir):
-    return pagerank_power(edges(spark, sf_dir), tolerance=1e-12).select("node_id", rounded("pagerank_score", 8))
+    return pagerank_power(link_counts(edges(spark, sf_dir)), tolerance=1e-12).select("node_id", rounded("pagerank_score", 8))
 
 
 @query

@@ -7,15 +7,12 @@ from pyspark.sql import DataFrame, functions as F
 from paywatch.functions.identity import user_key
 from paywatch.operators.features import base_features
 from paywatch.operators.history import HISTORY_KEY
-from paywatch.operators.skew import spread_hash
+from paywatch.operators.skew import BROADCAST_ROWS, spread_hash
 from paywatch.settings import Settings
 
 # A stream cannot count its keys beforehand, so every key of a window is cut into this many slices.
 STREAM_SLICES = 8
 
-# A profile up to this many rows (five small columns, some 100 bytes each) is sent to every task.
-BROADCAST_ROWS = 500_000
-
 
 def _per_slice(aggregate: DataFrame, slices: int) -> DataFrame:
     return aggregate.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
@@ -74,12 +71,15 @@ def window_enrich_stream(parsed: DataFrame, settings: Settings = Settings(), sli
     )
 
 
-def history_enrich_stream(enriched: DataFrame, profile: DataFrame) -> DataFrame:
+def history_enrich_stream(enriched: DataFrame, profile: DataFrame, slices: int = STREAM_SLICES) -> DataFrame:
     """Attach the historical profile to a stream.
 
     `profile` should be a stored table, refreshed on purpose, so that no micro-batch aggregates the
-    history again. Its size is checked here: small ones are broadcast, larger ones are joined by key.
+    history again. Its size is checked here: a small one is broadcast, a larger one is joined by key
+    and slice.
     """
     keyed = enriched.withColumn(HISTORY_KEY, user_key(enriched.columns))
-    small = profile.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    return keyed.join(F.broadcast(profile) if small else profile, HISTORY_KEY, "left")
+    if profile.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return keyed.join(F.broadcast(profile), HISTORY_KEY, "left")
+    sliced = keyed.withColumn("_slice", F.pmod(spread_hash(keyed), F.lit(slices)).cast("int"))
+    return sliced.join(_per_slice(profile, slices), [HISTORY_KEY, "_slice"], "left").drop("_slice")

@@ -141,3 +141,21 @@ def start_stream(scored: DataFrame, processor, settings: Settings = Settings(),
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()
+
+
+def start_alert_ingest(
+    messages: DataFrame,
+    checkpoint: str,
+    settings: Settings = Settings(),
+    clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc),
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Start the second stream: alert messages from the topic into the alert table, once per transaction."""
+
+    def ingest(batch: DataFrame, batch_id: int) -> None:
+        audit.ingest_alert_messages(batch, settings.alerts_path, batch_id, clock().isoformat())
+
+    writer = messages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(ingest)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()

@@ -10,7 +10,7 @@ from paywatch.settings import Settings
 from paywatch.sources import audit
 from paywatch.sources.transactions import message_files, parse_json_payload, publish_valid, run_available
 from paywatch.streaming.enrich import history_enrich_stream, window_enrich_stream
-from paywatch.streaming.scoring import BatchProcessor, start_stream
+from paywatch.streaming.scoring import BatchProcessor, start_alert_ingest, start_stream
 
 SCHEMA = "transaction_id string, user_id string, account_id string, merchant_id string, amount double, timestamp string"
 
@@ -116,6 +116,16 @@ def processor_schema():
     return EDGE_SCHEMA
 
 
+def test_alert_ingest_stream(spark, tmp_path):
+    text = json.dumps({"alert_triggered": True, "transaction_id": "7", "amount": "2.5"})
+    write(tmp_path / "topic", "1", [json.dumps({"key": "7", "value": text})] * 2 + [json.dumps({"key": "8", "value": "{}"})])
+    settings = Settings(alerts_path=str(tmp_path / "alerts"))
+    messages = message_files(spark, str(tmp_path / "topic"))
+    start_alert_ingest(messages, str(tmp_path / "cp"), settings, available_now=True).awaitTermination()
+    found = audit.read_table(spark, settings.alerts_path, audit.ALERT_SCHEMA).collect()
+    assert [(r["transaction_id"], r["amount"], r["batch_id"]) for r in found] == [("7", 2.5, None)]
+
+
 def test_kafka_source_names_the_missing_connector(spark):
     from paywatch.sources.transactions import kafka_source
 
