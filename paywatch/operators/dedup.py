@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from paywatch.operators.skew import BROADCAST_ROWS
+
 
 def first_per_id(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """The first row of every id, by `order` and then by the remaining columns.
@@ -24,12 +26,15 @@ def first_per_id(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     return first.unionByName(df.where(F.col(key).isNull()))
 
 
-def unseen(df: DataFrame, stored_ids: DataFrame, key: str) -> DataFrame:
+def unseen(df: DataFrame, stored_ids: DataFrame, key: str, batch_rows: int | None = None) -> DataFrame:
     """Rows whose id is not stored yet; rows without an id always stay.
 
-    The stored table is first reduced to the ids of this batch, so the large side is read for one
-    column and, while the batch is small enough for Spark to broadcast, never shuffled.
+    The stored table is first reduced to the ids of this batch, reading one column of it. When the
+    caller has counted the batch and it is small, its ids are broadcast and the stored side stays
+    where it is; otherwise both sides meet by id.
     """
     batch_ids = df.where(F.col(key).isNotNull()).select(key).distinct()
+    if batch_rows is not None and batch_rows <= BROADCAST_ROWS:
+        batch_ids = F.broadcast(batch_ids)
     known = stored_ids.select(key).join(batch_ids, key, "left_semi").distinct()
     return df.join(known, key, "left_anti")

@@ -29,7 +29,7 @@ def linked(df: DataFrame) -> DataFrame:
     return with_nodes(df).where(F.col("src").isNotNull() & F.col("dst").isNotNull())
 
 
-def graph_edges(df: DataFrame, stored_edges: DataFrame | None = None) -> DataFrame:
+def graph_edges(df: DataFrame, stored_edges: DataFrame | None = None, batch_rows: int | None = None) -> DataFrame:
     """One edge per transaction id not stored yet, the earliest row winning; a row without id is its own edge."""
     rows = linked(df).select(
         "src",
@@ -42,12 +42,13 @@ def graph_edges(df: DataFrame, stored_edges: DataFrame | None = None) -> DataFra
     )
     first = first_per_id(rows, "transaction_id", ["timestamp", "src", "dst", "amount"])
     if stored_edges is not None:
-        first = unseen(first, stored_edges.where(F.col("transaction_id").isNotNull()), "transaction_id")
+        stored = stored_edges.where(F.col("transaction_id").isNotNull())
+        first = unseen(first, stored, "transaction_id", batch_rows)
     auto_key = F.concat(F.lit("auto-edge-"), F.monotonically_increasing_id().cast("string"))
     return first.withColumn("edge_key", F.coalesce("transaction_id", auto_key)).select(*EDGE_COLUMNS)
 
 
-def graph_nodes(df: DataFrame, stored_nodes: DataFrame | None = None) -> DataFrame:
+def graph_nodes(df: DataFrame, stored_nodes: DataFrame | None = None, batch_rows: int | None = None) -> DataFrame:
     """Distinct nodes not stored yet, also of rows whose transaction is a repeat."""
     rows = linked(df)
     ends = F.array(
@@ -62,7 +63,9 @@ def graph_nodes(df: DataFrame, stored_nodes: DataFrame | None = None) -> DataFra
         .distinct()
         .withColumn("entity_id", F.expr("substring(node_id, length(node_type) + 2)"))
     )
-    return nodes if stored_nodes is None else unseen(nodes, stored_nodes, "node_id")
+    if stored_nodes is None:
+        return nodes
+    return unseen(nodes, stored_nodes, "node_id", None if batch_rows is None else 2 * batch_rows)
 
 
 def graph_update_stats(df: DataFrame, stored_nodes: DataFrame, stored_edges: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from paywatch.operators.skew import BROADCAST_ROWS, ROWS_PER_SLICE, heavy_keys, slice_lookup, slice_rows
+from paywatch.operators.skew import BROADCAST_ROWS, Heavy, heavy_keys, slice_lookup, slice_rows
 from paywatch.session import Scratch
 
 DAMPING = 0.85
@@ -15,10 +15,9 @@ def link_counts(edges: DataFrame) -> DataFrame:
     return edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _shares(pairs: DataFrame) -> DataFrame:
+def _shares(pairs: DataFrame, heavy: Heavy) -> DataFrame:
     """src, dst and the share of src's rank that flows to dst; a source with very many targets is sliced."""
     out = pairs.groupBy("src").agg(F.sum("n").alias("_out"))
-    heavy = heavy_keys(pairs, ["src"])
     return (
         slice_rows(pairs, ["src"], heavy)
         .join(slice_lookup(out, ["src"], heavy), ["src", "_slice"])
@@ -46,7 +45,7 @@ def pagerank_bipartite(pairs: DataFrame, damping: float = DAMPING) -> DataFrame:
     out-edges; a target adds damping * b for each unit of share that flows to it.
     """
     even = _ends(pairs).agg((1.0 / (F.count(F.lit(1)) + F.lit(damping) * F.count_if("is_source"))).alias("b")).scalar()
-    inflow = _shares(pairs).groupBy(F.col("dst").alias("node_id")).agg(F.sum("share").alias("inflow"))
+    inflow = _shares(pairs, heavy_keys(pairs, ["src"])).groupBy(F.col("dst").alias("node_id")).agg(F.sum("share").alias("inflow"))
     sources = pairs.select(F.col("src").alias("node_id")).distinct().withColumn("inflow", F.lit(0.0))
     return inflow.unionByName(sources).select(
         "node_id", (even * (1.0 + F.lit(damping) * F.col("inflow"))).alias("pagerank_score")
@@ -65,9 +64,8 @@ def pagerank_power(
     The links are written once, heavy sources already sliced; a round moves only the scores.
     """
     scratch = Scratch(pairs.sparkSession, "pagerank")
-    links, totals = scratch.write_with(_shares(pairs), "links", rows=F.count(F.lit(1)))
-    plain = totals["rows"] <= ROWS_PER_SLICE
-    heavy = None if plain else scratch.write(heavy_keys(links, ["src"]), "heavy")
+    heavy = heavy_keys(pairs, ["src"])
+    links = scratch.write(_shares(pairs, heavy), "links")
     every = _ends(pairs).select("node_id", (~F.col("is_source")).alias("_dangling"))
     if nodes is not None:
         alone = nodes.select("node_id", F.lit(True).alias("_dangling"))
@@ -81,8 +79,6 @@ def pagerank_power(
         sent = scores.select(F.col("node_id").alias("src"), "score")
         if size <= BROADCAST_ROWS:
             flow = links.join(F.broadcast(sent), "src")
-        elif plain:
-            flow = links.join(sent, "src")
         else:
             flow = links.join(slice_lookup(sent, ["src"], heavy), ["src", "_slice"])
         # the nodes themselves join the grouping, so nodes nothing flows to stay without another join

@@ -5,14 +5,20 @@ not so when the lookup side is an aggregate. Here a heavy key is cut into slices
 are spread over them and its single lookup row is repeated once per slice. At most `slices` keys can
 be heavy, because each holds more than 1/slices of all rows, so the table of heavy keys is small
 however large the data is, and at most 2 * slices lookup rows are added.
+
+Heavy keys are found by one pre-aggregated pass over the key columns. Where there are none, which is
+the usual case, the join stays an ordinary one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
+
+from paywatch.session import Scratch
 
 SLICES = 2000
 ROWS_PER_SLICE = 1_000_000
@@ -21,19 +27,43 @@ ROWS_PER_SLICE = 1_000_000
 BROADCAST_ROWS = 200_000
 
 
+@dataclass(frozen=True)
+class Heavy:
+    """Heavy keys with their slices (None: there are none), and whether rows without key need spreading."""
+
+    table: DataFrame | None
+    missing: bool
+    slices: int
+
+
 def all_present(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 
 
 def heavy_keys(
     rows: DataFrame, keys: Sequence[str], slices: int = SLICES, rows_per_slice: int = ROWS_PER_SLICE
-) -> DataFrame:
-    """Keys with too many rows for one task and the number of slices each needs; fewer than `slices` rows."""
-    counts = rows.where(all_present(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    share = F.greatest(counts.agg(F.sum("_rows")).scalar() / F.lit(slices), F.lit(rows_per_slice))
-    return counts.where(F.col("_rows") > share).select(
-        *keys, F.ceil(F.col("_rows") / share).cast("int").alias("_slices")
+) -> Heavy:
+    """Keys with too many rows for one task and the number of slices each needs; fewer than `slices` keys."""
+    seen = Observation()
+    present = all_present(keys)
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    counted = counts.observe(
+        seen,
+        F.sum("_rows").alias("total"),
+        F.max(F.when(present, F.col("_rows"))).alias("largest"),
+        F.sum(F.when(~present, F.col("_rows"))).alias("missing"),
     )
+    # a key below the first `slices` counts cannot hold more than 1/slices of the rows
+    top = Scratch(rows.sparkSession, "heavy").write(
+        counted.where(present).orderBy(F.desc("_rows")).limit(slices), "counts"
+    )
+    share = max((seen.get["total"] or 0) / slices, rows_per_slice)
+    table = None
+    if (seen.get["largest"] or 0) > share:
+        table = top.where(F.col("_rows") > share).select(
+            *keys, F.ceil(F.col("_rows") / F.lit(float(share))).cast("int").alias("_slices")
+        )
+    return Heavy(table, (seen.get["missing"] or 0) > share, slices)
 
 
 def spread_hash(rows: DataFrame) -> Column:
@@ -45,26 +75,26 @@ def spread_hash(rows: DataFrame) -> Column:
     return F.xxhash64(*hashable, F.spark_partition_id())
 
 
-def slice_rows(rows: DataFrame, keys: Sequence[str], heavy: DataFrame, slices: int = SLICES) -> DataFrame:
-    """Add the slice of each row. Rows without a key match nothing and are spread over all slices."""
-    return (
-        rows.withColumn("_spread", spread_hash(rows))
-        .join(F.broadcast(heavy), list(keys), "left")
-        .withColumn(
-            "_slice",
-            F.pmod(
-                F.col("_spread"),
-                F.when(all_present(keys), F.coalesce("_slices", F.lit(1))).otherwise(F.lit(slices)),
-            ).cast("int"),
-        )
-        .select(*rows.columns, "_slice")
-    )
+def slice_rows(rows: DataFrame, keys: Sequence[str], heavy: Heavy) -> DataFrame:
+    """Add the slice of each row. Rows without a key match nothing and may be spread over all slices."""
+    if heavy.table is None and not heavy.missing:
+        return rows.withColumn("_slice", F.lit(0))
+    spread = rows.withColumn("_spread", spread_hash(rows))
+    parts = F.lit(1)
+    if heavy.table is not None:
+        spread = spread.join(F.broadcast(heavy.table), list(keys), "left")
+        parts = F.coalesce("_slices", F.lit(1))
+    if heavy.missing:
+        parts = F.when(all_present(keys), parts).otherwise(F.lit(heavy.slices))
+    return spread.withColumn("_slice", F.pmod(F.col("_spread"), parts).cast("int")).select(*rows.columns, "_slice")
 
 
-def slice_lookup(lookup: DataFrame, keys: Sequence[str], heavy: DataFrame) -> DataFrame:
+def slice_lookup(lookup: DataFrame, keys: Sequence[str], heavy: Heavy) -> DataFrame:
     """Repeat the lookup row of a heavy key once per slice."""
+    if heavy.table is None:
+        return lookup.withColumn("_slice", F.lit(0))
     return (
-        lookup.join(F.broadcast(heavy), list(keys), "left")
+        lookup.join(F.broadcast(heavy.table), list(keys), "left")
         .withColumn("_slice", F.explode(F.sequence(F.lit(0), F.coalesce("_slices", F.lit(1)) - 1)))
         .drop("_slices")
     )
@@ -93,8 +123,10 @@ def join_lookup(
     if total_rows is not None and total_rows <= rows_per_slice:
         return rows.join(lookup, keys, "left")
     heavy = heavy_keys(rows if count_from is None else count_from, keys, slices, rows_per_slice)
+    if heavy.table is None and not heavy.missing:
+        return rows.join(lookup, keys, "left")
     return (
-        slice_rows(rows, keys, heavy, slices)
+        slice_rows(rows, keys, heavy)
         .join(slice_lookup(lookup, keys, heavy), [*keys, "_slice"], "left")
         .drop("_slice")
     )

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from paywatch.functions.identity import strip
 from paywatch.functions.values import known
 from paywatch.operators.dedup import first_per_id, unseen
+from paywatch.operators.skew import BROADCAST_ROWS
 from paywatch.sources.schema import table_schema
 
 # Columns of the two tables, in order.
@@ -65,7 +66,8 @@ def append_once(
     """Store the first row of every id that no other batch stored; rows without an id are all stored."""
     spark = batch.sparkSession
     first = first_per_id(batch, key, order)
-    fresh = unseen(first, stored_elsewhere(spark, path, schema, writer, write_id), key)
+    rows = batch.limit(BROADCAST_ROWS + 1).count()  # cheap: a stream persists its batch
+    fresh = unseen(first, stored_elsewhere(spark, path, schema, writer, write_id), key, rows)
     shaped = fresh.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
     shaped.write.mode("overwrite").parquet(f"{path}/writer={writer}/write_id={write_id}")
 

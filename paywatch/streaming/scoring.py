@@ -98,7 +98,7 @@ class BatchProcessor:
     def _process(self, batch: DataFrame, batch_id: int) -> None:
         settings, spark = self.settings, batch.sparkSession
         summary = batch_summary(batch).first().asDict()
-        self._update_graph(batch, batch_id)
+        self._update_graph(batch, batch_id, summary["records_processed"])
         signals = self._signals(spark, batch_id)
 
         stamp = self.clock().isoformat()
@@ -114,13 +114,13 @@ class BatchProcessor:
             judged.unpersist()
         self.summaries.append({"batch_id": batch_id, **summary})
 
-    def _update_graph(self, batch: DataFrame, batch_id: int) -> None:
+    def _update_graph(self, batch: DataFrame, batch_id: int, rows: int) -> None:
         spark, settings = batch.sparkSession, self.settings
         stored_edges = audit.stored_elsewhere(spark, settings.edges_path, EDGE_SCHEMA, "scoring", batch_id)
         stored_nodes = audit.stored_elsewhere(spark, settings.nodes_path, NODE_SCHEMA, "scoring", batch_id)
         folder = f"writer=scoring/write_id={batch_id}"
-        graph_edges(batch, stored_edges).write.mode("overwrite").parquet(f"{settings.edges_path}/{folder}")
-        graph_nodes(batch, stored_nodes).write.mode("overwrite").parquet(f"{settings.nodes_path}/{folder}")
+        graph_edges(batch, stored_edges, rows).write.mode("overwrite").parquet(f"{settings.edges_path}/{folder}")
+        graph_nodes(batch, stored_nodes, rows).write.mode("overwrite").parquet(f"{settings.nodes_path}/{folder}")
 
     def _signals(self, spark: SparkSession, batch_id: int) -> DataFrame:
         settings = self.settings
