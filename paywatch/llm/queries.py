@@ -7,6 +7,20 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from paywatch.llm.common import table
 from paywatch.llm.exact_dedup import exact_groups
 from paywatch.llm.simhash import simhash_groups
+from paywatch.llm.wu_manber import benchmark_hits
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = benchmark_hits(docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return found.select(
+        "row.doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +34,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_decontamination": op4_decontamination,
     "op9_simhash": op9_simhash,
     "op10_exact_dedup": op10_exact_dedup,
 }
