@@ -3,9 +3,9 @@
 A word is an arc of its own, weighted by how often the training texts have it, next to all ways to cut
 it into pieces of an existing vocabulary, weighted by that vocabulary's scores. A forward recursion in log
 space sums all paths, so a score is the marginal probability of the text and not that of its best cut.
-Pieces never cross words, so the lattice of a text is that of its words in a row. Texts repeat their own
-words: a word that a text has had n times gets n added to its share times a constant, as in a Polya urn,
-whose probability for a whole text depends on counts only and not on their order.
+Pieces never cross words, so the lattice of a text is that of its words in a row. Words are also counted by
+group of texts (their language): each group has counts and piece weights of its own, and
+a text belongs to each group with the group's share of texts, which its marginal probability sums over.
 
 The vocabulary's pieces and their scores are given; what is learned is word counts and, with the scores
 as a prior, how often each piece is passed in expectation (forward and backward over all training words).
@@ -36,8 +36,11 @@ ROUNDS = 2
 
 #: Counts that the vocabulary's own scores are worth when the pieces are weighted.
 PRIOR = 1_000.0
-#: Words of a text that weigh as much as all training texts when its next word is predicted.
-URN = 1600.0
+#: Groups counted on their own at most, the largest ones; all others are one more.
+GROUPS = 7
+
+#: Of the share a group leaves to words it has not seen, what goes to words that other groups have.
+BORROWED = 0.1
 START = "▁"
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 
@@ -104,11 +107,13 @@ def _byte_sums(codes: np.ndarray, pieces: Pieces) -> np.ndarray:
     return np.array(own)[place].reshape(codes.shape)
 
 
-def _arcs(codes: np.ndarray, pieces: Pieces) -> list[list[tuple[int, np.ndarray, np.ndarray]]]:
-    """For every position the arcs that end there: (start, log weight per word, piece per word or -1)."""
+Arcs = list[list[tuple[int, np.ndarray]]]
+
+
+def _arcs(codes: np.ndarray, pieces: Pieces) -> Arcs:
+    """For every position the arcs that end there: (start, piece per word or -1)."""
     n, length = codes.shape
-    ending: list[list[tuple[int, np.ndarray, np.ndarray]]] = [[] for _ in range(length + 1)]
-    spelled = _byte_sums(codes, pieces)
+    ending: Arcs = [[] for _ in range(length + 1)]
     for start in range(length):
         value = np.zeros(n, np.uint64)
         for end in range(start + 1, min(length, start + pieces.longest) + 1):
@@ -116,33 +121,43 @@ def _arcs(codes: np.ndarray, pieces: Pieces) -> list[list[tuple[int, np.ndarray,
             value ^= value >> np.uint64(29)
             at = np.minimum(np.searchsorted(pieces.hashes, value), len(pieces.hashes) - 1)
             known = (pieces.hashes[at] == value) & (pieces.begins[at] == (start == 0))
-            if end == start + 1 and start:
-                weight = np.where(known, pieces.weight[at], spelled[:, start])
-            elif known.any():
-                weight = np.where(known, pieces.weight[at], -np.inf)
-            else:
-                continue
-            ending[end].append((start, weight, np.where(known, at, -1)))
+            if known.any() or end == start + 1 and start:
+                ending[end].append((start, np.where(known, at, -1)))
     return ending
 
 
-def marginals(codes: np.ndarray, pieces: Pieces, arcs=None) -> tuple[np.ndarray, np.ndarray]:
-    """Forward log sums at every position of words of one length, and the log probability of each word."""
-    n, length = codes.shape
-    arcs = arcs or _arcs(codes, pieces)
-    forward = np.full((length + 1, n), -np.inf)
+def _weighted_arcs(codes: np.ndarray, pieces: Pieces, arcs: Arcs) -> list[list[tuple[int, np.ndarray, np.ndarray]]]:
+    """The arcs with their log weights; a symbol inside a word that is no piece is spelled in bytes."""
+    spelled = _byte_sums(codes, pieces)
+    return [
+        [
+            (start, np.where(piece >= 0, pieces.weight[piece], spelled[:, start] if end == start + 1 and start else -np.inf), piece)
+            for start, piece in found
+        ]
+        for end, found in enumerate(arcs)
+    ]
+
+
+def _forward(n: int, arcs: list) -> np.ndarray:
+    forward = np.full((len(arcs), n), -np.inf)
     forward[0] = 0
-    for end in range(1, length + 1):
-        for start, weight, _ in arcs[end]:
+    for end, found in enumerate(arcs):
+        for start, weight, _ in found:
             forward[end] = np.logaddexp(forward[end], forward[start] + weight)
-    return forward, forward[length] + pieces.end_weight
+    return forward
+
+
+def marginals(codes: np.ndarray, pieces: Pieces, arcs: Arcs | None = None) -> np.ndarray:
+    """Log probability of words of one length: the forward sum over all ways to cut them, and the end."""
+    arcs = arcs or _arcs(codes, pieces)
+    return _forward(len(codes), _weighted_arcs(codes, pieces, arcs))[-1] + pieces.end_weight
 
 
 def expected(codes: np.ndarray, pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
     """How often words of one length pass each piece and spell each byte, in expectation over all cuts."""
     n, length = codes.shape
-    arcs = _arcs(codes, pieces)
-    forward, _ = marginals(codes, pieces, arcs)
+    arcs = _weighted_arcs(codes, pieces, _arcs(codes, pieces))
+    forward = _forward(n, arcs)
     backward = np.full((length + 1, n), -np.inf)
     backward[length] = 0
     counts, spelled = np.zeros(len(pieces.hashes)), np.zeros(256)
@@ -173,51 +188,54 @@ def _by_length(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             yield part, _codes([START + words[i] for i in part.tolist()])
 
 
-def _chunks(limit: int):
+def _counts(groups: int, letter: str = "c") -> list[str]:
+    return [f"{letter}{k}" for k in range(groups)]
+
+
+def _chunks(limit: int, groups: int):
     """Words of every chunk with their training counts, and its texts as packed numbers of words."""
 
-    names = ["chunk", "place", "word", "trained", "key", "held", "n", "ids"]
+    names = ["chunk", "place", "word", *_counts(groups), "key", "held", "n", "ids"]
 
     def words(chunk: int, known: dict[bytes, int], trained: np.ndarray) -> Iterator[pa.RecordBatch]:
         n = len(known)
         nulls = [pa.nulls(n, t) for t in (pa.int64(), pa.bool_(), pa.int64(), pa.binary())]
         column = pa.array(list(known), pa.binary()).cast(pa.string())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(n, chunk)), pa.array(np.arange(n)), column, pa.array(trained), *nulls], names=names
+            [pa.array(np.full(n, chunk)), pa.array(np.arange(n)), column, *map(pa.array, trained), *nulls], names=names
         )
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk = TaskContext.get().partitionId() * CHUNKS_PER_TASK
         known: dict[bytes, int] = {}
-        trained, size = np.zeros(0, np.int64), 0
+        trained, size = np.zeros((groups, 0), np.int64), 0
         for batch in batches:
             out, held = [], batch.column(2).to_pylist()
-            for text, key, other in zip(texts_of(batch.column(1)), batch.column(0).to_pylist(), held):
+            for text, key, other, group in zip(texts_of(batch.column(1)), batch.column(0).to_pylist(), held, batch.column(3).to_pylist()):
                 found = text.lower().split()
                 own = np.fromiter((known.setdefault(w, len(known)) for w in found), np.int64, len(found))
+                if trained.shape[1] < len(known):
+                    trained = _wider(trained, 2 * len(known))
                 if not other and len(own):
-                    counts = np.bincount(own, minlength=len(known))
-                    counts[: len(trained)] += trained
-                    trained = counts
+                    found, times = np.unique(own, return_counts=True)
+                    trained[group, found] += times
                 own.sort()
                 packed = np.diff(own, prepend=0).astype("<u4").tobytes()
                 out.append((chunk, key, other, len(own), pa.compress(packed, "zstd", asbytes=True)))
                 size += len(text)
                 if size >= limit:
                     yield from texts(out)
-                    trained = np.concatenate((trained, np.zeros(len(known) - len(trained), np.int64)))
-                    yield from words(chunk, known, trained)
-                    known, trained, size, out = {}, np.zeros(0, np.int64), 0, []
+                    yield from words(chunk, known, trained[:, : len(known)])
+                    known, trained, size, out = {}, np.zeros((groups, 0), np.int64), 0, []
                     chunk += 1
             yield from texts(out)
         if known:
-            trained = np.concatenate((trained, np.zeros(len(known) - len(trained), np.int64)))
-            yield from words(chunk, known, trained)
+            yield from words(chunk, known, trained[:, : len(known)])
 
     def texts(out: list) -> Iterator[pa.RecordBatch]:
         if out:
             chunk, key, held, n, ids = zip(*out)
-            nulls = [pa.nulls(len(out), t) for t in (pa.int64(), pa.string(), pa.int64())]
+            nulls = [pa.nulls(len(out), t) for t in (pa.int64(), pa.string(), *[pa.int64()] * groups)]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(chunk, pa.int64()), *nulls, pa.array(key, pa.int64()), pa.array(held, pa.bool_()),
@@ -229,85 +247,114 @@ def _chunks(limit: int):
     return task
 
 
-CHUNK_SCHEMA = "chunk bigint, place bigint, word string, trained bigint, key bigint, held boolean, n bigint, ids binary"
+def _wider(table: np.ndarray, columns: int) -> np.ndarray:
+    out = np.zeros((table.shape[0], columns), table.dtype)
+    out[:, : table.shape[1]] = table
+    return out
 
 
 def _expect(pieces):
-    """Expected counts of a task's words; pieces are numbered in order, then bytes."""
+    """Expected counts of a task's words in each group; a group's pieces are numbered in order, then its bytes."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = pieces.value
-        total = np.zeros(len(model.hashes) + 256)
+        models = pieces.value
+        size = len(models[0].hashes)
+        total = np.zeros((len(models), size + 256))
         for batch in batches:
-            for _, codes in _by_length(batch.column(0).to_pylist()):
-                counts, spelled = expected(codes, model)
-                total[:-256] += counts
-                total[-256:] += spelled
+            words = np.array(batch.column(0).to_pylist(), object)
+            for k, model in enumerate(models):
+                own = words[batch.column(k + 1).to_numpy() > 0].tolist()
+                for _, codes in _by_length(own):
+                    counts, spelled = expected(codes, model)
+                    total[k, :size] += counts
+                    total[k, size:] += spelled
         used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["piece", "passed"])
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total.ravel()[used])], names=["piece", "passed"])
 
     return task
 
 
-def fit_pieces(words: DataFrame, pieces: Pieces, rounds: int = ROUNDS) -> Pieces:
-    """Weights from how often the different words of `word` pass each piece, with the given weights as a prior."""
-    spark = words.sparkSession
-    types = words.count()
+def fit_pieces(counts: DataFrame, columns: list[str], types: list[int], pieces: Pieces, rounds: int = ROUNDS) -> list[Pieces]:
+    """Weights for each group from how often its different words pass each piece; the given weights are a prior.
+
+    `counts` has the words and their counts by group, `types` the number of different words of each.
+    """
+    spark = counts.sparkSession
     prior = np.exp(pieces.weight)
-    for _ in range(rounds if types else 0):
-        found = map_arrow(words.select("word"), _expect(spark.sparkContext.broadcast(pieces)), "piece bigint, passed double")
-        rows = found.groupBy("piece").agg(F.sum("passed")).collect()  # at most a row per piece of the vocabulary
-        passed = np.zeros(len(prior) + 256)
+    models = [pieces] * len(columns)
+    for _ in range(rounds if any(types) else 0):
+        found = map_arrow(counts.select("word", *columns), _expect(spark.sparkContext.broadcast(models)), "piece bigint, passed double")
+        rows = found.groupBy("piece").agg(F.sum("passed")).collect()  # at most a row per group and piece of the vocabulary
+        passed = np.zeros(len(columns) * (len(prior) + 256))
         for piece, sum_ in rows:
             passed[piece] = sum_
-        mass = passed[:-256] + PRIOR * prior
-        pieces = _weighted(pieces.hashes, pieces.longest, pieces.begins, mass, passed[-256:] + PRIOR / 2**16, types + 1.0)
-    return pieces
+        models = [
+            _weighted(m.hashes, m.longest, m.begins, own[:-256] + PRIOR * prior, own[-256:] + PRIOR / 2**16, n + 1.0) if n else m
+            for m, own, n in zip(models, passed.reshape(len(columns), -1), types)
+        ]
+    return models
 
 
-def _word_scores(pieces, n: int, unseen: float, n_all: int, vocabulary: int):
-    """Per word: natural log of its marginal in the lattice, and log10 of the plain smoothed share.
-
-    `n` training words, `unseen` the share of text left to words not among them.
-    """
+def _spelled(pieces):
+    """Natural log of what the pieces of each group give each word."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = pieces.value
+        models = pieces.value
+        names = _counts(len(models), "s")
         for batch in batches:
-            words, counts = batch.column(0).to_pylist(), batch.column(1).to_numpy()
-            spelled = np.zeros(len(words))
+            words = batch.column(0).to_pylist()
+            found = np.zeros((len(models), len(words)))
             for at, codes in _by_length(words):
-                spelled[at] = marginals(codes, model)[1]
-            score = spelled + np.log(unseen)
-            if n:
-                with np.errstate(divide="ignore"):
-                    score = np.logaddexp(score, np.log(counts) + np.log1p(-unseen) - np.log(n))
-            base = np.log10((counts + 1) / (n_all + vocabulary + 1))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(score), pa.array(base)], names=["word", "trained", "score", "base"]
-            )
+                arcs = _arcs(codes, models[0])
+                for k, model in enumerate(models):
+                    found[k, at] = marginals(codes, model, arcs)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, found)], names=[*batch.schema.names, *names])
 
     return task
 
 
-def urn_score(shares: np.ndarray, own: np.ndarray, urn: float) -> float:
-    """Natural log probability of words `own` (sorted numbers) whose log shares are `shares`."""
-    if not len(own):
-        return 0.0
-    new = np.flatnonzero(np.diff(own, prepend=-1))
-    before = np.arange(len(own)) - np.repeat(new, np.diff(np.append(new, len(own))))
-    again = before > 0
-    drawn = np.log(urn) * (len(own) - again.sum()) + shares[own[~again]].sum()
-    drawn += np.log(urn * np.exp(shares[own[again]]) + before[again]).sum()
-    return float(drawn - np.log(urn + np.arange(len(own))).sum())
-
-
-def _text_scores(end: float, end_base: float, end_known: bool, urn: float):
-    """Rows come by chunk, its words before its texts. `end`: probability that a text ends after a word."""
-    stop, go = np.log(end), np.log1p(-end)
+@dataclass
+class Totals:
+    """By group the words read, texts, and share left to unseen words; tokens and vocabulary of the plain model."""
+
+    words: np.ndarray
+    texts: np.ndarray
+    unseen: np.ndarray
+    tokens: int
+    vocabulary: int
+
+    def shares(self, counts: np.ndarray, spelled: np.ndarray, borrowed: float) -> np.ndarray:
+        """Log share of each word in each group: its arc as a word, next to its cuts into pieces."""
+        with np.errstate(divide="ignore"):
+            seen, unseen = np.log1p(-self.unseen)[:, None], np.log(self.unseen)[:, None]
+            own = np.log(counts) - np.log(np.maximum(self.words, 1))[:, None] + seen
+            if not self.words.any():
+                return spelled
+            elsewhere = np.log(counts.sum(axis=0)) - np.log(self.words.sum()) + np.log(borrowed) + unseen
+            return np.logaddexp(np.logaddexp(own, elsewhere), spelled + np.log1p(-borrowed) + unseen)
+
+
+def _text_scores(totals: Totals, groups: int, borrowed: float):
+    """Rows come by chunk, its words before its texts."""
+    all_texts = int(totals.texts.sum())
+    ends = (all_texts + 1) / (totals.tokens + 2)
+    last, goes_on = np.log(ends), np.log1p(-ends)
+    plain = np.log10(totals.tokens + totals.vocabulary + 1)
+    end_base = np.log10(all_texts + 1) - plain
+    prior = np.log((totals.texts + 1) / (all_texts + groups))
+    names = ["key", "held", "n_tokens", "n_known", "base_score", "score"]
+    kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
+
+    def tables(parts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if not parts:
+            return np.zeros(0, np.int64), np.zeros(0), np.zeros((groups, 0))
+        place, *rest = (np.concatenate(c) for c in zip(*parts))
+        rest = np.stack(rest)[:, np.argsort(place)]
+        counts, spelled = rest[:groups].astype(np.int64), rest[groups:]
+        trained = counts.sum(axis=0)
+        return trained, np.log10(trained + 1) - plain, totals.shares(counts, spelled, borrowed)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["key", "held", "n_tokens", "n_known", "base_score", "score"]
         chunk, parts, table, out = None, [], None, []
         for batch in batches:
             chunks = batch.column("chunk").to_numpy()
@@ -319,24 +366,19 @@ def _text_scores(end: float, end_base: float, end_known: bool, urn: float):
                 is_text = pc.is_valid(part.column("ids"))
                 words = part.filter(pc.invert(is_text))
                 if words.num_rows:
-                    parts.append([words.column(c).to_numpy() for c in ("place", "trained", "score", "base")])
+                    parts.append([words.column(c).to_numpy() for c in ("place", *_counts(groups), *_counts(groups, "s"))])
                 texts = part.filter(is_text)
-                if not texts.num_rows:
-                    continue
-                if table is None:
-                    place, *rest = (np.concatenate(c) for c in zip(*parts)) if parts else (np.zeros(0, int), *[np.zeros(0)] * 3)
-                    table = [np.zeros(len(place)) for _ in rest]
-                    for own, value in zip(table, rest):
-                        own[place] = value
-                known, score, base = table
+                if texts.num_rows and table is None:
+                    table = tables(parts)
                 for key, held, n, ids in zip(*(texts.column(c).to_pylist() for c in ("key", "held", "n", "ids"))):
-                    own = np.cumsum(np.frombuffer(pa.decompress(ids, 4 * n, "zstd", asbytes=True), "<u4"), dtype=np.int64) if n else np.zeros(0, np.int64)
-                    out.append((
-                        key, held, n + 1, int((known[own] > 0).sum()) + end_known,
-                        float(base[own].sum()) + end_base, (urn_score(score, own, urn) + stop + n * go) / np.log(10),
-                    ))
+                    trained, base, shares = table
+                    own = np.zeros(0, np.int64)
+                    if n:
+                        own = np.cumsum(np.frombuffer(pa.decompress(ids, 4 * n, "zstd", asbytes=True), "<u4"), dtype=np.int64)
+                    score = np.logaddexp.reduce(prior + shares[:, own].sum(axis=1)) + last + n * goes_on
+                    known = int((trained[own] > 0).sum()) + (all_texts > 0)
+                    out.append((key, held, n + 1, known, float(base[own].sum() + end_base), float(score / np.log(10))))
             if out:
-                kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=names)
                 out = []
 
@@ -344,60 +386,69 @@ def _text_scores(end: float, end_base: float, end_known: bool, urn: float):
 
 
 def score_texts(
-    docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "text",
-    vocabulary: str = VOCABULARY, chunk_bytes: int = CHUNK_BYTES, urn: float = URN,
+    docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "text", group: str | None = "lang",
+    vocabulary: str = VOCABULARY, chunk_bytes: int = CHUNK_BYTES, borrowed: float = BORROWED,
 ) -> DataFrame:
     """Per row: key, held_out, n_tokens, n_known, train_tokens, base_score, score (log10).
 
     Tokens are the words between ASCII white space, with A-Z in lower case, and one end. Texts of rows
-    with `held_out` are scored only, the others are learned from too. A missing text is empty and consists of
-    its end. Repeated rows are texts of their own. Without training texts every word is spelled in
-    pieces by the vocabulary's scores; an empty table gives an empty result.
+    with `held_out` are scored only, the others are learned from too; of held-out rows the group is not
+    used. A missing text is empty and consists of its end, a missing group is the group of all others.
+    Repeated rows are texts of their own. Without training texts every word is spelled in pieces by the
+    vocabulary's scores; an empty table gives an empty result.
     """
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "lattice")
-    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"), held_out.alias("held"))
+    label = F.lit(None).cast("string") if group is None or group not in docs.columns else F.col(group).cast("string")
+    rows = docs.select(
+        F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"), held_out.alias("held"), label.alias("group")
+    )
+    largest = rows.where(~F.col("held") & F.col("group").isNotNull()).groupBy("group").agg(F.count(F.lit(1)).alias("n"))
+    names = [r[0] for r in largest.orderBy(F.desc("n"), "group").limit(GROUPS).collect()]
+    groups = len(names) + 1
+    number = F.lit(0)
+    for k, name in enumerate(names, 1):
+        number = F.when(F.col("group") == name, k).otherwise(number)
+    columns = _counts(groups)
+    schema = f"chunk bigint, place bigint, word string, {', '.join(f'{c} bigint' for c in columns)}, key bigint, held boolean, n bigint, ids binary"
     chunks, seen = scratch.write_with(
-        map_arrow(rows, _chunks(chunk_bytes), CHUNK_SCHEMA),
-        "chunks",
-        texts=F.sum(F.when(~F.col("held"), 1)),
-        words=F.count("word"),
+        map_arrow(rows.withColumn("group", number), _chunks(chunk_bytes, groups), schema), "chunks", words=F.count("word")
     )
-    texts = seen["texts"] or 0
+    texts = dict(rows.where(~F.col("held")).groupBy(number.alias("group")).count().collect())
     words = chunks.where(F.col("word").isNotNull())
+    trained = sum(F.col(c) for c in columns)
     counts, total = scratch.write_with(
-        words.groupBy("word").agg(F.sum("trained").alias("trained")),
+        words.groupBy("word").agg(*[F.sum(c).alias(c) for c in columns]),
         "counts",
-        tokens=F.sum("trained"),
-        types=F.sum(F.when(F.col("trained") > 0, 1)),
-        once=F.sum(F.when(F.col("trained") == 1, 1)),
-    )
-    words_read, types = total["tokens"] or 0, total["types"] or 0
-    n = words_read + texts
-    # the share of words seen once is that of words still unseen (Good and Turing)
-    unseen = ((total["once"] or 0) + 1) / (words_read + 2) if words_read else 1.0
-    distinct = types + (texts > 0)
-    pieces = spark.sparkContext.broadcast(fit_pieces(counts.where("trained > 0"), load_pieces(vocabulary)))
-    scored = map_arrow(
-        counts, _word_scores(pieces, words_read, unseen, n, distinct), "word string, trained bigint, score double, base double"
+        types=F.sum(F.when(trained > 0, 1)),
+        **{f"o{c}": F.sum(F.when(F.col(c) == 1, 1)) for c in columns},
+        **{c: F.sum(c) for c in columns},
+        **{f"t{c}": F.sum(F.when(F.col(c) > 0, 1)) for c in columns},
     )
-    answers = words.select("chunk", "place", "word").join(scored, "word").select(
-        "chunk", "place", "trained", "score", "base", *[F.lit(None).cast(t).alias(c) for c, t in
-        (("key", "long"), ("held", "boolean"), ("n", "long"), ("ids", "binary"))]
+    by_group = np.array([total[c] or 0 for c in columns], np.int64)
+    read, n_texts = int(by_group.sum()), sum(texts.values())
+    totals = Totals(
+        by_group,
+        np.array([texts.get(k, 0) for k in range(groups)], np.int64),
+        # the share of words seen once is that of words still unseen (Good and Turing)
+        np.array([((total[f"o{c}"] or 0) + 1) / (total[c] + 2) if total[c] else 1.0 for c in columns]),
+        read + n_texts,
+        (total["types"] or 0) + (n_texts > 0),
     )
-    waiting = chunks.where(F.col("ids").isNotNull()).select(
-        "chunk", *[F.lit(None).cast(t).alias(c) for c, t in (("place", "long"), ("trained", "long"), ("score", "double"), ("base", "double"))],
-        "key", "held", "n", "ids",
+    models = fit_pieces(counts.where(trained > 0), columns, [total[f"t{c}"] or 0 for c in columns], load_pieces(vocabulary))
+    marks = _counts(groups, "s")
+    schema = ", ".join(["word string", *[f"{c} bigint" for c in columns], *[f"{c} double" for c in marks]])
+    spelled = map_arrow(counts, _spelled(spark.sparkContext.broadcast(models)), schema)
+    answers = words.select("chunk", "place", "word").join(spelled, "word").drop("word").withColumns(
+        {c: F.lit(None).cast(t) for c, t in (("key", "long"), ("held", "boolean"), ("n", "long"), ("ids", "binary"))}
     )
-    parts = parts_for(seen["words"], 400_000)
-    together = answers.unionByName(waiting).repartition(parts, "chunk").sortWithinPartitions("chunk", F.col("ids").isNotNull())
-    end = (texts + 1) / (n + 2)
-    end_base = float(np.log10((texts + 1) / (n + distinct + 1)))
+    waiting = chunks.where(F.col("ids").isNotNull()).drop("word").withColumns({c: F.lit(None).cast("double") for c in marks})
+    together = answers.unionByName(waiting).repartition(parts_for(seen["words"], 400_000), "chunk")
     found = map_arrow(
-        together,
-        _text_scores(end, end_base, texts > 0, urn),
+        together.sortWithinPartitions("chunk", F.col("ids").isNotNull()),
+        _text_scores(totals, groups, borrowed),
         "key bigint, held boolean, n_tokens bigint, n_known bigint, base_score double, score double",
     )
     return found.select(
         F.col("key").alias(key), F.col("held").alias("held_out"), "n_tokens", "n_known",
-        F.lit(n).cast("long").alias("train_tokens"), "base_score", "score",
+        F.lit(totals.tokens).cast("long").alias("train_tokens"), "base_score", "score",
     )
