@@ -6,12 +6,18 @@ Arrow batch at a time. Texts are handled as UTF-8 bytes throughout.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterable, Iterator
+from typing import Any
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+# Workers receive the functions of this package with the task, so it need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules["paywatch.llm"])
+
 WHITE_SPACE = b" \t\n\x0b\x0c\r"
 
 OUT_BYTES = 8 << 20
@@ -25,6 +31,15 @@ def map_arrow(df: DataFrame, task: Callable[[Iterator[pa.RecordBatch]], Iterable
     return df.mapInArrow(task, schema)
 
 
+def share(spark: SparkSession, value: Any) -> Broadcast:
+    """A value of bounded size for all tasks, which get it back with `shared`."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def shared(value: Broadcast) -> Any:
+    return cloudpickle.loads(value.value)
+
+
 def texts_of(column: pa.Array) -> list[bytes]:
     """The UTF-8 bytes of every value; null is empty."""
     return pc.fill_null(column.cast(pa.large_binary()), b"").to_pylist()

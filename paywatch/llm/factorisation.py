@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from paywatch.llm.common import map_arrow, texts_of
+from paywatch.llm.common import map_arrow, share, shared, texts_of
 
 WORD_SLOTS = 1 << 15
 BINS = 16
@@ -193,7 +193,7 @@ def train_machine(
 
 def _score(machine):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slots, model = WordSlots(), machine.value
+        slots, model = WordSlots(), shared(machine)
         for batch in batches:
             rows, scores = batch.column(0), []
             found: list = []
@@ -232,7 +232,7 @@ def score_quality(
     if keep != docs.columns or any(not c.isidentifier() for c in keep):
         kinds = rows.schema["row"].dataType.fields
         schema = f"row struct<{', '.join(f'`{f.name}`: {f.dataType.simpleString()}' for f in kinds)}>, score double"
-    return map_arrow(rows, _score(docs.sparkSession.sparkContext.broadcast(machine)), schema)
+    return map_arrow(rows, _score(share(docs.sparkSession, machine)), schema)
 
 
 def drop_low_quality(docs: DataFrame, machine: Machine, threshold: float = 0.5, **columns: str) -> DataFrame:

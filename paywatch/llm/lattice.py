@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from paywatch.llm.common import map_arrow, parts_for, texts_of
+from paywatch.llm.common import map_arrow, parts_for, share, shared, texts_of
 from paywatch.session import Scratch
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
@@ -257,7 +257,7 @@ def _expect(pieces):
     """Expected counts of a task's words in each group; a group's pieces are numbered in order, then its bytes."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models = pieces.value
+        models = shared(pieces)
         size = len(models[0].hashes)
         total = np.zeros((len(models), size + 256))
         for batch in batches:
@@ -283,7 +283,7 @@ def fit_pieces(counts: DataFrame, columns: list[str], types: list[int], pieces:
     prior = np.exp(pieces.weight)
     models = [pieces] * len(columns)
     for _ in range(rounds if any(types) else 0):
-        found = map_arrow(counts.select("word", *columns), _expect(spark.sparkContext.broadcast(models)), "piece bigint, passed double")
+        found = map_arrow(counts.select("word", *columns), _expect(share(spark, models)), "piece bigint, passed double")
         rows = found.groupBy("piece").agg(F.sum("passed")).collect()  # at most a row per group and piece of the vocabulary
         passed = np.zeros(len(columns) * (len(prior) + 256))
         for piece, sum_ in rows:
@@ -299,7 +299,7 @@ def _spelled(pieces):
     """Natural log of what the pieces of each group give each word."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models = pieces.value
+        models = shared(pieces)
         names = _counts(len(models), "s")
         for batch in batches:
             words = batch.column(0).to_pylist()
@@ -437,7 +437,7 @@ def score_texts(
     models = fit_pieces(counts.where(trained > 0), columns, [total[f"t{c}"] or 0 for c in columns], load_pieces(vocabulary))
     marks = _counts(groups, "s")
     schema = ", ".join(["word string", *[f"{c} bigint" for c in columns], *[f"{c} double" for c in marks]])
-    spelled = map_arrow(counts, _spelled(spark.sparkContext.broadcast(models)), schema)
+    spelled = map_arrow(counts, _spelled(share(spark, models)), schema)
     answers = words.select("chunk", "place", "word").join(spelled, "word").drop("word").withColumns(
         {c: F.lit(None).cast(t) for c, t in (("key", "long"), ("held", "boolean"), ("n", "long"), ("ids", "binary"))}
     )

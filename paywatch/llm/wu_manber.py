@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from paywatch.llm.common import map_arrow, texts_of
+from paywatch.llm.common import map_arrow, share, shared, texts_of
 
 WINDOW = 10
 BLOCK = 2
@@ -81,7 +81,7 @@ def _scan(patterns, text: str, keep: list[str]):
     """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = patterns.value
+        table = shared(patterns)
         for batch in batches:
             rows, found = batch.column(0), []
             before = zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())
@@ -142,7 +142,7 @@ def benchmark_hits(
         on = keep if after is None else docs.columns
         kinds = {f.name: f.dataType.simpleString() for f in marked.schema["row"].dataType.fields}
         schema = f"row struct<{', '.join(f'`{c}`: {kinds[c]}' for c in on)}>, {FOUND}"
-        table = spark.sparkContext.broadcast(Patterns(part, window))
+        table = share(spark, Patterns(part, window))
         marked = map_arrow(marked.select("row", "hits", "items"), _scan(table, text, on), schema)
         part = after
     return marked.select("row", "n_words", "n_hit", "items")
