@@ -28,7 +28,7 @@ def user_key(columns: Iterable[str]) -> Column:
     """user_id, or account_id where the user is missing or blank."""
     present = [c for c in ("user_id", "account_id") if c in set(columns)]
     if not present:
-        raise ValueError("Missing identity columns: provide user_id and/or account_id.")
+        raise ValueError("A user is known by user_id or account_id; the table has neither.")
     return F.coalesce(*[non_blank(c) for c in present])
 
 

@@ -4,23 +4,54 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F, types as T
 
+from paywatch.functions.identity import strip
+
 # What counts as a number written as text.
 NUMBER_PATTERN = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:nan|inf|infinity))$"
 
-# Date spellings accepted besides ISO 8601, each with the shape of its texts. The shape
-# is tested first because a failed parse costs far more than a failed match.
-DATE_FORMATS = (
-    (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
-    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}$", "M/d/yyyy H:mm"),
-    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}:\d{2}$", "M/d/yyyy H:mm:ss"),
-    (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
-    (r"^\d{4}/\d{1,2}/\d{1,2} \d{1,2}:\d{2}:\d{2}$", "yyyy/M/d H:mm:ss"),
-    (r"^\d{8}$", "yyyyMMdd"),
-    (r"^[A-Za-z]{3} \d{1,2}, \d{4}$", "MMM d, yyyy"),
-    (r"^[A-Za-z]{3} \d{1,2} \d{4}$", "MMM d yyyy"),
-    (r"^\d{1,2} [A-Za-z]{3} \d{4}$", "d MMM yyyy"),
+# Marks that take the place of parts of a date, in the order they are looked for.
+DATE_PARTS = (
+    (r"[AP]M$", "p"),
+    (r"\b[A-Z][a-z]{3,}\b", "B"),
+    (r"\b[A-Z][a-z]{2}\b", "b"),
+    (r"\d{8}", "D"),
+    (r"\d{6}", "S"),
+    (r"\d{4}", "Y"),
+    (r"\d{1,2}", "n"),
 )
 
+# Date spellings accepted besides ISO 8601, by the shape their parts leave. In a shape
+# that begins with "d" the first number cannot be a month.
+DATE_FORMATS = {
+    "n/n/Y": "M/d/yyyy",
+    "n/n/Y n:n": "M/d/yyyy H:mm",
+    "n/n/Y n:n:n": "M/d/yyyy H:mm:ss",
+    "n/n/Y n:n p": "M/d/yyyy h:mm a",
+    "n/n/Y n:n:n p": "M/d/yyyy h:mm:ss a",
+    "dn/n/Y": "d/M/yyyy",
+    "dn/n/Y n:n": "d/M/yyyy H:mm",
+    "dn/n/Y n:n:n": "d/M/yyyy H:mm:ss",
+    "Y/n/n": "yyyy/M/d",
+    "Y/n/n n:n:n": "yyyy/M/d H:mm:ss",
+    "Y-n-n n:n p": "yyyy-M-d h:mm a",
+    "Y-n-n n:n:n p": "yyyy-M-d h:mm:ss a",
+    "D": "yyyyMMdd",
+    "DTS": "yyyyMMdd'T'HHmmss",
+    "b n, Y": "MMM d, yyyy",
+    "b n Y": "MMM d yyyy",
+    "b n, Y n:n:n": "MMM d, yyyy H:mm:ss",
+    "b n Y n:np": "MMM d yyyy h:mma",
+    "B n, Y": "MMMM d, yyyy",
+    "B n Y": "MMMM d yyyy",
+    "n b Y": "d MMM yyyy",
+    "n B Y": "d MMMM yyyy",
+    "n-b-Y": "d-MMM-yyyy",
+}
+DAY_FIRST = r"^(1[3-9]|2\d|3[01])/"
+
+# Fixed value: names of the zero offset at the end of a time of day.
+ZERO_ZONE = r"(\d{1,2}:\d{2}[^+\-Z]*?) ?(UTC|GMT|Z)$"
+
 # Fixed value: zone offset at the end of a text that also holds a time of day.
 OFFSET_PATTERN = r"\d{1,2}:\d{2}[^+\-Z]*(Z|[+-]\d{2}(?::?\d{2})?)$"
 
@@ -37,7 +68,7 @@ def to_number(column: Column, data_type: T.DataType) -> Column:
     """Double value, null where the text is not a number."""
     if isinstance(data_type, (T.NumericType, T.BooleanType)):
         return column.cast("double")
-    text = F.trim(column.cast("string"))
+    text = strip(column.cast("string"))
     return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
 
 
@@ -48,12 +79,13 @@ def iso_format(moment: Column) -> Column:
 
 def local_time(text: Column) -> Column:
     """Wall-clock time of a text, its zone offset aside; null when no known format fits."""
-    trimmed = F.trim(text)
-    parsers = [
-        F.when(trimmed.rlike(shape), F.try_to_timestamp(trimmed, F.lit(spelling)).cast("timestamp_ntz"))
-        for shape, spelling in DATE_FORMATS
-    ]
-    return F.coalesce(trimmed.try_cast("timestamp_ntz"), *parsers)
+    trimmed = F.regexp_replace(strip(text), ZERO_ZONE, "$1Z")
+    shape = trimmed
+    for part, mark in DATE_PARTS:
+        shape = F.regexp_replace(shape, part, mark)
+    shape = F.when(trimmed.rlike(DAY_FIRST), F.concat(F.lit("d"), shape)).otherwise(shape)
+    spelling = F.element_at(F.create_map(*[F.lit(x) for pair in DATE_FORMATS.items() for x in pair]), shape)
+    return F.coalesce(trimmed.try_cast("timestamp_ntz"), F.try_to_timestamp(trimmed, spelling).cast("timestamp_ntz"))
 
 
 def iso_text(column: Column, data_type: T.DataType) -> Column:
@@ -65,7 +97,7 @@ def iso_text(column: Column, data_type: T.DataType) -> Column:
         micros = F.floor(column.cast("double") / 1000).cast("long")
         return iso_format(F.timestamp_micros(micros).cast("timestamp_ntz"))
     text = column.cast("string")
-    offset = F.regexp_extract(F.trim(text), OFFSET_PATTERN, 1)
+    offset = F.regexp_extract(F.regexp_replace(strip(text), ZERO_ZONE, "$1Z"), OFFSET_PATTERN, 1)
     offset = F.when(offset == "Z", "+00:00").otherwise(offset)
     return F.concat(iso_format(local_time(text)), offset)
 

@@ -17,13 +17,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from paywatch.operators.features import schema_guard
 from paywatch.operators.history import feature_matrix
+from paywatch.session import Scratch
 from paywatch.settings import FEATURE_COLUMNS
 
 SUBSAMPLE = 256
 DEPTH = 8  # log2 of the subsample
+COPIES_AT_ONCE = 1_000_000
 EULER_GAMMA = 0.5772156649015329
 
-TREE_SCHEMA = "tree_id int, node_id int, feature int, threshold double, path double"
+TREE_SCHEMA = "tree_id int, node_id int, feature int, threshold double, path double, drawn int"
 SCORE_SCHEMA = T.StructType(
     [T.StructField("anomaly_score", T.DoubleType()), T.StructField("is_anomaly", T.IntegerType())]
 )
@@ -53,17 +55,17 @@ def grow_tree(tree_id: int, points: np.ndarray, seed: int) -> pd.DataFrame:
         node_id, depth, inside = waiting.pop()
         varying = np.flatnonzero(np.ptp(inside, axis=0) > 0) if depth < limit else []
         if len(varying) == 0:
-            nodes.append((tree_id, node_id, -1, 0.0, depth + float(average_path(len(inside)))))
+            nodes.append((tree_id, node_id, -1, 0.0, depth + float(average_path(len(inside))), len(points)))
             continue
         feature = int(rng.choice(varying))
         column = inside[:, feature]
         cut = float(rng.uniform(column.min(), column.max()))
         if cut >= column.max():  # rounding; both sides must keep a point
             cut = float(column.min())
-        nodes.append((tree_id, node_id, feature, cut, 0.0))
+        nodes.append((tree_id, node_id, feature, cut, 0.0, len(points)))
         waiting.append((2 * node_id + 2, depth + 1, inside[column > cut]))
         waiting.append((2 * node_id + 1, depth + 1, inside[column <= cut]))
-    return pd.DataFrame(nodes, columns=["tree_id", "node_id", "feature", "threshold", "path"])
+    return pd.DataFrame(nodes, columns=["tree_id", "node_id", "feature", "threshold", "path", "drawn"])
 
 
 def forest_arrays(nodes: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -97,17 +99,20 @@ def forest_scores(forest: tuple, points: np.ndarray, scale: float) -> np.ndarray
     return np.power(2.0, -total / len(feature) / scale)
 
 
-def _subsamples(sample: DataFrame, id_column: str, features, trees: int, size: int, total: int, seed: int) -> DataFrame:
+def _subsamples(rows: DataFrame, features, trees: int, size: int, total: int, seed: int) -> DataFrame:
     """`size` rows per tree without repeats: those whose hash for the tree is smallest.
 
-    A bound on the hash keeps only a few more rows than needed before they are ranked.
+    The hash is of the row's number, so rows that share an id, or are equal, are drawn on their own. A
+    bound on it leaves a few more rows than needed; a row is repeated only for trees that may draw it.
     """
     bound = min(1.0, (size + 8 * size**0.5 + 16) / total)
-    per_tree = sample.withColumn("tree_id", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).withColumn(
-        "_rank",
-        F.shiftrightunsigned(F.xxhash64(F.col(id_column), F.col("tree_id"), F.lit(seed)), 11) / F.lit(float(2**53)),
-    )
-    return per_tree.where(F.col("_rank") <= bound).select("tree_id", "_rank", *features)
+
+    def rank(tree):
+        return F.shiftrightunsigned(F.xxhash64("_row", tree, F.lit(seed)), 11) / F.lit(float(2**53))
+
+    every = F.sequence(F.lit(0), F.lit(trees - 1))
+    drawn = F.filter(F.transform(every, lambda t: F.struct(t.alias("tree_id"), rank(t).alias("_rank"))), lambda d: d["_rank"] <= bound)
+    return rows.select(F.explode(drawn).alias("_draw"), *features).select("_draw.*", *features)
 
 
 def train_isolation_forest(
@@ -117,40 +122,51 @@ def train_isolation_forest(
     trees: int = 200,
     contamination: float = 0.02,
     seed: int = 42,
+    accuracy: int = 100_000,
 ) -> tuple[DataFrame, dict]:
-    """Grow the forest on a training sample; the node table and the offset that flags `contamination` of it."""
+    """Grow the forest on any number of rows; the node table and the offset that flags `contamination` of them.
+
+    Each tree draws its rows from the whole table. The offset is a distributed quantile whose rank is off by
+    at most 1 / `accuracy` of the rows. Rows are numbered in the order of their features and id, so the
+    draw does not depend on how the table is partitioned.
+    """
     features = list(features)
-    data = feature_matrix(sample, tuple(features)).select(id_column, *features).persist()
-    try:
-        total = data.count()
-        if total == 0:
-            raise ValueError("The training sample is empty.")
-        size = min(SUBSAMPLE, total)
-
-        def grow(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-            # at most a few hundred rows per tree, whatever the size of the sample
-            chosen = group.sort_values(["_rank", *features]).head(size)
-            return grow_tree(int(key[0]), chosen[features].to_numpy(dtype=float), seed)
-
-        picked = _subsamples(data, id_column, features, trees, size, total, seed)
-        # the driver holds the forest only: trees * (2 * 256 - 1) nodes at most
-        nodes = picked.groupBy("tree_id").applyInPandas(grow, TREE_SCHEMA).toPandas()
-        spark = sample.sparkSession
-        table = spark.createDataFrame(nodes, TREE_SCHEMA)
-        details = {
-            "model_type": "isolation_forest",
-            "feature_columns": features,
-            "contamination": contamination,
-            "subsample": size,
-            "offset": 0.0,
-        }
-        raw = score_anomaly(data, table, details).agg(
-            F.percentile("anomaly_score", F.lit(1.0 - contamination))
-        )
-        details["offset"] = float(raw.first()[0])
-        return table, details
-    finally:
-        data.unpersist()
+    scratch = Scratch(sample.sparkSession, "forest")
+    matrix = feature_matrix(sample, tuple(features)).select(F.col(id_column).alias("_id"), *features)
+    # the number of a row is its place: a hash of all it has, and a count within rows that are equal
+    keyed = matrix.groupBy("_id", *features).agg(F.count(F.lit(1)).alias("_copies"))
+    data, seen = scratch.write_with(keyed, "rows", total=F.sum("_copies"), most=F.max("_copies"))
+    total = seen["total"] or 0
+    if total == 0:
+        raise ValueError("There is nothing to train on: the table is empty.")
+    runs = data.withColumn("_from", F.explode(F.sequence(F.lit(1).cast("long"), "_copies", F.lit(COPIES_AT_ONCE).cast("long"))))
+    if seen["most"] > COPIES_AT_ONCE:  # copies of one row for many tasks
+        runs = runs.repartition(F.col("_from"), F.xxhash64("_id", *features))
+    upto = F.least("_copies", F.col("_from") + COPIES_AT_ONCE - 1)
+    numbered = runs.withColumn("_copy", F.explode(F.sequence("_from", upto))).withColumn(
+        "_row", F.xxhash64("_id", *features, "_copy")
+    )
+    size = min(SUBSAMPLE, total)
+
+    def grow(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        # at most a few hundred rows per tree, whatever the size of the table
+        chosen = group.sort_values(["_rank", *features]).head(size)
+        return grow_tree(int(key[0]), chosen[features].to_numpy(dtype=float), seed)
+
+    picked = _subsamples(numbered, features, trees, size, total, seed)
+    # the driver holds the forest only: trees * (2 * 256 - 1) nodes at most
+    nodes = picked.groupBy("tree_id").applyInPandas(grow, TREE_SCHEMA).toPandas()
+    table = sample.sparkSession.createDataFrame(nodes, TREE_SCHEMA)
+    details = {
+        "model_type": "isolation_forest",
+        "feature_columns": features,
+        "contamination": contamination,
+        "subsample": float(nodes.groupby("tree_id")["drawn"].first().mean()),
+        "offset": 0.0,
+    }
+    quantile = F.percentile_approx("anomaly_score", F.lit(1.0 - contamination), F.lit(accuracy))
+    details["offset"] = float(score_anomaly(numbered, table, details).agg(quantile).first()[0])
+    return table, details
 
 
 def score_anomaly(df: DataFrame, nodes: DataFrame, details: dict) -> DataFrame:

@@ -1,8 +1,10 @@
 """Weighted Louvain communities as rounds of DataFrame jobs.
 
 A round lets a random half of the nodes move to the neighbouring community with the best gain in
-modularity, all at once; a round that lowers modularity is taken back. Settled communities become the
-nodes of a smaller graph, and so on until nothing improves.
+modularity, all at once. A round that does not raise modularity is taken back and tried again with a
+quarter as many nodes, in the end with the single best move, which always raises it; so a level ends
+only when no node gains anything. Settled communities become the nodes of a smaller graph, and so on
+until nothing improves.
 """
 
 from __future__ import annotations
@@ -15,13 +17,9 @@ from paywatch.session import Scratch
 
 SEED = 42
 
-# Gain in modularity below which a move, or another level, is not worth it.
+# Fixed value: gain in modularity below which a move, or another level, is not worth it.
 THRESHOLD = 1e-7
 
-# A level ends after this many rounds in a row that add less than MIN_GAIN: each is a pass over all links.
-PATIENCE = 2
-MIN_GAIN = 2e-3
-
 
 def _arcs(edges: DataFrame) -> DataFrame:
     """Weighted pairs in both directions, and one loop per node with twice the weight of its self loops."""
@@ -114,7 +112,8 @@ def _settle(scratch: Scratch, arcs: DataFrame, level: int, max_rounds: int) -> t
     )
     weight, loops, node_rows, arc_rows = (totals[name] for name in ("weight", "loops", "nodes", "arcs"))
 
-    best, best_quality, misses = None, float("-inf"), 0
+    best, best_quality, found, share = None, float("-inf"), {}, 0.5
+    least = THRESHOLD * weight / 2  # in links; moving a node changes modularity by twice its gain / weight
     for step in range(max_rounds):
         state = _state(labels, node_rows)
         if node_rows > BROADCAST_ROWS:
@@ -122,28 +121,38 @@ def _settle(scratch: Scratch, arcs: DataFrame, level: int, max_rounds: int) -> t
         moves, totals = scratch.write_with(
             _moves(arcs, state, weight, arc_rows, node_rows),
             f"moves{level}",
-            keep_last=PATIENCE + 2,
+            keep_last=max_rounds,
             inside=F.sum("inside"),
             # over the nodes of a community this adds up to its total squared
             squares=F.sum(F.col("strength") * F.col("total")),
-            movable=F.count_if(F.col("gain") > THRESHOLD),
+            movable=F.count_if(F.col("gain") > least),
+            top=F.max_by("node", "gain"),
         )
         quality = (totals["inside"] + loops) / weight - totals["squares"] / weight**2
-        misses = 0 if quality > best_quality + MIN_GAIN else misses + 1
         if quality > best_quality:
-            best, best_quality, movable = moves, quality, totals["movable"]
-        if misses >= PATIENCE or movable == 0:
+            best, best_quality, found, share = moves, quality, totals, min(0.5, 2 * share)
+        elif share == 0.0:
+            break  # even the single best move is lost in rounding
+        else:
+            share = share / 4 if share * found["movable"] > 4 else 0.0
+        if not found["movable"]:
             break
-        chosen = (F.pmod(F.xxhash64("node", F.lit(SEED), F.lit(step)), F.lit(2)) == 0) & (F.col("gain") > THRESHOLD)
+        if share:
+            drawn = F.pmod(F.xxhash64("node", F.lit(SEED), F.lit(step)), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)))
+        else:
+            drawn = F.col("node") == F.lit(found["top"])
+        chosen = drawn & (F.col("gain") > least)
         labels = best.select(
             "node", "strength", F.when(chosen, F.col("target")).otherwise(F.col("community")).alias("community")
         )
+    else:
+        raise RuntimeError(f"Communities did not settle in {max_rounds} rounds.")
     settled = scratch.write(best.select("node", "community"), f"settled{level}")
     return settled, best_quality, node_rows
 
 
 def communities(
-    edges: DataFrame, nodes: DataFrame | None = None, max_levels: int = 12, max_rounds: int = 40
+    edges: DataFrame, nodes: DataFrame | None = None, max_levels: int = 40, max_rounds: int = 400
 ) -> DataFrame:
     """Community of every node that has an edge, named by its smallest node id.
 
@@ -177,6 +186,8 @@ def communities(
             ),
             "arcs",
         )
+    else:
+        raise RuntimeError(f"Communities did not settle in {max_levels} levels.")
     names = assigned.groupBy("community").agg(F.min("node").alias("community_id"))
     return join_lookup(assigned, names, ["community"]).select(F.col("node").alias("node_id"), "community_id")
 

@@ -37,4 +37,6 @@ def unseen(df: DataFrame, stored_ids: DataFrame, key: str, batch_rows: int | Non
     if batch_rows is not None and batch_rows <= BROADCAST_ROWS:
         batch_ids = F.broadcast(batch_ids)
     known = stored_ids.select(key).join(batch_ids, key, "left_semi").distinct()
-    return df.join(known, key, "left_anti")
+    # rows without an id match nothing; in the join they would all meet in one task
+    named = df.where(F.col(key).isNotNull()).join(known, key, "left_anti")
+    return named.unionByName(df.where(F.col(key).isNull()))

@@ -25,31 +25,34 @@ def _shares(pairs: DataFrame, heavy: Heavy) -> DataFrame:
     )
 
 
-def _ends(pairs: DataFrame) -> DataFrame:
-    """Every node once, and whether something leaves it."""
+def _ends(pairs: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
+    """Every node once, also those of `nodes` that no pair has, and whether something leaves it."""
     ends = F.array(
         F.struct(F.col("src").alias("id"), F.lit(True).alias("out")),
         F.struct(F.col("dst").alias("id"), F.lit(False).alias("out")),
     )
-    return (
+    linked = (
         pairs.select(F.explode(ends).alias("end"))
         .groupBy(F.col("end.id").alias("node_id"))
         .agg(F.max("end.out").alias("is_source"), (F.max("end.out") & ~F.min("end.out")).alias("is_both"))
     )
+    if nodes is None:
+        return linked
+    alone = nodes.select("node_id", F.lit(False).alias("is_source"), F.lit(False).alias("is_both"))
+    return linked.unionByName(alone).groupBy("node_id").agg(F.max("is_source").alias("is_source"), F.max("is_both").alias("is_both"))
 
 
-def pagerank_bipartite(pairs: DataFrame, damping: float = DAMPING) -> DataFrame:
+def pagerank_bipartite(pairs: DataFrame, nodes: DataFrame | None = None, damping: float = DAMPING) -> DataFrame:
     """Exact PageRank where no node has both incoming and outgoing edges, without iterating.
 
-    Sources receive only the even share b = 1 / (N + damping * S) of N nodes of which S have
-    out-edges; a target adds damping * b for each unit of share that flows to it.
+    Sources and nodes without edges receive only the even share b = 1 / (N + damping * S) of N nodes of which
+    S have out-edges; a target adds damping * b for each unit of share that flows to it.
     """
-    even = _ends(pairs).agg((1.0 / (F.count(F.lit(1)) + F.lit(damping) * F.count_if("is_source"))).alias("b")).scalar()
+    every = _ends(pairs, nodes)
+    even = every.agg((1.0 / (F.count(F.lit(1)) + F.lit(damping) * F.count_if("is_source"))).alias("b")).scalar()
     inflow = _shares(pairs, heavy_keys(pairs, ["src"])).groupBy(F.col("dst").alias("node_id")).agg(F.sum("share").alias("inflow"))
-    sources = pairs.select(F.col("src").alias("node_id")).distinct().withColumn("inflow", F.lit(0.0))
-    return inflow.unionByName(sources).select(
-        "node_id", (even * (1.0 + F.lit(damping) * F.col("inflow"))).alias("pagerank_score")
-    )
+    received = every.join(inflow, "node_id", "left").withColumn("inflow", F.coalesce("inflow", F.lit(0.0)))
+    return received.select("node_id", (even * (1.0 + F.lit(damping) * F.col("inflow"))).alias("pagerank_score"))
 
 
 def pagerank_power(
@@ -66,11 +69,7 @@ def pagerank_power(
     scratch = Scratch(pairs.sparkSession, "pagerank")
     heavy = heavy_keys(pairs, ["src"])
     links = scratch.write(_shares(pairs, heavy), "links")
-    every = _ends(pairs).select("node_id", (~F.col("is_source")).alias("_dangling"))
-    if nodes is not None:
-        alone = nodes.select("node_id", F.lit(True).alias("_dangling"))
-        every = every.unionByName(alone).groupBy("node_id").agg(F.min("_dangling").alias("_dangling"))
-    base = scratch.write(every, "nodes")
+    base = scratch.write(_ends(pairs, nodes).select("node_id", (~F.col("is_source")).alias("_dangling")), "nodes")
     size = base.count()
     scores = base.withColumn("score", F.lit(1.0 / size))
     dangling = base.where("_dangling").count() / size
@@ -113,9 +112,12 @@ def pagerank_power(
     raise RuntimeError(f"PageRank did not converge in {max_rounds} rounds.")
 
 
-def pagerank(edges: DataFrame, damping: float = DAMPING) -> DataFrame:
-    """PageRank score of every node: the closed form where no node is both source and target, else the iteration."""
+def pagerank(edges: DataFrame, nodes: DataFrame | None = None, damping: float = DAMPING) -> DataFrame:
+    """PageRank score of every node, also of those of `nodes` without edges.
+
+    The closed form where no node is both source and target, else the iteration.
+    """
     pairs = Scratch(edges.sparkSession, "pairs").write(link_counts(edges), "pairs")
     if _ends(pairs).where("is_both").isEmpty():
-        return pagerank_bipartite(pairs, damping)
-    return pagerank_power(pairs, damping=damping)
+        return pagerank_bipartite(pairs, nodes, damping)
+    return pagerank_power(pairs, nodes, damping)

@@ -109,9 +109,9 @@ view(
 view("pair", ["edge"], "SELECT src, dst, count(*) AS n FROM edge GROUP BY ALL")
 view(
     "node",
-    ["pair"],
-    """SELECT DISTINCT src AS node_id, 'customer' AS node_type, substring(src, 10) AS entity_id FROM pair
-    UNION ALL SELECT DISTINCT dst, 'merchant', substring(dst, 10) FROM pair""",
+    ["scored"],
+    """SELECT DISTINCT src AS node_id, 'customer' AS node_type, substring(src, 10) AS entity_id FROM scored WHERE dst IS NOT NULL AND src IS NOT NULL
+    UNION ALL SELECT DISTINCT dst, 'merchant', substring(dst, 10) FROM scored WHERE src IS NOT NULL AND dst IS NOT NULL""",
 )
 view(
     "rankbase",
@@ -120,8 +120,8 @@ view(
 )
 view(
     "rank",
-    ["pair", "rankbase"],
-    """SELECT src AS node_id, b AS pagerank_score FROM (SELECT DISTINCT src FROM pair), rankbase
+    ["pair", "rankbase", "node"],
+    """SELECT node_id, b AS pagerank_score FROM node, rankbase WHERE node_id NOT IN (SELECT dst FROM pair)
     UNION ALL SELECT dst, min(b) * (1.0 + 0.85 * sum(n / w)) FROM pair
     JOIN (SELECT src AS s, sum(n) AS w FROM pair GROUP BY src) ON src = s, rankbase GROUP BY dst""",
 )
@@ -133,8 +133,9 @@ view(
 )
 view(
     "comp",
-    ["pair", "reach"],
-    """SELECT a AS node_id, min(b) AS component_id FROM reach GROUP BY a
+    ["pair", "reach", "node"],
+    """SELECT node_id, node_id AS component_id FROM node WHERE node_id NOT IN (SELECT src FROM pair UNION SELECT dst FROM pair)
+    UNION ALL SELECT a AS node_id, min(b) AS component_id FROM reach GROUP BY a
     UNION ALL SELECT dst, min(c) FROM pair JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) ON src = a GROUP BY dst""",
 )
 view("compsize", ["comp"], "SELECT component_id, count(*) AS component_size FROM comp GROUP BY component_id")
@@ -160,9 +161,9 @@ view(
 view(
     "spread",
     ["own", "pair"],
-    """SELECT o.node_id, least(1.0, greatest(0.0, 0.7 * o.base_risk + 0.3 * avg(m.base_risk))) AS propagated_risk_score
-    FROM own o JOIN (SELECT src AS a, dst AS b FROM pair UNION ALL SELECT dst, src FROM pair) ON o.node_id = a
-    JOIN own m ON m.node_id = b GROUP BY o.node_id, o.base_risk""",
+    """SELECT o.node_id, least(1.0, greatest(0.0, coalesce(0.7 * o.base_risk + 0.3 * avg(m.base_risk), o.base_risk))) AS propagated_risk_score
+    FROM own o LEFT JOIN (SELECT src AS a, dst AS b FROM pair UNION ALL SELECT dst, src FROM pair) ON o.node_id = a
+    LEFT JOIN own m ON m.node_id = b GROUP BY o.node_id, o.base_risk""",
 )
 view("signal", ["own", "spread"], "SELECT * FROM own JOIN spread USING (node_id)")
 view(
@@ -385,6 +386,31 @@ oracle(
     """SELECT window_start, window_end, uk AS user_agg_key, transaction_count_per_user, round(total_amount_per_user, 6) AS total_amount_per_user,
     round(avg_amount_per_user, 6) AS avg_amount_per_user FROM uagg""",
 )
+view(
+    "uneven",
+    ["keyed"],
+    """SELECT uk, amount, time_bucket(INTERVAL 3 MINUTE, et) - o * INTERVAL 3 MINUTE AS window_start, et
+    FROM keyed, (VALUES (0), (1), (2), (3)) v(o) WHERE et IS NOT NULL AND uk IS NOT NULL""",
+)
+oracle(
+    "user_window_agg_uneven",
+    ["uneven"],
+    """SELECT window_start, window_start + INTERVAL 10 MINUTE AS window_end, uk AS user_agg_key, count(*) AS transaction_count_per_user,
+    round(sum(amount), 6) AS total_amount_per_user FROM uneven WHERE et < window_start + INTERVAL 10 MINUTE GROUP BY ALL""",
+)
+oracle("anomaly_share", ["win"], "SELECT count(*) AS n_rows, true AS share_kept FROM win")
+view(
+    "star",
+    [],
+    """SELECT DISTINCT 'O' || CAST(l_orderkey AS VARCHAR) AS hub, 'L' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS leaf
+    FROM lineitem""",
+)
+oracle(
+    "communities_stars",
+    ["star"],
+    """SELECT leaf AS node_id, min(leaf) OVER (PARTITION BY hub) AS community_id FROM star
+    UNION ALL SELECT hub, min(leaf) FROM star GROUP BY hub""",
+)
 oracle(
     "merchant_window_agg",
     ["magg"],

@@ -18,7 +18,7 @@ from paywatch.operators.triangles import no_triangles, triangles
 from paywatch.plans import views
 from paywatch.plans.views import EVENT_SETTINGS, entity_edges, order_transactions, raw_transactions, session_edges, transactions
 from paywatch.session import scratch_path
-from paywatch.settings import FEATURE_COLUMNS
+from paywatch.settings import FEATURE_COLUMNS, Settings
 from paywatch.sources import audit
 from paywatch.sources.transactions import parse_json_payload, publish_messages, run_available
 from paywatch.streaming.enrich import window_enrich_stream
@@ -82,7 +82,7 @@ def base(spark, sf_dir):
         found, members = edges(spark, sf_dir), components(spark, sf_dir)
         every = nodes(spark, sf_dir)
         return risk.base_risk(
-            risk.node_exposure(found, every), pagerank(found), no_triangles(every), members, component_sizes(members)
+            risk.node_exposure(found, every), pagerank(found, every), no_triangles(every), members, component_sizes(members)
         )
 
     return stored(spark, sf_dir, "base", build)
@@ -117,13 +117,18 @@ def _day(number: int) -> Column:
     return F.lit(f"2024-01-{number:02d}")
 
 
+def _batches(rows: DataFrame) -> list[DataFrame]:
+    """The rows in three batches by event day, the first and the last open-ended; SQL cuts at the same days."""
+    number = F.when(F.col("timestamp") < "2024-01-11", 1).when(F.col("timestamp") < "2024-01-21", 2).otherwise(3)
+    return [rows.where(number == batch) for batch in (1, 2, 3)]
+
+
 def scored_table(spark, sf_dir):
     """Audit table of three batches, by event day."""
     key = (spark.sparkContext.applicationId, sf_dir, "audit_scored")
     if key not in _stored or not audit.path_exists(spark, _stored[key]):
         path, rows = scratch_path(spark, "audit-scored"), judged(spark, sf_dir)
-        for batch, (low, high) in enumerate([(1, 11), (11, 21), (21, 32)], start=1):
-            part = rows.where((F.col("timestamp") >= _day(low)) & (F.col("timestamp") < _day(high)))
+        for batch, part in enumerate(_batches(rows), start=1):
             audit.upsert_scored(part, path, batch, _stamp(batch))
         _stored[key] = path
     return audit.read_table(spark, _stored[key], audit.SCORED_SCHEMA)
@@ -133,8 +138,7 @@ def alert_table(spark, sf_dir):
     key = (spark.sparkContext.applicationId, sf_dir, "audit_alerts")
     if key not in _stored or not audit.path_exists(spark, _stored[key]):
         path, rows = scratch_path(spark, "audit-alerts"), judged(spark, sf_dir)
-        for batch, (low, high) in enumerate([(1, 11), (11, 21), (21, 32)], start=1):
-            part = rows.where((F.col("timestamp") >= _day(low)) & (F.col("timestamp") < _day(high)))
+        for batch, part in enumerate(_batches(rows), start=1):
             audit.upsert_alerts(part, path, batch, _stamp(batch))
         _stored[key] = path
     return audit.read_table(spark, _stored[key], audit.ALERT_SCHEMA)
@@ -372,6 +376,16 @@ def user_window_agg(spark, sf_dir):
     )
 
 
+@query
+def user_window_agg_uneven(spark, sf_dir):
+    """Windows that are not a whole number of slides."""
+    uneven = Settings(slide_duration="3 minutes")
+    rows = features.user_window_agg(features.base_features(transactions(spark, sf_dir), uneven), uneven)
+    return rows.select(
+        ntz("window_start"), ntz("window_end"), "user_agg_key", "transaction_count_per_user", rounded("total_amount_per_user")
+    )
+
+
 @query
 def merchant_window_agg(spark, sf_dir):
     rows = features.merchant_window_agg(features.base_features(transactions(spark, sf_dir)))
@@ -481,7 +495,7 @@ def class_balance(spark, sf_dir):
 @query
 def score_fraud(spark, sf_dir):
     rows = stored(spark, sf_dir, "enriched", lambda: views.enriched(spark, sf_dir))
-    model, _ = fraud.train_fraud_model(rows, trees=10, depth=4)
+    model, _ = fraud.train_fraud_model(rows)
     return fraud.score_fraud(rows, model).select(
         "transaction_id", ntz("window_start"), "fraud_probability", "fraud_prediction"
     )
@@ -491,13 +505,19 @@ def score_fraud(spark, sf_dir):
 def score_anomaly(spark, sf_dir):
     rows = stored(spark, sf_dir, "enriched", lambda: views.enriched(spark, sf_dir))
     keyed = rows.withColumn("row_id", F.concat_ws("@", "transaction_id", "window_start"))
-    sample = history.training_sample(keyed, "row_id", 50_000)
-    trees, details = isolation_forest.train_isolation_forest(sample, "row_id")
+    trees, details = isolation_forest.train_isolation_forest(keyed, "row_id")
     return isolation_forest.score_anomaly(rows, trees, details).select(
         "transaction_id", ntz("window_start"), "anomaly_score", "is_anomaly"
     )
 
 
+@query
+def anomaly_share(spark, sf_dir):
+    """What is certain about the forest: it scores every row and flags close to the wanted share of them."""
+    flagged = F.avg("is_anomaly").between(0.015, 0.025)
+    return score_anomaly(spark, sf_dir).agg(F.count(F.lit(1)).alias("n_rows"), flagged.alias("share_kept"))
+
+
 @query
 def q_zscore_score(spark, sf_dir):
     source = transactions(spark, sf_dir)
@@ -538,12 +558,13 @@ def graph_update_stats(spark, sf_dir):
 
 @query
 def q_pagerank(spark, sf_dir):
-    return pagerank(edges(spark, sf_dir)).select("node_id", rounded("pagerank_score", 9))
+    return pagerank(edges(spark, sf_dir), nodes(spark, sf_dir)).select("node_id", rounded("pagerank_score", 9))
 
 
 @query
 def q_pagerank_power(spark, sf_dir):
-    return pagerank_power(link_counts(edges(spark, sf_dir)), tolerance=1e-12).select("node_id", rounded("pagerank_score", 8))
+    ranked = pagerank_power(link_counts(edges(spark, sf_dir)), nodes(spark, sf_dir), tolerance=1e-12)
+    return ranked.select("node_id", rounded("pagerank_score", 8))
 
 
 @query
@@ -556,6 +577,14 @@ def communities(spark, sf_dir):
     return louvain(edges(spark, sf_dir))
 
 
+@query
+def communities_stars(spark, sf_dir):
+    """Every order linked to its lines: disjoint stars, whose communities are certain."""
+    line = F.concat_ws("-", F.concat(F.lit("L"), F.col("l_orderkey").cast("string")), F.col("l_linenumber").cast("string"))
+    order = F.concat(F.lit("O"), F.col("l_orderkey").cast("string"))
+    return louvain(views.table(spark, sf_dir, "lineitem").select(order.alias("src"), line.alias("dst"), F.lit(1.0).alias("amount")))
+
+
 @query
 def q_triangles(spark, sf_dir):
     return triangles(entity_edges(spark, sf_dir))

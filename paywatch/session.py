@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -26,15 +25,11 @@ def build_session(app_name: str = "paywatch", master: str | None = None, **conf:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Shared folder the cluster names for checkpoints; a temporary one only for local runs."""
+    """Shared folder the cluster names for checkpoints; where none is named, one in the warehouse."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("Set spark.checkpoint.dir to a folder that all executors share.")
-    local = tempfile.mkdtemp(prefix="paywatch-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

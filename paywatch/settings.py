@@ -35,6 +35,7 @@ class Settings:
     nodes_path: str = "audit/graph_nodes"
     signals_path: str = "audit/graph_signals"
 
+    # Topics, window sizes and thresholds that results depend on.
     kafka_bootstrap_servers: str = "localhost:9092"
     transactions_topic: str = "transactions"
     alerts_topic: str = "fraud_alerts"

@@ -57,7 +57,7 @@ def compute_signals(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     components = scratch.write(connected_components(edges, nodes), "components")
     base = scratch.write(
         base_risk(
-            node_exposure(edges, nodes), pagerank(edges), no_triangles(nodes), components, component_sizes(components)
+            node_exposure(edges, nodes), pagerank(edges, nodes), no_triangles(nodes), components, component_sizes(components)
         ),
         "base",
     )

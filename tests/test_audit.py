@@ -48,7 +48,7 @@ def test_reports_reject_bad_arguments(rows):
     from paywatch.operators import reports
 
     alerts = rows("transaction_id string, alert_severity string, received_at string", ("1", "High", "b"), ("2", "Low", "a"))
-    with pytest.raises(ValueError, match="Invalid severity"):
+    with pytest.raises(ValueError, match="Unknown severity"):
         reports.alerts_page(alerts, severity="Critical")
     with pytest.raises(ValueError, match="empty"):
         reports.alert_by_id(alerts, "  ")
