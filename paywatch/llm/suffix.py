@@ -27,7 +27,7 @@ from paywatch.session import Scratch
 LENGTH = 400
 GRAM = 192
 BLOCK_BYTES = 1 << 20
-GROUP_SEGMENTS = 1_000
+GROUP_SEGMENTS = 2_000
 PART_BYTES = 24 << 20
 
 
@@ -251,12 +251,10 @@ def repeated_runs(
     cut = map_arrow(texts, _cut(length), schema)
     if large.isEmpty():
         return settled.unionByName(_expanded(cut, seen["open_bytes"], length, block_bytes))
-    cut = scratch.write(cut, "cut")
+    # all read the same shuffled texts, which is cheaper than to store what is cut from them
     small = cut.join(large.select("gram"), "gram", "left_anti").select(*cut.columns)
     hot = cut.join(large.select("gram"), "gram", "left_semi").select(*cut.columns)
-    windows = scratch.write(
-        map_arrow(hot, _window_hashes(length), "a bigint, b bigint, copies tinyint, doc bigint, tag int, first int"), "windows"
-    )
+    windows = map_arrow(hot, _window_hashes(length), "a bigint, b bigint, copies tinyint, doc bigint, tag int, first int")
     again = windows.groupBy("a", "b").agg(F.sum("copies").alias("n")).where("n > 1").select("a", "b")
     repeated = windows.join(again, ["a", "b"]).select("doc", "tag", "first", F.lit(1).alias("count"))
     return settled.unionByName(_expanded(small, seen["open_bytes"], length, block_bytes)).unionByName(repeated)
