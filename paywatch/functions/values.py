@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F, types as T
 
-from paywatch.functions.identity import strip
+from paywatch.functions.identity import WHITESPACE, strip
 
 # What counts as a number written as text.
 NUMBER_PATTERN = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:nan|inf|infinity))$"
@@ -77,15 +77,27 @@ def iso_format(moment: Column) -> Column:
     return F.regexp_replace(F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), r"\.000000$", "")
 
 
-def local_time(text: Column) -> Column:
-    """Wall-clock time of a text, its zone offset aside; null when no known format fits."""
-    trimmed = F.regexp_replace(strip(text), ZERO_ZONE, "$1Z")
-    shape = trimmed
+def _other_spelling(text: Column) -> Column:
+    """Wall-clock time of a text in one of DATE_FORMATS."""
+    shape = text
     for part, mark in DATE_PARTS:
         shape = F.regexp_replace(shape, part, mark)
-    shape = F.when(trimmed.rlike(DAY_FIRST), F.concat(F.lit("d"), shape)).otherwise(shape)
+    shape = F.concat(F.when(text.rlike(DAY_FIRST), F.lit("d")).otherwise(F.lit("")), shape)
     spelling = F.element_at(F.create_map(*[F.lit(x) for pair in DATE_FORMATS.items() for x in pair]), shape)
-    return F.coalesce(trimmed.try_cast("timestamp_ntz"), F.try_to_timestamp(trimmed, spelling).cast("timestamp_ntz"))
+    return F.try_to_timestamp(text, spelling).cast("timestamp_ntz")
+
+
+def _zoned(text: Column) -> Column:
+    """Trimmed text with a named zero offset as Z."""
+    return F.regexp_replace(F.btrim(text, F.lit(WHITESPACE)), ZERO_ZONE, "$1Z")
+
+
+def local_time(text: Column) -> Column:
+    """Wall-clock time of a text, its zone offset aside; null when no known format fits."""
+    trimmed = _zoned(text)
+    # as a function of one value, which keeps the generated code small: the text is read many times
+    other = F.element_at(F.transform(F.array(trimmed), _other_spelling), 1)
+    return F.coalesce(trimmed.try_cast("timestamp_ntz"), other)
 
 
 def iso_text(column: Column, data_type: T.DataType) -> Column:
@@ -97,7 +109,7 @@ def iso_text(column: Column, data_type: T.DataType) -> Column:
         micros = F.floor(column.cast("double") / 1000).cast("long")
         return iso_format(F.timestamp_micros(micros).cast("timestamp_ntz"))
     text = column.cast("string")
-    offset = F.regexp_extract(F.regexp_replace(strip(text), ZERO_ZONE, "$1Z"), OFFSET_PATTERN, 1)
+    offset = F.regexp_extract(_zoned(text), OFFSET_PATTERN, 1)
     offset = F.when(offset == "Z", "+00:00").otherwise(offset)
     return F.concat(iso_format(local_time(text)), offset)
 
