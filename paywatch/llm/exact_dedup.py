@@ -195,17 +195,17 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", **siz
 def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", **sizes: int) -> DataFrame:
     """The rows that stay, one for every content, with the columns of `docs`."""
     body = F.encode(F.regexp_replace(F.coalesce(F.col(text).cast("string"), F.lit("")), "[ \t\n\u000b\f\r]+", ""), "UTF-8")
-    own = docs.withColumn("_own_digest", F.unhex(F.sha2(body, 256))).withColumn(
-        "_own_n", F.coalesce(F.char_length(F.col(text).cast("string")), F.lit(0)).cast("long")
-    )
-    classes = content_classes(docs, key, text, **sizes).select(
-        F.col("digest").alias("_digest"), F.col("n").alias("_n"), F.col("key").alias("_keep"), F.col("ties").alias("_ties")
+    own = docs.select(
+        F.struct(*docs.columns).alias("row"),
+        F.unhex(F.sha2(body, 256)).alias("own_digest"),
+        F.coalesce(F.char_length(F.col(text).cast("string")), F.lit(0)).cast("long").alias("own_n"),
+        F.col(key).cast("long").alias("own_key"),
     )
+    classes = content_classes(docs, key, text, **sizes)
     # the id is part of the join key, so the copies of one content spread over all tasks
-    same = F.col("_digest").eqNullSafe(F.col("_own_digest")) & (F.col("_n") == F.col("_own_n"))
-    kept = own.join(classes, same & F.col("_keep").eqNullSafe(F.col(key).cast("long")))
-    if classes.where("_ties > 1").isEmpty():
-        return kept.select(*docs.columns)
-    once = kept.where("_ties = 1").select(*docs.columns)
-    again = kept.where("_ties > 1").dropDuplicates(["_own_digest"]).select(*docs.columns)
-    return once.unionByName(again)
+    same = (F.col("digest") == F.col("own_digest")) & (F.col("n") == F.col("own_n")) & F.col("key").eqNullSafe(F.col("own_key"))
+    kept = own.join(classes, same)
+    if classes.where("ties > 1").isEmpty():
+        return kept.select("row.*")
+    again = kept.where("ties > 1").dropDuplicates(["digest"])
+    return kept.where("ties = 1").unionByName(again).select("row.*")

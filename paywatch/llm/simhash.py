@@ -7,8 +7,9 @@ a node that keeps only the bits all its members share, runs of 16 nodes form the
 root. A query descends with the differences counted so far and drops a node, and with it the whole group
 below, as soon as they exceed d.
 
-A group with too many fingerprints for one task is dealt out again by the same rule: members agree in
-some bits already, so the remaining ones are cut into d + 1 sets. Fingerprints are distinct, so this ends.
+A group with too many fingerprints is dealt out again by the same rule: members agree in some bits
+already, so the remaining ones are cut into d + 1 sets. Fingerprints are distinct, so a group whose members
+may differ in 20 bits only has a million at most and fits a task as it is.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ SEED = 42
 WIDTH = 3
 FAN = 16
 GROUP_LIMIT = 20_000
+FREE_BITS = 20
 TASK_ROWS = 100_000
 PAIRS_AT_ONCE = 1 << 20
 
@@ -178,12 +180,13 @@ def print_links(prints: DataFrame, distance: int = 2, group_limit: int = GROUP_L
         value = F.col("print").bitwiseAND(F.col("mask")).alias("value")
         sizes = rows.groupBy("mask", value).agg(F.count(F.lit(1)).alias("n"))
         # groups above the limit are fewer than rows / limit
+        wide = F.bit_count("mask") < 64 - FREE_BITS
         large, seen = scratch.write_with(
-            sizes.where(F.col("n") > 1), "sizes", keep_last=1_000, rows=F.sum("n"), most=F.max("n")
+            sizes.where(F.col("n") > 1), "sizes", keep_last=1_000, rows=F.sum("n"), most=F.max(F.when(wide, F.col("n")))
         )
         total, most = seen["rows"] or 0, seen["most"] or 0
         keyed = rows.withColumn("value", F.col("print").bitwiseAND(F.col("mask")))
-        heavy = large.where(F.col("n") > group_limit).select("mask", "value")
+        heavy = large.where(wide & (F.col("n") > group_limit)).select("mask", "value")
         light = keyed.join(heavy, ["mask", "value"], "left_anti") if most > group_limit else keyed
         dealt = light.select("mask", "print", "value").repartition(parts_for(total, TASK_ROWS), "mask", "value")
         found = scratch.write(map_arrow(dealt.select("mask", "print"), _links(distance), "src bigint, dst bigint"), "links", 1_000)
@@ -232,10 +235,11 @@ def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", d
     stays = (
         simhash_groups(docs, key, text, distance)
         .where(F.col(key).eqNullSafe(F.col("component_id")))
-        .select(F.col(key).alias("_stays"), "print")
+        .select(F.col(key).alias("stays"))
     )
     stays, seen = Scratch(docs.sparkSession, "stays").write_with(
-        stays.groupBy("_stays").agg(F.count(F.lit(1)).alias("_rows")), "ids", rows=F.max("_rows")
+        stays.groupBy("stays").agg(F.count(F.lit(1)).alias("times")), "ids", times=F.max("times")
     )
-    kept = docs.join(stays, F.col(key).cast("long").eqNullSafe(F.col("_stays")), "left_semi")
-    return kept.dropDuplicates([key]) if (seen["rows"] or 0) > 1 else kept
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(key).cast("long").alias("own"))
+    kept = rows.join(stays, F.col("own").eqNullSafe(F.col("stays")), "left_semi")
+    return (kept.dropDuplicates(["own"]) if (seen["times"] or 0) > 1 else kept).select("row.*")
