@@ -47,13 +47,14 @@ PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 @dataclass
 class Pieces:
-    """Hashes (sorted) and log weights of the pieces, their kind, and the log weights of the 256 bytes and of a word's end.
+    """Hashes (sorted) of all that pieces start with and the piece each is, or -1; log weights of the pieces,
+    their kind, and the log weights of the 256 bytes and of a word's end.
 
     Pieces that begin a word have weights that sum to 1; so have the others, the bytes and the end.
     """
 
     hashes: np.ndarray
-    longest: int
+    piece: np.ndarray
     begins: np.ndarray
     weight: np.ndarray
     byte_weight: np.ndarray
@@ -77,19 +78,24 @@ def load_pieces(path: str = VOCABULARY) -> Pieces:
     ]
     mass = 1 / (10 + np.array([-s for _, s in names]))
     begins = np.array([n.startswith(START) for n, _ in names])
-    hashes = np.array([int(_hash_all(_codes([n]))[0]) for n, _ in names], np.uint64)
+    known: dict[str, int] = {}
+    for place, (name, _) in enumerate(names):
+        for stop in range(1, len(name)):
+            known.setdefault(name[:stop], -1)
+        known[name] = place
+    hashes = np.array([int(_hash_all(_codes([n]))[0]) for n in known], np.uint64)
     order = np.argsort(hashes)
     if len(np.unique(hashes)) != len(hashes):
         raise ValueError("Two pieces of the vocabulary have the same hash.")
     byte_mass = np.full(256, mass.min())
-    longest = max(len(n) for n, _ in names)
-    return _weighted(hashes[order], longest, begins[order], mass[order], byte_mass, mass[~begins].sum() / 2)
+    piece = np.fromiter(known.values(), np.int64, len(known))[order]
+    return _weighted(hashes[order], piece, begins, mass, byte_mass, mass[~begins].sum() / 2)
 
 
-def _weighted(hashes, longest, begins, mass, byte_mass, end_mass) -> Pieces:
+def _weighted(hashes, piece, begins, mass, byte_mass, end_mass) -> Pieces:
     first, rest = mass[begins].sum(), mass[~begins].sum() + byte_mass.sum() + end_mass
     weight = np.log(mass) - np.log(np.where(begins, first, rest))
-    return Pieces(hashes, longest, begins, weight, np.log(byte_mass / rest), float(np.log(end_mass / rest)))
+    return Pieces(hashes, piece, begins, weight, np.log(byte_mass / rest), float(np.log(end_mass / rest)))
 
 
 def _hash_all(codes: np.ndarray) -> np.ndarray:
@@ -107,34 +113,42 @@ def _byte_sums(codes: np.ndarray, pieces: Pieces) -> np.ndarray:
     return np.array(own)[place].reshape(codes.shape)
 
 
-Arcs = list[list[tuple[int, np.ndarray]]]
+Arcs = list[list[tuple[int, np.ndarray, np.ndarray]]]
 
 
 def _arcs(codes: np.ndarray, pieces: Pieces) -> Arcs:
-    """For every position the arcs that end there: (start, piece per word or -1)."""
+    """For every position the arcs that end there: (start, words that have it, piece of each or -1).
+
+    A start is followed only in words where some piece goes on as they do. A symbol inside a word that is
+    no piece is spelled in bytes.
+    """
     n, length = codes.shape
     ending: Arcs = [[] for _ in range(length + 1)]
     for start in range(length):
-        value = np.zeros(n, np.uint64)
-        for end in range(start + 1, min(length, start + pieces.longest) + 1):
-            value = (value + codes[:, end - 1].astype(np.uint64) + np.uint64(1)) * PRIME
+        words, value = np.arange(n), np.zeros(n, np.uint64)
+        for end in range(start + 1, length + 1):
+            value = (value + codes[words, end - 1].astype(np.uint64) + np.uint64(1)) * PRIME
             value ^= value >> np.uint64(29)
             at = np.minimum(np.searchsorted(pieces.hashes, value), len(pieces.hashes) - 1)
-            known = (pieces.hashes[at] == value) & (pieces.begins[at] == (start == 0))
-            if known.any() or end == start + 1 and start:
-                ending[end].append((start, np.where(known, at, -1)))
+            goes_on = pieces.hashes[at] == value
+            piece = np.where(goes_on, pieces.piece[at], -1)
+            is_arc = (piece >= 0) & (pieces.begins[piece] == (start == 0))
+            if end == start + 1 and start:
+                ending[end].append((start, words, np.where(is_arc, piece, -1)))
+            elif is_arc.any():
+                ending[end].append((start, words[is_arc], piece[is_arc]))
+            words, value = words[goes_on], value[goes_on]
+            if not len(words):
+                break
     return ending
 
 
-def _weighted_arcs(codes: np.ndarray, pieces: Pieces, arcs: Arcs) -> list[list[tuple[int, np.ndarray, np.ndarray]]]:
-    """The arcs with their log weights; a symbol inside a word that is no piece is spelled in bytes."""
+def _weighted_arcs(codes: np.ndarray, pieces: Pieces, arcs: Arcs) -> list[list[tuple]]:
+    """The arcs with their log weights."""
     spelled = _byte_sums(codes, pieces)
     return [
-        [
-            (start, np.where(piece >= 0, pieces.weight[piece], spelled[:, start] if end == start + 1 and start else -np.inf), piece)
-            for start, piece in found
-        ]
-        for end, found in enumerate(arcs)
+        [(start, words, np.where(piece >= 0, pieces.weight[piece], spelled[words, start]), piece) for start, words, piece in found]
+        for found in arcs
     ]
 
 
@@ -142,8 +156,8 @@ def _forward(n: int, arcs: list) -> np.ndarray:
     forward = np.full((len(arcs), n), -np.inf)
     forward[0] = 0
     for end, found in enumerate(arcs):
-        for start, weight, _ in found:
-            forward[end] = np.logaddexp(forward[end], forward[start] + weight)
+        for start, words, weight, _ in found:
+            forward[end, words] = np.logaddexp(forward[end, words], forward[start, words] + weight)
     return forward
 
 
@@ -160,17 +174,17 @@ def expected(codes: np.ndarray, pieces: Pieces) -> tuple[np.ndarray, np.ndarray]
     forward = _forward(n, arcs)
     backward = np.full((length + 1, n), -np.inf)
     backward[length] = 0
-    counts, spelled = np.zeros(len(pieces.hashes)), np.zeros(256)
+    counts, spelled = np.zeros(len(pieces.weight)), np.zeros(256)
     whole = forward[length]
     for end in range(length, 0, -1):
-        for start, weight, piece in arcs[end]:
-            path = weight + backward[end]
-            backward[start] = np.logaddexp(backward[start], path)
-            share = np.exp(forward[start] + path - whole)
+        for start, words, weight, piece in arcs[end]:
+            path = weight + backward[end, words]
+            backward[start, words] = np.logaddexp(backward[start, words], path)
+            share = np.exp(forward[start, words] + path - whole[words])
             known = piece >= 0
             counts += np.bincount(piece[known], share[known], len(counts))
-            if not known.all() and end == start + 1:
-                found, place = np.unique(codes[~known, start], return_inverse=True)
+            if not known.all():
+                found, place = np.unique(codes[words[~known], start], return_inverse=True)
                 for code, mass in zip(found.tolist(), np.bincount(place, share[~known])):
                     for b in chr(code).encode("utf-8", "replace"):
                         spelled[b] += mass
@@ -258,7 +272,7 @@ def _expect(pieces):
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         models = shared(pieces)
-        size = len(models[0].hashes)
+        size = len(models[0].weight)
         total = np.zeros((len(models), size + 256))
         for batch in batches:
             words = np.array(batch.column(0).to_pylist(), object)
@@ -289,7 +303,7 @@ def fit_pieces(counts: DataFrame, columns: list[str], types: list[int], pieces:
         for piece, sum_ in rows:
             passed[piece] = sum_
         models = [
-            _weighted(m.hashes, m.longest, m.begins, own[:-256] + PRIOR * prior, own[-256:] + PRIOR / 2**16, n + 1.0) if n else m
+            _weighted(m.hashes, m.piece, m.begins, own[:-256] + PRIOR * prior, own[-256:] + PRIOR / 2**16, n + 1.0) if n else m
             for m, own, n in zip(models, passed.reshape(len(columns), -1), types)
         ]
     return models
