@@ -22,12 +22,21 @@ WHITE_SPACE = b" \t\n\x0b\x0c\r"
 
 OUT_BYTES = 8 << 20
 
+#: Bytes of a batch that goes to a Python task; texts are long, and a batch exists several times at once.
+IN_BYTES = 8 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def map_arrow(df: DataFrame, task: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str) -> DataFrame:
+    """`df.mapInArrow`; the session's batches are made smaller first if they are larger than IN_BYTES."""
+    settings = df.sparkSession.conf
+    now = settings.get(BATCH_SETTING, None)
+    if now is None or not now.rstrip("b").isdigit() or int(now.rstrip("b")) > IN_BYTES:
+        settings.set(BATCH_SETTING, str(IN_BYTES))
     return df.mapInArrow(task, schema)
 
 

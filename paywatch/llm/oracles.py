@@ -37,11 +37,11 @@ FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 win AS (SELECT doc_id, i, list_slice(w, i, i + 19) AS g FROM d, unnest(generate_series(1, len(w) - 19)) t(i)),
 later AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS n FROM win) WHERE n > 1),
-gone AS (SELECT DISTINCT doc_id, i + k AS at FROM later, unnest(generate_series(0, 19)) t(k)),
-word AS (SELECT doc_id, w[i] AS word, i AS at FROM d, unnest(generate_series(1, len(w))) t(i)),
+gone AS (SELECT DISTINCT doc_id, i + k AS place FROM later, unnest(generate_series(0, 19)) t(k)),
+word AS (SELECT doc_id, w[i] AS word, i AS place FROM d, unnest(generate_series(1, len(w))) t(i)),
 kept AS (
-  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY at) AS body
-  FROM word ANTI JOIN gone USING (doc_id, at) GROUP BY doc_id
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY place) AS body
+  FROM word ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id
 )
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(body, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)
@@ -57,14 +57,14 @@ WITH p AS (
   SELECT page_id, host, replace(replace(replace(replace(replace(replace(replace(replace(body, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'),
     '&quot;', '"'), '&#39;', chr(39)), '&copy;', '©'), '&middot;', '·'), '&amp;', '&') AS body FROM p
 ), lined AS (
-  SELECT page_id, host, list_filter(list_transform(string_split(regexp_replace(body, '[ \t\x0B\f\r]+', ' ', 'g'), chr(10)), x -> trim(x)), x -> x <> '') AS lines FROM q
+  SELECT page_id, host, list_filter(list_transform(string_split(regexp_replace(body, '[ \t\x0B\f\r]+', ' ', 'g'), chr(10)), lambda x: trim(x)), lambda x: x <> '') AS lines FROM q
 ), having_line AS (
   SELECT host, line, count(*) AS n FROM (SELECT host, unnest(list_distinct(lines)) AS line FROM lined) GROUP BY ALL
 ), common AS (
   SELECT host, list(line) AS common FROM having_line JOIN (SELECT host, count(*) AS pages FROM lined GROUP BY host) USING (host)
   WHERE pages >= 5 AND n >= 5 AND n / pages > 0.3 GROUP BY host
 ), kept AS (
-  SELECT page_id, host, lines, CASE WHEN common IS NULL THEN lines ELSE list_filter(lines, x -> NOT list_contains(common, x)) END AS kept
+  SELECT page_id, host, lines, CASE WHEN common IS NULL THEN lines ELSE list_filter(lines, lambda x: NOT list_contains(common, x)) END AS kept
   FROM lined LEFT JOIN common USING (host)
 )
 SELECT page_id, host, array_to_string(kept, chr(10)) AS text, CAST(len(lines) AS BIGINT) AS n_lines, CAST(len(lines) - len(kept) AS BIGINT) AS n_dropped FROM kept
