@@ -41,11 +41,18 @@ def delete_path(spark: SparkSession, path: str) -> None:
     hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
+def delete_at_end(spark: SparkSession, path: str) -> None:
+    """Have the file system delete an existing path when the driver ends."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
+
+
 class Scratch:
     """Tables an iterative job writes between rounds.
 
     Writing a round to the shared folder cuts its lineage, survives the loss of executors and gives
-    the next plan true sizes. `keep_last` frees rounds that nothing reads any more.
+    the next plan true sizes. `keep_last` frees rounds that nothing reads any more; the rest, which
+    results may still read, goes when the session ends.
     """
 
     def __init__(self, spark: SparkSession, name: str) -> None:
@@ -58,6 +65,8 @@ class Scratch:
         versions = self._written.setdefault(table, [])
         path = f"{self.base}/{table}-{uuid.uuid4().hex}"
         df.write.parquet(path)
+        if not versions:
+            delete_at_end(self.spark, self.base)
         versions.append(path)
         while len(versions) > keep_last:
             delete_path(self.spark, versions.pop(0))

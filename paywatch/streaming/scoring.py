@@ -23,7 +23,7 @@ from paywatch.operators.risk import (
     risk_propagation,
 )
 from paywatch.operators.triangles import no_triangles
-from paywatch.session import Scratch
+from paywatch.session import Scratch, delete_path
 from paywatch.settings import Settings
 from paywatch.sources import audit
 from paywatch.sources.schema import table_schema
@@ -64,12 +64,42 @@ def compute_signals(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return graph_signals(base, communities(edges, nodes), risk_propagation(base, edges))
 
 
+def _complete_versions(spark: SparkSession, settings: Settings) -> list[str]:
+    """Folders of the signals that were written to the end, oldest first."""
+    if not audit.path_exists(spark, settings.signals_path):
+        return []
+    top = spark._jvm.org.apache.hadoop.fs.Path(settings.signals_path)
+    listed = top.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(top)
+    paths = sorted(s.getPath().toString() for s in listed if s.getPath().getName().startswith("version="))
+    return [p for p in paths if audit.path_exists(spark, f"{p}/_SUCCESS")]
+
+
+def latest_signals(spark: SparkSession, settings: Settings = Settings()) -> DataFrame | None:
+    """The newest complete version of the signals; a write that is under way or was cut off is not seen."""
+    found = _complete_versions(spark, settings)
+    return spark.read.schema(SIGNAL_SCHEMA).parquet(found[-1]) if found else None
+
+
+def refresh_signals(spark: SparkSession, settings: Settings = Settings(), keep: int = 2) -> DataFrame:
+    """Compute the signals of the stored graph as a new version beside the old ones, of which `keep` stay."""
+    nodes = audit.read_table(spark, settings.nodes_path, NODE_SCHEMA)
+    edges = audit.read_table(spark, settings.edges_path, EDGE_SCHEMA)
+    found = _complete_versions(spark, settings)
+    number = int(found[-1].rsplit("=", 1)[1]) + 1 if found else 0
+    path = f"{settings.signals_path}/version={number:012d}"
+    compute_signals(nodes, edges).write.mode("overwrite").parquet(path)
+    for old in found[: max(0, len(found) + 1 - keep)]:
+        delete_path(spark, old)
+    return spark.read.schema(SIGNAL_SCHEMA).parquet(path)
+
+
 class BatchProcessor:
     """Handles the micro-batches of one scoring stream.
 
     The graph lives in tables, so a restart continues where the last batch ended, and a batch that is
     repeated replaces what it wrote before. Signals cover the whole stored graph and are computed anew
-    every `refresh_every` batches; in between, batches use the signals of the last time.
+    every `refresh_every` batches; in between, batches use the last complete version. With 0 no batch
+    computes them: `refresh_signals` then runs as a job of its own, on its own schedule.
     """
 
     def __init__(
@@ -81,7 +111,7 @@ class BatchProcessor:
         publish: bool = True,
     ) -> None:
         self.settings = settings
-        self.refresh_every = max(1, refresh_every)
+        self.refresh_every = max(0, refresh_every)
         self.messages_path = messages_path
         self.clock = clock
         self.publish = publish
@@ -123,12 +153,12 @@ class BatchProcessor:
         graph_nodes(batch, stored_nodes, rows).write.mode("overwrite").parquet(f"{settings.nodes_path}/{folder}")
 
     def _signals(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        settings = self.settings
-        if batch_id % self.refresh_every == 0 or not audit.path_exists(spark, settings.signals_path):
-            nodes = audit.read_table(spark, settings.nodes_path, NODE_SCHEMA)
-            edges = audit.read_table(spark, settings.edges_path, EDGE_SCHEMA)
-            compute_signals(nodes, edges).write.mode("overwrite").parquet(settings.signals_path)
-        return spark.read.schema(SIGNAL_SCHEMA).parquet(settings.signals_path).select("node_id", *SIGNAL_COLUMNS)
+        settings, newest = self.settings, latest_signals(spark, self.settings)
+        if self.refresh_every and (batch_id % self.refresh_every == 0 or newest is None):
+            newest = refresh_signals(spark, settings)
+        if newest is None:
+            return spark.createDataFrame([], SIGNAL_SCHEMA).select("node_id", *SIGNAL_COLUMNS)
+        return newest.select("node_id", *SIGNAL_COLUMNS)
 
 
 def start_stream(scored: DataFrame, processor, settings: Settings = Settings(), available_now: bool = False) -> StreamingQuery:

@@ -190,3 +190,29 @@ def test_attached_signals(rows, scored):
     assert (found["1"]["triangle_count"], found["1"]["propagated_risk_score"]) == (2, 0.9)
     assert (found["3"]["pagerank_score"], found["3"]["community_id"]) == (0.0, "y")
     assert (found["4"]["component_id"], found["4"]["propagated_risk_score"]) == ("x", 0.4)
+
+
+def test_pagerank_counts_nodes_without_edges(rows):
+    """A repeated transaction adds its customer, but no edge."""
+    from paywatch.operators.graph import graph_edges, graph_nodes
+
+    frame = rows(
+        "transaction_id string, user_id string, account_id string, merchant_id string, amount double, timestamp string,"
+        " fraud_probability double, anomaly_score double",
+        ("1", "u", None, "m", 5.0, "2024-01-01T00:00:00", 0.5, 0.0),
+        ("1", "lonely", None, "m", 5.0, "2024-01-02T00:00:00", 0.5, 0.0),
+    )
+    edges, nodes = graph_edges(frame), graph_nodes(frame)
+    for found in (pagerank(edges, nodes), pagerank_power(link_counts(edges), nodes, tolerance=1e-10)):
+        ranks = {r["node_id"]: r["pagerank_score"] for r in found.collect()}
+        assert ranks == pytest.approx({"customer:u": 1 / 3.85, "merchant:m": 1.85 / 3.85, "customer:lonely": 1 / 3.85}, abs=1e-6)
+
+
+def test_no_node_gains_after_communities(rows):
+    """Two cliques with a bridge, and a star: the best answer is known."""
+    links = [(a, b) for group in ("abcd", "wxyz") for a in group for b in group if a < b] + [("d", "w")] + [("s", f"t{i}") for i in range(4)]
+    frame = rows("src string, dst string, amount double", *[(a, b, 1.0) for a, b in links])
+    groups: dict = {}
+    for r in communities(frame).collect():
+        groups.setdefault(r["community_id"], set()).add(r["node_id"])
+    assert sorted(map(sorted, groups.values())) == [list("abcd"), ["s", "t0", "t1", "t2", "t3"], list("wxyz")]

@@ -65,3 +65,12 @@ def test_store_errors(spark, tmp_path):
     with pytest.raises(ValueError, match="Invalid"):
         store._write_details(spark, {"model_type": "gbt"}, str(tmp_path / "bad"))
         store.load_fraud_model(spark, str(tmp_path / "bad"))
+
+
+@pytest.mark.parametrize("shared", ["one", None])
+def test_trees_draw_rows_that_share_an_id(spark, shared):
+    rows = [(shared if i < 2000 else str(i), float(i % 50), float(i % 7)) for i in range(3000)]
+    data = spark.createDataFrame(rows, "id string, amount double, transaction_hour double")
+    nodes, details = forest.train_isolation_forest(data, "id", ("amount", "transaction_hour"), trees=20)
+    drawn = {r["drawn"] for r in nodes.select("drawn").distinct().collect()}
+    assert drawn == {256} and details["subsample"] == 256

@@ -131,3 +131,20 @@ def test_kafka_source_names_the_missing_connector(spark):
 
     with pytest.raises(Exception, match="(?i)kafka"):
         kafka_source(spark)
+
+
+def test_signals_survive_a_write_that_is_cut_off(spark, rows, tmp_path):
+    from paywatch.settings import Settings
+    from paywatch.streaming.scoring import EDGE_SCHEMA, NODE_SCHEMA, latest_signals, refresh_signals
+
+    settings = Settings(**{f"{n}_path": str(tmp_path / n) for n in ("signals", "edges", "nodes")})
+    assert latest_signals(spark, settings) is None
+    edges = spark.createDataFrame([("customer:a", "merchant:b", "1", "1", 1.0, "2024-01-01T00:00:00", 0.5, 0.1)], EDGE_SCHEMA)
+    nodes = spark.createDataFrame([("customer:a", "customer", "a"), ("merchant:b", "merchant", "b")], NODE_SCHEMA)
+    edges.write.parquet(f"{settings.edges_path}/writer=scoring/write_id=0")
+    nodes.write.parquet(f"{settings.nodes_path}/writer=scoring/write_id=0")
+    first = sorted(map(tuple, refresh_signals(spark, settings).collect()))
+    (tmp_path / "signals" / "version=000000000001").mkdir()  # begun, and never ended
+    assert sorted(map(tuple, latest_signals(spark, settings).collect())) == first and len(first) == 2
+    refresh_signals(spark, settings)
+    assert sorted(map(tuple, latest_signals(spark, settings).collect())) == first

@@ -86,3 +86,19 @@ def test_split_and_counts_cover_all_rows(rows):
     assert (valid.count(), rejected.count()) == (1, 2)
     assert tuple(v.validation_counts(frame).first()) == (3, 1, 2)
     assert rejected.where(F.col(v.REASON).isNull()).isEmpty()
+
+
+def test_usual_date_spellings(rows):
+    from pyspark.sql import functions as F, types as T
+
+    from paywatch.functions.values import iso_text
+
+    spellings = {
+        "January 5, 2024": "2024-01-05T00:00:00", "5-Jan-2024": "2024-01-05T00:00:00", "2024-01-05 3:04 PM": "2024-01-05T15:04:00",
+        "20240105T030405": "2024-01-05T03:04:05", "Jan 5 2024 3:00PM": "2024-01-05T15:00:00", "13/01/2024": "2024-01-13T00:00:00",
+        "2024-01-05 10:00:00 UTC": "2024-01-05T10:00:00+00:00", "\t1/13/2024\n": "2024-01-13T00:00:00", "5 March 2024": "2024-03-05T00:00:00",
+        "2024-01-05T10:00:00+02:00": "2024-01-05T10:00:00+02:00", "junk": None, "32/01/2024": None,
+    }
+    frame = rows("t string", *[(s,) for s in spellings])
+    found = {r["t"]: r["i"] for r in frame.select("t", iso_text(F.col("t"), T.StringType()).alias("i")).collect()}
+    assert found == spellings
