@@ -45,15 +45,36 @@ START = "▁"
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
+class HashIndex:
+    """Places of hashes in a sorted list: the first bits tell where to look, then a few steps."""
+
+    BITS = 20
+
+    def __init__(self, hashes: np.ndarray) -> None:
+        bounds = np.arange(1 << self.BITS, dtype=np.uint64) << np.uint64(64 - self.BITS)
+        self.last = len(hashes) - 1
+        self.first = np.searchsorted(hashes, bounds).astype(np.int32)
+        self.steps = int(np.diff(np.append(self.first, len(hashes))).max())
+        self.hashes = np.append(hashes, hashes[-1])
+
+    def find(self, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of each value, and whether it is there at all."""
+        at = self.first[(value >> np.uint64(64 - self.BITS)).astype(np.int64)]
+        for _ in range(self.steps):
+            at = at + (self.hashes[at] < value)
+            np.minimum(at, self.last, out=at)
+        return at, self.hashes[at] == value
+
+
 @dataclass
 class Pieces:
-    """Hashes (sorted) of all that pieces start with and the piece each is, or -1; log weights of the pieces,
+    """Index of the hashes of all that pieces start with and the piece each is, or -1; log weights of the pieces,
     their kind, and the log weights of the 256 bytes and of a word's end.
 
     Pieces that begin a word have weights that sum to 1; so have the others, the bytes and the end.
     """
 
-    hashes: np.ndarray
+    index: HashIndex
     piece: np.ndarray
     begins: np.ndarray
     weight: np.ndarray
@@ -89,13 +110,13 @@ def load_pieces(path: str = VOCABULARY) -> Pieces:
         raise ValueError("Two pieces of the vocabulary have the same hash.")
     byte_mass = np.full(256, mass.min())
     piece = np.fromiter(known.values(), np.int64, len(known))[order]
-    return _weighted(hashes[order], piece, begins, mass, byte_mass, mass[~begins].sum() / 2)
+    return _weighted(HashIndex(hashes[order]), piece, begins, mass, byte_mass, mass[~begins].sum() / 2)
 
 
-def _weighted(hashes, piece, begins, mass, byte_mass, end_mass) -> Pieces:
+def _weighted(index, piece, begins, mass, byte_mass, end_mass) -> Pieces:
     first, rest = mass[begins].sum(), mass[~begins].sum() + byte_mass.sum() + end_mass
     weight = np.log(mass) - np.log(np.where(begins, first, rest))
-    return Pieces(hashes, piece, begins, weight, np.log(byte_mass / rest), float(np.log(end_mass / rest)))
+    return Pieces(index, piece, begins, weight, np.log(byte_mass / rest), float(np.log(end_mass / rest)))
 
 
 def _hash_all(codes: np.ndarray) -> np.ndarray:
@@ -129,8 +150,7 @@ def _arcs(codes: np.ndarray, pieces: Pieces) -> Arcs:
         for end in range(start + 1, length + 1):
             value = (value + codes[words, end - 1].astype(np.uint64) + np.uint64(1)) * PRIME
             value ^= value >> np.uint64(29)
-            at = np.minimum(np.searchsorted(pieces.hashes, value), len(pieces.hashes) - 1)
-            goes_on = pieces.hashes[at] == value
+            at, goes_on = pieces.index.find(value)
             piece = np.where(goes_on, pieces.piece[at], -1)
             is_arc = (piece >= 0) & (pieces.begins[piece] == (start == 0))
             if end == start + 1 and start:
@@ -303,7 +323,7 @@ def fit_pieces(counts: DataFrame, columns: list[str], types: list[int], pieces:
         for piece, sum_ in rows:
             passed[piece] = sum_
         models = [
-            _weighted(m.hashes, m.piece, m.begins, own[:-256] + PRIOR * prior, own[-256:] + PRIOR / 2**16, n + 1.0) if n else m
+            _weighted(m.index, m.piece, m.begins, own[:-256] + PRIOR * prior, own[-256:] + PRIOR / 2**16, n + 1.0) if n else m
             for m, own, n in zip(models, passed.reshape(len(columns), -1), types)
         ]
     return models

@@ -24,7 +24,7 @@ def pieces():
 
 def spelled_slowly(word, pieces):
     """Sum over all cuts, by recursion on strings."""
-    known = {int(h): p for h, p in zip(pieces.hashes, pieces.piece) if p >= 0}
+    known = {int(h): p for h, p in zip(pieces.index.hashes, pieces.piece) if p >= 0}
     text = lattice.START + word
     whole = [1.0] + [0.0] * len(text)
     for end in range(1, len(text) + 1):
