@@ -1,7 +1,8 @@
 """Time the headline queries: python bench.py prints one JSON line.
 
-Shared inputs (scored rows, the stored graph) are built before the clock starts; every result is
-computed in full and thrown away.
+`end_to_end` builds everything from the raw events to the stored alerts (features, scores, graph signals,
+audit tables) and is timed first; the other queries find those tables built. Every result is computed in
+full and thrown away.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ HEADLINE = (
     "attach_graph_signals",
     "alert_rules",
     "score_anomaly",
+    "score_fraud",
     "top_alerts",
     "kpi_delta_7d",
 )
@@ -51,10 +53,11 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     from paywatch.plans import queries as plans
 
-    plans.QUERIES["top_alerts"](spark, sf_dir).count()  # builds scored rows, graph, signals and audit tables
-    plans.stored(spark, sf_dir, "enriched", lambda: plans.views.enriched(spark, sf_dir))
     names = sys.argv[1:] or HEADLINE
-    times = {}
+    start = time.perf_counter()
+    plans.QUERIES["top_alerts"](spark, sf_dir).count()
+    times = {"end_to_end": round(time.perf_counter() - start, 3)}
+    plans.stored(spark, sf_dir, "enriched", lambda: plans.views.enriched(spark, sf_dir))
     for name in names:
         start = time.perf_counter()
         plans.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
