@@ -34,6 +34,7 @@ class Settings:
     edges_path: str = "audit/graph_edges"
     nodes_path: str = "audit/graph_nodes"
     signals_path: str = "audit/graph_signals"
+    profile_path: str = "audit/historical_profile"
 
     # Topics, window sizes and thresholds that results depend on.
     kafka_bootstrap_servers: str = "localhost:9092"

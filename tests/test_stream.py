@@ -148,3 +148,28 @@ def test_signals_survive_a_write_that_is_cut_off(spark, rows, tmp_path):
     assert sorted(map(tuple, latest_signals(spark, settings).collect())) == first and len(first) == 2
     refresh_signals(spark, settings)
     assert sorted(map(tuple, latest_signals(spark, settings).collect())) == first
+
+
+def test_trained_models_score_a_stream(spark, rows, tmp_path):
+    from paywatch.streaming.compose import refresh_profile, run_scoring, train_models
+
+    settings = Settings(
+        checkpoint_location=str(tmp_path / "cp"),
+        **{f"{n}_path": str(tmp_path / n) for n in ("scored", "alerts", "edges", "nodes", "signals", "profile", "fraud_model", "anomaly_model")},
+    )
+    past = rows(
+        "transaction_id string, user_id string, account_id string, merchant_id string, amount double, timestamp string, label string",
+        *[(f"p{i}", f"u{i % 4}", None, "m", 900.0 if i % 10 == 0 else 5.0 + i % 7, f"2023-12-{1 + i % 28:02d}T10:00:00", "fraud" if i % 10 == 0 else "legit")
+          for i in range(200)],
+    )
+    train_models(past, settings, trees=3, depth=2)
+    refresh_profile(past.drop("label"), settings)
+    source = tmp_path / "in"
+    write(source, "a", [message(i, i % 50, user=f"u{i % 4}") for i in range(1, 20)])
+    write(source, "b", [message(100, 0, hour=3)])
+    processor = BatchProcessor(settings, publish=False)
+    stream = parse_json_payload(message_files(spark, str(source)))
+    run_scoring(stream, settings, processor, available_now=True).awaitTermination()
+    table = audit.read_table(spark, settings.scored_path, audit.SCORED_SCHEMA)
+    assert table.count() == 19
+    assert table.where("fraud_probability IS NULL OR fraud_probability NOT BETWEEN 0 AND 1 OR anomaly_score IS NULL").isEmpty()
