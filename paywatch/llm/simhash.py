@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from paywatch.llm.common import map_arrow, parts_for, texts_of
 from paywatch.operators.components import connected_components
@@ -203,17 +203,11 @@ def print_links(prints: DataFrame, distance: int = 2, group_limit: int = GROUP_L
         rows = scratch.write(again.select(F.explode(finer[F.col("mask")]).alias("mask"), "print"), "rows", 1_000)
 
 
-def simhash_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", distance: int = 2, **limits: int) -> DataFrame:
-    """Fingerprint and component of every row: key, print (signed), component_id.
-
-    Words are cut at ASCII white space after lower-casing A-Z; a text with fewer words than a shingle
-    is one shingle, one without words (or a missing one) has fingerprint zero and is linked like any
-    other. Components are named by their smallest id; rows without id are linked but never name one,
-    unless the component has no other. Repeated rows get the same answer; an empty table an empty one.
-    """
-    scratch = Scratch(docs.sparkSession, "prints")
-    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
-    own = scratch.write(map_arrow(rows, _fingerprints, "key bigint, print bigint"), "prints")
+def _groups(rows: DataFrame, distance: int, **limits: int) -> DataFrame:
+    """key, print and component_id, the smallest key of the component, of rows (key, text); keys may be of any type."""
+    scratch = Scratch(rows.sparkSession, "prints")
+    kind = rows.schema["key"].dataType.simpleString()
+    own = scratch.write(map_arrow(rows, _fingerprints, f"key {kind}, print bigint"), "prints")
     distinct = scratch.write(own.groupBy("print").agg(F.min("key").alias("key")), "distinct")
     links = print_links(distinct, distance, **limits)
     if links.isEmpty():
@@ -223,23 +217,44 @@ def simhash_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", dis
         rooted = distinct.join(found, "print", "left").select("print", "key", F.coalesce("root", "print").alias("root"))
         smallest = rooted.groupBy("root").agg(F.min("key").alias("component_id"))
         named = rooted.join(smallest, "root").select("print", "component_id")
-    return own.join(named, "print").select(F.col("key").alias(key), "print", "component_id")
+    return own.join(named, "print").select("key", "print", "component_id")
 
 
-def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", distance: int = 2) -> DataFrame:
-    """One row of every component, that with the smallest id, with the columns of `docs`.
+def simhash_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", distance: int = 2, **limits: int) -> DataFrame:
+    """Fingerprint and component of every row: key, print (signed), component_id.
 
-    Ids are taken to be unique, as they are after exact dedup; of rows that repeat an id one stays. Rows
-    without id stay only where their component has no other.
+    Words are cut at ASCII white space after lower-casing A-Z; a text with fewer words than a shingle
+    is one shingle, one without words (or a missing one) has fingerprint zero and is linked like any
+    other. Components are named by their smallest id; rows without id are linked but never name one,
+    unless the component has no other. Repeated rows get the same answer; an empty table an empty one.
     """
-    stays = (
-        simhash_groups(docs, key, text, distance)
-        .where(F.col(key).eqNullSafe(F.col("component_id")))
-        .select(F.col(key).alias("stays"))
-    )
+    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
+    return _groups(rows, distance, **limits).select(F.col("key").alias(key), "print", "component_id")
+
+
+def identity(key: str, text: str) -> Column:
+    """Tells rows apart that share an id or have none; sorts by id, those without one last, then by text."""
+    number = F.col(key).cast("long")
+    digest = F.unhex(F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary")))
+    return F.struct(number.isNull().alias("missing"), F.coalesce(number, F.lit(0)).alias("id"), digest.alias("digest"))
+
+
+def one_per_group(docs: DataFrame, key: str, text: str, stays: DataFrame) -> DataFrame:
+    """The rows of `docs` whose identity is one of `stays` (stays: repeated identities allowed), one row for each."""
     stays, seen = Scratch(docs.sparkSession, "stays").write_with(
         stays.groupBy("stays").agg(F.count(F.lit(1)).alias("times")), "ids", times=F.max("times")
     )
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(key).cast("long").alias("own"))
-    kept = rows.join(stays, F.col("own").eqNullSafe(F.col("stays")), "left_semi")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), identity(key, text).alias("own"))
+    kept = rows.join(stays, F.col("own") == F.col("stays"), "left_semi")
     return (kept.dropDuplicates(["own"]) if (seen["times"] or 0) > 1 else kept).select("row.*")
+
+
+def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", distance: int = 2) -> DataFrame:
+    """One row of every component, that with the smallest id, with the columns of `docs`.
+
+    Rows without id come after all others; rows that share an id, or have none, are told apart by their text,
+    so every component keeps exactly one row.
+    """
+    rows = docs.select(identity(key, text).alias("key"), F.col(text).cast("string").alias("text"))
+    stays = _groups(rows, distance).where("key = component_id").select(F.col("key").alias("stays"))
+    return one_per_group(docs, key, text, stays)

@@ -213,6 +213,16 @@ def test_near_copies_leave_one(rows):
     assert sorted(r[0] for r in kept.collect()) == [3, 9] and kept.columns == frame.columns
 
 
+def test_near_copies_without_or_with_shared_ids(rows):
+    """Every component keeps one row, whatever its ids."""
+    text = "a quick brown fox jumps over the lazy dog near the river bank " * 30
+    other, third = "something else entirely here " * 9, "one more text that has its own words " * 9
+    kept = simhash.drop_near_copies(rows(DOCS, (None, other, "s"), (None, third, "s"), (None, text, "s"), (7, text + "x", "s")))
+    assert sorted(r[1] for r in kept.collect()) == sorted([other, third, text + "x"])
+    kept = simhash.drop_near_copies(rows(DOCS, (5, other, "s"), (5, third, "s"), (5, text, "s"), (4, text, "s")))
+    assert sorted((r[0], r[1]) for r in kept.collect()) == sorted([(5, other), (5, third), (4, text)])
+
+
 @pytest.mark.parametrize(
     "operator",
     [
