@@ -33,7 +33,7 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = benchmark_hits(docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    found = benchmark_hits(docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"], nameless=True)
     return found.select(
         "row.doc_id",
         "n_words",

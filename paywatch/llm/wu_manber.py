@@ -14,12 +14,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from paywatch.llm.common import map_arrow, share, shared, texts_of
+from paywatch.session import Scratch
 
 WINDOW = 10
 BLOCK = 2
 
 #: Bytes of benchmark text whose tables are sent to the tasks at once; a larger benchmark takes more rounds.
-ROUND_BYTES = 16 << 20
+ROUND_BYTES = 2 << 20
 
 #: Lower-case A-Z; ASCII characters that no word has become a space.
 FOLD = bytes(
@@ -41,6 +42,7 @@ class Patterns:
             for at in range(len(words) - length + 1 if length else 0):
                 owners[length][tuple(words[at : at + length])].add(item)
         self.tables = []
+        alike: dict[frozenset, frozenset] = {}  # windows of the same items share one set
         for length, windows in sorted(owners.items()):
             block = min(BLOCK, length)
             shift: dict[tuple[bytes, ...], int] = {}
@@ -49,7 +51,8 @@ class Patterns:
                 for end in range(block, length + 1):
                     key = words[end - block : end]
                     shift[key] = min(shift.get(key, length), length - end)
-                buckets[words[length - block :]].append((words, frozenset(found)))
+                held = frozenset(found)
+                buckets[words[length - block :]].append((words, alike.setdefault(held, held)))
             self.tables.append((length, block, shift, dict(buckets)))
 
     def search(self, words: list[bytes]) -> Iterator[tuple[int, int, frozenset]]:
@@ -92,7 +95,7 @@ def _scan(patterns, text: str, keep: list[str]):
                     mark = mark or bytearray(len(words))
                     mark[start : start + length] = b"\1" * length
                     names |= items
-                found.append((bytes(mark) or None, sorted(names), len(words), mark.count(1)))
+                found.append((bytes(mark) or None, sorted(names, key=lambda name: (name is None, name or "")), len(words), mark.count(1)))
             on = pa.StructArray.from_arrays([rows.field(c) for c in keep], names=keep)
             columns = [pa.array(c, t) for c, t in zip(zip(*found), FOUND_ARROW)] if found else [pa.array([], t) for t in FOUND_ARROW]
             yield pa.RecordBatch.from_arrays([on, *columns], names=["row", "hits", "items", "n_words", "n_hit"])
@@ -100,10 +103,13 @@ def _scan(patterns, text: str, keep: list[str]):
     return task
 
 
-def _rounds(benchmark: DataFrame, item: str, text: str, round_bytes: int) -> Iterator[list[tuple[str, list[bytes]]]]:
+def _rounds(
+    benchmark: DataFrame, item: str, text: str, round_bytes: int, nameless: bool
+) -> Iterator[list[tuple[str | None, list[bytes]]]]:
     """Benchmark items in sets of bounded bytes; a single item may exceed the bound."""
     held, size = [], 0
-    rows = benchmark.where(F.col(item).isNotNull()).select(F.col(item).cast("string"), F.col(text).cast("string"))
+    items = benchmark if nameless else benchmark.where(F.col(item).isNotNull())
+    rows = items.select(F.col(item).cast("string"), F.col(text).cast("string"))
     for name, body in rows.toLocalIterator():
         words = words_of((body or "").encode())
         if held and size + len(body or "") > round_bytes:
@@ -123,16 +129,19 @@ def benchmark_hits(
     window: int = WINDOW,
     round_bytes: int = ROUND_BYTES,
     keep: list[str] | None = None,
+    nameless: bool = False,
 ) -> DataFrame:
     """The columns `keep` (default: all) of every row of `docs` as struct `row`, with n_words, n_hit and items.
 
     A window is `window` consecutive words of an item, or all words of a shorter item; an item without
-    words, or without id, has none. `items` are the ids, as sorted strings, of the items with a window
+    words has none. An item without id counts only if `nameless`; it then stands in `items` as one null, after the
+    ids. `items` are the ids, as sorted strings, of the items with a window
     that occurs in the text, `n_hit` the words inside any occurrence. Missing texts have no words. Rows
     that repeat are judged alike; an empty benchmark hits nothing, an empty table gives an empty result.
     """
     spark, keep = docs.sparkSession, keep or docs.columns
-    rounds = _rounds(benchmark, item, item_text, round_bytes)
+    rounds = _rounds(benchmark, item, item_text, round_bytes, nameless)
+    scratch = Scratch(spark, "decontamination")
     part = next(rounds)
     marked = docs.withColumn(text, F.col(text).cast("string")).select(
         F.struct(*docs.columns).alias("row"), F.lit(None).cast("binary").alias("hits"), F.lit(None).cast("array<string>").alias("items")
@@ -144,10 +153,12 @@ def benchmark_hits(
         schema = f"row struct<{', '.join(f'`{c}`: {kinds[c]}' for c in on)}>, {FOUND}"
         table = share(spark, Patterns(part, window))
         marked = map_arrow(marked.select("row", "hits", "items"), _scan(table, text, on), schema)
+        if after is not None:
+            marked = scratch.write(marked, "round")  # so that a task holds the tables of one round only
         part = after
     return marked.select("row", "n_words", "n_hit", "items")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The rows without any hit, with the columns of `docs`."""
-    return benchmark_hits(docs, benchmark, **options).where("n_hit = 0").select("row.*")
+    """The rows without any hit, also of benchmark items without id, with the columns of `docs`."""
+    return benchmark_hits(docs, benchmark, **{"nameless": True, **options}).where("n_hit = 0").select("row.*")

@@ -1,9 +1,13 @@
 import random
 import re
 
+import duckdb
 import pytest
 
 from paywatch.llm import wu_manber
+from paywatch.llm.oracles import ORACLES
+from paywatch.llm.queries import QUERIES
+from tools.check import canonical
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -56,3 +60,20 @@ def test_edges(rows):
     assert kept.columns == docs.columns and [tuple(r) for r in kept.collect()] == [(None,) * 5]
     assert wu_manber.drop_contaminated(docs, bench.where("false")).count() == 4
     assert wu_manber.benchmark_hits(docs.where("false"), bench).count() == 0
+
+
+@pytest.mark.parametrize("round_bytes", [8, 1 << 20])
+def test_items_without_id_contaminate(rows, tmp_path, spark, round_bytes):
+    """As in the SQL: their words are hit, and together they count as one item without a name."""
+    docs = rows("doc_id long, text string", (1, "x a b c y"), (2, "d e f"), (3, "q r"), (4, "a b c d e f"))
+    bench = rows("item_id long, text string", (None, "A b, C"), (7, "d e f"), (None, "e f"))
+    found = wu_manber.benchmark_hits(docs, bench, round_bytes=round_bytes, nameless=True).select("row.doc_id", "n_hit", "items").collect()
+    assert {r[0]: (r[1], r[2]) for r in found} == {1: (3, [None]), 2: (3, ["7", None]), 3: (0, []), 4: (6, ["7", None])}
+    assert [r[0] for r in wu_manber.drop_contaminated(docs, bench, round_bytes=round_bytes).collect()] == [3]
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    db = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        db.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    ours, theirs = (canonical(f) for f in (QUERIES["op4_decontamination"](spark, str(tmp_path)).toPandas(), db.sql(ORACLES["op4_decontamination"]).df()))
+    assert ours.equals(theirs)
