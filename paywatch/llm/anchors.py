@@ -150,8 +150,8 @@ def segments(units: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, ...
 
 # kind 0: settled, these window starts repeat; 1: a segment, one for all its copies; 2: a marker
 NAMES = ["kind", "gram", "salt", "segment", "doc", "tag", "first", "count", "place", "copies"]
-SCHEMA = "kind tinyint, gram bigint, salt smallint, segment bigint, doc bigint, tag int, first int, count int, place int, copies tinyint"
-KINDS = (np.int8, np.int64, np.int16, np.int64, np.int64, np.int32, np.int32, np.int32, np.int32, np.int8)
+SCHEMA = "kind tinyint, gram bigint, salt smallint, segment bigint, doc bigint, tag bigint, first int, count int, place int, copies tinyint"
+KINDS = (np.int8, np.int64, np.int16, np.int64, np.int64, np.int64, np.int32, np.int32, np.int32, np.int8)
 
 Columns = dict[str, np.ndarray]
 
@@ -239,7 +239,7 @@ def _scan(units_of: Callable[[], Callable[[bytes], np.ndarray]], window: int, gr
             for doc, tag, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts_of(batch.column(2))):
                 found = segments(units(text), window, gram)
                 if len(found[0]):
-                    held.append((*found, np.full(len(found[0]), doc), np.full(len(found[0]), tag, np.int32)))
+                    held.append((*found, np.full(len(found[0]), doc), np.full(len(found[0]), tag, np.int64)))
                 size += len(text)
                 if size >= FLUSH_BYTES and held:
                     yield from flush()
@@ -272,10 +272,10 @@ def _meet(keep_first: bool):
 
 
 def identified(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """doc, tag, text: a missing id comes after all others; the tag tells texts apart that share an id."""
+    """doc, tag, text: a missing id comes after all others; the tag, 64 bits, tells texts apart that share an id."""
     body = F.col(text).cast("string")
     return docs.select(
-        F.coalesce(F.col(key).cast("long"), F.lit((1 << 63) - 1)).alias("doc"), F.hash(body).alias("tag"), body.alias("text")
+        F.coalesce(F.col(key).cast("long"), F.lit((1 << 63) - 1)).alias("doc"), F.xxhash64(body).alias("tag"), body.alias("text")
     )
 
 

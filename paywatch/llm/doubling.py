@@ -28,7 +28,7 @@ WORD_BYTES = 6.5
 def _levels(window: int):
     """Per open segment the hashes of the half-length windows beside its anchor and of all its windows."""
     quarter, half = window // 4, window // 2
-    schema = pa.schema([("doc", pa.int64()), ("tag", pa.int32()), ("first", pa.int32()), ("left", pa.int64()), ("right", pa.int64()),
+    schema = pa.schema([("doc", pa.int64()), ("tag", pa.int64()), ("first", pa.int32()), ("left", pa.int64()), ("right", pa.int64()),
                         ("place", pa.int32()), ("hashes", pa.list_(pa.int64()))])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,7 +86,7 @@ def repeated_runs(rows: DataFrame, total_bytes: int, window: int = WINDOW) -> Da
     settled = found.where("kind = 0").select("doc", "tag", "first", "count")
     open_runs = found.where("kind = 1").groupBy("doc", "tag").agg(F.collect_list(F.struct("first", "count", "place")).alias("open"))
     texts = rows.join(open_runs, ["doc", "tag"])
-    schema = "doc bigint, tag int, first int, left bigint, right bigint, place int, hashes array<bigint>"
+    schema = "doc bigint, tag bigint, first int, left bigint, right bigint, place int, hashes array<bigint>"
     runs, seen = scratch.write_with(map_arrow(texts, _levels(window), schema), "runs", rows=F.count(F.lit(1)))
 
     # half of the length: a side of an anchor goes on if other segments have the same

@@ -141,8 +141,8 @@ def repeated_starts(strings: list[bytes], length: int) -> list[np.ndarray]:
     return [starts[a:b] - f for a, b, f in zip(cuts[:-1].tolist(), cuts[1:].tolist(), first.tolist())]
 
 
-RUN = pa.schema([("doc", pa.int64()), ("tag", pa.int32()), ("first", pa.int32()), ("count", pa.int32())])
-RUN_SQL = "doc bigint, tag int, first int, count int"
+RUN = pa.schema([("doc", pa.int64()), ("tag", pa.int64()), ("first", pa.int32()), ("count", pa.int32())])
+RUN_SQL = "doc bigint, tag bigint, first int, count int"
 
 
 def _cut(length: int):
@@ -254,7 +254,7 @@ def repeated_runs(
     # all read the same shuffled texts, which is cheaper than to store what is cut from them
     small = cut.join(large.select("gram"), "gram", "left_anti").select(*cut.columns)
     hot = cut.join(large.select("gram"), "gram", "left_semi").select(*cut.columns)
-    windows = map_arrow(hot, _window_hashes(length), "a bigint, b bigint, copies tinyint, doc bigint, tag int, first int")
+    windows = map_arrow(hot, _window_hashes(length), "a bigint, b bigint, copies tinyint, doc bigint, tag bigint, first int")
     again = windows.groupBy("a", "b").agg(F.sum("copies").alias("n")).where("n > 1").select("a", "b")
     repeated = windows.join(again, ["a", "b"]).select("doc", "tag", "first", F.lit(1).alias("count"))
     return settled.unionByName(_expanded(small, seen["open_bytes"], length, block_bytes)).unionByName(repeated)

@@ -135,6 +135,26 @@ def test_suffix_dedup_counts_repeated_rows(rows):
     assert sorted([(*r[:5], bytes(r[5])) for r in found], key=str) == bytes_expected(data, 20)
 
 
+@pytest.fixture(scope="module")
+def alike(spark):
+    """Two texts whose 32-bit hashes are equal."""
+    body = F.concat(F.repeat(F.concat(F.sha2(F.col("id").cast("string"), 256), F.lit(" ")), (4 + F.col("id") % 3).cast("int")), F.col("id").cast("string"))
+    texts = spark.range(300_000).select(body.alias("text")).groupBy(F.hash("text").alias("h")).agg(F.collect_list("text").alias("same"))
+    return sorted(texts.where(F.size("same") > 1).first()["same"], key=len)[:2]
+
+
+@pytest.mark.parametrize("key", [None, 7])
+def test_texts_of_one_id_and_one_short_hash(rows, alike, key):
+    """What repeats in one text must not be cut from another with the same id and 32-bit hash."""
+    short, long = alike
+    unique = " ".join(f"u{i}" for i in range(60))
+    data = [(key, short, "s"), (key, long, "s"), (1, long, "s"), (2, unique, "s")]
+    found = suffix.drop_repeated_bytes(rows(DOCS, *data), length=40).collect()
+    assert sorted([(*r[:5], bytes(r[5])) for r in found], key=str) == bytes_expected(data, 40)
+    schema = anchors.identified(rows(DOCS, *data), "doc_id", "text")
+    assert schema.select("doc", "tag").distinct().count() == 4
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_interval_expansion(seed):
     rng = np.random.default_rng(seed)
