@@ -5,13 +5,15 @@ footer, sidebar, notice, advert, form or reader comment give a gap of empty line
 a line is the length of its text outside links. Weights are summed over sliding windows of lines: where
 the sum rises from nothing the text surges, where it falls back to nothing it dives. What lies between
 a surge and its dive is one candidate. Inside a marked article all candidates are its text; on a page
-without that mark the heaviest candidates are.
+without that mark the heaviest candidates are, where candidates with text in one container weigh as one.
+A form that holds most of the text of a page is no part beside it.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -35,6 +37,9 @@ BLOCKS = frozenset(
 )
 BESIDE = frozenset("nav footer aside form menu dialog head fieldset".split())
 SELF_CLOSING = frozenset("p li dt dd".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup caption figcaption summary".split())
+#: Elements that hold paragraphs; what stands directly in one belongs together.
+CONTAINERS = frozenset("article blockquote body center details div fieldset form main section td".split())
 EMPTY = frozenset("br hr img input meta link wbr area base col embed source track".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 #: Words in class or id that name what stands beside a text.
@@ -57,9 +62,13 @@ NAMES = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.
 HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 
 
-def _beside(tag: str, more: str, in_article: bool) -> bool:
-    """Whether an element is named as something other than the main text."""
-    if tag in BESIDE or tag == "header" and not in_article:
+def _beside(tag: str, more: str, in_article: bool, forms: bool = True) -> bool:
+    """Whether an element is named as something other than the main text; forms are only if `forms`.
+
+    Class and id name containers; of paragraphs only the class does, and of headings and inline elements neither.
+    The id of a section inside an article is a name of its topic, unless it is a single word.
+    """
+    if tag in BESIDE and (forms or tag != "form") or tag == "header" and not in_article:
         return True
     if not more or tag in ("html", "body", "main"):
         return False
@@ -70,15 +79,23 @@ def _beside(tag: str, more: str, in_article: bool) -> bool:
         value = value.strip("\"'").lower()
         if name.lower() == "role" and value in ROLES:
             return True
+        if name.lower() == "id" and (tag in SELF_CLOSING or tag == "section" and in_article and not value.isalpha()):
+            continue
         words.update(re.split(r"[^a-z0-9]+", value))
+    if tag in HEADINGS or tag not in BLOCKS and "-" not in tag:
+        return False
     if words & COMMENTS:
         return True
     return tag != "article" and bool(words & HINTS) and not words & BODY_HINTS
 
 
-def _lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
-    """Lines as (text, weight, in a marked article), an empty line at every gap; whether an article is marked."""
+def _lines(page: str, forms: bool = True) -> tuple[list[tuple[str, int, bool]], bool, list[int]]:
+    """Lines as (text, weight, in a marked article), an empty line at every gap; whether an article is marked; each line's container."""
     lines: list[tuple[str, int, bool]] = []
+    parents: list[int] = []
+    stack: list[tuple[str, int]] = []
+    opened: Counter[str] = Counter()
+    containers = 0
     parts: list[str] = []
     linked = article = links = 0
     skip, depth, marked, at = "", 0, False, 0
@@ -88,6 +105,7 @@ def _lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
             lines.append((text, max(len(text) - linked, 0), article > 0))
+            parents.append(stack[-1][1] if stack else 0)
         parts.clear()
         linked = 0
 
@@ -95,6 +113,7 @@ def _lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
         end_line()
         if lines and lines[-1][0]:
             lines.extend([("", 0, article > 0)] * WINDOW)
+            parents.extend([-1] * WINDOW)
 
     for token in TOKEN.finditer(page):
         if token.start() > at and not skip:
@@ -109,7 +128,7 @@ def _lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
             continue
         ends = bool(token["end"])
         if skip:
-            if tag in ("article", "main") and not ends and not _beside(tag, token["more"], False):
+            if tag in ("article", "main") and not ends and not _beside(tag, token["more"], False, forms):
                 skip = ""  # an unclosed element before the text
             elif tag == skip:
                 depth += -1 if ends else 0 if skip in SELF_CLOSING else 1
@@ -121,7 +140,7 @@ def _lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
                 skip = ""
             else:
                 continue
-        if not ends and tag not in EMPTY and _beside(tag, token["more"], article > 0):
+        if not ends and tag not in EMPTY and _beside(tag, token["more"], article > 0, forms):
             gap()
             skip, depth = tag, 1
             continue
@@ -132,17 +151,47 @@ def _lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
         elif tag in BLOCKS:
             end_line()
             links = 0
+            if tag in CONTAINERS and not ends:
+                containers += 1
+                stack.append((tag, containers))
+                opened[tag] += 1
+            elif ends and opened[tag]:
+                closed = ""
+                while closed != tag:
+                    closed = stack.pop()[0]
+                    opened[closed] -= 1
             if tag in ("article", "main"):
                 article = max(article - 1, 0) if ends else article + 1
                 marked = marked or not ends
     if not skip:
         parts.append(page[at:])
     end_line()
-    return lines, marked
+    return lines, marked, parents
+
+
+def _joined(found: list[tuple[int, int]], parents: list[int]) -> list[int]:
+    """The first candidate of those that each candidate shares a container with."""
+    group, first = list(range(len(found))), {}
+
+    def top(k: int) -> int:
+        while group[k] != k:
+            group[k] = group[group[k]]
+            k = group[k]
+        return k
+
+    for k, (a, b) in enumerate(found):
+        for parent in set(parents[a:b]) - {-1}:
+            one, other = sorted((top(k), top(first.setdefault(parent, k))))
+            group[other] = one
+    return [top(k) for k in range(len(found))]
 
 
 def main_text(page: str) -> str:
-    lines, marked = _lines(page)
+    lines, marked, parents = _lines(page)
+    if "<form" in page.lower():
+        plain = _lines(page, forms=False)
+        if 2 * sum(weight for _, weight, _ in lines) < sum(weight for _, weight, _ in plain[0]):
+            lines, marked, parents = plain  # forms hold most of the text
     if marked and not any(text for text, _, inside in lines if inside):
         marked = False
     weights = [weight if inside or not marked else 0 for _, weight, inside in lines]
@@ -160,8 +209,12 @@ def main_text(page: str) -> str:
     if surge >= 0:
         found.append((surge, len(lines)))
     if not marked and found:
-        mass = [total[b] - total[a] for a, b in found]
-        found = [f for f, m in zip(found, mass) if m > 0 and m >= MIN_SHARE * max(mass)]
+        mass: Counter[int] = Counter()
+        group = _joined(found, parents)
+        for (a, b), g in zip(found, group):
+            mass[g] += total[b] - total[a]
+        most = max(mass.values())
+        found = [f for f, g in zip(found, group) if mass[g] > 0 and mass[g] >= MIN_SHARE * most]
     return "\n\n".join(text for a, b in found for text, _, _ in lines[a:b] if text)
 
 

@@ -163,6 +163,24 @@ def test_main_text(page, text):
     assert html_blocks.main_text(page) == text
 
 
+LONG, SHORT = "Long story. " * 90 + "End.", "Short last paragraph, " * 5 + "end."
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<div class=content><p>{LONG}</p><div class=ad><p>Buy</p></div><p>{SHORT}</p></div>", f"{LONG}\n\n{SHORT}"),
+        ("<article><h2 id='social-impact'>Impact</h2><p id='reply-1'>A</p><h2 id='search'>Search</h2><p>B <span class='related'>and c</span></p></article>",
+         "Impact\n\nA\n\nSearch\n\nB and c"),
+        ("<article><section id='social-media'><p>A</p></section><section id=comments><p>Reader</p></section></article>", "A"),
+        (f"<body><form id=form1><nav><p>Menu</p></nav><div><p>{LONG}</p></div></form></body>", LONG),
+        (f"<div><p>{LONG}</p><form><p>Name</p></form></div>", LONG),
+    ],
+)
+def test_text_is_kept_beside_adverts_names_and_forms(page, text):
+    assert html_blocks.main_text(page) == text
+
+
 def test_pages_of_a_table(rows):
     frame = rows("page_id long, url string, html string, text string, row long", (1, "u", "<article><p>A</article>", "t", 1), (None, None, None, None, None),
                  (1, "u", "<article><p>A</article>", "t", 1), (2, "v", "<p>" + "long " * 50_000, "t", 1))
