@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from paywatch.llm import compression
 from paywatch.llm.common import table
 from paywatch.llm.doubling import drop_repeats
 from paywatch.llm.exact_dedup import exact_groups
@@ -12,7 +13,9 @@ from paywatch.llm.html_blocks import extract_text
 from paywatch.llm.lattice import score_texts
 from paywatch.llm.line_dedup import drop_boilerplate
 from paywatch.llm.mixing import mixture
+from paywatch.llm.recompression import periodic_runs, planted
 from paywatch.llm.simhash import simhash_groups
+from paywatch.llm.spelling import misspelt, spelling_variants
 from paywatch.llm.suffix import drop_repeated_bytes
 from paywatch.llm.wu_manber import benchmark_hits
 
@@ -75,6 +78,23 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"), change=misspelt)
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    detector = compression.train_detector(docs, table(spark, sf_dir, "labels"))
+    found = compression.score_toxicity(docs, detector, keep=["doc_id"]).select("row.doc_id", "score")
+    return found.select(
+        "doc_id", compression.held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs(table(spark, sf_dir, "documents"), change=planted, full=False)
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_lm_scoring": op2_lm_scoring,
@@ -86,4 +106,7 @@ QUERIES = {
     "op8_source_mixing": op8_source_mixing,
     "op9_simhash": op9_simhash,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_toxicity": op12_toxicity,
+    "op13_periodic_runs": op13_periodic_runs,
 }
