@@ -12,7 +12,7 @@ from paywatch.llm.common import table
 from paywatch.llm.exact_dedup import drop_copies
 from paywatch.llm.factorisation import drop_low_quality, train_machine
 from paywatch.llm.mixing import mixture
-from paywatch.llm.similar import drop_similar
+from paywatch.llm.simhash import drop_near_copies
 from paywatch.llm.wu_manber import drop_contaminated
 from paywatch.session import Scratch
 
@@ -28,8 +28,8 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group linked by a similarity of 0.8 or more of five-word shingles."""
-    return drop_similar(docs)
+    """One document of every group linked by SimHash fingerprints of three-word shingles, two bits apart at most."""
+    return drop_near_copies(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
