@@ -2,6 +2,7 @@
 
 import math
 import os
+import re
 
 import duckdb
 import pytest
@@ -11,6 +12,7 @@ import corpus_pipeline
 from paywatch.llm import line_dedup, mixing
 from paywatch.llm.oracles import ORACLES
 from paywatch.llm.queries import QUERIES
+from test_dedup import grouped, slow_print
 from tools.check import TABLES, canonical
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -99,6 +101,20 @@ def test_query_equals_sql(spark, db, name):
     assert list(ours.columns) == list(theirs.columns) and ours.equals(theirs)
 
 
+def folded(text):
+    return re.findall("[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+", (text or "").translate({i: i + 32 for i in range(65, 91)}))
+
+
+def windows(text):
+    words = folded(text)
+    return [tuple(words[i : i + 10]) for i in range(max(1, len(words) - 9))] if words else []
+
+
+def contains(text, passages):
+    words = folded(text)
+    return any(tuple(words[i : i + n]) in passages for n in {len(p) for p in passages} for i in range(len(words) - n + 1))
+
+
 @needs_tables
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
@@ -114,6 +130,11 @@ def test_pipeline_stages(spark):
         if number == 1:
             bodies = {"".join((r[0] or "").encode().translate(None, b" \t\n\x0b\x0c\r").decode()) for r in docs.select("text").collect()}
             assert len(ids) == len(bodies)
+        if number == 2:
+            assert ids == set(grouped({r[0]: slow_print(r[1] or "") for r in docs.select("doc_id", "text").collect()}, 2).values())
+        if number == 3:
+            passages = {w for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").select("text").collect() for w in windows(r[0])}
+            assert ids == {r[0] for r in docs.select("doc_id", "text").collect() if not contains(r[1], passages)} < seen
         if number + 1 < len(corpus_pipeline.STAGES):
             assert after.columns == docs.columns
             docs, seen = spark.createDataFrame(after.collect(), docs.schema), ids
