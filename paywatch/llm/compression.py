@@ -43,10 +43,11 @@ PATTERN_BYTES = 8
 THRESHOLDS = (1, 2, 3, 4, 5, 6, 8, 10, 12, 16)
 MEASURES = len(THRESHOLDS) + 4
 
-#: Labelled rows that are learned from at most (a hash of the id chooses them), and the windows, spread over
-#: the whole text, that an ordinary one of them gives to the training of its dictionary.
+#: Labelled rows that are learned from at most (a hash of the id chooses them), and the spelled text a dictionary
+#: is trained on, as a multiple of its size (for the small toxic one 16 times as much): the trainer needs ten times
+#: that memory. Each text gives an equal share, in windows or words spread over the whole of it.
 SAMPLE_ROWS = 8_000
-SAMPLE_WINDOWS = 50
+MATERIAL = 64
 
 #: Standard deviations by which a piece must be more frequent in toxic texts, and how many such pieces are used.
 SIGNIFICANT = 5.0
@@ -195,17 +196,22 @@ def _trained(samples: list[bytes], size: int) -> bytes:
 
 
 def train_dictionaries(texts: list[tuple[bytes, int]], typical: set[bytes]) -> Dictionaries:
+    """Both dictionaries from bounded material, of which every text gives an equal share."""
     spelled = Spelled()
+    rude = sum(label for _, label in texts)
+    ordinary_share = MATERIAL * ORDINARY_BYTES // max(1, len(texts) - rude)
+    toxic_share = MATERIAL * 16 * TOXIC_BYTES // max(1, rude)
     ordinary, toxic = [], []
     for text, label in texts:
         words = words_of(text)
         if label:
-            own = b"".join([spelled[w] for w in words if not typical.isdisjoint(pieces(w))])
+            own = [spelled[w] for w in words if not typical.isdisjoint(pieces(w))]
+            step = -(-sum(map(len, own)) // toxic_share)
             if own:
-                toxic.append(own)
+                toxic.append(b"".join(own[::step]))
         else:
-            parts = -(-len(words) // WINDOW)
-            step = -(-parts // SAMPLE_WINDOWS) * WINDOW or WINDOW
+            size = PIECE * max(1, len(text))  # about what the text takes when spelled
+            step = -(-size // ordinary_share) * WINDOW
             ordinary.append(b"".join([spelled[w] for at in range(0, len(words), step) for w in words[at : at + WINDOW]]))
     return Dictionaries(_trained(ordinary, ORDINARY_BYTES), _trained(toxic, TOXIC_BYTES))
 
