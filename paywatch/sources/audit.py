@@ -1,8 +1,8 @@
 """Audit tables: scored transactions, alerts and the stored graph, written once per transaction id.
 
-A table is a folder of Parquet files, one sub-folder per writer and batch. A batch that is run again
-after a failure replaces its own sub-folder, so nothing is stored twice, not even rows without an id;
-ids found in any other sub-folder are left out. One writer at a time per table.
+A batch that is run again after a failure replaces its own run, so nothing is stored twice, not even rows
+without an id; ids that any other run holds are left out. How runs are laid out, looked up and merged is in
+`runs`. One writer at a time per table.
 """
 
 from __future__ import annotations
@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from paywatch.functions.identity import strip
 from paywatch.functions.values import known
-from paywatch.operators.dedup import first_per_id, unseen
-from paywatch.operators.skew import BROADCAST_ROWS
+from paywatch.operators.dedup import first_per_id
+from paywatch.sources.runs import FAN_IN, append_unseen, read_runs
 from paywatch.sources.schema import table_schema
 
 # Columns of the two tables, in order.
@@ -42,34 +42,21 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The stored rows; an empty table while nothing was written."""
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], schema)
-    return _with_origin(spark, path, schema).select(*schema.fieldNames())
-
-
-def _with_origin(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    origin = T.StructType([T.StructField("writer", T.StringType()), T.StructField("write_id", T.LongType())])
-    return spark.read.schema(T.StructType(schema.fields + origin.fields)).parquet(path)
-
-
-def stored_elsewhere(spark: SparkSession, path: str, schema: T.StructType, writer: str, write_id: int) -> DataFrame:
-    """Rows of all other batches. The folder columns prune the batch's own files from the scan."""
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], schema)
-    mine = (F.col("writer") == writer) & (F.col("write_id") == write_id)
-    return _with_origin(spark, path, schema).where(~mine).select(*schema.fieldNames())
+    return read_runs(spark, path, schema)
 
 
 def append_once(
-    batch: DataFrame, path: str, schema: T.StructType, writer: str, write_id: int, key: str, order: Sequence[str]
-) -> None:
-    """Store the first row of every id that no other batch stored; rows without an id are all stored."""
-    spark = batch.sparkSession
-    first = first_per_id(batch, key, order)
-    rows = batch.limit(BROADCAST_ROWS + 1).count()  # cheap: a stream persists its batch
-    fresh = unseen(first, stored_elsewhere(spark, path, schema, writer, write_id), key, rows)
-    shaped = fresh.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
-    shaped.write.mode("overwrite").parquet(f"{path}/writer={writer}/write_id={write_id}")
+    batch: DataFrame,
+    path: str,
+    schema: T.StructType,
+    writer: str,
+    write_id: int,
+    key: str,
+    order: Sequence[str],
+    fan_in: int = FAN_IN,
+) -> int:
+    """Store the first row of every id that no other batch stored; rows without an id are all stored. Returns how many."""
+    return append_unseen(first_per_id(batch, key, order), path, schema, key, (writer, write_id), fan_in)
 
 
 def aligned(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -88,19 +75,25 @@ def aligned(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(columns)
 
 
-def upsert_scored(batch: DataFrame, path: str, batch_id: int, processed_at: str, writer: str = "scoring") -> None:
-    """Store all rows of a scored batch."""
+def upsert_scored(
+    batch: DataFrame, path: str, batch_id: int, processed_at: str, writer: str = "scoring", fan_in: int = FAN_IN
+) -> int:
+    """Store all rows of a scored batch that are not stored yet; returns how many."""
     stamped = batch.withColumns({"batch_id": F.lit(batch_id), "processed_at": F.lit(processed_at)})
-    append_once(
-        aligned(stamped, SCORED_SCHEMA), path, SCORED_SCHEMA, writer, batch_id, "transaction_id", ["timestamp"]
+    return append_once(
+        aligned(stamped, SCORED_SCHEMA), path, SCORED_SCHEMA, writer, batch_id, "transaction_id", ["timestamp"], fan_in
     )
 
 
-def upsert_alerts(batch: DataFrame, path: str, batch_id: int, received_at: str, writer: str = "scoring") -> None:
-    """Store the rows of a scored batch that raised an alert."""
+def upsert_alerts(
+    batch: DataFrame, path: str, batch_id: int, received_at: str, writer: str = "scoring", fan_in: int = FAN_IN
+) -> int:
+    """Store the rows of a scored batch that raised an alert; returns how many."""
     raised = batch.where(F.coalesce(F.col("alert_triggered").cast("boolean"), F.lit(False)))
     stamped = raised.withColumns({"batch_id": F.lit(batch_id), "received_at": F.lit(received_at)})
-    append_once(aligned(stamped, ALERT_SCHEMA), path, ALERT_SCHEMA, writer, batch_id, "transaction_id", ["timestamp"])
+    return append_once(
+        aligned(stamped, ALERT_SCHEMA), path, ALERT_SCHEMA, writer, batch_id, "transaction_id", ["timestamp"], fan_in
+    )
 
 
 def decode_alerts(messages: DataFrame) -> DataFrame:
@@ -127,8 +120,13 @@ def decode_alerts(messages: DataFrame) -> DataFrame:
 
 
 def ingest_alert_messages(
-    messages: DataFrame, path: str, write_id: int, received_at: str, writer: str = "topic"
-) -> None:
-    """Store triggered alerts from the topic; graph signals, batch and stamp of the alert stay unknown."""
+    messages: DataFrame, path: str, write_id: int, received_at: str, writer: str = "topic", fan_in: int = FAN_IN
+) -> int:
+    """Store triggered alerts from the topic; graph signals, batch and stamp of the alert stay unknown. Returns how many.
+
+    The messages are decoded once: what is looked up and written comes from the kept result.
+    """
     stamped = decode_alerts(messages).withColumn("received_at", F.lit(received_at))
-    append_once(aligned(stamped, ALERT_SCHEMA), path, ALERT_SCHEMA, writer, write_id, "transaction_id", ["timestamp"])
+    return append_once(
+        aligned(stamped, ALERT_SCHEMA), path, ALERT_SCHEMA, writer, write_id, "transaction_id", ["timestamp"], fan_in
+    )

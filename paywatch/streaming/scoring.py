@@ -26,6 +26,7 @@ from paywatch.operators.triangles import no_triangles
 from paywatch.session import Scratch, delete_path
 from paywatch.settings import Settings
 from paywatch.sources import audit
+from paywatch.sources.runs import append_unseen
 from paywatch.sources.schema import table_schema
 from paywatch.sources.transactions import write_messages
 
@@ -128,7 +129,7 @@ class BatchProcessor:
     def _process(self, batch: DataFrame, batch_id: int) -> None:
         settings, spark = self.settings, batch.sparkSession
         summary = batch_summary(batch).first().asDict()
-        self._update_graph(batch, batch_id, summary["records_processed"])
+        self._update_graph(batch, batch_id)
         signals = self._signals(spark, batch_id)
 
         stamp = self.clock().isoformat()
@@ -144,13 +145,10 @@ class BatchProcessor:
             judged.unpersist()
         self.summaries.append({"batch_id": batch_id, **summary})
 
-    def _update_graph(self, batch: DataFrame, batch_id: int, rows: int) -> None:
-        spark, settings = batch.sparkSession, self.settings
-        stored_edges = audit.stored_elsewhere(spark, settings.edges_path, EDGE_SCHEMA, "scoring", batch_id)
-        stored_nodes = audit.stored_elsewhere(spark, settings.nodes_path, NODE_SCHEMA, "scoring", batch_id)
-        folder = f"writer=scoring/write_id={batch_id}"
-        graph_edges(batch, stored_edges, rows).write.mode("overwrite").parquet(f"{settings.edges_path}/{folder}")
-        graph_nodes(batch, stored_nodes, rows).write.mode("overwrite").parquet(f"{settings.nodes_path}/{folder}")
+    def _update_graph(self, batch: DataFrame, batch_id: int) -> None:
+        settings, own = self.settings, ("scoring", batch_id)
+        append_unseen(graph_edges(batch), settings.edges_path, EDGE_SCHEMA, "transaction_id", own)
+        append_unseen(graph_nodes(batch), settings.nodes_path, NODE_SCHEMA, "node_id", own)
 
     def _signals(self, spark: SparkSession, batch_id: int) -> DataFrame:
         settings, newest = self.settings, latest_signals(spark, self.settings)
