@@ -2,9 +2,13 @@
 
 A round lets a random half of the nodes move to the neighbouring community with the best gain in
 modularity, all at once. A round that does not raise modularity is taken back and tried again with a
-quarter as many nodes, in the end with the single best move, which always raises it; so a level ends
-only when no node gains anything. Settled communities become the nodes of a smaller graph, and so on
+quarter as many nodes, and in the end with moves that cannot clash: each community takes part in one of
+them at most, as the one that is left or the one that is joined. Gains of such moves add up exactly, so
+that round always raises modularity, and afterwards the share of nodes that may move grows again. A level
+ends only when no node gains anything. Settled communities become the nodes of a smaller graph, and so on
 until nothing improves.
+
+A graph that grew starts from the communities it had before; only its new nodes begin alone.
 """
 
 from __future__ import annotations
@@ -12,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from paywatch.operators.graph import both_directions, weighted_projection
-from paywatch.operators.skew import BROADCAST_ROWS, join_lookup
+from paywatch.operators.skew import BROADCAST_ROWS, Heavy, heavy_keys, join_lookup
 from paywatch.session import Scratch
 
 SEED = 42
@@ -20,10 +24,16 @@ SEED = 42
 # Fixed value: gain in modularity below which a move, or another level, is not worth it.
 THRESHOLD = 1e-7
 
+# Gaining nodes that may move at once, after a round of moves that cannot clash.
+LEAST_MOVES = 4
+
 
 def _arcs(edges: DataFrame) -> DataFrame:
     """Weighted pairs in both directions, and one loop per node with twice the weight of its self loops."""
-    pairs = weighted_projection(edges)
+    return _arcs_of(weighted_projection(edges))
+
+
+def _arcs_of(pairs: DataFrame) -> DataFrame:
     proper = pairs.where(F.col("node_a") != F.col("node_b"))
     loops = (
         pairs.select(
@@ -43,11 +53,15 @@ def _state(labels: DataFrame, rows: int) -> DataFrame:
     return join_lookup(labels, totals, ["community"], total_rows=rows, lookup_rows=rows)
 
 
-def _moves(arcs: DataFrame, state: DataFrame, weight: float, arc_rows: int, node_rows: int) -> DataFrame:
+def _moves(
+    arcs: DataFrame, state: DataFrame, weight: float, arc_rows: int, node_rows: int, heavy: tuple[Heavy, Heavy] | None
+) -> DataFrame:
     """Per node: its community, the weight it has towards it, and the best other community with its gain.
 
-    The loop every node has keeps its own community among the options.
+    The loop every node has keeps its own community among the options. `heavy` are the nodes of very many arcs,
+    as `neighbour` and as `node`.
     """
+    of_neighbour, of_node = heavy or (None, None)
     # the same columns in the same order, so that one broadcast serves both joins
     theirs = state.select(
         F.col("node").alias("neighbour"), "community", F.col("strength").alias("_strength"), "total", "members"
@@ -61,11 +75,11 @@ def _moves(arcs: DataFrame, state: DataFrame, weight: float, arc_rows: int, node
     )
     link = F.when(F.col("node") == F.col("neighbour"), 0.0).otherwise(F.col("weight"))
     towards = (
-        join_lookup(arcs, theirs, ["neighbour"], total_rows=arc_rows, lookup_rows=node_rows)
+        join_lookup(arcs, theirs, ["neighbour"], total_rows=arc_rows, lookup_rows=node_rows, heavy=of_neighbour)
         .groupBy("node", "community")
         .agg(F.sum(link).alias("towards"), F.max("total").alias("total"), F.max("members").alias("members"))
     )
-    options = join_lookup(towards, own, ["node"], total_rows=arc_rows, lookup_rows=node_rows)
+    options = join_lookup(towards, own, ["node"], total_rows=arc_rows, lookup_rows=node_rows, heavy=of_node)
     # two single nodes would swap for ever: only the one with the larger name may move
     allowed = (F.col("community") != F.col("own")) & ~(
         (F.col("members") == 1) & (F.col("own_members") == 1) & (F.col("community") > F.col("own"))
@@ -93,17 +107,37 @@ def _moves(arcs: DataFrame, state: DataFrame, weight: float, arc_rows: int, node
     )
 
 
-def _settle(scratch: Scratch, arcs: DataFrame, level: int, max_rounds: int) -> tuple[DataFrame, float, int]:
-    """Rounds of moves on one level; the best labels found, their modularity and the number of nodes."""
+def _independent(moves: DataFrame, least: float, node_rows: int) -> DataFrame:
+    """node and target of moves of which no two share a community: those best for both the left and the joined one."""
+    gaining = moves.where(F.col("gain") > least).select("node", "community", "target", F.struct("gain", "node").alias("rank"))
+    best = (
+        gaining.select(F.explode(F.array("community", "target")).alias("community"), "rank")
+        .groupBy("community")
+        .agg(F.max("rank").alias("best"))
+    )
+    left = join_lookup(gaining, best, ["community"], total_rows=node_rows, lookup_rows=node_rows)
+    joined = best.select(F.col("community").alias("target"), F.col("best").alias("best_joined"))
+    both = join_lookup(left.where("rank = best"), joined, ["target"], total_rows=node_rows, lookup_rows=node_rows)
+    return both.where("rank = best_joined").select("node", F.col("target").alias("_target"))
+
+
+def _settle(
+    scratch: Scratch, arcs: DataFrame, level: int, max_rounds: int, start: DataFrame | None = None
+) -> tuple[DataFrame, float, int, list[float]]:
+    """Rounds of moves on one level; the best labels found, their modularity, the number of nodes, and the share of
+    the nodes that moved in each round (0 for moves that cannot clash). `start`: node and community to begin with."""
     is_loop = F.col("node") == F.col("neighbour")
+    alone = arcs.groupBy("node").agg(
+        F.sum("weight").alias("strength"),
+        F.sum(F.when(is_loop, F.col("weight")).otherwise(0.0)).alias("loop"),
+        F.count(F.lit(1)).alias("arcs"),
+    )
+    if start is not None:
+        begun = alone.join(start, "node", "left").withColumn("community", F.coalesce("community", "node"))
+    else:
+        begun = alone.withColumn("community", F.col("node"))
     labels, totals = scratch.write_with(
-        arcs.groupBy("node")
-        .agg(
-            F.sum("weight").alias("strength"),
-            F.sum(F.when(is_loop, F.col("weight")).otherwise(0.0)).alias("loop"),
-            F.count(F.lit(1)).alias("arcs"),
-        )
-        .withColumn("community", F.col("node")),
+        begun,
         f"labels{level}",
         weight=F.sum("strength"),
         loops=F.sum("loop"),
@@ -111,62 +145,85 @@ def _settle(scratch: Scratch, arcs: DataFrame, level: int, max_rounds: int) -> t
         arcs=F.sum("arcs"),
     )
     weight, loops, node_rows, arc_rows = (totals[name] for name in ("weight", "loops", "nodes", "arcs"))
+    heavy = None
+    if node_rows > BROADCAST_ROWS:
+        found = heavy_keys(arcs, ["neighbour"])  # every arc stands there in both directions
+        table = None if found.table is None else found.table.withColumnRenamed("neighbour", "node")
+        heavy = found, Heavy(table, found.missing, found.slices)
 
-    best, best_quality, found, share = None, float("-inf"), {}, 0.5
+    best, best_quality, found, share, shares = None, float("-inf"), {}, 0.5, []
     least = THRESHOLD * weight / 2  # in links; moving a node changes modularity by twice its gain / weight
     for step in range(max_rounds):
         state = _state(labels, node_rows)
         if node_rows > BROADCAST_ROWS:
             state = scratch.write(state, f"state{level}")
         moves, totals = scratch.write_with(
-            _moves(arcs, state, weight, arc_rows, node_rows),
+            _moves(arcs, state, weight, arc_rows, node_rows, heavy),
             f"moves{level}",
-            keep_last=max_rounds,
             inside=F.sum("inside"),
             # over the nodes of a community this adds up to its total squared
             squares=F.sum(F.col("strength") * F.col("total")),
             movable=F.count_if(F.col("gain") > least),
-            top=F.max_by("node", "gain"),
         )
         quality = (totals["inside"] + loops) / weight - totals["squares"] / weight**2
         if quality > best_quality:
-            best, best_quality, found, share = moves, quality, totals, min(0.5, 2 * share)
-        elif share == 0.0:
-            break  # even the single best move is lost in rounding
+            best, best_quality, found = moves, quality, totals
+            share = min(0.5, max(2 * share, LEAST_MOVES / max(1, found["movable"])))
         else:
-            share = share / 4 if share * found["movable"] > 4 else 0.0
+            scratch.discard(f"moves{level}")
+            if share == 0.0:
+                break  # even moves that cannot clash are lost in rounding
+            share = share / 4 if share * found["movable"] > LEAST_MOVES else 0.0
         if not found["movable"]:
             break
+        shares.append(share)
         if share:
             drawn = F.pmod(F.xxhash64("node", F.lit(SEED), F.lit(step)), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)))
+            target = F.when(drawn & (F.col("gain") > least), F.col("target"))
+            labels = best.select("node", "strength", F.coalesce(target, "community").alias("community"))
         else:
-            drawn = F.col("node") == F.lit(found["top"])
-        chosen = drawn & (F.col("gain") > least)
-        labels = best.select(
-            "node", "strength", F.when(chosen, F.col("target")).otherwise(F.col("community")).alias("community")
-        )
+            chosen = join_lookup(best, _independent(best, least, node_rows), ["node"], total_rows=node_rows, lookup_rows=node_rows)
+            labels = chosen.select("node", "strength", F.coalesce("_target", "community").alias("community"))
     else:
         raise RuntimeError(f"Communities did not settle in {max_rounds} rounds.")
     settled = scratch.write(best.select("node", "community"), f"settled{level}")
-    return settled, best_quality, node_rows
+    return settled, best_quality, node_rows, shares
 
 
 def communities(
-    edges: DataFrame, nodes: DataFrame | None = None, max_levels: int = 40, max_rounds: int = 400
+    edges: DataFrame,
+    nodes: DataFrame | None = None,
+    max_levels: int = 40,
+    max_rounds: int = 400,
+    start: DataFrame | None = None,
 ) -> DataFrame:
     """Community of every node that has an edge, named by its smallest node id.
 
-    When no node has an edge, each node of `nodes` is its own community.
+    When no node has an edge, each node of `nodes` is its own community. `start` (node_id, community_id) are
+    communities of an earlier state of the graph to begin with.
     """
-    scratch = Scratch(edges.sparkSession, "communities")
-    arcs = scratch.write(_arcs(edges), "arcs")
+    return weighted_communities(weighted_projection(edges), nodes, max_levels, max_rounds, start)
+
+
+def weighted_communities(
+    pairs: DataFrame,
+    nodes: DataFrame | None = None,
+    max_levels: int = 40,
+    max_rounds: int = 400,
+    start: DataFrame | None = None,
+) -> DataFrame:
+    """`communities` of undirected pairs node_a, node_b, weight, each there once."""
+    scratch = Scratch(pairs.sparkSession, "communities")
+    arcs = scratch.write(_arcs_of(pairs), "arcs")
+    if start is not None:
+        start = start.select(F.col("node_id").alias("node"), F.col("community_id").alias("community"))
     if arcs.isEmpty():
         ids = arcs.select("node") if nodes is None else nodes.select(F.col("node_id").alias("node"))
         return ids.select(F.col("node").alias("node_id"), F.col("node").alias("community_id"))
 
     assigned, quality = None, float("-inf")
     for level in range(max_levels):
-        settled, level_quality, groups = _settle(scratch, arcs, level, max_rounds)
+        settled, level_quality, groups, _ = _settle(scratch, arcs, level, max_rounds, None if level else start)
         if level_quality <= quality + THRESHOLD:
             break
         quality = level_quality

@@ -109,20 +109,23 @@ def join_lookup(
     total_rows: int | None = None,
     count_from: DataFrame | None = None,
     lookup_rows: int | None = None,
+    heavy: Heavy | None = None,
 ) -> DataFrame:
     """Left join many rows to a lookup with one row per key.
 
     When the caller has counted the lookup and it is small, it is broadcast and no row moves. When the
     caller knows `total_rows` and they fit one slice, no key can be heavy and the join is plain.
     `count_from` is a cheaper table with the same keys in about the same proportions, such as the rows
-    before earlier joins; heavy keys are then counted there. Any proportions give right results.
+    before earlier joins; heavy keys are then counted there. A loop that joins the same rows again and again
+    finds its `heavy` keys once and passes them. Any proportions give right results.
     """
     keys = list(keys)
     if lookup_rows is not None and lookup_rows <= BROADCAST_ROWS:
         return rows.join(F.broadcast(lookup), keys, "left")
     if total_rows is not None and total_rows <= rows_per_slice:
         return rows.join(lookup, keys, "left")
-    heavy = heavy_keys(rows if count_from is None else count_from, keys, slices, rows_per_slice)
+    if heavy is None:
+        heavy = heavy_keys(rows if count_from is None else count_from, keys, slices, rows_per_slice)
     if heavy.table is None and not heavy.missing:
         return rows.join(lookup, keys, "left")
     return (

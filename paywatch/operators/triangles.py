@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from paywatch.operators.graph import both_directions, simple_pairs
 from paywatch.operators.skew import join_lookup
 from paywatch.session import Scratch
 
 
+#: Out-neighbours in one chunk of a node's list.
+CHUNK = 1024
+
+
 def _numbered(pairs: DataFrame) -> DataFrame:
     """Every node with its degree and a number of its own; numbers are shorter than names in what follows."""
     degree = both_directions(pairs).groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
@@ -34,29 +38,67 @@ def _oriented(pairs: DataFrame, numbered: DataFrame, rows: int) -> DataFrame:
     )
 
 
+def _chunk_of(target: str | Column, chunks: Column) -> Column:
+    """Chunk of a target in a list of `chunks` (a power of two) chunks: the last bits of its hash."""
+    return F.xxhash64(target).bitwiseAND((chunks - 1).cast("long")).cast("int")
+
+
+def _sized(arcs: DataFrame, rows: int) -> DataFrame:
+    """Arcs with the number of out-neighbours of both ends and the chunks those are cut into."""
+    out = arcs.groupBy("low").agg(F.count(F.lit(1)).alias("size"))
+    of_low = out.select("low", F.col("size").alias("low_size"))
+    of_high = out.select(F.col("low").alias("high"), F.col("size").alias("high_size"))
+    sized = join_lookup(join_lookup(arcs, of_low, ["low"], total_rows=rows), of_high, ["high"], total_rows=rows, count_from=arcs)
+
+    def chunks(size: str) -> Column:
+        needed = F.ceil(F.log2(F.col(size) / F.lit(float(CHUNK))))
+        return F.pow(F.lit(2.0), F.greatest(needed, F.lit(0))).cast("int")
+
+    return sized.withColumns({"low_chunks": chunks("low_size"), "high_chunks": chunks("high_size")})
+
+
+def _closing(arcs: DataFrame, rows: int) -> DataFrame:
+    """low, high and the third corners of the triangles of every arc, `rows` arcs at most carrying chunks."""
+    # third corners are targets of both ends: an end without targets, or a low end with this one only, has none
+    open_arcs = arcs.where((F.col("low_size") > 1) & F.col("high_size").isNotNull())
+    lists = (
+        arcs.select("low", _chunk_of("high", F.col("low_chunks")).alias("chunk"), "high")
+        .groupBy("low", "chunk")
+        .agg(F.collect_list("high").alias("targets"))
+    )
+    # the finer of the two cuts: a chunk of the one end meets the only chunk of the other that can share targets with it
+    parts = open_arcs.withColumn("part", F.explode(F.sequence(F.lit(0), F.greatest("low_chunks", "high_chunks") - 1)))
+    asked = parts.select(
+        "low",
+        "high",
+        F.col("part").bitwiseAND(F.col("low_chunks") - 1).alias("chunk"),
+        F.col("part").bitwiseAND(F.col("high_chunks") - 1).alias("high_chunk"),
+    )
+    theirs = lists.select(F.col("low").alias("high"), F.col("chunk").alias("high_chunk"), F.col("targets").alias("high_targets"))
+    # narrow rows go to the hubs, where a hub's rows are spread; the rows that carry a chunk go to (low, chunk)
+    reached = join_lookup(asked, theirs, ["high", "high_chunk"], total_rows=rows).where(F.col("high_targets").isNotNull())
+    return (
+        reached.join(lists, ["low", "chunk"])
+        .select("low", "high", F.array_intersect("targets", "high_targets").alias("third"))
+        .where(F.size("third") > 0)
+    )
+
+
 def triangles(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
     """Number of triangles each node is a corner of.
 
-    Directed towards the higher degree, no node has more than sqrt(2 * pairs) out-neighbours, hubs
-    included, so out-neighbours fit an array. Each directed pair then intersects the arrays of its two
-    ends; pairs of neighbours are never listed. The many pairs that lead to a hub are split over tasks.
+    Directed towards the higher degree, no node has more than sqrt(2 * pairs) out-neighbours, hubs included. They
+    are kept in chunks of about `CHUNK`, cut by hash, so that each directed pair intersects the chunks of its two
+    ends that can share targets, one by one; pairs of neighbours are never listed, and no row carries a whole list.
+    The many pairs that lead to a hub are split over tasks.
     """
     scratch = Scratch(edges.sparkSession, "triangles")
     pairs = scratch.write(simple_pairs(edges), "pairs")
     rows = pairs.count()
     numbered = scratch.write(_numbered(pairs), "numbered")
-    lists = scratch.write(
-        _oriented(pairs, numbered, rows).groupBy("low").agg(F.collect_list("high").alias("targets")), "lists"
-    )
-    arcs = lists.select("low", F.explode("targets").alias("high"))
-    lookup = lists.select(F.col("low").alias("high"), F.col("targets").alias("high_targets"))
-    # narrow rows go to the hubs; the rows that carry an array go to `low`, which has few by the bound above
-    reached = join_lookup(arcs, lookup, ["high"], total_rows=rows).where(F.col("high_targets").isNotNull())
-    closed = (
-        reached.join(lists.where(F.size("targets") > 1), "low")
-        .select("low", "high", F.array_intersect("targets", "high_targets").alias("third"))
-        .where(F.size("third") > 0)
-    )
+    oriented = scratch.write(_oriented(pairs, numbered, rows), "oriented")
+    arcs = scratch.write(_sized(oriented, rows), "arcs")
+    closed = _closing(arcs, rows)
     corner = F.explode(
         F.concat(
             F.array(

@@ -72,6 +72,10 @@ class Scratch:
             delete_path(self.spark, versions.pop(0))
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def discard(self, table: str) -> None:
+        """Delete the newest version of `table`, which nothing reads."""
+        delete_path(self.spark, self._written[table].pop())
+
     def write_with(self, df: DataFrame, table: str, keep_last: int = 2, **metrics: Column) -> tuple[DataFrame, dict]:
         """Write, and take totals over the rows on the way, which spares a second job."""
         seen = Observation()

@@ -10,7 +10,9 @@ from paywatch.operators import risk
 from paywatch.operators.communities import communities, modularity
 from paywatch.operators.components import component_sizes, connected_components
 from paywatch.operators.pagerank import link_counts, pagerank, pagerank_bipartite, pagerank_power
+from paywatch.operators import communities as community_steps, triangles as triangle_steps
 from paywatch.operators.triangles import triangles
+from paywatch.session import Scratch
 
 SCORED = (
     "transaction_id string, user_id string, account_id string, merchant_id string, amount double, timestamp string, "
@@ -139,6 +141,38 @@ def test_triangles_match_brute_force(rows):
     assert found == expected and sum(found.values()) > 0
 
 
+def brute_triangles(links):
+    near: dict = {}
+    for a, b in links:
+        near.setdefault(a, set()).add(b)
+        near.setdefault(b, set()).add(a)
+    return {n: sum(len(near[n] & near[m]) for m in near[n]) // 2 for n in near}
+
+
+@pytest.mark.parametrize("chunk", [1, 4, 1024])
+def test_triangles_of_hubs_in_chunks(rows, monkeypatch, chunk):
+    """Small chunks cut the lists of the hubs into many, of different numbers at the two ends of a pair."""
+    monkeypatch.setattr(triangle_steps, "CHUNK", chunk)
+    rng = random.Random(6)
+    links = {("hub", f"n{i}") for i in range(60)} | {("second", f"n{i}") for i in range(0, 60, 2)} | {("hub", "second")}
+    links |= {tuple(sorted((f"n{rng.randrange(60)}", f"n{rng.randrange(60)}"))) for _ in range(300)}
+    core = [f"c{i}" for i in range(14)]
+    links |= set(itertools.combinations(core, 2)) | {("hub", c) for c in core}
+    links = {(a, b) for a, b in links if a != b}
+    found = triangles(rows("src string, dst string", *sorted(links)))
+    assert {r["node_id"]: r["triangle_count"] for r in found.collect()} == brute_triangles(links)
+
+
+def test_chunks_are_bounded_and_single_targets_stay_behind(spark, rows, monkeypatch):
+    monkeypatch.setattr(triangle_steps, "CHUNK", 8)
+    arcs = rows("low long, high long", *[(k, 1000 + j) for k in range(3) for j in range(64)], *[(100 + k, 0) for k in range(500)])
+    sized = triangle_steps._sized(arcs, 1000)
+    chunks = sized.where("low < 3").groupBy("low", triangle_steps._chunk_of("high", F.col("low_chunks")).alias("chunk")).count()
+    assert chunks.count() == 3 * 8 and chunks.agg(F.max("count")).first()[0] <= 3 * 8
+    # none of the 500 arcs with a single target may be shipped anywhere
+    assert sized.where("low_size > 1 AND high_size IS NOT NULL").isEmpty()
+
+
 def test_bipartite_graph_has_no_triangles(rows):
     frame = rows("src string, dst string", *[(f"c{i}", f"m{j}") for i in range(4) for j in range(3)])
     assert triangles(frame).where("triangle_count > 0").isEmpty()
@@ -216,3 +250,92 @@ def test_no_node_gains_after_communities(rows):
     for r in communities(frame).collect():
         groups.setdefault(r["community_id"], set()).add(r["node_id"])
     assert sorted(map(sorted, groups.values())) == [list("abcd"), ["s", "t0", "t1", "t2", "t3"], list("wxyz")]
+
+
+def ring_with_chords(size, chords, seed=3):
+    rng = random.Random(seed)
+    links = {(i, (i + 1) % size) for i in range(size)} | {(rng.randrange(size), rng.randrange(size)) for _ in range(chords)}
+    return sorted({(f"n{min(a, b):03d}", f"n{max(a, b):03d}", 1.0) for a, b in links if a != b})
+
+
+def sequential_louvain(links):
+    """Plain Louvain: nodes one after the other, levels until nothing gains; the modularity reached."""
+    weight: dict = {}
+    for a, b, w in links:
+        weight.setdefault(a, {})[b] = weight.setdefault(b, {})[a] = w
+    total, best = sum(sum(n.values()) for n in weight.values()), -1.0
+    while True:
+        strength = {a: sum(n.values()) for a, n in weight.items()}
+        group, sums = {a: a for a in weight}, dict(strength)
+        moved = True
+        while moved:
+            moved = False
+            for a in sorted(weight):
+                towards: dict = {group[a]: 0.0}
+                for b, w in weight[a].items():
+                    if b != a:
+                        towards[group[b]] = towards.get(group[b], 0.0) + w
+                sums[group[a]] -= strength[a]
+                choice = max(towards, key=lambda c: (towards[c] - strength[a] * sums[c] / total, c == group[a]))
+                moved |= choice != group[a]
+                group[a] = choice
+                sums[choice] += strength[a]
+        inside = sum(w for a, n in weight.items() for b, w in n.items() if group[a] == group[b])
+        quality = inside / total - sum(s * s for s in sums.values()) / total**2
+        if quality <= best + 1e-7:
+            return best
+        best, merged = quality, {}
+        for a, n in weight.items():
+            for b, w in n.items():
+                row = merged.setdefault(group[a], {})
+                row[group[b]] = row.get(group[b], 0.0) + w
+        weight = merged
+
+
+def test_rounds_of_moves_that_cannot_clash(spark, rows, monkeypatch):
+    """Their share of moves grows again, two versions of the moves are kept, and quality is that of plain Louvain."""
+    links = ring_with_chords(100, 50)
+    frame = rows("src string, dst string, amount double", *links)
+    kept = []
+    written = Scratch.write_with
+
+    def watched(self, df, table, *args, **metrics):
+        out = written(self, df, table, *args, **metrics)
+        if table.startswith("moves"):
+            kept.append(len(self._written[table]))
+        return out
+
+    settle, shares = community_steps._settle, []
+
+    def recorded(*args):
+        out = settle(*args)
+        shares.append(out[3])
+        return out
+
+    monkeypatch.setattr(Scratch, "write_with", watched)
+    monkeypatch.setattr(community_steps, "_settle", recorded)
+    monkeypatch.setattr(community_steps, "LEAST_MOVES", 1000)  # every failed round is followed by such a one
+    found = communities(frame)
+    assert max(kept) <= 2 and max(map(len, shares)) < 60
+    assert any(a == 0.0 and b > 0.0 for level in shares for a, b in zip(level, level[1:]))
+    assert modularity(frame, found).first()[0] >= 0.99 * sequential_louvain(links)
+
+
+def test_independent_moves_share_no_community(rows):
+    moves = rows(
+        "node string, community string, target string, gain double",
+        ("a", "A", "B", 3.0), ("b", "B", "C", 2.0), ("c", "C", "D", 1.0), ("d", "E", "F", 1.0), ("e", "F", "E", 1.0), ("f", "G", "H", 0.0),
+    )
+    found = sorted(map(tuple, community_steps._independent(moves, 1e-9, 6).collect()))
+    assert found == [("a", "B"), ("e", "E")]  # c waits: b, which is better for its community, waits for a
+
+
+def test_communities_of_a_graph_that_grew(rows):
+    """Starting from the former communities gives as good ones as starting anew."""
+    links = ring_with_chords(60, 25)
+    schema = "src string, dst string, amount double"
+    before, after = rows(schema, *links[: len(links) // 2]), rows(schema, *links)
+    grown = communities(after, start=communities(before))
+    assert {r[0] for r in grown.select("node_id").collect()} == {n for a, b, _ in links for n in (a, b)}
+    assert modularity(after, grown).first()[0] >= 0.97 * modularity(after, communities(after)).first()[0]
+    assert grown.groupBy("community_id").agg(F.min("node_id").alias("first")).where("first != community_id").isEmpty()
