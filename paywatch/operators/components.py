@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from paywatch.operators.graph import both_directions, simple_pairs
-from paywatch.operators.skew import join_lookup
+from paywatch.operators.skew import BROADCAST_ROWS, join_lookup
 from paywatch.session import Scratch
 
 
@@ -65,5 +65,35 @@ def connected_components(edges: DataFrame, nodes: DataFrame | None = None, max_r
     )
 
 
+def grown_components(previous: DataFrame, edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Components of a graph after `edges` were added to one with the components `previous` (node_id, component_id).
+
+    Only the new edges are iterated over, as links between former components; the members of those that were
+    joined are renamed in one pass. `nodes` are all nodes, the new ones included.
+    """
+    scratch = Scratch(edges.sparkSession, "grown")
+    pairs = scratch.write(simple_pairs(edges), "pairs")
+    touched, seen = scratch.write_with(
+        pairs.select(F.explode(F.array("node_a", "node_b")).alias("node_id")).distinct(), "touched", rows=F.count(F.lit(1))
+    )
+    few = seen["rows"] <= BROADCAST_ROWS
+    known = scratch.write(previous.join(F.broadcast(touched) if few else touched, "node_id", "left_semi"), "known")
+    ends = pairs
+    for side in ("node_a", "node_b"):
+        former = known.select(F.col("node_id").alias(side), F.col("component_id").alias(f"{side}_root"))
+        ends = join_lookup(ends, former, [side], lookup_rows=seen["rows"], count_from=pairs)
+    between = ends.select(F.coalesce("node_a_root", "node_a").alias("src"), F.coalesce("node_b_root", "node_b").alias("dst"))
+    renamed = connected_components(between).select("node_id", F.col("component_id").alias("_joined"))
+    renamed, seen = scratch.write_with(renamed.withColumnRenamed("node_id", "component_id"), "renamed", rows=F.count(F.lit(1)))
+    members = (
+        nodes.select("node_id")
+        .join(previous, "node_id", "left")
+        .select("node_id", F.coalesce("component_id", "node_id").alias("component_id"))
+    )
+    return join_lookup(members, renamed, ["component_id"], lookup_rows=seen["rows"]).select(
+        "node_id", F.coalesce("_joined", "component_id").alias("component_id")
+    )
+
+
 def component_sizes(components: DataFrame) -> DataFrame:
     return components.groupBy("component_id").agg(F.count(F.lit(1)).alias("component_size"))

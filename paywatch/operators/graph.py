@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from paywatch.functions.identity import customer_node, merchant_node, strip
 from paywatch.functions.values import known
@@ -97,11 +97,15 @@ def graph_update_stats(df: DataFrame, stored_nodes: DataFrame, stored_edges: Dat
     return union.agg(*[F.sum(m).alias(m) for m in measures])
 
 
-def weighted_projection(edges: DataFrame) -> DataFrame:
-    """Undirected simple graph: one row per pair, weight = sum of amounts (0 or unknown counts 1)."""
-    amount = F.coalesce(F.nullif(known(F.col("amount")), F.lit(0.0)), F.lit(1.0))
+def edge_weight() -> Column:
+    """The amount of an edge; 0 or unknown counts 1."""
+    return F.coalesce(F.nullif(known(F.col("amount")), F.lit(0.0)), F.lit(1.0))
+
+
+def weighted_projection(edges: DataFrame, weight: Column | None = None) -> DataFrame:
+    """Undirected simple graph: one row per pair, weight = sum of the edges' weights (else of their amounts)."""
     return edges.groupBy(F.least("src", "dst").alias("node_a"), F.greatest("src", "dst").alias("node_b")).agg(
-        F.sum(amount).alias("weight")
+        F.sum(edge_weight() if weight is None else weight).alias("weight")
     )
 
 

@@ -61,10 +61,12 @@ def pagerank_power(
     damping: float = DAMPING,
     tolerance: float = 1e-6,
     max_rounds: int = 100,
+    start: DataFrame | None = None,
 ) -> DataFrame:
     """Power iteration on any directed graph, until the scores change by less than N * tolerance in total.
 
-    The links are written once, heavy sources already sliced; a round moves only the scores.
+    The links are written once, heavy sources already sliced; a round moves only the scores. `start` (node_id,
+    pagerank_score) are scores of an earlier state of the graph to begin with; they are scaled to a total of 1.
     """
     scratch = Scratch(pairs.sparkSession, "pagerank")
     heavy = heavy_keys(pairs, ["src"])
@@ -72,7 +74,13 @@ def pagerank_power(
     base = scratch.write(_ends(pairs, nodes).select("node_id", (~F.col("is_source")).alias("_dangling")), "nodes")
     size = base.count()
     scores = base.withColumn("score", F.lit(1.0 / size))
-    dangling = base.where("_dangling").count() / size
+    if start is not None:
+        begun = base.join(start, "node_id", "left").select(
+            "node_id", "_dangling", F.coalesce("pagerank_score", F.lit(1.0 / size)).alias("score")
+        )
+        begun, totals = scratch.write_with(begun, "start", total=F.sum("score"))
+        scores = begun.withColumn("score", F.col("score") / F.lit(totals["total"])).select("node_id", "_dangling", "score")
+    dangling = scores.agg(F.coalesce(F.sum(F.when(F.col("_dangling"), F.col("score"))), F.lit(0.0))).first()[0]
 
     for _ in range(max_rounds):
         sent = scores.select(F.col("node_id").alias("src"), "score")
@@ -117,7 +125,13 @@ def pagerank(edges: DataFrame, nodes: DataFrame | None = None, damping: float =
 
     The closed form where no node is both source and target, else the iteration.
     """
-    pairs = Scratch(edges.sparkSession, "pairs").write(link_counts(edges), "pairs")
+    return pagerank_of_pairs(Scratch(edges.sparkSession, "pairs").write(link_counts(edges), "pairs"), nodes, damping)
+
+
+def pagerank_of_pairs(
+    pairs: DataFrame, nodes: DataFrame | None = None, damping: float = DAMPING, start: DataFrame | None = None
+) -> DataFrame:
+    """`pagerank` of a stored table of linked pairs (src, dst, n)."""
     if _ends(pairs).where("is_both").isEmpty():
         return pagerank_bipartite(pairs, nodes, damping)
-    return pagerank_power(pairs, nodes, damping)
+    return pagerank_power(pairs, nodes, damping, start=start)

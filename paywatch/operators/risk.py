@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from paywatch.functions.values import clip01, known
-from paywatch.operators.graph import both_directions, simple_pairs, with_nodes
+from paywatch.operators.graph import both_directions, edge_weight, simple_pairs, with_nodes
 from paywatch.operators.skew import join_lookup
 
 
@@ -16,17 +16,33 @@ def edge_risk() -> Column:
     return clip01(0.7 * fraud + 0.3 * clip01(anomaly / (1.0 + F.abs(anomaly))))
 
 
+def pair_totals(edges: DataFrame) -> DataFrame:
+    """One row per linked pair with all that signals need of its edges: their number n, weight and risk.
+
+    Totals of parts of the edges add up with `sum_pair_totals`.
+    """
+    return edges.groupBy("src", "dst").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(edge_weight()).alias("weight"), F.sum(edge_risk()).alias("risk")
+    )
+
+
+def sum_pair_totals(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("src", "dst").agg(*[F.sum(c).alias(c) for c in ("n", "weight", "risk")])
+
+
 def node_exposure(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
     """Mean risk of the edges at a node, whatever their direction; 0 without edges.
 
     Summed per pair first, so the hub rows that reach the second grouping are few.
     """
-    per_pair = edges.groupBy("src", "dst").agg(F.sum(edge_risk()).alias("_sum"), F.count(F.lit(1)).alias("_n"))
+    return pair_exposure(pair_totals(edges), nodes)
+
+
+def pair_exposure(pairs: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
+    """`node_exposure` from pair totals."""
     ends = F.explode(F.array("src", "dst")).alias("node_id")
     exposure = (
-        per_pair.select(ends, "_sum", "_n")
-        .groupBy("node_id")
-        .agg(clip01(F.sum("_sum") / F.sum("_n")).alias("exposure"))
+        pairs.select(ends, "risk", "n").groupBy("node_id").agg(clip01(F.sum("risk") / F.sum("n")).alias("exposure"))
     )
     if nodes is None:
         return exposure

@@ -47,6 +47,7 @@ class Merged:
     path: str
     level: int
     batches: frozenset[Batch]
+    rows: int
 
 
 @dataclass(frozen=True)
@@ -75,8 +76,9 @@ def layout(spark: SparkSession, path: str) -> Layout:
     merged = []
     for folder in _glob(spark, f"{path}/_merged/level=*/run=*/batches/_SUCCESS"):
         run = folder.rsplit("/", 1)[0]
-        batches = frozenset((r["writer"], r["write_id"]) for r in spark.read.parquet(folder).collect())  # names of batches
-        merged.append(Merged(run, int(_parts(run)["level"]), batches))
+        listed = spark.read.parquet(folder).collect()  # names of batches
+        batches = frozenset((r["writer"], r["write_id"]) for r in listed)
+        merged.append(Merged(run, int(_parts(run)["level"]), batches, listed[0]["rows"]))
     live = [m for m in merged if not any(o.level > m.level and m.batches <= o.batches for o in merged)]
     held = {b for m in live for b in m.batches}
     loose = {}
@@ -99,6 +101,13 @@ def read_runs(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
     return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
+def count_rows(spark: SparkSession, path: str, schema: T.StructType) -> int:
+    """How many rows are stored: merged runs know it, of the others the Parquet footers are read."""
+    found = layout(spark, path)
+    loose = spark.read.schema(schema).parquet(*found.loose.values()).count() if found.loose else 0
+    return loose + sum(m.rows for m in found.merged)
+
+
 def hash_of(key: str) -> Column:
     return F.xxhash64(key)
 
@@ -179,7 +188,8 @@ def _merge(spark: SparkSession, path: str, schema: T.StructType, key: str, level
     run = f"{path}/_merged/level={level}/run={uuid.uuid4().hex}"
     rows = spark.read.schema(schema).parquet(*sources)
     files = -(-_size(spark, sources) // BYTES_PER_FILE)
-    rows.repartition(max(1, files)).write.parquet(f"{run}/rows")
+    counted = Observation()
+    rows.repartition(max(1, files)).observe(counted, F.count(F.lit(1)).alias("rows")).write.parquet(f"{run}/rows")
     stored = spark.read.schema(schema).parquet(f"{run}/rows")
     ids = stored.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), hash_of(key).alias("hash"))
     count = ids.count()
@@ -192,7 +202,8 @@ def _merge(spark: SparkSession, path: str, schema: T.StructType, key: str, level
         .option("parquet.bloom.filter.expected.ndv#hash", str(max(1, min(count, IDS_PER_FILE) * 2 // BUCKETS)))
         .parquet(f"{run}/ids")
     )
-    spark.createDataFrame(batches, "writer string, write_id long").coalesce(1).write.parquet(f"{run}/batches")
+    listed = [(writer, write_id, counted.get["rows"]) for writer, write_id in batches]
+    spark.createDataFrame(listed, "writer string, write_id long, rows long").coalesce(1).write.parquet(f"{run}/batches")
 
 
 def compact(spark: SparkSession, path: str, schema: T.StructType, key: str, fan_in: int = FAN_IN) -> None:

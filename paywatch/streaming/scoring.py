@@ -6,41 +6,18 @@ from collections.abc import Callable
 from datetime import datetime, timezone
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from paywatch.functions.identity import customer_node, merchant_node
 from paywatch.operators.alerts import alert_batch_counts, alert_messages, evaluate_alerts
-from paywatch.operators.communities import communities
-from paywatch.operators.components import component_sizes, connected_components
-from paywatch.operators.graph import EDGE_COLUMNS, graph_edges, graph_nodes
-from paywatch.operators.pagerank import pagerank
-from paywatch.operators.risk import (
-    SIGNAL_COLUMNS,
-    attach_graph_signals,
-    base_risk,
-    graph_signals,
-    node_exposure,
-    risk_propagation,
-)
-from paywatch.operators.triangles import no_triangles
-from paywatch.session import Scratch, delete_path
+from paywatch.operators.graph import graph_edges, graph_nodes
+from paywatch.operators.risk import SIGNAL_COLUMNS, attach_graph_signals
 from paywatch.settings import Settings
 from paywatch.sources import audit
-from paywatch.sources.runs import append_unseen
-from paywatch.sources.schema import table_schema
+from paywatch.sources.runs import append_unseen, count_rows
 from paywatch.sources.transactions import write_messages
-
-EDGE_SCHEMA = T.StructType(
-    [
-        T.StructField(c, T.DoubleType() if c in ("amount", "fraud_probability", "anomaly_score") else T.StringType())
-        for c in EDGE_COLUMNS
-    ]
-)
-NODE_SCHEMA = table_schema("node_id string, node_type string, entity_id string")
-SIGNAL_SCHEMA = table_schema(
-    "node_id string, pagerank_score double, community_id string, triangle_count long, component_id string, "
-    "component_size long, propagated_risk_score double"
-)
+from paywatch.streaming.signals import EDGE_SCHEMA, NODE_SCHEMA, SIGNAL_SCHEMA, latest_leaders, latest_signals, leave_totals, refresh_signals
 
 
 def batch_summary(batch: DataFrame) -> DataFrame:
@@ -52,61 +29,20 @@ def batch_summary(batch: DataFrame) -> DataFrame:
     )
 
 
-def compute_signals(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """All graph signals of the stored graph, one row per node."""
-    scratch = Scratch(edges.sparkSession, "signals")
-    components = scratch.write(connected_components(edges, nodes), "components")
-    base = scratch.write(
-        base_risk(
-            node_exposure(edges, nodes), pagerank(edges, nodes), no_triangles(nodes), components, component_sizes(components)
-        ),
-        "base",
-    )
-    return graph_signals(base, communities(edges, nodes), risk_propagation(base, edges))
-
-
-def _complete_versions(spark: SparkSession, settings: Settings) -> list[str]:
-    """Folders of the signals that were written to the end, oldest first."""
-    if not audit.path_exists(spark, settings.signals_path):
-        return []
-    top = spark._jvm.org.apache.hadoop.fs.Path(settings.signals_path)
-    listed = top.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(top)
-    paths = sorted(s.getPath().toString() for s in listed if s.getPath().getName().startswith("version="))
-    return [p for p in paths if audit.path_exists(spark, f"{p}/_SUCCESS")]
-
-
-def latest_signals(spark: SparkSession, settings: Settings = Settings()) -> DataFrame | None:
-    """The newest complete version of the signals; a write that is under way or was cut off is not seen."""
-    found = _complete_versions(spark, settings)
-    return spark.read.schema(SIGNAL_SCHEMA).parquet(found[-1]) if found else None
-
-
-def refresh_signals(spark: SparkSession, settings: Settings = Settings(), keep: int = 2) -> DataFrame:
-    """Compute the signals of the stored graph as a new version beside the old ones, of which `keep` stay."""
-    nodes = audit.read_table(spark, settings.nodes_path, NODE_SCHEMA)
-    edges = audit.read_table(spark, settings.edges_path, EDGE_SCHEMA)
-    found = _complete_versions(spark, settings)
-    number = int(found[-1].rsplit("=", 1)[1]) + 1 if found else 0
-    path = f"{settings.signals_path}/version={number:012d}"
-    compute_signals(nodes, edges).write.mode("overwrite").parquet(path)
-    for old in found[: max(0, len(found) + 1 - keep)]:
-        delete_path(spark, old)
-    return spark.read.schema(SIGNAL_SCHEMA).parquet(path)
-
-
 class BatchProcessor:
     """Handles the micro-batches of one scoring stream.
 
     The graph lives in tables, so a restart continues where the last batch ended, and a batch that is
-    repeated replaces what it wrote before. Signals cover the whole stored graph and are computed anew
-    every `refresh_every` batches; in between, batches use the last complete version. With 0 no batch
-    computes them: `refresh_signals` then runs as a job of its own, on its own schedule.
+    repeated replaces what it wrote before. Batches use the last complete version of the signals, which
+    `refresh_signals` brings up to date as a job of its own, on its own schedule. With `refresh_every` above 0
+    every so many batches do it themselves. What a batch added to the graph, and who leads it, is part of its
+    summary.
     """
 
     def __init__(
         self,
         settings: Settings = Settings(),
-        refresh_every: int = 1,
+        refresh_every: int = 0,
         messages_path: str | None = None,
         clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc),
         publish: bool = True,
@@ -129,7 +65,7 @@ class BatchProcessor:
     def _process(self, batch: DataFrame, batch_id: int) -> None:
         settings, spark = self.settings, batch.sparkSession
         summary = batch_summary(batch).first().asDict()
-        self._update_graph(batch, batch_id)
+        summary.update(self._update_graph(batch, batch_id))
         signals = self._signals(spark, batch_id)
 
         stamp = self.clock().isoformat()
@@ -143,12 +79,25 @@ class BatchProcessor:
                 write_messages(alert_messages(judged), settings, settings.alerts_topic, self.messages_path)
         finally:
             judged.unpersist()
+        leaders = latest_leaders(spark, settings)
+        summary["leaders"] = [] if leaders is None else [tuple(r) for r in leaders.collect()]  # a few of each ranking
         self.summaries.append({"batch_id": batch_id, **summary})
 
-    def _update_graph(self, batch: DataFrame, batch_id: int) -> None:
-        settings, own = self.settings, ("scoring", batch_id)
-        append_unseen(graph_edges(batch), settings.edges_path, EDGE_SCHEMA, "transaction_id", own)
-        append_unseen(graph_nodes(batch), settings.nodes_path, NODE_SCHEMA, "node_id", own)
+    def _update_graph(self, batch: DataFrame, batch_id: int) -> dict:
+        """Store the new edges and nodes of a batch; what they are, and the totals of the graph after it."""
+        spark, settings, own = batch.sparkSession, self.settings, ("scoring", batch_id)
+        src, dst = customer_node(batch.columns), merchant_node()
+        skipped = batch.agg(F.count_if(src.isNull() | dst.isNull())).first()[0]
+        new_nodes = append_unseen(graph_nodes(batch), settings.nodes_path, NODE_SCHEMA, "node_id", own)
+        new_edges = append_unseen(graph_edges(batch), settings.edges_path, EDGE_SCHEMA, "transaction_id", own)
+        leave_totals(spark, settings, own)
+        return {
+            "skipped_rows": skipped,
+            "new_nodes": new_nodes,
+            "new_edges": new_edges,
+            "total_nodes": count_rows(spark, settings.nodes_path, NODE_SCHEMA),
+            "total_edges": count_rows(spark, settings.edges_path, EDGE_SCHEMA),
+        }
 
     def _signals(self, spark: SparkSession, batch_id: int) -> DataFrame:
         settings, newest = self.settings, latest_signals(spark, self.settings)

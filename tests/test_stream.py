@@ -87,7 +87,7 @@ def test_scoring_stream_end_to_end(spark, rows, tmp_path):
         }
     )
     processor = BatchProcessor(
-        settings, messages_path=str(tmp_path / "out"), clock=lambda: datetime(2024, 1, 1, tzinfo=timezone.utc)
+        settings, refresh_every=1, messages_path=str(tmp_path / "out"), clock=lambda: datetime(2024, 1, 1, tzinfo=timezone.utc)
     )
     start_stream(scored, processor, settings, available_now=True).awaitTermination()
 
@@ -97,6 +97,9 @@ def test_scoring_stream_end_to_end(spark, rows, tmp_path):
     assert {int(r["transaction_id"]) for r in alerts.collect()} == set(range(31, 40))
     assert alerts.where("alert_severity <> 'Medium' OR community_id IS NULL OR pagerank_score <= 0").isEmpty()
     assert sum(s["records_processed"] for s in processor.summaries) == 78
+    last = processor.summaries[-1]
+    assert sum(s["new_edges"] for s in processor.summaries) == last["total_edges"] == 39 and last["total_nodes"] == 7
+    assert {r[0] for r in last["leaders"]} == {"pagerank", "triangles", "propagated_risk", "communities", "components"}
     sent = spark.read.json(str(tmp_path / "out"))
     assert sent.count() == 18  # one per window: messages are not deduplicated
 
@@ -173,3 +176,76 @@ def test_trained_models_score_a_stream(spark, rows, tmp_path):
     table = audit.read_table(spark, settings.scored_path, audit.SCORED_SCHEMA)
     assert table.count() == 19
     assert table.where("fraud_probability IS NULL OR fraud_probability NOT BETWEEN 0 AND 1 OR anomaly_score IS NULL").isEmpty()
+
+
+SCORED = (
+    "transaction_id string, user_id string, account_id string, merchant_id string, amount double, timestamp string, "
+    "fraud_probability double, anomaly_score double, fraud_prediction int, is_anomaly int"
+)
+
+
+def graph_batches(rows):
+    """Three batches: islands, then links between them and a repeat, then more of both."""
+    def row(i, user, merchant):
+        return (str(i), user, None, merchant, float(i % 7), f"2024-01-01T00:{i % 60:02d}:00", (i % 10) / 10, 0.5 * (i % 3), 0, 0)
+
+    first = [row(i, f"u{i % 12}", f"m{i % 12 // 3}") for i in range(36)]
+    second = [row(40 + i, f"u{3 * i}", f"m{i + 1}") for i in range(2)] + [row(0, "u0", "m9"), row(50, "new", "m3"), row(51, "zed", "alone")]
+    third = [row(60 + i, f"u{i % 12}", f"m{(i + 5) % 7}") for i in range(8)] + [row(99, "zed", "m0")]
+    return [rows(SCORED, *b) for b in (first, second, third)]
+
+
+def test_grown_signals_equal_those_computed_anew(spark, rows, tmp_path, monkeypatch):
+    from paywatch.operators.communities import modularity
+    from paywatch.streaming import signals
+    from paywatch.streaming.scoring import EDGE_SCHEMA
+
+    settings = Settings(**{f"{n}_path": str(tmp_path / n) for n in ("scored", "alerts", "edges", "nodes", "signals")})
+    processor, anew = BatchProcessor(settings, publish=False), []
+    for number, batch in enumerate(graph_batches(rows)):
+        processor(batch, number)  # the signals it uses do not know its nodes yet
+        newest, last = signals.latest_signals(spark, settings), processor.summaries[-1]
+        assert (0 if newest is None else newest.count()) == last["total_nodes"] - last["new_nodes"]
+        with monkeypatch.context() as watched:
+            whole = signals.connected_components
+            watched.setattr(signals, "connected_components", lambda *a: anew.append(number) or whole(*a))
+            signals.refresh_signals(spark, settings)
+    assert anew == [0]  # later versions go on from the one before
+    grown = {r["node_id"]: r for r in signals.latest_signals(spark, settings).collect()}
+    edges = audit.read_table(spark, settings.edges_path, EDGE_SCHEMA).persist()
+    grown_quality = modularity(edges, signals.latest_signals(spark, settings).select("node_id", "community_id")).first()[0]
+    full = {r["node_id"]: r for r in signals.refresh_signals(spark, settings, anew=True).collect()}
+    full_quality = modularity(edges, signals.latest_signals(spark, settings).select("node_id", "community_id")).first()[0]
+    assert set(grown) == set(full) and len(full) == 14 + 9
+    for node, r in full.items():
+        assert (grown[node]["component_id"], grown[node]["component_size"]) == (r["component_id"], r["component_size"])
+        assert grown[node]["pagerank_score"] == pytest.approx(r["pagerank_score"], rel=1e-9)
+        assert grown[node]["propagated_risk_score"] == pytest.approx(r["propagated_risk_score"], rel=1e-9)
+    assert grown_quality >= 0.95 * full_quality
+    assert edges.count() == processor.summaries[-1]["total_edges"] == sum(s["new_edges"] for s in processor.summaries)
+    assert {r["ranking"] for r in signals.latest_leaders(spark, settings).collect()} >= {"pagerank", "components"}
+
+
+def test_refresh_without_totals_reads_the_edges(spark, rows, tmp_path):
+    from paywatch.session import delete_path
+    from paywatch.streaming import signals
+
+    settings = Settings(**{f"{n}_path": str(tmp_path / n) for n in ("scored", "alerts", "edges", "nodes", "signals")})
+    processor = BatchProcessor(settings, publish=False)
+    first, second, _ = graph_batches(rows)
+    processor(first, 0)
+    signals.refresh_signals(spark, settings)
+    processor(second, 1)
+    delete_path(spark, f"{settings.signals_path}/_deltas/writer=scoring/write_id=1")
+    found = {r["node_id"]: r["component_id"] for r in signals.refresh_signals(spark, settings).collect()}
+    assert found["merchant:alone"] == found["customer:zed"] == "customer:zed" and found["customer:new"] == found["merchant:m3"]
+
+
+def test_pagerank_from_former_scores(rows):
+    from paywatch.operators.pagerank import link_counts, pagerank_power
+
+    links = [(f"n{i}", f"n{(i * 7 + k) % 30}") for i in range(30) for k in (1, 5)]
+    pairs = link_counts(rows("src string, dst string", *links))
+    fresh = {r[0]: r[1] for r in pagerank_power(pairs, tolerance=1e-10).collect()}
+    start = pagerank_power(pairs.where("src != 'n3'"), tolerance=1e-4)
+    assert {r[0]: r[1] for r in pagerank_power(pairs, tolerance=1e-10, start=start).collect()} == pytest.approx(fresh, rel=1e-6)
