@@ -223,12 +223,13 @@ def decode_alerts(spark, sf_dir):
 
 @query
 def upsert_scored(spark, sf_dir):
-    """Two batches that overlap by ten days; the second one is run twice, as after a failure."""
+    """Two batches that overlap by ten days; both are run again, as after a failure, the first one after it was merged."""
     path, rows = scratch_path(spark, "upsert-scored"), judged(spark, sf_dir)
     early, late = rows.where(F.col("timestamp") < _day(21)), rows.where(F.col("timestamp") >= _day(11))
     audit.upsert_scored(early, path, 1, _stamp(1))
+    audit.upsert_scored(late, path, 2, _stamp(2), fan_in=1)  # merges the first batch
     audit.upsert_scored(late, path, 2, _stamp(2))
-    audit.upsert_scored(late, path, 2, _stamp(2))
+    audit.upsert_scored(early, path, 1, _stamp(1))
     stored_rows = audit.read_table(spark, path, audit.SCORED_SCHEMA)
     return stored_rows.select("transaction_id", "amount", "fraud_probability", "fraud_prediction", "is_anomaly", "alert_triggered", "batch_id", "processed_at")
 
@@ -238,8 +239,9 @@ def upsert_alerts(spark, sf_dir):
     path, rows = scratch_path(spark, "upsert-alerts"), judged(spark, sf_dir)
     early, late = rows.where(F.col("timestamp") < _day(21)), rows.where(F.col("timestamp") >= _day(11))
     audit.upsert_alerts(early, path, 1, _stamp(1))
+    audit.upsert_alerts(late, path, 2, _stamp(2), fan_in=1)  # merges the first batch
     audit.upsert_alerts(late, path, 2, _stamp(2))
-    audit.upsert_alerts(late, path, 2, _stamp(2))
+    audit.upsert_alerts(early, path, 1, _stamp(1))
     stored_rows = audit.read_table(spark, path, audit.ALERT_SCHEMA)
     return stored_rows.select("transaction_id", "amount", "fraud_probability", "alert_reason", "alert_severity", "batch_id", "received_at")
 
@@ -248,7 +250,8 @@ def upsert_alerts(spark, sf_dir):
 def ingest_alert_messages(spark, sf_dir):
     path, messages = scratch_path(spark, "ingest"), _topic_messages(spark, sf_dir)
     audit.ingest_alert_messages(messages, path, 1, _stamp(1))
-    audit.ingest_alert_messages(messages, path, 2, _stamp(2))
+    audit.ingest_alert_messages(messages, path, 2, _stamp(2), fan_in=1)
+    audit.ingest_alert_messages(messages, path, 3, _stamp(3))  # meets the merged first batch
     return audit.read_table(spark, path, audit.ALERT_SCHEMA).select(
         "transaction_id", "user_id", "merchant_id", "amount", "alert_reason", "community_id", "batch_id", "received_at"
     )

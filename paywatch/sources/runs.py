@@ -224,7 +224,7 @@ def compact(spark: SparkSession, path: str, schema: T.StructType, key: str, fan_
     level = 1
     while any(m.level >= level for m in found.merged):
         runs = [m for m in found.merged if m.level == level]
-        if len(runs) >= fan_in:
+        if len(runs) >= max(2, fan_in):
             _merge(spark, path, schema, key, level + 1, [f"{m.path}/rows" for m in runs], sorted(b for m in runs for b in m.batches))
             found = layout(spark, path)
         level += 1
