@@ -136,10 +136,23 @@ def validation_split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return marked.where(F.col(REASON).isNull()).drop(REASON), marked.where(F.col(REASON).isNotNull())
 
 
-def validation_counts(df: DataFrame) -> DataFrame:
-    """One row: records read, valid, invalid."""
-    return validate(df).agg(
+def stored_split(df: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """`validation_split` by way of a stored table: the input is read and parsed once, each part reads its own files."""
+    validate(df).withColumn("_valid", F.col(REASON).isNull()).write.partitionBy("_valid").parquet(path)
+    marked = df.sparkSession.read.schema(T.StructType([*validate(df).schema.fields, T.StructField("_valid", T.BooleanType())])).parquet(path)
+    valid, rejected = (marked.where(F.col("_valid") == kept).drop("_valid") for kept in (True, False))
+    return valid.drop(REASON), rejected
+
+
+def count_columns() -> list[Column]:
+    """Records read, valid and invalid among validated rows."""
+    return [
         F.count(F.lit(1)).alias("total_records_read"),
         F.count_if(F.col(REASON).isNull()).alias("valid_records"),
         F.count_if(F.col(REASON).isNotNull()).alias("invalid_records"),
-    )
+    ]
+
+
+def validation_counts(df: DataFrame) -> DataFrame:
+    """One row: records read, valid, invalid."""
+    return validate(df).agg(*count_columns())

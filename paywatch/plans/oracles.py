@@ -597,6 +597,12 @@ oracle(
     """SELECT transaction_id, amount, alert_reason, received_at, count(*) OVER () AS total FROM raised WHERE alert_severity = 'Medium'
     ORDER BY received_at DESC, transaction_id LIMIT 25 OFFSET 10""",
 )
+oracle(
+    "alerts_next_page",
+    ["raised"],
+    """SELECT transaction_id, amount, alert_reason, received_at, count(*) OVER () AS total FROM raised WHERE alert_severity = 'Medium'
+    ORDER BY received_at DESC, transaction_id LIMIT 25 OFFSET 10""",
+)
 oracle(
     "alert_by_id",
     ["raised"],

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from paywatch.functions.identity import merchant_key, partition_key, user_key
 from paywatch.functions.values import event_time
-from paywatch.models import fraud, isolation_forest
+from paywatch.models import fraud, isolation_forest, store
 from paywatch.models.zscore import spending_spread, zscore_score
 from paywatch.operators import alerts, features, graph, history, reports, risk, validation
 from paywatch.operators.communities import communities as louvain
@@ -17,7 +17,7 @@ from paywatch.operators.pagerank import link_counts, pagerank, pagerank_power
 from paywatch.operators.triangles import no_triangles, triangles
 from paywatch.plans import views
 from paywatch.plans.views import EVENT_SETTINGS, entity_edges, order_transactions, raw_transactions, session_edges, transactions
-from paywatch.session import scratch_path
+from paywatch.session import delete_at_end, scratch_path
 from paywatch.settings import FEATURE_COLUMNS, Settings
 from paywatch.sources import audit
 from paywatch.sources.transactions import parse_json_payload, publish_messages, run_available
@@ -495,10 +495,22 @@ def class_balance(spark, sf_dir):
     return history.class_balance(labelled).withColumn("scale_pos_weight", F.round("scale_pos_weight", 6))
 
 
+def fraud_model_path(spark, sf_dir) -> str:
+    """Folder of the full-size model, which is fitted once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir, "fraud_model")
+    if key not in _stored or not audit.path_exists(spark, _stored[key]):
+        path = scratch_path(spark, "fraud-model")
+        rows = stored(spark, sf_dir, "enriched", lambda: views.enriched(spark, sf_dir))
+        store.save_fraud_model(spark, *fraud.train_fraud_model(rows), path)
+        delete_at_end(spark, path)
+        _stored[key] = path
+    return _stored[key]
+
+
 @query
 def score_fraud(spark, sf_dir):
     rows = stored(spark, sf_dir, "enriched", lambda: views.enriched(spark, sf_dir))
-    model, _ = fraud.train_fraud_model(rows)
+    model, _ = store.load_fraud_model(spark, fraud_model_path(spark, sf_dir))
     return fraud.score_fraud(rows, model).select(
         "transaction_id", ntz("window_start"), "fraud_probability", "fraud_prediction"
     )
@@ -670,6 +682,17 @@ def alerts_page(spark, sf_dir):
     return page.select("transaction_id", "amount", "alert_reason", "received_at", total.scalar().alias("total"))
 
 
+@query
+def alerts_next_page(spark, sf_dir):
+    """The page of `alerts_page` again, reached from the last row of the ten before it."""
+    table = alert_table(spark, sf_dir)
+    _, before = reports.alerts_page(table, limit=10, severity="Medium")
+    rows = before.select("received_at", "transaction_id").collect()
+    after = tuple(rows[-1]) if len(rows) == 10 else None
+    total, page = reports.alerts_page(table, limit=25, severity="Medium", after=after)
+    return page.select("transaction_id", "amount", "alert_reason", "received_at", total.scalar().alias("total"))
+
+
 @query
 def alert_by_id(spark, sf_dir):
     table = alert_table(spark, sf_dir)

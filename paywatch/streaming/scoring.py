@@ -35,8 +35,9 @@ class BatchProcessor:
     The graph lives in tables, so a restart continues where the last batch ended, and a batch that is
     repeated replaces what it wrote before. Batches use the last complete version of the signals, which
     `refresh_signals` brings up to date as a job of its own, on its own schedule. With `refresh_every` above 0
-    every so many batches do it themselves. What a batch added to the graph, and who leads it, is part of its
-    summary.
+    every so many batches do it themselves. `prepare` adds what a batch lacks before it is processed, such as
+    the scores by the models and the profile of the moment. What a batch added to the graph, and who leads it,
+    is part of its summary.
     """
 
     def __init__(
@@ -46,16 +47,18 @@ class BatchProcessor:
         messages_path: str | None = None,
         clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc),
         publish: bool = True,
+        prepare: Callable[[DataFrame], DataFrame] | None = None,
     ) -> None:
         self.settings = settings
         self.refresh_every = max(0, refresh_every)
         self.messages_path = messages_path
         self.clock = clock
         self.publish = publish
+        self.prepare = prepare
         self.summaries: list[dict] = []
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        batch = (self.prepare(batch) if self.prepare else batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if not batch.isEmpty():
                 self._process(batch, batch_id)

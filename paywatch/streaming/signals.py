@@ -24,6 +24,7 @@ from paywatch.settings import Settings
 from paywatch.sources import audit
 from paywatch.sources.runs import Batch, layout, run_path
 from paywatch.sources.schema import table_schema
+from paywatch.sources.versions import complete_versions, delete_old, newest_version, next_version
 
 EDGE_SCHEMA = T.StructType(
     [
@@ -64,32 +65,22 @@ def compute_signals(nodes: DataFrame, pairs: DataFrame, previous: DataFrame | No
     return graph_signals(base, grouped, risk_propagation(base, pairs))
 
 
-def _complete_versions(spark: SparkSession, settings: Settings) -> list[str]:
-    """Folders of the signals that were written to the end, oldest first."""
-    if not audit.path_exists(spark, settings.signals_path):
-        return []
-    top = spark._jvm.org.apache.hadoop.fs.Path(settings.signals_path)
-    listed = top.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(top)
-    paths = sorted(s.getPath().toString() for s in listed if s.getPath().getName().startswith("version="))
-    return [p for p in paths if audit.path_exists(spark, f"{p}/_SUCCESS")]
-
-
 def _state(settings: Settings, version: str, table: str) -> str:
     return f"{settings.signals_path}/_state/{version.rsplit('/', 1)[1]}/{table}"
 
 
 def latest_signals(spark: SparkSession, settings: Settings = Settings()) -> DataFrame | None:
     """The newest complete version of the signals; a write that is under way or was cut off is not seen."""
-    found = _complete_versions(spark, settings)
-    return spark.read.schema(SIGNAL_SCHEMA).parquet(found[-1]) if found else None
+    found = newest_version(spark, settings.signals_path)
+    return spark.read.schema(SIGNAL_SCHEMA).parquet(found) if found else None
 
 
 def latest_leaders(spark: SparkSession, settings: Settings = Settings()) -> DataFrame | None:
     """The leading nodes, communities and components of the newest complete version."""
-    found = _complete_versions(spark, settings)
-    if not found or not audit.path_exists(spark, _state(settings, found[-1], "leaders")):
+    found = newest_version(spark, settings.signals_path)
+    if not found or not audit.path_exists(spark, _state(settings, found, "leaders")):
         return None
-    return spark.read.schema(LEADER_SCHEMA).parquet(_state(settings, found[-1], "leaders"))
+    return spark.read.schema(LEADER_SCHEMA).parquet(_state(settings, found, "leaders"))
 
 
 def _delta_path(settings: Settings, batch: Batch) -> str:
@@ -118,9 +109,8 @@ def refresh_signals(spark: SparkSession, settings: Settings = Settings(), keep:
     edges = layout(spark, settings.edges_path)
     stored = {*edges.loose, *(b for run in edges.merged for b in run.batches)}
     nodes = audit.read_table(spark, settings.nodes_path, NODE_SCHEMA)
-    found = _complete_versions(spark, settings)
-    number = int(found[-1].rsplit("=", 1)[1]) + 1 if found else 0
-    path = f"{settings.signals_path}/version={number:012d}"
+    found = complete_versions(spark, settings.signals_path)
+    path = next_version(found, settings.signals_path)
 
     seen = _seen(spark, settings, found[-1]) if found and not anew else set()
     deltas = {b: _delta_path(settings, b) for b in sorted(stored - seen)}
@@ -140,8 +130,7 @@ def refresh_signals(spark: SparkSession, settings: Settings = Settings(), keep:
     spark.createDataFrame(sorted(stored), BATCH_SCHEMA).coalesce(1).write.mode("overwrite").parquet(_state(settings, path, "batches"))
     signals.write.mode("overwrite").parquet(path)
 
-    for old in found[: max(0, len(found) + 1 - keep)]:
-        delete_path(spark, old)
+    for old in delete_old(spark, found, keep):
         delete_path(spark, f"{settings.signals_path}/_state/{old.rsplit('/', 1)[1]}")
     for batch in seen:  # the version before this one has them in its totals
         delete_path(spark, _delta_path(settings, batch))

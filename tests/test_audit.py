@@ -83,3 +83,23 @@ def test_dashboard_defaults_and_filters(rows):
     assert {r["name"]: r["value"] for r in reports.severity_distribution(full).collect()} == {
         "Critical": 1, "High": 0, "Medium": 0, "Low": 0,
     }
+
+
+def test_pages_after_a_known_row_equal_pages_by_offset(rows):
+    from paywatch.operators import reports
+
+    data = [(f"t{i:02d}" if i % 6 else None, ("High", "Low")[i % 2], f"2024-01-{1 + i % 4:02d}" if i % 9 else None) for i in range(40)]
+    alerts = rows("transaction_id string, alert_severity string, received_at string", *data)
+    named = alerts.where("transaction_id IS NOT NULL")
+    after, pages = None, []
+    while True:
+        total, page = reports.alerts_page(named, limit=7, after=after)
+        found = [(r["received_at"], r["transaction_id"]) for r in page.collect()]
+        if not found:
+            break
+        assert found == [(r["received_at"], r["transaction_id"]) for r in reports.alerts_page(named, limit=7, offset=len(pages))[1].collect()]
+        pages += found
+        after = found[-1]
+    assert len(pages) == len(set(pages)) == named.count() == total.first()[0]
+    _, rest = reports.alerts_page(alerts, limit=500, after=("2024-01-02", None))
+    assert rest.where("received_at = '2024-01-02' AND transaction_id IS NULL OR received_at > '2024-01-02'").isEmpty()

@@ -63,7 +63,7 @@ def test_store_errors(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         store.load_fraud_model(spark, str(tmp_path / "none"))
     with pytest.raises(ValueError, match="Invalid"):
-        store._write_details(spark, {"model_type": "gbt"}, str(tmp_path / "bad"))
+        store._write_details(spark, {"model_type": "gbt"}, str(tmp_path / "bad" / "version=000000000000"))
         store.load_fraud_model(spark, str(tmp_path / "bad"))
 
 
@@ -74,3 +74,17 @@ def test_trees_draw_rows_that_share_an_id(spark, shared):
     nodes, details = forest.train_isolation_forest(data, "id", ("amount", "transaction_hour"), trees=20)
     drawn = {r["drawn"] for r in nodes.select("drawn").distinct().collect()}
     assert drawn == {256} and details["subsample"] == 256
+
+
+def test_saving_leaves_former_versions(spark, rows, tmp_path):
+    from paywatch.models import store
+    from paywatch.models.isolation_forest import TREE_SCHEMA
+
+    path = str(tmp_path / "forest")
+    for number in range(5):
+        store.save_forest(spark, spark.createDataFrame([], TREE_SCHEMA), {"model_type": "isolation_forest", "feature_columns": [], "number": number}, path)
+        nodes, details = store.load_forest(spark, path)
+        assert details["number"] == number and nodes.isEmpty()
+    (tmp_path / "forest" / "version=000000000099" / "model").mkdir(parents=True)  # a fit that was cut off
+    assert store.load_forest(spark, path)[1]["number"] == 4
+    assert len(list((tmp_path / "forest").glob("version=*/details"))) == store.KEEP

@@ -154,7 +154,7 @@ def test_signals_survive_a_write_that_is_cut_off(spark, rows, tmp_path):
 
 
 def test_trained_models_score_a_stream(spark, rows, tmp_path):
-    from paywatch.streaming.compose import refresh_profile, run_scoring, train_models
+    from paywatch.streaming.compose import latest_profile, refresh_profile, run_scoring, train_models
 
     settings = Settings(
         checkpoint_location=str(tmp_path / "cp"),
@@ -177,6 +177,14 @@ def test_trained_models_score_a_stream(spark, rows, tmp_path):
     assert table.count() == 19
     assert table.where("fraud_probability IS NULL OR fraud_probability NOT BETWEEN 0 AND 1 OR anomaly_score IS NULL").isEmpty()
 
+    # the scorer of a running stream sees a renewed profile; the files of the former one stay
+    batch = window_enrich(parse_json_payload(spark.read.schema("key string, value string, timestamp timestamp").json(str(source))), settings)
+    former = latest_profile(spark, settings)
+    total = lambda: processor.prepare(batch).agg(F.sum("historical_total_amount")).first()[0]
+    before = total()
+    refresh_profile(past.drop("label").withColumn("amount", F.col("amount") * 2), settings)
+    assert total() == pytest.approx(2 * before) and former.count() == 4
+
 
 SCORED = (
     "transaction_id string, user_id string, account_id string, merchant_id string, amount double, timestamp string, "
@@ -249,3 +257,31 @@ def test_pagerank_from_former_scores(rows):
     fresh = {r[0]: r[1] for r in pagerank_power(pairs, tolerance=1e-10).collect()}
     start = pagerank_power(pairs.where("src != 'n3'"), tolerance=1e-4)
     assert {r[0]: r[1] for r in pagerank_power(pairs, tolerance=1e-10, start=start).collect()} == pytest.approx(fresh, rel=1e-6)
+
+
+def test_totals_of_a_stream_equal_those_of_a_batch(spark, rows, tmp_path):
+    import time
+
+    from paywatch.operators.validation import validation_counts
+    from paywatch.streaming.validation import ValidationTotals, start_validation
+
+    schema = "transaction_id string, user_id string, amount string, timestamp string"
+    source = str(tmp_path / "records")
+    for part in range(3):
+        data = [(str(i) if i % 5 else None, f"u{i}", "x" if i % 7 == 0 else str(i), "2024-01-01") for i in range(10 * part, 10 * part + 10)]
+        rows(schema, *data).coalesce(1).write.mode("append").parquet(source)
+    batch = validation_counts(spark.read.parquet(source)).first().asDict()
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+    seen = ValidationTotals()
+    spark.streams.addListener(seen)
+    try:
+        start_validation(stream, str(tmp_path / "cp"), messages_path=str(tmp_path / "topic"), rejects_path=str(tmp_path / "rejects"), available_now=True).awaitTermination()
+        for _ in range(50):  # reports come from a thread of their own
+            if seen.totals() == batch:
+                break
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(seen)
+    assert seen.totals() == batch and 0 < batch["invalid_records"] < batch["valid_records"]
+    assert spark.read.json(str(tmp_path / "topic")).count() == batch["valid_records"]
+    assert spark.read.parquet(str(tmp_path / "rejects")).where("reject_reason IS NOT NULL").count() == batch["invalid_records"]

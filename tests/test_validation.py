@@ -102,3 +102,14 @@ def test_usual_date_spellings(rows):
     frame = rows("t string", *[(s,) for s in spellings])
     found = {r["t"]: r["i"] for r in frame.select("t", iso_text(F.col("t"), T.StringType()).alias("i")).collect()}
     assert found == spellings
+
+
+def test_stored_split_equals_the_split(rows, tmp_path):
+    from paywatch.operators.validation import stored_split, validation_split
+
+    data = rows(
+        "transaction_id string, user_id string, amount string, timestamp string",
+        ("1", "u", "2.5", "2024-01-01"), (None, "u", "1", "2024-01-01"), ("3", "u", "abc", "2024-01-01"), ("4", " ", "1", "bad"),
+    )
+    for stored, direct in zip(stored_split(data, str(tmp_path / "marked")), validation_split(data)):
+        assert stored.schema == direct.schema and sorted(stored.collect(), key=str) == sorted(direct.collect(), key=str)
