@@ -28,7 +28,6 @@ TARGET_COLUMNS = ("is_fraud", "fraud_label", "fraud", "label", "target")
 class Settings:
     """One immutable bag of parameters; every field has the production default."""
 
-    dataset_path: str = "transactions.parquet"
     scored_path: str = "audit/scored_transactions"
     alerts_path: str = "audit/fraud_alerts"
     edges_path: str = "audit/graph_edges"
@@ -52,7 +51,6 @@ class Settings:
     anomaly_model_path: str = "models/anomaly"
     fraud_prediction_threshold: float = 0.5
     anomaly_contamination: float = 0.02
-    training_sample_size: int = 50_000
 
     alert_fraud_threshold: float = 0.8
     alert_anomaly_threshold: float = 0.7
