@@ -6,7 +6,8 @@ are spread over them and its single lookup row is repeated once per slice. At mo
 be heavy, because each holds more than 1/slices of all rows, so the table of heavy keys is small
 however large the data is, and at most 2 * slices lookup rows are added.
 
-Heavy keys are found by one pre-aggregated pass over the key columns. Where there are none, which is
+Heavy keys are found by one pre-aggregated pass over the key columns, or, where the lookup is made from the
+same rows and so knows their number, while the lookup is written (`weigh`). Where there are none, which is
 the usual case, the join stays an ordinary one.
 """
 
@@ -66,6 +67,32 @@ def heavy_keys(
     return Heavy(table, (seen.get["missing"] or 0) > share, slices)
 
 
+def weigh(
+    lookup: DataFrame, keys: Sequence[str], weight: str, slices: int = SLICES, rows_per_slice: int = ROWS_PER_SLICE
+) -> tuple[DataFrame, int, Heavy]:
+    """Write a lookup that knows how many rows each key has; the lookup without `weight`, its size, its heavy keys.
+
+    The rows themselves are not counted again. A lookup row with a missing key says how many rows lack one
+    and goes no further.
+    """
+    present = all_present(keys)
+    written, seen = Scratch(lookup.sparkSession, "lookup").write_with(
+        lookup,
+        "rows",
+        total=F.sum(weight),
+        largest=F.max(F.when(present, F.col(weight))),
+        missing=F.sum(F.when(~present, F.col(weight))),
+        size=F.count(F.lit(1)),
+    )
+    share = max((seen["total"] or 0) / slices, rows_per_slice)
+    table = None
+    if (seen["largest"] or 0) > share:
+        table = written.where(present & (F.col(weight) > share)).select(
+            *keys, F.ceil(F.col(weight) / F.lit(float(share))).cast("int").alias("_slices")
+        )
+    return written.where(present).drop(weight), seen["size"] or 0, Heavy(table, (seen["missing"] or 0) > share, slices)
+
+
 def spread_hash(rows: DataFrame) -> Column:
     """A number that differs between the rows of a key: their columns (maps have no hash) and partition.
 

@@ -398,6 +398,35 @@ oracle(
     """SELECT window_start, window_start + INTERVAL 10 MINUTE AS window_end, uk AS user_agg_key, count(*) AS transaction_count_per_user,
     round(sum(amount), 6) AS total_amount_per_user FROM uneven WHERE et < window_start + INTERVAL 10 MINUTE GROUP BY ALL""",
 )
+view(
+    "long_slots",
+    ["keyed"],
+    """SELECT k.*, time_bucket(INTERVAL 5 MINUTE, et) - o * INTERVAL 5 MINUTE AS window_start FROM keyed k, range(60) v(o) WHERE et IS NOT NULL""",
+)
+view(
+    "long_users",
+    ["long_slots"],
+    """SELECT window_start, uk, count(*) AS n, round(sum(amount), 6) AS total FROM long_slots WHERE uk IS NOT NULL GROUP BY ALL""",
+)
+oracle(
+    "user_window_agg_long",
+    ["long_users"],
+    """SELECT window_start, window_start + INTERVAL 5 HOUR AS window_end, uk AS user_agg_key, n AS transaction_count_per_user,
+    total AS total_amount_per_user FROM long_users""",
+)
+view(
+    "long_merchants",
+    ["long_slots"],
+    "SELECT window_start, mk, count(*) AS n FROM long_slots WHERE mk IS NOT NULL GROUP BY ALL",
+)
+oracle(
+    "window_enrich_long",
+    ["long_users", "long_merchants"],
+    """SELECT s.transaction_id, s.window_start, s.window_start + INTERVAL 5 HOUR AS window_end, u.n AS transaction_count_per_user,
+    u.total AS total_amount_per_user, m.n AS transaction_count_per_merchant
+    FROM long_slots s LEFT JOIN long_users u ON s.window_start = u.window_start AND s.uk = u.uk
+    LEFT JOIN long_merchants m ON s.window_start = m.window_start AND s.mk = m.mk""",
+)
 oracle("anomaly_share", ["win"], "SELECT count(*) AS n_rows, true AS share_kept FROM win")
 view(
     "star",

@@ -389,6 +389,26 @@ def user_window_agg_uneven(spark, sf_dir):
     )
 
 
+#: Windows of many slides.
+LONG_SETTINGS = Settings(window_duration="5 hours", slide_duration="5 minutes")
+
+
+@query
+def user_window_agg_long(spark, sf_dir):
+    rows = features.user_window_agg(features.base_features(transactions(spark, sf_dir), LONG_SETTINGS), LONG_SETTINGS)
+    return rows.select(
+        ntz("window_start"), ntz("window_end"), "user_agg_key", "transaction_count_per_user", rounded("total_amount_per_user")
+    )
+
+
+@query
+def window_enrich_long(spark, sf_dir):
+    return features.window_enrich(transactions(spark, sf_dir), LONG_SETTINGS).select(
+        "transaction_id", ntz("window_start"), ntz("window_end"), "transaction_count_per_user",
+        rounded("total_amount_per_user"), "transaction_count_per_merchant",
+    )
+
+
 @query
 def merchant_window_agg(spark, sf_dir):
     rows = features.merchant_window_agg(features.base_features(transactions(spark, sf_dir)))
