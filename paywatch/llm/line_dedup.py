@@ -52,8 +52,8 @@ def drop_boilerplate(
 ) -> DataFrame:
     """Every page with its host and remaining lines: key, host, text, n_lines, n_dropped.
 
-    A line is dropped from all pages of a host when more than `max_share` of them, and at least
-    `min_pages`, have it; on smaller hosts a share says nothing. Repeats of a line inside a page count
+    A line is dropped from all pages of a host when more than `max_share` of them have it; hosts of fewer
+    than `min_pages` pages keep all lines, as a share says nothing there. Repeats of a line inside a page count
     once. A missing address or one without host counts as one host without name, a missing page has no
     lines. Repeated rows are pages of their own; an empty table gives an empty result.
     """
@@ -65,14 +65,14 @@ def drop_boilerplate(
     marks = F.array_distinct(F.transform("lines", _mark))
     seen = lined.select("host", F.explode(marks).alias("mark")).groupBy("host", "mark").agg(F.count(F.lit(1)).alias("having"))
     common = (
-        seen.where(F.col("having") >= min_pages)
-        .join(totals, "host")
+        seen.join(totals, "host")
         .where(F.col("having") / F.col("pages") > max_share)
         .groupBy("host")
         .agg(F.collect_list("mark").alias("common"))  # at most lines per page / max_share
     )
-    common, counted = scratch.write_with(common, "common", hosts=F.count(F.lit(1)))
-    rows = join_lookup(lined, common, ["host"], lookup_rows=counted["hosts"])
+    common, counted = scratch.write_with(common, "common", hosts=F.count(F.lit(1)), marks=F.sum(F.size("common")))
+    # the bound of a broadcast holds for hosts and marks together
+    rows = join_lookup(lined, common, ["host"], lookup_rows=counted["hosts"] + (counted["marks"] or 0))
     kept = F.when(F.col("common").isNull(), F.col("lines")).otherwise(
         F.filter("lines", lambda line: ~F.array_contains("common", _mark(line)))
     )

@@ -62,7 +62,7 @@ WITH p AS (
   SELECT host, line, count(*) AS n FROM (SELECT host, unnest(list_distinct(lines)) AS line FROM lined) GROUP BY ALL
 ), common AS (
   SELECT host, list(line) AS common FROM having_line JOIN (SELECT host, count(*) AS pages FROM lined GROUP BY host) USING (host)
-  WHERE pages >= 5 AND n >= 5 AND n / pages > 0.3 GROUP BY host
+  WHERE pages >= 5 AND n / pages > 0.3 GROUP BY host
 ), kept AS (
   SELECT page_id, host, lines, CASE WHEN common IS NULL THEN lines ELSE list_filter(lines, lambda x: NOT list_contains(common, x)) END AS kept
   FROM lined LEFT JOIN common USING (host)

@@ -77,11 +77,13 @@ def test_boilerplate_lines(rows):
     page = "<p>Home</p><p>text {0}</p><p>Home</p><!-- x --><script>var a;</script>Legal &amp; more"
     data = [(i, f"https://Site.example/{i}", page.format(i), "h", 1, "c") for i in range(10)]
     data += [(100 + i, "http://tiny.example/x", page.format("same"), "h", 1, "c") for i in range(3)]
+    data += [(300 + i, "//five.example", "<p>Often</p><p>own</p>" if i < 2 else f"<p>own {i}</p>", "h", 1, "c") for i in range(5)]
     data += [(200, None, None, "h", 1, "c"), (None, "no address", "", "h", 1, "c"), (0, "https://site.example/0", page.format(0), "h", 1, "c")]
     schema = "page_id long, url string, html string, host string, lines int, common string"
     found = {(r["page_id"], r["text"]): r for r in line_dedup.drop_boilerplate(rows(schema, *data)).collect()}
     assert (3, "text 3") in found and found[3, "text 3"]["n_dropped"] == 3 and found[3, "text 3"]["host"] == "site.example"
     assert (101, "Home\ntext same\nHome\nLegal & more") in found  # three pages say nothing about a host
+    assert found[300, ""]["n_dropped"] == 2 and (304, "own 4") in found  # two pages of five
     assert found[200, ""]["n_lines"] == 0 and found[None, ""]["host"] == ""
     assert line_dedup.drop_boilerplate(rows(schema, *data).where("false")).count() == 0
 
