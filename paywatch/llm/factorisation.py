@@ -154,8 +154,9 @@ def _to_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array([f[0].astype(np.int32) for f in found], pa.list_(pa.int32())),
                 pa.array([f[1].astype(np.float32) for f in found], pa.list_(pa.float32())),
                 batch.column(2),
+                batch.column(3),
             ],
-            names=["slots", "values", "label"],
+            names=["slots", "values", "label", "place"],
         )
 
 
@@ -176,7 +177,8 @@ def train_machine(
     """Fit on at most `sample_rows` labelled rows outside the held-out fold; label 1 is good, others are not.
 
     Rows without label or id are not learned from. The chosen labels, a bounded table, are sent to the
-    scan of the documents; only features of the sample reach the driver.
+    scan of the documents. An id may have many rows: equal ones are learned from once, and of different ones
+    a hash chooses, so that no more than `sample_rows` rows of features reach the driver.
     """
     known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull() & ~held_out(key))
     chosen = (
@@ -185,8 +187,11 @@ def train_machine(
         .limit(sample_rows)
     )
     rows = docs.select(F.col(key).cast("long").alias("_key"), *_inputs(docs, text, length)).join(F.broadcast(chosen), "_key")
-    found = map_arrow(rows.select("text", "n_chars", "label"), _to_features, "slots array<int>, values array<float>, label int")
-    learned = [(np.array(r[0], np.int64), np.array(r[1], np.float64), r[2]) for r in found.toLocalIterator()]
+    place = F.xxhash64("_key", "label", F.coalesce("text", F.lit("")), F.coalesce("n_chars", F.lit(-1)))
+    once = rows.select("text", "n_chars", "label", place.alias("place")).dropDuplicates(["place"])
+    found = map_arrow(once, _to_features, "slots array<int>, values array<float>, label int, place bigint")
+    sample = found.orderBy("place").limit(sample_rows).collect()
+    learned = [(np.array(r[0], np.int64), np.array(r[1], np.float64), r[2]) for r in sample]
     learned.sort(key=lambda r: (r[2], len(r[0]), r[0].tobytes(), r[1].tobytes()))  # the order of tasks must not matter
     return fit(learned)
 

@@ -141,6 +141,19 @@ def test_quality_edges(rows):
     assert {r["score"] for r in factorisation.score_quality(docs, blank).collect()} <= {0.5} or blank.bias == 0.0
 
 
+def test_rows_of_one_labelled_id_are_bounded(rows, monkeypatch):
+    seen = []
+    monkeypatch.setattr(factorisation, "fit", lambda learned: seen.append(learned))
+    schema = "doc_id long, text string, n_chars long"
+    docs = rows(schema, *[(1, "copy", 4)] * 300, *[(1, f"text {i}", 6) for i in range(100)], (7, None, None))
+    labels = rows("doc_id long, quality int", (1, 1), (7, 0))
+    factorisation.train_machine(docs, labels, sample_rows=40)
+    factorisation.train_machine(docs.repartition(7), labels, sample_rows=40)
+    factorisation.train_machine(docs, labels)
+    assert [len(learned) for learned in seen] == [40, 40, len({r[0] for r in docs.select("text").collect()})]
+    assert all((a[0] == b[0]).all() and a[2] == b[2] for a, b in zip(*seen[:2]))
+
+
 PAGES = [
     ("<html><head><title>T</title><style>p{}</style></head><body><nav><a href='/x'>Menu</a></nav><article><h1>Head</h1>"
      "<p>One &amp; two<br>three  <b>four</b></p><div class='ad'>Buy!</div><p>End.</p></article><footer>c</footer>", "Head\n\nOne & two three four\n\nEnd."),
