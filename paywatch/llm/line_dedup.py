@@ -65,7 +65,8 @@ def drop_boilerplate(
     marks = F.array_distinct(F.transform("lines", _mark))
     seen = lined.select("host", F.explode(marks).alias("mark")).groupBy("host", "mark").agg(F.count(F.lit(1)).alias("having"))
     common = (
-        seen.join(totals, "host")
+        seen.where(F.col("having") >= max_share * min_pages)  # what any line over the share reaches; most lines stand on one page
+        .join(totals, "host")
         .where(F.col("having") / F.col("pages") > max_share)
         .groupBy("host")
         .agg(F.collect_list("mark").alias("common"))  # at most lines per page / max_share
