@@ -34,6 +34,10 @@ CHUNK_BYTES = 24 << 20
 CHUNKS_PER_TASK = 1 << 20
 ROUNDS = 2
 
+#: Words that a task looks at together, and the bytes of their rows at which it stops to gather them.
+WORDS = 1 << 16
+RUN_BYTES = 16 << 20
+
 #: Counts that the vocabulary's own scores are worth when the pieces are weighted.
 PRIOR = 1_000.0
 #: Groups counted on their own at most, the largest ones; all others are one more.
@@ -187,27 +191,42 @@ def marginals(codes: np.ndarray, pieces: Pieces, arcs: Arcs | None = None) -> np
     return _forward(len(codes), _weighted_arcs(codes, pieces, arcs))[-1] + pieces.end_weight
 
 
-def expected(codes: np.ndarray, pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
+def _of(arcs: Arcs, own: np.ndarray) -> Arcs:
+    """The arcs of the marked words, which are numbered anew."""
+    number = np.cumsum(own) - 1
+    out: Arcs = []
+    for found in arcs:
+        kept = [(start, own[words], words, piece) for start, words, piece in found]
+        out.append([(start, number[words[k]], piece[k]) for start, k, words, piece in kept if k.any()])
+    return out
+
+
+def expected(codes: np.ndarray, pieces: Pieces, arcs: Arcs | None = None) -> tuple[np.ndarray, np.ndarray]:
     """How often words of one length pass each piece and spell each byte, in expectation over all cuts."""
     n, length = codes.shape
-    arcs = _weighted_arcs(codes, pieces, _arcs(codes, pieces))
-    forward = _forward(n, arcs)
+    weighted = _weighted_arcs(codes, pieces, arcs or _arcs(codes, pieces))
+    forward = _forward(n, weighted)
     backward = np.full((length + 1, n), -np.inf)
     backward[length] = 0
-    counts, spelled = np.zeros(len(pieces.weight)), np.zeros(256)
     whole = forward[length]
+    passed, shares, symbols = [], [], []
     for end in range(length, 0, -1):
-        for start, words, weight, piece in arcs[end]:
+        for start, words, weight, piece in weighted[end]:
             path = weight + backward[end, words]
             backward[start, words] = np.logaddexp(backward[start, words], path)
-            share = np.exp(forward[start, words] + path - whole[words])
-            known = piece >= 0
-            counts += np.bincount(piece[known], share[known], len(counts))
-            if not known.all():
-                found, place = np.unique(codes[words[~known], start], return_inverse=True)
-                for code, mass in zip(found.tolist(), np.bincount(place, share[~known])):
-                    for b in chr(code).encode("utf-8", "replace"):
-                        spelled[b] += mass
+            passed.append(piece)
+            shares.append(np.exp(forward[start, words] + path - whole[words]))
+            symbols.append(codes[words, start])
+    if not passed:
+        return np.zeros(len(pieces.weight)), np.zeros(256)
+    piece, share, symbol = np.concatenate(passed), np.concatenate(shares), np.concatenate(symbols)
+    known, spelled = piece >= 0, np.zeros(256)
+    counts = np.bincount(piece[known], share[known], len(pieces.weight))
+    if not known.all():
+        found, place = np.unique(symbol[~known], return_inverse=True)
+        for code, mass in zip(found.tolist(), np.bincount(place, share[~known])):
+            for b in chr(code).encode("utf-8", "replace"):
+                spelled[b] += mass
     return counts, spelled
 
 
@@ -222,6 +241,18 @@ def _by_length(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             yield part, _codes([START + words[i] for i in part.tolist()])
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in runs of at least WORDS rows or RUN_BYTES, so that words of one length are many."""
+    run: list[pa.RecordBatch] = []
+    for batch in batches:
+        run.append(batch)
+        if sum(b.num_rows for b in run) >= WORDS or sum(b.nbytes for b in run) >= RUN_BYTES:
+            yield pa.concat_batches(run)
+            run = []
+    if run:
+        yield pa.concat_batches(run)
+
+
 def _counts(groups: int, letter: str = "c") -> list[str]:
     return [f"{letter}{k}" for k in range(groups)]
 
@@ -294,14 +325,16 @@ def _expect(pieces):
         models = shared(pieces)
         size = len(models[0].weight)
         total = np.zeros((len(models), size + 256))
-        for batch in batches:
-            words = np.array(batch.column(0).to_pylist(), object)
-            for k, model in enumerate(models):
-                own = words[batch.column(k + 1).to_numpy() > 0].tolist()
-                for _, codes in _by_length(own):
-                    counts, spelled = expected(codes, model)
-                    total[k, :size] += counts
-                    total[k, size:] += spelled
+        for batch in _gathered(batches):
+            trained = [column.to_numpy() > 0 for column in batch.columns[1:]]
+            for at, codes in _by_length(batch.column(0).to_pylist()):
+                arcs = _arcs(codes, models[0])
+                for k, model in enumerate(models):
+                    own = trained[k][at]
+                    if own.any():
+                        counts, spelled = expected(codes[own], model, _of(arcs, own))
+                        total[k, :size] += counts
+                        total[k, size:] += spelled
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total.ravel()[used])], names=["piece", "passed"])
 
@@ -335,7 +368,7 @@ def _spelled(pieces):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         models = shared(pieces)
         names = _counts(len(models), "s")
-        for batch in batches:
+        for batch in _gathered(batches):
             words = batch.column(0).to_pylist()
             found = np.zeros((len(models), len(words)))
             for at, codes in _by_length(words):
@@ -472,11 +505,13 @@ def score_texts(
     marks = _counts(groups, "s")
     schema = ", ".join(["word string", *[f"{c} bigint" for c in columns], *[f"{c} double" for c in marks]])
     spelled = map_arrow(counts, _spelled(share(spark, models)), schema)
-    answers = words.select("chunk", "place", "word").join(spelled, "word").drop("word").withColumns(
+    parts = parts_for(seen["words"], 400_000)
+    placed, spelled = words.select("chunk", "place", "word").repartition(parts, "word"), spelled.repartition(parts, "word")
+    answers = placed.join(spelled, "word").drop("word").withColumns(
         {c: F.lit(None).cast(t) for c, t in (("key", "long"), ("held", "boolean"), ("n", "long"), ("ids", "binary"))}
     )
     waiting = chunks.where(F.col("ids").isNotNull()).drop("word").withColumns({c: F.lit(None).cast("double") for c in marks})
-    together = answers.unionByName(waiting).repartition(parts_for(seen["words"], 400_000), "chunk")
+    together = answers.unionByName(waiting).repartition(parts, "chunk")
     found = map_arrow(
         together.sortWithinPartitions("chunk", F.col("ids").isNotNull()),
         _text_scores(totals, groups, borrowed),
