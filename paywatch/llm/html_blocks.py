@@ -3,8 +3,10 @@
 Markup is stripped so that every block element gives a line; parts that markup names as menu, header,
 footer, sidebar, notice, advert, form or reader comment give a gap of empty lines instead. The weight of
 a line is the length of its text outside links. Weights are summed over sliding windows of lines: where
-the sum rises from nothing the text surges, where it falls back to nothing it dives. What lies between
-a surge and its dive is one candidate. Inside a marked article all candidates are its text; on a page
+the sum rises from nothing the text surges, where a whole window falls back to nothing, or a gap comes, it dives.
+What lies between a surge and its dive is one candidate. On a page with a marked article (`main`, else `article`) lines
+outside it are empty, and the mark adds the linked text to the weight of all lines but list items: a list of links
+is a menu there too, a linked paragraph is not. All candidates are its text. On a page
 without that mark the heaviest candidates are, where candidates with text in one container weigh as one.
 A form that holds most of the text of a page is no part beside it.
 """
@@ -52,6 +54,12 @@ HINTS = frozenset(
 #: Words that keep a container from being named by a hint that only describes its layout.
 BODY_HINTS = frozenset("content article main post entry story text body page wrapper container".split())
 COMMENTS = frozenset("comment comments commentlist reply replies respond disqus".split())
+#: Words that a hint may stand beside in one name; any other word makes the name one of its own.
+QUALIFIERS = BODY_HINTS | frozenset(
+    "site top bottom left right inner outer block box bar list item items link links slot area section wrap panel unit"
+    " module posts articles stories form icon icons button buttons btn tools primary secondary global mobile desktop"
+    " sticky group title heading label message author thread policy settings signup up the js".split()
+)
 
 TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
@@ -74,37 +82,59 @@ def _beside(tag: str, more: str, in_article: bool, forms: bool = True) -> bool:
         return False
     if HIDDEN.search(more):
         return True
-    words: set[str] = set()
+    hint = comment = body = False
     for name, value in NAMES.findall(more):
         value = value.strip("\"'").lower()
         if name.lower() == "role" and value in ROLES:
             return True
         if name.lower() == "id" and (tag in SELF_CLOSING or tag == "section" and in_article and not value.isalpha()):
             continue
-        words.update(re.split(r"[^a-z0-9]+", value))
+        for words in _words(value):
+            names_part = words <= HINTS | QUALIFIERS and words & HINTS
+            hint = hint or bool(names_part)
+            comment = comment or bool(names_part and words & COMMENTS)
+            body = body or bool(words & BODY_HINTS and not words & HINTS)
     if tag in HEADINGS or tag not in BLOCKS and "-" not in tag:
         return False
-    if words & COMMENTS:
-        return True
-    return tag != "article" and bool(words & HINTS) and not words & BODY_HINTS
+    return comment or tag != "article" and hint and not body
+
 
+def _words(value: str) -> Iterator[frozenset[str]]:
+    """The words of every whole name in a class or id, without modifiers and numbers.
+
+    Names of layouts, which end as a whole page does, have none.
+    """
+    for name in value.split():
+        for part in name.split("--")[0].split("__"):
+            words = [w for w in re.split(r"[^a-z0-9]+", part) if w and not w.isdigit()]
+            if words and not (len(words) > 1 and words[-1] in ("page", "main")):
+                yield frozenset(words)
 
-def _lines(page: str, forms: bool = True) -> tuple[list[tuple[str, int, bool]], bool, list[int]]:
-    """Lines as (text, weight, in a marked article), an empty line at every gap; whether an article is marked; each line's container."""
-    lines: list[tuple[str, int, bool]] = []
+
+def _lines(page: str, forms: bool = True) -> tuple[list[tuple[str, int, int]], list[int]]:
+    """Lines as (text, weight, mark), empty lines at every gap, and each line's container.
+
+    The mark is 0 outside a marked article, else 1 for an article and 2 for the main part of the page; there
+    linked text weighs too, but for list items.
+    """
+    lines: list[tuple[str, int, int]] = []
     parents: list[int] = []
     stack: list[tuple[str, int]] = []
     opened: Counter[str] = Counter()
     containers = 0
     parts: list[str] = []
-    linked = article = links = 0
-    skip, depth, marked, at = "", 0, False, 0
+    linked = links = lists = 0
+    within = {"article": 0, "main": 0}
+    skip, depth, at = "", 0, 0
+
+    def mark() -> int:
+        return 2 if within["main"] else min(within["article"], 1)
 
     def end_line() -> None:
         nonlocal linked
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            lines.append((text, max(len(text) - linked, 0), article > 0))
+            lines.append((text, len(text) if mark() and not lists else max(len(text) - linked, 0), mark()))
             parents.append(stack[-1][1] if stack else 0)
         parts.clear()
         linked = 0
@@ -112,7 +142,7 @@ def _lines(page: str, forms: bool = True) -> tuple[list[tuple[str, int, bool]],
     def gap() -> None:
         end_line()
         if lines and lines[-1][0]:
-            lines.extend([("", 0, article > 0)] * WINDOW)
+            lines.extend([("", 0, mark())] * WINDOW)
             parents.extend([-1] * WINDOW)
 
     for token in TOKEN.finditer(page):
@@ -140,7 +170,7 @@ def _lines(page: str, forms: bool = True) -> tuple[list[tuple[str, int, bool]],
                 skip = ""
             else:
                 continue
-        if not ends and tag not in EMPTY and _beside(tag, token["more"], article > 0, forms):
+        if not ends and tag not in EMPTY and _beside(tag, token["more"], mark() > 0, forms):
             gap()
             skip, depth = tag, 1
             continue
@@ -160,13 +190,14 @@ def _lines(page: str, forms: bool = True) -> tuple[list[tuple[str, int, bool]],
                 while closed != tag:
                     closed = stack.pop()[0]
                     opened[closed] -= 1
-            if tag in ("article", "main"):
-                article = max(article - 1, 0) if ends else article + 1
-                marked = marked or not ends
+            if tag in within:
+                within[tag] = max(within[tag] - 1, 0) if ends else within[tag] + 1
+            elif tag in ("ul", "ol"):
+                lists = max(lists - 1, 0) if ends else lists + 1
     if not skip:
         parts.append(page[at:])
     end_line()
-    return lines, marked, parents
+    return lines, parents
 
 
 def _joined(found: list[tuple[int, int]], parents: list[int]) -> list[int]:
@@ -187,23 +218,27 @@ def _joined(found: list[tuple[int, int]], parents: list[int]) -> list[int]:
 
 
 def main_text(page: str) -> str:
-    lines, marked, parents = _lines(page)
+    lines, parents = _lines(page)
     if "<form" in page.lower():
         plain = _lines(page, forms=False)
         if 2 * sum(weight for _, weight, _ in lines) < sum(weight for _, weight, _ in plain[0]):
-            lines, marked, parents = plain  # forms hold most of the text
-    if marked and not any(text for text, _, inside in lines if inside):
-        marked = False
-    weights = [weight if inside or not marked else 0 for _, weight, inside in lines]
+            lines, parents = plain  # forms hold most of the text
+    marked = max((mark for text, _, mark in lines if text), default=0)
+    lines = [line if line[2] >= marked else ("", 0, 0) for line in lines]
+    weights = [weight for _, weight, _ in lines]
+    if marked and not any(weights):
+        weights = [len(text) for text, _, _ in lines]  # an article of links alone
     total = list(accumulate(weights, initial=0))
-    sums = [total[min(i + WINDOW, len(lines))] - total[i] for i in range(len(lines))]
+    texts = list(accumulate((bool(text) for text, _, _ in lines), initial=0))
+    stops = [min(i + WINDOW, len(lines)) for i in range(len(lines))]
+    flat = [texts[j] - texts[i] == WINDOW and total[j] == total[i] for i, j in enumerate(stops)]
     found: list[tuple[int, int]] = []  # surge and dive of each candidate
     surge = -1
-    for i, (text, _, inside) in enumerate(lines):
-        held = bool(text) and (inside or not marked) and (marked or surge >= 0 or sums[i] > 0)
+    for i, (text, _, _) in enumerate(lines):
+        held = bool(text) and not any(flat[max(i - WINDOW + 1, 0) : i + 1])
         if held and surge < 0:
             surge = i
-        elif not held and surge >= 0 and (not text or not marked and sums[i] == 0 or marked):
+        elif not held and surge >= 0:
             found.append((surge, i))
             surge = -1
     if surge >= 0:

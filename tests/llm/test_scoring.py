@@ -188,12 +188,36 @@ LONG, SHORT = "Long story. " * 90 + "End.", "Short last paragraph, " * 5 + "end.
         ("<article><section id='social-media'><p>A</p></section><section id=comments><p>Reader</p></section></article>", "A"),
         (f"<body><form id=form1><nav><p>Menu</p></nav><div><p>{LONG}</p></div></form></body>", LONG),
         (f"<div><p>{LONG}</p><form><p>Name</p></form></div>", LONG),
+        ("<article><p class='notice-period'>A</p><div class='share-prices'><p>B</p></div><div class='ad-container'><p>Buy</p></div></article>", "A\n\nB"),
+        ("<article class='no-comments article--sponsored'><p>A</p><div class='card__share'>S</div><div class='related-posts'>R</div></article>", "A"),
+        ("<div class='sidebar-page'><article><p>A</p></article><ol class='comment-list-2'><li>c</li></ol></div>", "A"),
+        ("<article class='teaser'><p>Elsewhere</p></article><main><article><p>A</p></article><p>B</p></main><article><p>More</p></article>", "A\n\nB"),
     ],
 )
 def test_text_is_kept_beside_adverts_names_and_forms(page, text):
     assert html_blocks.main_text(page) == text
 
 
+def links(*names, tag="li"):
+    return "".join(f"<{tag}><a href='/{n}'>{n}</a></{tag}>" for n in names)
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<article><ul>{links('a', 'b', 'c', 'd')}</ul><p>One</p><p>Two</p></article>", "One\n\nTwo"),
+        (f"<article><p>One</p><ul>{links('a', 'b', 'c')}</ul><p>Two</p></article>", "One\n\nTwo"),
+        (f"<article><p>One</p><ul>{links('a', 'b')}</ul></article>", "One\n\na\n\nb"),
+        (f"<article><p>One</p><ul>{links('a', 'b')}<li>own <a>c</a></li></ul></article>", "One\n\na\n\nb\n\nown c"),
+        (f"<article><p>One</p>{links('a', 'b', 'c', tag='p')}</article>", "One\n\na\n\nb\n\nc"),
+        (f"<article><ul>{links('a', 'b', 'c')}</ul></article>", "a\n\nb\n\nc"),
+        (f"<div>{links('a', 'b', 'c', tag='p')}<p>{LONG}</p>{links('d', 'e', 'f', tag='p')}</div>", LONG),
+    ],
+)
+def test_windows_of_links_are_no_text(page, text):
+    assert html_blocks.main_text(page) == text
+
+
 def test_pages_of_a_table(rows):
     frame = rows("page_id long, url string, html string, text string, row long", (1, "u", "<article><p>A</article>", "t", 1), (None, None, None, None, None),
                  (1, "u", "<article><p>A</article>", "t", 1), (2, "v", "<p>" + "long " * 50_000, "t", 1))
