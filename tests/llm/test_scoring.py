@@ -87,6 +87,93 @@ def test_scores_do_not_depend_on_chunks(rows, pieces):
     assert first == pytest.approx(second, rel=1e-9)
 
 
+def cuts(word, names):
+    """All ways to cut a word: lists of pieces by name and of bytes by number."""
+
+    def rest(at):
+        if at == len(word):
+            yield []
+            return
+        for end in range(at + 1, len(word) + 1):
+            name = word[at:end]
+            if name in names and name.startswith(lattice.START) == (at == 0):
+                arc = [name]
+            elif end == at + 1 and at:
+                arc = list(name.encode())
+            else:
+                continue
+            for more in rest(end):
+                yield arc + more
+
+    return list(rest(0))
+
+
+def all_cuts_score(docs, held):
+    """Scores by listing every cut of every word, re-weighted in the same rounds."""
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=lattice.VOCABULARY)
+    known = [i for i in range(model.get_piece_size()) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))]
+    first = {model.id_to_piece(i): 1 / (10 - model.get_score(i)) for i in known}
+
+    def weighted(mass, byte_mass, end_mass):
+        begin = sum(m for n, m in mass.items() if n.startswith(lattice.START))
+        other = sum(mass.values()) - begin + sum(byte_mass) + end_mass
+        weight = {n: m / (begin if n.startswith(lattice.START) else other) for n, m in mass.items()}
+        return weight | {b: m / other for b, m in enumerate(byte_mass)}, end_mass / other
+
+    inside = sum(m for n, m in first.items() if not n.startswith(lattice.START))
+    start = weighted(first, [min(first.values())] * 256, inside / 2)
+    texts = [text.lower().split() for _, text, _ in docs]
+    langs = [g for g, _ in sorted(Counter(d[2] for d, h in zip(docs, held) if not h).items(), key=lambda p: (-p[1], p[0]))]
+    ways = {w: cuts(lattice.START + w, first) for own in texts for w in own}
+    by_group = [Counter(w for own, d, h in zip(texts, docs, held) if not h and d[2] == g for w in own) for g in [None, *langs]]
+    n_texts = [sum(not h and d[2] == g for d, h in zip(docs, held)) for g in [None, *langs]]
+    models = []
+    for count in by_group:
+        now = start
+        for _ in range(lattice.ROUNDS if count else 0):
+            passed = Counter()
+            for word in count:
+                paths = [(math.prod(now[0][a] for a in way), way) for way in ways[word]]
+                for p, way in paths:
+                    for a in way:
+                        passed[a] += p / sum(q for q, _ in paths)
+            mass = {n: passed[n] + lattice.PRIOR * start[0][n] for n in first}
+            now = weighted(mass, [passed[b] + lattice.PRIOR / 2**16 for b in range(256)], len(count) + 1)
+        models.append(now)
+    everything = sum(by_group, Counter())
+    read, trained = sum(everything.values()), sum(n_texts)
+    ends = (trained + 1) / (read + trained + 2)
+    out = {}
+    for (key, *_), own in zip(docs, texts):
+        whole = 0
+        for count, n, (weight, end) in zip(by_group, n_texts, models):
+            size = sum(count.values())
+            unseen = (sum(c == 1 for c in count.values()) + 1) / (size + 2) if size else 1
+            p = (n + 1) / (trained + len(by_group))
+            for w in own:
+                spelled = end * sum(math.prod(weight[a] for a in way) for way in ways[w])
+                p *= count[w] / max(size, 1) * (1 - unseen) + unseen * (
+                    lattice.BORROWED * everything[w] / read + (1 - lattice.BORROWED) * spelled
+                )
+            whole += p
+        out[key] = math.log10(whole) + math.log10(ends) + len(own) * math.log10(1 - ends)
+    return out
+
+
+@pytest.mark.parametrize("words", [1, 1 << 16])
+def test_scores_by_listing_all_cuts(rows, pieces, words, monkeypatch):
+    monkeypatch.setattr(lattice, "WORDS", words)
+    docs = [
+        (1, "the cat sat", "en"), (2, "The mat the hat", "en"), (3, "das ist gut", "de"), (4, "a the", "en"),
+        (5, "gut cat zqx", "de"), (6, "ist ünd \u4e16", "de"), (7, "the theß", "fr"), (8, "", "en"), (9, "hat", "en"),
+    ]
+    held = [d[0] in (5, 6, 9) for d in docs]
+    found = lattice.score_texts(rows("doc_id long, text string, lang string", *docs), F.col("doc_id").isin(5, 6, 9)).collect()
+    assert {r["doc_id"]: r["score"] for r in found} == pytest.approx(all_cuts_score(docs, held), rel=1e-9)
+
+
 def test_scores_without_training_texts_or_rows(rows, pieces):
     frame = rows("doc_id long, text string", (1, "never seen"), (None, "words"))
     found = lattice.score_texts(frame, F.lit(True)).collect()
