@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, functions as F
 
 from paywatch.operators.skew import BROADCAST_ROWS, Heavy, heavy_keys, slice_lookup, slice_rows
@@ -60,29 +62,37 @@ def pagerank_power(
     nodes: DataFrame | None = None,
     damping: float = DAMPING,
     tolerance: float = 1e-6,
-    max_rounds: int = 100,
+    max_rounds: int | None = None,
     start: DataFrame | None = None,
 ) -> DataFrame:
     """Power iteration on any directed graph, until the scores change by less than N * tolerance in total.
 
+    What dangling nodes and jumps hand out evenly is the same for every node, so a round iterates the scores in
+    units of that share, each 1 + damping * inflow, and they are scaled to a total of 1 in the end. Only ranks
+    that follow links carry an error from round to round: a graph without cycles is done after as many rounds
+    as its longest path, and any other one after a number of rounds known beforehand (`_rounds`).
+
     The links are written once, heavy sources already sliced; a round moves only the scores. `start` (node_id,
-    pagerank_score) are scores of an earlier state of the graph to begin with; they are scaled to a total of 1.
+    pagerank_score) are scores of an earlier state of the graph to begin with.
     """
     scratch = Scratch(pairs.sparkSession, "pagerank")
     heavy = heavy_keys(pairs, ["src"])
     links = scratch.write(_shares(pairs, heavy), "links")
-    base = scratch.write(_ends(pairs, nodes).select("node_id", (~F.col("is_source")).alias("_dangling")), "nodes")
-    size = base.count()
-    scores = base.withColumn("score", F.lit(1.0 / size))
+    every = _ends(pairs, nodes).select("node_id", (~F.col("is_source")).alias("_dangling"))
+    base, totals = scratch.write_with(every, "nodes", size=F.count(F.lit(1)))
+    size = totals["size"]
+    scores, whole = base.select("node_id", F.lit(1.0).alias("score")), float(size)
     if start is not None:
         begun = base.join(start, "node_id", "left").select(
             "node_id", "_dangling", F.coalesce("pagerank_score", F.lit(1.0 / size)).alias("score")
         )
-        begun, totals = scratch.write_with(begun, "start", total=F.sum("score"))
-        scores = begun.withColumn("score", F.col("score") / F.lit(totals["total"])).select("node_id", "_dangling", "score")
-    dangling = scores.agg(F.coalesce(F.sum(F.when(F.col("_dangling"), F.col("score"))), F.lit(0.0))).first()[0]
+        begun, totals = scratch.write_with(
+            begun, "start", total=F.sum("score"), dangling=F.sum(F.when(F.col("_dangling"), F.col("score")))
+        )
+        even = ((1.0 - damping) * totals["total"] + damping * (totals["dangling"] or 0.0)) / size
+        scores, whole = begun.select("node_id", (F.col("score") / F.lit(even)).alias("score")), totals["total"] / even
 
-    for _ in range(max_rounds):
+    for _ in range(max_rounds or _rounds(size, damping, tolerance, whole)):
         sent = scores.select(F.col("node_id").alias("src"), "score")
         if size <= BROADCAST_ROWS:
             flow = links.join(F.broadcast(sent), "src")
@@ -93,31 +103,29 @@ def pagerank_power(
             F.col("dst").alias("node_id"),
             (F.col("score") * F.col("share")).alias("_in"),
             F.lit(None).cast("double").alias("score"),
-            F.lit(None).cast("boolean").alias("_dangling"),
         )
-        held = scores.select("node_id", F.lit(0.0).alias("_in"), "score", "_dangling")
-        even = (1.0 - damping + damping * dangling) / size
+        held = scores.select("node_id", F.lit(0.0).alias("_in"), "score")
         updated = (
             arrived.unionByName(held)
             .groupBy("node_id")
-            .agg(
-                (F.lit(damping) * F.sum("_in") + F.lit(even)).alias("score"),
-                F.max("score").alias("_before"),
-                F.max("_dangling").alias("_dangling"),
-            )
+            .agg((F.lit(1.0) + F.lit(damping) * F.sum("_in")).alias("score"), F.max("score").alias("_before"))
             .withColumn("_change", F.abs(F.col("score") - F.col("_before")))
         )
-        written, totals = scratch.write_with(
-            updated,
-            "scores",
-            change=F.sum("_change"),
-            dangling=F.coalesce(F.sum(F.when(F.col("_dangling"), F.col("score"))), F.lit(0.0)),
-        )
-        dangling = totals["dangling"]
-        scores = written.drop("_change", "_before")
-        if totals["change"] < size * tolerance:
-            return scores.select("node_id", F.col("score").alias("pagerank_score"))
-    raise RuntimeError(f"PageRank did not converge in {max_rounds} rounds.")
+        written, totals = scratch.write_with(updated, "scores", change=F.sum("_change"), whole=F.sum("score"))
+        scores, whole = written.select("node_id", "score"), totals["whole"]
+        # scaled scores change by at most twice this share of the total of 1
+        if 2 * totals["change"] < whole * size * tolerance:
+            return scores.select("node_id", (F.col("score") / F.lit(whole)).alias("pagerank_score"))
+    raise RuntimeError("PageRank did not converge in the rounds allowed.")
+
+
+def _rounds(size: int, damping: float, tolerance: float, whole: float) -> int:
+    """Rounds after which the scores surely change by less than size * tolerance: a round cuts the change to `damping`.
+
+    The first change is at most size + whole, in units of a share of which the total has size at least.
+    """
+    wanted = max(size * tolerance, 1e-14) * size / (2 * (size + whole))
+    return max(1, math.ceil(math.log(min(1.0, wanted)) / math.log(damping))) + 2
 
 
 def pagerank(edges: DataFrame, nodes: DataFrame | None = None, damping: float = DAMPING) -> DataFrame:

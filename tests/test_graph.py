@@ -242,6 +242,15 @@ def test_pagerank_counts_nodes_without_edges(rows):
         assert ranks == pytest.approx({"customer:u": 1 / 3.85, "merchant:m": 1.85 / 3.85, "customer:lonely": 1 / 3.85}, abs=1e-6)
 
 
+def test_pagerank_of_many_sources_and_few_targets(rows):
+    """Nearly all nodes are sources: the even share settles slowly when it is iterated too."""
+    links = [(f"c{i}", f"m{i % 2}") for i in range(200)]
+    frame = rows("src string, dst string", *links)
+    expected = dense_pagerank(links)
+    found = {r["node_id"]: r["pagerank_score"] for r in pagerank_power(link_counts(frame), tolerance=1e-12).collect()}
+    assert found == pytest.approx(expected, abs=1e-9)
+
+
 def test_no_node_gains_after_communities(rows):
     """Two cliques with a bridge, and a star: the best answer is known."""
     links = [(a, b) for group in ("abcd", "wxyz") for a in group for b in group if a < b] + [("d", "w")] + [("s", f"t{i}") for i in range(4)]
