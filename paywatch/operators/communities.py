@@ -8,6 +8,10 @@ that round always raises modularity, and afterwards the share of nodes that may
 ends only when no node gains anything. Settled communities become the nodes of a smaller graph, and so on
 until nothing improves.
 
+A node with a single link is best off with the node it hangs on, whatever the rest of the graph is like
+(Lu et al., 2015: vertex following). Such nodes join it before the first round, in one pass, and only the
+others take part in the rounds.
+
 A graph that grew starts from the communities it had before; only its new nodes begin alone.
 """
 
@@ -47,6 +51,30 @@ def _arcs_of(pairs: DataFrame) -> DataFrame:
     return both_directions(proper, "node_a", "node_b", "weight").unionByName(loops)
 
 
+def _followers(pairs: DataFrame) -> DataFrame:
+    """The pairs with `follower`: the end that has no other link, of two such ends the larger name; else null.
+
+    A pair is the only one of its follower, so the mark comes back by both names and no hub gathers rows.
+    """
+    hanging = (
+        both_directions(pairs, "node_a", "node_b", "weight")
+        .groupBy("node")
+        .agg(F.count(F.lit(1)).alias("links"), F.min("neighbour").alias("neighbour"), F.min("weight").alias("weight"))
+        .where((F.col("links") == 1) & (F.col("weight") > 0))  # a self loop stands there twice
+    )
+    marks = hanging.groupBy(F.least("node", "neighbour").alias("node_a"), F.greatest("node", "neighbour").alias("node_b")).agg(
+        F.max("node").alias("follower")
+    )
+    return pairs.join(marks, ["node_a", "node_b"], "left")
+
+
+def _without_followers(marked: DataFrame) -> DataFrame:
+    """The pairs of the other nodes; the link of a follower becomes a self loop of the node it hangs on."""
+    leader = F.when(F.col("follower") == F.col("node_a"), F.col("node_b")).otherwise(F.col("node_a"))
+    ends = [F.when(F.col("follower").isNull(), F.col(c)).otherwise(leader).alias(c) for c in ("node_a", "node_b")]
+    return marked.select(*ends, "weight").groupBy("node_a", "node_b").agg(F.sum("weight").alias("weight"))
+
+
 def _state(labels: DataFrame, rows: int) -> DataFrame:
     """Labels with the total strength and the number of members of their community."""
     totals = labels.groupBy("community").agg(F.sum("strength").alias("total"), F.count(F.lit(1)).alias("members"))
@@ -214,7 +242,9 @@ def weighted_communities(
 ) -> DataFrame:
     """`communities` of undirected pairs node_a, node_b, weight, each there once."""
     scratch = Scratch(pairs.sparkSession, "communities")
-    arcs = scratch.write(_arcs_of(pairs), "arcs")
+    pairs = scratch.write(pairs.select("node_a", "node_b", "weight"), "pairs")
+    marked, seen = scratch.write_with(_followers(pairs), "marked", followers=F.count("follower"))
+    arcs = scratch.write(_arcs_of(_without_followers(marked) if seen["followers"] else pairs), "arcs")
     if start is not None:
         start = start.select(F.col("node_id").alias("node"), F.col("community_id").alias("community"))
     if arcs.isEmpty():
@@ -223,7 +253,7 @@ def weighted_communities(
 
     assigned, quality = None, float("-inf")
     for level in range(max_levels):
-        settled, level_quality, groups, _ = _settle(scratch, arcs, level, max_rounds, None if level else start)
+        settled, level_quality, groups, shares = _settle(scratch, arcs, level, max_rounds, None if level else start)
         if level_quality <= quality + THRESHOLD:
             break
         quality = level_quality
@@ -233,6 +263,8 @@ def weighted_communities(
             step = settled.select(F.col("node").alias("community"), F.col("community").alias("_next"))
             assigned = join_lookup(assigned, step, ["community"], lookup_rows=groups).select("node", F.col("_next").alias("community"))
         assigned = scratch.write(assigned, "assigned")
+        if not shares and (level or start is None):
+            break  # nothing has moved, so the next level would be this one
         near = settled.select("node", F.col("community").alias("_from"))
         far = settled.select(F.col("node").alias("neighbour"), F.col("community").alias("_to"))
         placed = join_lookup(arcs, near, ["node"], lookup_rows=groups)
@@ -245,6 +277,12 @@ def weighted_communities(
         )
     else:
         raise RuntimeError(f"Communities did not settle in {max_levels} levels.")
+    if seen["followers"]:
+        hung = marked.where("follower is not null").select(
+            F.col("follower"), F.when(F.col("follower") == F.col("node_a"), F.col("node_b")).otherwise(F.col("node_a")).alias("node")
+        )
+        hung = join_lookup(hung, assigned, ["node"]).select(F.col("follower").alias("node"), "community")
+        assigned = scratch.write(assigned.unionByName(hung), "assigned")
     names = assigned.groupBy("community").agg(F.min("node").alias("community_id"))
     return join_lookup(assigned, names, ["community"]).select(F.col("node").alias("node_id"), "community_id")
 

@@ -339,6 +339,27 @@ def test_independent_moves_share_no_community(rows):
     assert found == [("a", "B"), ("e", "E")]  # c waits: b, which is better for its community, waits for a
 
 
+def test_single_links_are_followed_before_the_first_round(rows, monkeypatch):
+    """Stars, an isolated link, a self loop and a pendant of a triangle: rounds see the other nodes only."""
+    links = [("hub", f"l{i}") for i in range(9)] + [("p", "q"), ("s", "s"), ("s", "t"), ("x", "y"), ("y", "z"), ("x", "z"), ("z", "end")]
+    frame = rows("src string, dst string, amount double", *[(a, b, 1.0) for a, b in links])
+    sizes, settle = [], community_steps._settle
+
+    def recorded(*args):
+        out = settle(*args)
+        sizes.append((out[2], len(out[3])))
+        return out
+
+    monkeypatch.setattr(community_steps, "_settle", recorded)
+    groups: dict = {}
+    for r in communities(frame).collect():
+        groups.setdefault(r["community_id"], set()).add(r["node_id"])
+    assert {k: "".join(sorted(v)) for k, v in groups.items()} == {
+        "hub": "hub" + "".join(f"l{i}" for i in range(9)), "p": "pq", "s": "st", "end": "endxyz"
+    }
+    assert sizes[0][0] == 6  # hub, p, s, x, y, z
+
+
 def test_communities_of_a_graph_that_grew(rows):
     """Starting from the former communities gives as good ones as starting anew."""
     links = ring_with_chords(60, 25)
