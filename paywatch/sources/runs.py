@@ -24,7 +24,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from paywatch.operators.skew import BROADCAST_ROWS
-from paywatch.session import delete_path
+from paywatch.session import Scratch, delete_path
 
 #: Buckets of a merged run, by the first eight bits of the hash; ids in a file of one.
 BUCKETS = 256
@@ -165,8 +165,13 @@ def append_unseen(
     try:
         named = first.where(F.col(key).isNotNull())
         known = stored_ids(spark, found, key, named.select(key), batch).distinct()
-        # rows without an id match nothing; in the join they would all meet in one task
-        fresh = named.join(known, key, "left_anti").unionByName(first.where(F.col(key).isNull()))
+        # only ids are moved to find the stored ones, which are few unless batches overlap; then no whole row moves
+        known, seen = Scratch(spark, "known").write_with(known, "ids", size=F.count(F.lit(1)))
+        fresh = first
+        if seen["size"]:
+            # rows without an id match nothing; in the join they would all meet in one task
+            rest = named.join(F.broadcast(known) if seen["size"] <= BROADCAST_ROWS else known, key, "left_anti")
+            fresh = rest.unionByName(first.where(F.col(key).isNull()))
         counted = Observation()
         shaped = fresh.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
         shaped.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(run_path(path, batch))

@@ -226,6 +226,27 @@ def test_attached_signals(rows, scored):
     assert (found["4"]["component_id"], found["4"]["propagated_risk_score"]) == ("x", 0.4)
 
 
+def test_few_nodes_of_a_kind_move_no_rows(scored, rows, monkeypatch):
+    """Nodes are counted by kind, so a few merchants are broadcast even when there are many customers."""
+    from paywatch.operators import risk, skew
+
+    schema = (
+        "node_id string, pagerank_score double, community_id string, triangle_count long, component_id string, "
+        "component_size long, propagated_risk_score double"
+    )
+    nodes = [(f"customer:{c}", 0.2, "x", 1, "x", 3, 0.3) for c in ("u", "a", "b")] + [("merchant:m", 0.1, "y", 2, "x", 3, 0.4)]
+    seen = []
+    join = skew.join_lookup
+
+    def watched(*args, **options):
+        seen.append((args[2], options.get("lookup_rows")))
+        return join(*args, **options)
+
+    monkeypatch.setattr(risk, "join_lookup", watched)
+    out = risk.attach_graph_signals(scored, rows(schema, *nodes))
+    assert seen == [(["src"], 3), (["dst"], 1)] and out.count() == scored.count()
+
+
 def test_pagerank_counts_nodes_without_edges(rows):
     """A repeated transaction adds its customer, but no edge."""
     from paywatch.operators.graph import graph_edges, graph_nodes

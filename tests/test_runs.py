@@ -70,6 +70,26 @@ def test_replay_before_and_after_a_merge(spark, rows, tmp_path):
     assert len(table(spark, path)) == len(before) + 2 + ("id1" not in known)
 
 
+def test_stored_ids_are_found_before_whole_rows_move(spark, rows, tmp_path, monkeypatch):
+    """Few stored ids are broadcast, and none at all are not joined."""
+    path, joins = str(tmp_path / "t"), []
+    kind = type(rows(ROW, ("a", 1)))
+    join = kind.join
+
+    def watched(self, other, on=None, how=None):
+        out = join(self, other, on, how)
+        if how == "left_anti":
+            joins.append("ResolvedHint (strategy=broadcast)" in out._jdf.queryExecution().analyzed().toString())
+        return out
+
+    monkeypatch.setattr(kind, "join", watched)
+    assert runs.append_unseen(rows(ROW, ("a", 1), ("b", 2), (None, 3)), path, SCHEMA, "id", ("w", 0)) == 3
+    assert joins == []
+    assert runs.append_unseen(rows(ROW, ("b", 4), ("c", 5), (None, 6)), path, SCHEMA, "id", ("w", 1)) == 2
+    assert joins == [True]
+    assert table(spark, path) == sorted([("a", 1), ("b", 2), (None, 3), ("c", 5), (None, 6)], key=str)
+
+
 def test_merge_that_is_cut_off_is_not_seen(spark, rows, tmp_path, monkeypatch):
     path, made = str(tmp_path / "t"), batches(5)
     store(rows, path, made[:3], 1000)
