@@ -285,3 +285,14 @@ def test_totals_of_a_stream_equal_those_of_a_batch(spark, rows, tmp_path):
     assert seen.totals() == batch and 0 < batch["invalid_records"] < batch["valid_records"]
     assert spark.read.json(str(tmp_path / "topic")).count() == batch["valid_records"]
     assert spark.read.parquet(str(tmp_path / "rejects")).where("reject_reason IS NOT NULL").count() == batch["invalid_records"]
+
+
+def test_aggregates_are_repeated_for_slices_with_rows_only(rows):
+    """A key of one row is kept once in join state, not once per slice; no slice with rows is left out."""
+    from paywatch.streaming import enrich
+
+    made = rows("k string, n int", ("one", 1), *[("many", i) for i in range(200)], *[("two", i) for i in range(2)])
+    sliced = made.withColumn("_slice", enrich._slice_of(made, 8))
+    found = enrich._per_seen_slice(sliced.groupBy("k").agg(enrich._seen_slices()), 8)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, sliced.select("k", "_slice").distinct().collect()))
+    assert found.where("k = 'one'").count() == 1 and found.where("k = 'many'").count() == 8
