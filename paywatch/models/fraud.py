@@ -14,6 +14,20 @@ from paywatch.operators.history import binary_target, feature_matrix, require_la
 from paywatch.settings import FEATURE_COLUMNS
 
 
+#: Rows of a partition that every level of every tree is counted over.
+PARTITION_ROWS = 1_000_000
+
+
+def evenly(rows: DataFrame, total: int) -> DataFrame:
+    """The rows in partitions of equal size, in as many as keep every core busy.
+
+    A fit runs some 2,000 jobs over the partitions it is given, and each lasts as long as the fullest of them;
+    rows that come from a small file may all lie in one.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores * max(1, -(-total // (cores * PARTITION_ROWS))))
+
+
 def train_fraud_model(
     df: DataFrame,
     target: str | None = None,
@@ -32,7 +46,7 @@ def train_fraud_model(
     try:
         balance = require_labels(matrix, "_label")
         weight = float(balance["scale_pos_weight"])
-        weighted = matrix.withColumn("_weight", F.when(F.col("_label") == 1, F.lit(weight)).otherwise(F.lit(1.0)))
+        weighted = evenly(matrix, balance["total_samples"]).withColumn("_weight", F.when(F.col("_label") == 1, F.lit(weight)).otherwise(F.lit(1.0)))
         model = Pipeline(
             stages=[
                 VectorAssembler(inputCols=list(features), outputCol="features"),

@@ -17,10 +17,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def over_all_cores(rows: DataFrame) -> DataFrame:
+    """Rows of a file that is read in fewer parts than there are cores, dealt out; larger ones stay where they are."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as a transaction; some ids are missing or blank so that the identity rules matter."""
+    return as_transactions(table(spark, sf_dir, "events"))
+
+
+def as_transactions(events: DataFrame) -> DataFrame:
     event = F.col("event_id")
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         event.cast("string").alias("transaction_id"),
         F.when(event % 17 == 0, F.lit(None)).when(event % 19 == 0, "  ").otherwise(F.col("user_id").cast("string")).alias("user_id"),
         F.when(event % 289 != 0, F.concat(F.lit("A"), F.col("user_id").cast("string"))).alias("account_id"),
@@ -92,7 +102,7 @@ def entity_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Window and history features of every transaction, once per window."""
-    source = transactions(spark, sf_dir)
+    source = as_transactions(over_all_cores(table(spark, sf_dir, "events")))
     return historical_enrich(window_enrich(source, EVENT_SETTINGS), historical_profile(source), source)
 
 

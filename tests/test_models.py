@@ -30,6 +30,21 @@ def test_fraud_model_learns_and_round_trips(spark, labelled, tmp_path):
     assert wrong == 0 and scored.columns[: len(labelled.columns)] == labelled.columns
 
 
+def test_fraud_model_trains_on_even_partitions(spark, labelled, monkeypatch):
+    """Rows that all come in one partition are dealt out before the many jobs of the fit."""
+    sizes = []
+
+    class Seen(fraud.Pipeline):
+        def fit(self, rows, params=None):
+            sizes.extend(rows.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect())
+            return super().fit(rows, params)
+
+    monkeypatch.setattr(fraud, "Pipeline", Seen)
+    _, details = fraud.train_fraud_model(labelled.coalesce(1), trees=1, depth=1)
+    assert len(sizes) == spark.sparkContext.defaultParallelism and sum(sizes) == details["total_samples"] == 400
+    assert max(sizes) - min(sizes) <= len(sizes)
+
+
 def test_score_needs_all_features(labelled):
     with pytest.raises(ValueError, match="historical_max_amount"):
         fraud.score_fraud(labelled.drop("historical_max_amount"), None)
