@@ -173,6 +173,30 @@ def test_chunks_are_bounded_and_single_targets_stay_behind(spark, rows, monkeypa
     assert sized.where("low_size > 1 AND high_size IS NOT NULL").isEmpty()
 
 
+def test_only_targets_that_both_ends_may_share_move(spark, rows):
+    """Of the long list of the high end, few targets go to a low end that shares none or one of them."""
+    long_list = [("b0", f"t{j:03d}") for j in range(200)]
+    links = long_list + [(f"a{i}", "b0") for i in range(40)] + [(f"a{i}", f"u{i}{j}") for i in range(40) for j in range(6)] + [("a0", "t000")]
+    links += [(f"t{j:03d}", f"x{k}") for j in range(200) for k in range(220)]  # targets rank above the hub
+    edges = rows("src string, dst string", *links)
+    pairs = triangle_steps._all_pairs(edges)
+    numbered = triangle_steps._numbered(triangle_steps._ranked(pairs))
+    assert numbered.schema["number"].dataType.simpleString() == "int"
+    numbers = {r["node"]: r["number"] for r in numbered.collect()}
+    assert sorted(numbers.values()) == list(range(len(numbers)))
+    signed = spark.createDataFrame([(n,) for n in range(6)], "t int").agg(triangle_steps._signature("t").alias("s"))
+    kept = signed.select(F.filter(F.sequence(F.lit(0), F.lit(999)), lambda t: triangle_steps._may_hold("s", t)).alias("k")).first()["k"]
+    assert set(range(6)) <= set(kept) and len(kept) < 100
+    found = {r["node_id"]: r["triangle_count"] for r in triangles(edges).collect()}
+    assert {n for n, c in found.items() if c} == {"a0", "b0", "t000"}
+
+
+def test_nodes_of_loops_and_missing_ends_are_kept(rows):
+    links = [("a", "b"), ("b", "c"), ("c", "a"), ("d", "d"), ("e", None), (None, "a"), ("c", "c")]
+    found = [(r["node_id"], r["triangle_count"]) for r in triangles(rows("src string, dst string", *links)).collect()]
+    assert sorted(found, key=str) == sorted([("a", 1), ("b", 1), ("c", 1), ("d", 0), ("e", 0), (None, 0)], key=str)
+
+
 def test_bipartite_graph_has_no_triangles(rows):
     frame = rows("src string, dst string", *[(f"c{i}", f"m{j}") for i in range(4) for j in range(3)])
     assert triangles(frame).where("triangle_count > 0").isEmpty()
