@@ -106,13 +106,11 @@ def _subsamples(rows: DataFrame, features, trees: int, size: int, total: int, se
     bound on it leaves a few more rows than needed; a row is repeated only for trees that may draw it.
     """
     bound = min(1.0, (size + 8 * size**0.5 + 16) / total)
-
-    def rank(tree):
-        return F.shiftrightunsigned(F.xxhash64("_row", tree, F.lit(seed)), 11) / F.lit(float(2**53))
-
     every = F.sequence(F.lit(0), F.lit(trees - 1))
-    drawn = F.filter(F.transform(every, lambda t: F.struct(t.alias("tree_id"), rank(t).alias("_rank"))), lambda d: d["_rank"] <= bound)
-    return rows.select(F.explode(drawn).alias("_draw"), *features).select("_draw.*", *features)
+    rank = F.shiftrightunsigned(F.xxhash64("_row", "tree_id", F.lit(seed)), 11) / F.lit(float(2**53))
+    # one row per tree and a filter are compiled into one loop; functions over an array would be interpreted
+    tried = rows.select("_row", *features, F.explode(every).alias("tree_id"))
+    return tried.where(rank <= bound).select("tree_id", rank.alias("_rank"), *features)
 
 
 def train_isolation_forest(

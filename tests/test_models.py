@@ -103,3 +103,18 @@ def test_saving_leaves_former_versions(spark, rows, tmp_path):
     (tmp_path / "forest" / "version=000000000099" / "model").mkdir(parents=True)  # a fit that was cut off
     assert store.load_forest(spark, path)[1]["number"] == 4
     assert len(list((tmp_path / "forest").glob("version=*/details"))) == store.KEEP
+
+
+def test_subsamples_are_drawn_by_compiled_code(spark):
+    rows = spark.range(3000).select(F.xxhash64("id").alias("_row"), F.col("id").cast("double").alias("amount"))
+    drawn = forest._subsamples(rows, ["amount"], 5, 64, 3000, 42)
+    assert "lambda" not in drawn._jdf.queryExecution().executedPlan().toString()
+    bound = (64 + 8 * 64**0.5 + 16) / 3000
+    wanted = {
+        (r["tree"], r["amount"], r["rank"])
+        for r in rows.crossJoin(spark.range(5).select(F.col("id").cast("int").alias("tree")))
+        .select("tree", "amount", (F.shiftrightunsigned(F.xxhash64("_row", "tree", F.lit(42)), 11) / F.lit(float(2**53))).alias("rank"))
+        .collect()
+        if r["rank"] <= bound
+    }
+    assert {tuple(r) for r in drawn.select("tree_id", "amount", "_rank").collect()} == wanted
