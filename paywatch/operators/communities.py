@@ -13,6 +13,9 @@ A node with a single link is best off with the node it hangs on, whatever the re
 others take part in the rounds.
 
 A graph that grew starts from the communities it had before; only its new nodes begin alone.
+
+Nodes and communities go by numbers in the order of their names: every round moves, groups and sorts rows of
+all links, which take half the room so and are sorted as numbers. Names come back at the end.
 """
 
 from __future__ import annotations
@@ -51,6 +54,33 @@ def _arcs_of(pairs: DataFrame) -> DataFrame:
     return both_directions(proper, "node_a", "node_b", "weight").unionByName(loops)
 
 
+def _numbered(scratch: Scratch, pairs: DataFrame, start: DataFrame | None) -> tuple[DataFrame, int]:
+    """name and node, a number that rises with the name, of all nodes and former communities; and how many these are."""
+    names = pairs.select(F.explode(F.array("node_a", "node_b")).alias("name"))
+    if start is not None:
+        names = names.unionByName(start.select(F.col("community").alias("name")))
+    ranked = scratch.write(names.where("name is not null").distinct(), "names").orderBy("name")
+    numbers, seen = scratch.write_with(
+        ranked.select("name", F.monotonically_increasing_id().alias("node")), "numbers", rows=F.count(F.lit(1))
+    )
+    return numbers, seen["rows"]
+
+
+def _by_number(rows: DataFrame, columns: list[str], numbers: DataFrame, named: int) -> DataFrame:
+    """The rows with numbers instead of names in the given columns."""
+    out = rows
+    for column in columns:
+        lookup = numbers.select(F.col("name").alias(column), F.col("node").alias("_number"))
+        out = join_lookup(out, lookup, [column], count_from=rows, lookup_rows=named)
+        out = out.withColumn(column, F.col("_number")).drop("_number")
+    return out.select(*rows.columns)
+
+
+def _clustered(arcs: DataFrame) -> DataFrame:
+    """Arcs of a node side by side, so that tasks add most of them up before a shuffle; those of a hub lie in many parts."""
+    return arcs.repartitionByRange("node", "neighbour").sortWithinPartitions("node")
+
+
 def _followers(pairs: DataFrame) -> DataFrame:
     """The pairs with `follower`: the end that has no other link, of two such ends the larger name; else null.
 
@@ -150,10 +180,17 @@ def _independent(moves: DataFrame, least: float, node_rows: int) -> DataFrame:
 
 
 def _settle(
-    scratch: Scratch, arcs: DataFrame, level: int, max_rounds: int, start: DataFrame | None = None
+    scratch: Scratch,
+    arcs: DataFrame,
+    numbers: DataFrame,
+    named: int,
+    level: int,
+    max_rounds: int,
+    start: DataFrame | None = None,
 ) -> tuple[DataFrame, float, int, list[float]]:
     """Rounds of moves on one level; the best labels found, their modularity, the number of nodes, and the share of
-    the nodes that moved in each round (0 for moves that cannot clash). `start`: node and community to begin with."""
+    the nodes that moved in each round (0 for moves that cannot clash). `numbers` are the names of `named` nodes, by
+    which the moving half is drawn; `start`: node and community to begin with."""
     is_loop = F.col("node") == F.col("neighbour")
     alone = arcs.groupBy("node").agg(
         F.sum("weight").alias("strength"),
@@ -165,7 +202,7 @@ def _settle(
     else:
         begun = alone.withColumn("community", F.col("node"))
     labels, totals = scratch.write_with(
-        begun,
+        join_lookup(begun, numbers, ["node"], total_rows=named, lookup_rows=named),
         f"labels{level}",
         weight=F.sum("strength"),
         loops=F.sum("loop"),
@@ -173,6 +210,7 @@ def _settle(
         arcs=F.sum("arcs"),
     )
     weight, loops, node_rows, arc_rows = (totals[name] for name in ("weight", "loops", "nodes", "arcs"))
+    names, labels = labels.select("node", "name"), labels.select("node", "strength", "community")
     heavy = None
     if node_rows > BROADCAST_ROWS:
         found = heavy_keys(arcs, ["neighbour"])  # every arc stands there in both directions
@@ -206,9 +244,10 @@ def _settle(
             break
         shares.append(share)
         if share:
-            drawn = F.pmod(F.xxhash64("node", F.lit(SEED), F.lit(step)), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)))
+            drawn = F.pmod(F.xxhash64("name", F.lit(SEED), F.lit(step)), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)))
             target = F.when(drawn & (F.col("gain") > least), F.col("target"))
-            labels = best.select("node", "strength", F.coalesce(target, "community").alias("community"))
+            known = join_lookup(best, names, ["node"], total_rows=node_rows, lookup_rows=node_rows)
+            labels = known.select("node", "strength", F.coalesce(target, "community").alias("community"))
         else:
             chosen = join_lookup(best, _independent(best, least, node_rows), ["node"], total_rows=node_rows, lookup_rows=node_rows)
             labels = chosen.select("node", "strength", F.coalesce("_target", "community").alias("community"))
@@ -243,17 +282,23 @@ def weighted_communities(
     """`communities` of undirected pairs node_a, node_b, weight, each there once."""
     scratch = Scratch(pairs.sparkSession, "communities")
     pairs = scratch.write(pairs.select("node_a", "node_b", "weight"), "pairs")
-    marked, seen = scratch.write_with(_followers(pairs), "marked", followers=F.count("follower"))
-    arcs = scratch.write(_arcs_of(_without_followers(marked) if seen["followers"] else pairs), "arcs")
     if start is not None:
         start = start.select(F.col("node_id").alias("node"), F.col("community_id").alias("community"))
+    numbers, named = _numbered(scratch, pairs, start)
+    pairs = scratch.write(_by_number(pairs, ["node_a", "node_b"], numbers, named), "pairs")
+    if start is not None:
+        start = _by_number(start, ["node", "community"], numbers, named).where("node is not null")
+    marked, seen = scratch.write_with(_followers(pairs), "marked", followers=F.count("follower"))
+    arcs = scratch.write(_clustered(_arcs_of(_without_followers(marked) if seen["followers"] else pairs)), "arcs")
     if arcs.isEmpty():
-        ids = arcs.select("node") if nodes is None else nodes.select(F.col("node_id").alias("node"))
+        ids = numbers.select(F.col("name").alias("node")) if nodes is None else nodes.select(F.col("node_id").alias("node"))
         return ids.select(F.col("node").alias("node_id"), F.col("node").alias("community_id"))
 
     assigned, quality = None, float("-inf")
     for level in range(max_levels):
-        settled, level_quality, groups, shares = _settle(scratch, arcs, level, max_rounds, None if level else start)
+        settled, level_quality, groups, shares = _settle(
+            scratch, arcs, numbers, named, level, max_rounds, None if level else start
+        )
         if level_quality <= quality + THRESHOLD:
             break
         quality = level_quality
@@ -283,8 +328,12 @@ def weighted_communities(
         )
         hung = join_lookup(hung, assigned, ["node"]).select(F.col("follower").alias("node"), "community")
         assigned = scratch.write(assigned.unionByName(hung), "assigned")
-    names = assigned.groupBy("community").agg(F.min("node").alias("community_id"))
-    return join_lookup(assigned, names, ["community"]).select(F.col("node").alias("node_id"), "community_id")
+    first = assigned.groupBy("community").agg(F.min("node").alias("node"))
+    names = join_lookup(first, numbers, ["node"], total_rows=named, lookup_rows=named)
+    by_name = join_lookup(assigned, numbers, ["node"], total_rows=named, lookup_rows=named).withColumnRenamed("name", "node_id")
+    return join_lookup(by_name, names.select("community", F.col("name").alias("community_id")), ["community"]).select(
+        "node_id", "community_id"
+    )
 
 
 def modularity(edges: DataFrame, assignment: DataFrame) -> DataFrame:

@@ -405,6 +405,24 @@ def test_single_links_are_followed_before_the_first_round(rows, monkeypatch):
     assert sizes[0][0] == 6  # hub, p, s, x, y, z
 
 
+def test_rounds_move_numbers_not_names(rows, monkeypatch):
+    """Arcs carry numbers in the order of the names; former communities may be named by nodes that are gone."""
+    links = [(a, b, 1.0) for group in ("bcd", "xyz") for a, b in itertools.combinations(group, 2)] + [("d", "x", 0.1)]
+    kinds, settle = [], community_steps._settle
+
+    def recorded(*args):
+        kinds.append([t for _, t in args[1].select("node", "neighbour").dtypes])
+        return settle(*args)
+
+    monkeypatch.setattr(community_steps, "_settle", recorded)
+    frame = rows("src string, dst string, amount double", *links)
+    former = rows("node_id string, community_id string", ("b", "a"), ("c", "a"), ("gone", "a"), ("x", "x"))
+    for start in (None, former):
+        found = sorted(map(tuple, communities(frame, start=start).collect()))
+        assert found == [("b", "b"), ("c", "b"), ("d", "b"), ("x", "x"), ("y", "x"), ("z", "x")]
+    assert kinds and all(k == ["bigint", "bigint"] for k in kinds)
+
+
 def test_communities_of_a_graph_that_grew(rows):
     """Starting from the former communities gives as good ones as starting anew."""
     links = ring_with_chords(60, 25)
