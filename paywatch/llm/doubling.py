@@ -4,6 +4,7 @@ Windows that repeat at one length are extended to twice that length, and those t
 until the wanted length is reached or no candidate survives. The first level, a quarter of the length, is
 looked at where windows are anchored only (see `anchors`); the runs of windows around anchors that repeat
 are extended to half of the length and then to all of it, by hashes that the texts yield in one pass.
+Texts move to their runs twice, compressed.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from paywatch.llm.anchors import WordUnits, Sums, covered, identified, repeat_candidates
-from paywatch.llm.common import Rows, map_arrow, text_bytes, texts_of
+from paywatch.llm.common import Rows, map_arrow, packed, text_bytes, unpacked
 from paywatch.session import Scratch
 
 WINDOW = 20
@@ -35,7 +36,7 @@ def _levels(window: int):
         units = WordUnits()
         out = Rows(schema)
         for batch in batches:
-            texts = texts_of(batch.column("text"))
+            texts = unpacked(batch.column("text"))
             for doc, tag, text, found in zip(batch.column("doc").to_pylist(), batch.column("tag").to_pylist(), texts, batch.column("open").to_pylist()):
                 own = units(text)
                 sums = Sums(own)
@@ -53,10 +54,14 @@ def _levels(window: int):
 
 
 def _digest(window: int, with_text: bool):
+    schema = pa.schema([("doc", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()),
+                        ("kept", pa.string())])
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = Rows(schema)
         for batch in batches:
-            out = []
-            for text, runs in zip(texts_of(batch.column("text")), batch.column("runs").to_pylist()):
+            rows = zip(batch.column("doc").to_pylist(), unpacked(batch.column("text")), batch.column("runs").to_pylist())
+            for doc, text, runs in rows:
                 words = text.split()
                 if runs:
                     gone = covered(np.array([r["first"] for r in runs]), np.array([r["count"] for r in runs]), window, len(words))
@@ -64,11 +69,9 @@ def _digest(window: int, with_text: bool):
                 else:
                     kept = words
                 body = b" ".join(kept)
-                out.append((len(words), len(words) - len(kept), sha256(body).hexdigest(), body if with_text else None))
-            kinds = (pa.int64(), pa.int64(), pa.string(), pa.string())
-            columns = [pa.array(c, t) for c, t in zip(zip(*out), kinds)] if out else [pa.array([], t) for t in kinds]
-            names = ["doc", "n_words", "n_removed", "kept_sha256", "kept"]
-            yield pa.RecordBatch.from_arrays([batch.column("doc"), *columns], names=names)
+                found = (doc, len(words), len(words) - len(kept), sha256(body).hexdigest(), body if with_text else None)
+                yield from out.add(100 + len(body) * with_text, *found)
+        yield from out.flush()
 
     return task
 
@@ -85,7 +88,7 @@ def repeated_runs(rows: DataFrame, total_bytes: int, window: int = WINDOW) -> Da
     found = scratch.write(repeat_candidates(rows, total_bytes, WordUnits, window, quarter, WORD_BYTES, keep_first=True), "found")
     settled = found.where("kind = 0").select("doc", "tag", "first", "count")
     open_runs = found.where("kind = 1").groupBy("doc", "tag").agg(F.collect_list(F.struct("first", "count", "place")).alias("open"))
-    texts = rows.join(open_runs, ["doc", "tag"])
+    texts = packed(rows, ["doc", "tag"]).join(open_runs, ["doc", "tag"])
     schema = "doc bigint, tag bigint, first int, left bigint, right bigint, place int, hashes array<bigint>"
     runs, seen = scratch.write_with(map_arrow(texts, _levels(window), schema), "runs", rows=F.count(F.lit(1)))
 
@@ -123,7 +126,7 @@ def drop_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", windo
     total = text_bytes(docs, text)
     rows = identified(docs, key, text)
     gone = repeated_runs(rows, total, window).groupBy("doc", "tag").agg(F.collect_list(F.struct("first", "count")).alias("runs"))
-    texts = rows.join(gone, ["doc", "tag"], "left")
+    texts = packed(rows, ["doc", "tag"]).join(gone, ["doc", "tag"], "left")
     found = map_arrow(texts.select("doc", "text", "runs"), _digest(window, with_text),
                       "doc bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept string")
     return found.select(

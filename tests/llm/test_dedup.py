@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from paywatch.llm import anchors, doubling, exact_dedup, simhash, suffix
+from paywatch.llm import anchors, common, doubling, exact_dedup, simhash, suffix
 
 SPACE = re.compile(r"[\x20\x09-\x0D]")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -101,6 +101,31 @@ def test_substring_dedup(rows, monkeypatch, seed, salted):
     assert {r[0]: tuple(r[1:]) for r in found} == words_expected(data, 8)
 
 
+def test_substring_dedup_moves_compressed_texts(spark, rows, monkeypatch):
+    """Where texts go through a shuffle, as in large tables, they are packed, and the answer is the same."""
+    sizes, pack = [], doubling.packed
+
+    def watched(*args):
+        out = pack(*args)
+        sizes.append(out.agg(F.sum(F.octet_length("text"))).first()[0])
+        return out
+
+    data = corpus(2, vocabulary=9, words=400)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        monkeypatch.setattr(doubling, "packed", watched)
+        found = doubling.drop_repeats(rows(DOCS, *data), window=8).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert {r[0]: tuple(r[1:]) for r in found} == words_expected(data, 8)
+    whole = sum(len((text or "").encode()) for _, text, _ in data)
+    assert len(sizes) == 2 and max(sizes) < 0.8 * whole
+    pressed = common.packed(rows(DOCS, *data), ["doc_id"]).toArrow().combine_chunks()
+    texts = common.unpacked(pressed.column("text").chunk(0))
+    assert dict(zip(pressed.column("doc_id").to_pylist(), texts)) == {key: (text or "").encode() for key, text, _ in data}
+
+
 def bytes_expected(rows, length):
     counts: Counter = Counter()
     texts = [(key, (text or "").encode()) for key, text, *_ in rows]
