@@ -6,26 +6,49 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paywatch.functions.values import clip01
+from paywatch.models.boosting import DEEPEST, BoostedTrees
 from paywatch.operators.features import schema_guard
 from paywatch.operators.history import binary_target, feature_matrix, require_labels, resolve_target
 from paywatch.settings import FEATURE_COLUMNS
 
 
-#: Rows of a partition that every level of every tree is counted over.
-PARTITION_ROWS = 1_000_000
+def tasks_at_once(spark: SparkSession) -> int:
+    """Tasks that the session surely runs side by side; 0 where executors come and go, as barrier stages are refused there."""
+    context = spark.sparkContext
+    if context.getConf().get("spark.dynamicAllocation.enabled", "false").lower() == "true":
+        return 0
+    scheduler = context._jsc.sc()
+    slots = scheduler.maxNumConcurrentTasks(scheduler.resourceProfileManager().defaultResourceProfile())
+    return min(slots, context.defaultParallelism)
 
 
-def evenly(rows: DataFrame, total: int) -> DataFrame:
-    """The rows in partitions of equal size, in as many as keep every core busy.
+def evenly(rows: DataFrame) -> DataFrame:
+    """The rows in partitions of equal size, one per core.
 
-    A fit runs some 2,000 jobs over the partitions it is given, and each lasts as long as the fullest of them;
-    rows that come from a small file may all lie in one.
+    The tasks of a fit wait for each other at every level of every tree, so each level lasts as long as the fullest
+    of them; rows that come from a small file may all lie in one.
     """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores * max(1, -(-total // (cores * PARTITION_ROWS))))
+    spark = rows.sparkSession
+    return rows.repartition(tasks_at_once(spark) or spark.sparkContext.defaultParallelism)
+
+
+def _boosted(spark: SparkSession, features, trees, depth, rate, subsample, feature_share, seed):
+    """Boosted trees fitted in one job; one job per level where that is not possible."""
+    if tasks_at_once(spark) and 1 <= depth <= DEEPEST:
+        return BoostedTrees(features, trees, depth, rate, subsample, feature_share, seed)
+    return GBTClassifier(
+        labelCol="_label",
+        weightCol="_weight",
+        maxIter=trees,
+        maxDepth=depth,
+        stepSize=rate,
+        subsamplingRate=subsample,
+        featureSubsetStrategy=str(feature_share),
+        seed=seed,
+    )
 
 
 def train_fraud_model(
@@ -42,26 +65,13 @@ def train_fraud_model(
     """Fit on rows with engineered features; the model and what is worth knowing about its training."""
     target = target or resolve_target(df.columns)
     labelled = binary_target(df, target, "_label")
-    matrix = feature_matrix(labelled, tuple(features)).select("_label", *features).persist()
+    matrix = evenly(feature_matrix(labelled, tuple(features)).select("_label", *features)).persist()
     try:
         balance = require_labels(matrix, "_label")
         weight = float(balance["scale_pos_weight"])
-        weighted = evenly(matrix, balance["total_samples"]).withColumn("_weight", F.when(F.col("_label") == 1, F.lit(weight)).otherwise(F.lit(1.0)))
-        model = Pipeline(
-            stages=[
-                VectorAssembler(inputCols=list(features), outputCol="features"),
-                GBTClassifier(
-                    labelCol="_label",
-                    weightCol="_weight",
-                    maxIter=trees,
-                    maxDepth=depth,
-                    stepSize=rate,
-                    subsamplingRate=subsample,
-                    featureSubsetStrategy=str(feature_share),
-                    seed=seed,
-                ),
-            ]
-        ).fit(weighted)
+        weighted = matrix.withColumn("_weight", F.when(F.col("_label") == 1, F.lit(weight)).otherwise(F.lit(1.0)))
+        boosted = _boosted(df.sparkSession, features, trees, depth, rate, subsample, feature_share, seed)
+        model = Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"), boosted]).fit(weighted)
     finally:
         matrix.unpersist()
     details = {

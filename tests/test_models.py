@@ -1,8 +1,12 @@
 import numpy as np
 import pytest
+from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from paywatch.models import fraud, isolation_forest as forest, store
+from paywatch.models import boosting, fraud, isolation_forest as forest, store
+from paywatch.models.boosting import BoostedTrees
 from paywatch.settings import FEATURE_COLUMNS
 
 
@@ -45,6 +49,65 @@ def test_fraud_model_trains_on_even_partitions(spark, labelled, monkeypatch):
     assert max(sizes) - min(sizes) <= len(sizes)
 
 
+BOOSTED = ["a", "b", "c", "d", "same"]
+
+
+@pytest.fixture(scope="module")
+def weighted(spark):
+    rng = np.random.default_rng(3)
+    a, b, c, d = rng.gamma(2, 20, 2000), rng.integers(0, 24, 2000), rng.integers(0, 2, 2000), rng.normal(0, 1, 2000)
+    hit = rng.random(2000) < 1 / (1 + np.exp(-(a / 30 - 2 + np.where(b < 6, 1.5, 0) + c * d)))
+    data = [(float(v), float(w), float(x), float(y), 7.0, int(z), 2.37 if z else 1.0) for v, w, x, y, z in zip(a, b, c, d, hit)]
+    schema = ", ".join(f"{name} double" for name in BOOSTED) + ", _label int, _weight double"
+    return spark.createDataFrame(data, schema).repartition(4).persist()
+
+
+def _margins(model, rows):
+    raw = vector_to_array("rawPrediction")[1]
+    return {tuple(r[:4]): r[4] for r in model.transform(rows).select("a", "b", "c", "d", raw).collect()}
+
+
+def test_boosted_trees_are_those_of_the_library(weighted):
+    """Without drawing rows or features both fits are certain: the same trees, whatever the partitions."""
+    vector = VectorAssembler(inputCols=BOOSTED, outputCol="features")
+    own = fraud.Pipeline(stages=[vector, BoostedTrees(BOOSTED, 6, 6, 0.05, 1.0, 1.0, 42)]).fit(weighted)
+    library = GBTClassifier(labelCol="_label", weightCol="_weight", maxIter=6, maxDepth=6, stepSize=0.05, seed=42)
+    theirs = fraud.Pipeline(stages=[vector, library]).fit(weighted)
+    expected = _margins(theirs, weighted)
+    assert _margins(own, weighted) == pytest.approx(expected, abs=1e-9)
+    assert own.stages[1].treeWeights == theirs.stages[1].treeWeights
+    assert own.stages[1].featureImportances.toArray() == pytest.approx(theirs.stages[1].featureImportances.toArray(), abs=1e-2)  # equal gains
+    few = fraud.Pipeline(stages=[vector, BoostedTrees(BOOSTED, 6, 6, 0.05, 1.0, 1.0, 42)]).fit(weighted.repartition(2))
+    assert _margins(few, weighted) == pytest.approx(expected, abs=1e-9)
+
+
+def test_boosted_trees_without_a_folder_that_all_tasks_see(weighted, monkeypatch):
+    vector = VectorAssembler(inputCols=BOOSTED, outputCol="features")
+    stages = [vector, BoostedTrees(BOOSTED, 1, 2, 0.05, 1.0, 1.0, 42)]
+    expected = _margins(fraud.Pipeline(stages=stages).fit(weighted), weighted)
+    monkeypatch.setattr(boosting, "qualified", lambda spark, path: "nowhere://none/meeting")
+    assert _margins(fraud.Pipeline(stages=stages).fit(weighted), weighted) == pytest.approx(expected)
+
+
+def test_fraud_fit_takes_as_many_jobs_for_many_trees(spark, labelled):
+    """A job per level of every tree makes a fit of 300 trees wait most of its time."""
+    counts = []
+    for trees in (1, 6):
+        spark.sparkContext.setJobGroup(f"fit-{trees}", "fit")
+        fraud.train_fraud_model(labelled, trees=trees, depth=3)
+        counts.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"fit-{trees}")))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert counts[0] == counts[1] > 0
+
+
+def test_bins_come_from_all_rows():
+    values = np.concatenate([np.arange(5000.0), np.full(50, 9000.0)])
+    found, weights = boosting.condensed(values, np.ones(len(values)))
+    assert len(found) <= boosting.POINTS + 1 and weights.sum() == len(values) and found[-1] == 9000.0
+    shares = np.diff(np.searchsorted(values, boosting.thresholds_of(found, weights)), prepend=0)
+    assert len(shares) == 31 and shares.min() > 140 and shares.max() < 175
+
+
 def test_score_needs_all_features(labelled):
     with pytest.raises(ValueError, match="historical_max_amount"):
         fraud.score_fraud(labelled.drop("historical_max_amount"), None)
