@@ -214,18 +214,22 @@ class Meeting:
         return total.reshape(own.shape)
 
 
+#: By node, the group whose cell says where a row goes, and by node and cell the node it goes to.
+Moves = tuple[np.ndarray, np.ndarray]
+
+
 class Rows:
     """The rows of a task: bins, labels, weights and what the trees so far say."""
 
     def __init__(self, cut: Cut, codes: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> None:
         self.cut = cut
-        self.codes = codes
         self.columns = np.ascontiguousarray(codes.T)
-        self.sign = labels * 2.0 - 1.0
+        self.sign = labels * np.int8(2) - np.int8(1)
         self.weights = weights
         self.margin = np.zeros(len(labels))
-        self.residual = self.sign.copy()
+        self.residual = self.sign.astype(np.float64)
         self.node = np.zeros(len(labels), dtype=np.uint8)
+        self.numbers = np.arange(min(BLOCK, len(labels)), dtype=np.int64)
         self.drawn_weight, self.drawn_residual = weights, weights * self.residual
 
     def blocks(self) -> Iterator[slice]:
@@ -240,12 +244,13 @@ class Rows:
             self.drawn_weight = self.weights * (rng.random(len(self.weights), dtype=np.float32) < share)
         self.drawn_residual = self.drawn_weight * self.residual
 
-    def histograms(self, slot_of: np.ndarray, slots: int) -> np.ndarray:
-        """Sums of residuals and of weights per slot, feature and bin, over the rows of nodes that have a slot."""
+    def histograms(self, moves: Moves | None, slot_of: np.ndarray, slots: int) -> np.ndarray:
+        """Move rows to their children, if so wanted; sums of residuals and of weights per slot, feature and bin."""
         cut = self.cut
         sums = [[np.zeros(slots * cells) for cells in cut.cells] for _ in range(2)]
         everyone = slots == 1 and slot_of[0] == 0
         for block in self.blocks():
+            self._move(block, moves)
             if everyone:
                 residual, weight = self.drawn_residual[block], self.drawn_weight[block]
             else:
@@ -263,26 +268,29 @@ class Rows:
                 sums[1][group] += np.bincount(cell, weights=weight, minlength=slots * cells)
         return np.stack([cut.by_feature(joint, slots) for joint in sums])
 
-    def route(self, group_of: np.ndarray, child_of: np.ndarray) -> None:
-        """Move rows to children: `group_of` says by node which cell to look at, `child_of` the next node by node and cell."""
-        groups, widest, flat = len(self.cut.groups), self.cut.widest, self.codes.reshape(-1)
-        first = np.arange(min(BLOCK, len(self.sign)), dtype=np.int64) * groups
-        for block in self.blocks():
-            node = self.node[block]
-            at = first[: len(node)] + group_of.take(node)
-            cell = flat[block.start * groups :].take(at)
-            self.node[block] = child_of.take(node * np.int64(widest) + cell)
-
-    def finish(self, values: np.ndarray, rate: float) -> np.ndarray:
+    def _move(self, block: slice, moves: Moves | None) -> None:
+        """Rows of a block go to the children of their nodes."""
+        if moves is None:
+            return
+        group_of, child_of = moves
+        node, rows = self.node[block], len(self.sign)
+        at = (group_of * rows).take(node)
+        at += self.numbers[: len(node)]
+        at += block.start
+        cell = self.columns.reshape(-1).take(at)
+        self.node[block] = child_of.take(node * np.int64(self.cut.widest) + cell)
+
+    def finish(self, moves: Moves | None, values: np.ndarray, rate: float) -> np.ndarray:
         """End a tree: rows, residuals and squared residuals per node; then the residuals of the next one."""
         seen = np.zeros((2, len(values)))
         for block in self.blocks():
+            self._move(block, moves)
             node, sign = self.node[block], self.sign[block]
             seen[0] += np.bincount(node, weights=self.drawn_weight[block] > 0, minlength=len(values))
             seen[1] += np.bincount(node, weights=self.drawn_residual[block] * self.residual[block], minlength=len(values))
             self.margin[block] += rate * values.take(node)
             with np.errstate(over="ignore"):
-                self.residual[block] = 4.0 * sign / (1.0 + np.exp(2.0 * sign * self.margin[block]))
+                self.residual[block] = 4.0 * sign / (1.0 + np.exp((2.0 * sign) * self.margin[block]))
         return seen
 
 
@@ -318,11 +326,11 @@ def grow(rows: Rows, meeting: Meeting, tree: int, depth: int, per_node: int, see
     cut, features, size = rows.cut, len(rows.cut.sizes), 2 ** (depth + 1) - 1
     nodes: dict[int, dict] = {}
     known: dict[int, np.ndarray] = {}
-    built, derived = [0], []
+    built, derived, moves = [0], [], None
     for _ in range(depth):
         slot_of = np.full(256, -1, dtype=np.int64)
         slot_of[built] = np.arange(len(built))
-        fresh = meeting.total(rows.histograms(slot_of, len(built)))
+        fresh = meeting.total(rows.histograms(moves, slot_of, len(built)))
         above, known = known, {node: fresh[:, at] for at, node in enumerate(built)}
         for node, sibling in derived:
             known[node] = above[(node - 1) // 2] - known[sibling]
@@ -331,7 +339,7 @@ def grow(rows: Rows, meeting: Meeting, tree: int, depth: int, per_node: int, see
         for at, node in enumerate(level):
             allowed[at, np.random.default_rng([seed, tree, node]).permutation(features)[:per_node]] = True
         gain, feature, last, left, total = best_cuts(np.stack([known[n] for n in level], axis=1), allowed, cut, smallest)
-        built, derived, group_of = [], [], np.zeros(256, dtype=np.int64)
+        built, derived, moves, group_of = [], [], None, np.zeros(256, dtype=np.int64)
         child_of = np.repeat(np.arange(256, dtype=np.uint8)[:, None], cut.widest, axis=1)
         for at, node in enumerate(level):
             nodes.setdefault(node, {"sums": total[:, at]})
@@ -347,11 +355,11 @@ def grow(rows: Rows, meeting: Meeting, tree: int, depth: int, per_node: int, see
             derived.append((heavier, lighter))
         if not built:
             break
-        rows.route(group_of, child_of.reshape(-1))
+        moves = group_of, child_of.reshape(-1)
     values = np.zeros(size)
     for number, node in nodes.items():
         values[number] = node["sums"][0] / max(node["sums"][1], smallest / 2)
-    seen = meeting.total(rows.finish(values, 1.0 if tree == 0 else rows.rate))
+    seen = meeting.total(rows.finish(moves, values, 1.0 if tree == 0 else rows.rate))
     for number in sorted(nodes, reverse=True):
         if "feature" in nodes[number]:
             seen[:, number] = seen[:, 2 * number + 1] + seen[:, 2 * number + 2]
