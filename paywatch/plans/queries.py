@@ -20,7 +20,7 @@ from paywatch.plans.views import EVENT_SETTINGS, entity_edges, order_transaction
 from paywatch.session import delete_at_end, even_files, read_in_small_parts, scratch_path
 from paywatch.settings import FEATURE_COLUMNS, Settings
 from paywatch.sources import audit
-from paywatch.sources.transactions import parse_json_payload, publish_messages, run_available
+from paywatch.sources.transactions import in_order, parse_json_payload, publish_messages, run_available
 from paywatch.streaming.enrich import window_enrich_stream
 from paywatch.streaming.scoring import batch_summary
 
@@ -438,11 +438,29 @@ def window_enrich(spark, sf_dir):
     return _window_output(features.window_enrich(transactions(spark, sf_dir), EVENT_SETTINGS))
 
 
+#: Events that a micro-batch has per core; state stores keep what is open, and a batch of all events leaves all windows open.
+ARRIVALS_PER_CORE = 64_000
+
+
+def _arrivals(spark, sf_dir, folder: str) -> DataFrame:
+    """The events as a stream that brings them in the order of their time, some files per micro-batch."""
+    events, cores = views.table(spark, sf_dir, "events"), spark.sparkContext.defaultParallelism
+    files = max(1, -(-events.count() // ARRIVALS_PER_CORE))
+    source = spark.readStream.schema(events.schema)
+    if files > cores:
+        path = f"{folder}/arrivals"
+        # equal times share a file, so no file begins before another one ends
+        events.repartitionByRange(files, "ts").write.parquet(path)
+        if in_order(spark, path):
+            return source.option("maxFilesPerTrigger", cores).parquet(path)
+    return source.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+
+
 @query
 def stream_window_enrich(spark, sf_dir):
     """The streaming form over the same events; windows the watermark has not passed are still open."""
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    folder = scratch_path(spark, "stream")
+    events = _arrivals(spark, sf_dir, folder)
     event = F.col("event_id")
     parsed = events.select(
         event.cast("string").alias("transaction_id"),
@@ -452,18 +470,26 @@ def stream_window_enrich(spark, sf_dir):
         F.col("value").alias("amount"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
     )
-    folder = scratch_path(spark, "stream")
 
     def keep(batch: DataFrame, batch_id: int) -> None:
-        _window_output(batch).write.mode("overwrite").parquet(f"{folder}/out/write_id={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{folder}/out/write_id={batch_id}")
 
     # state stores are kept per partition and cannot be merged later, so there is one per core
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", spark.sparkContext.defaultParallelism)
+    # and a store holds the newest version of its state only, as nothing goes back to an older one
+    wanted = {
+        "spark.sql.shuffle.partitions": str(spark.sparkContext.defaultParallelism),
+        "spark.sql.streaming.maxBatchesToRetainInMemory": "1",
+    }
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
     try:
-        run_available(window_enrich_stream(parsed, EVENT_SETTINGS), f"{folder}/checkpoint", keep).awaitTermination()
+        # chosen before the batches are made, so that no state keeps a column that is not put out
+        enriched = _window_output(window_enrich_stream(parsed, EVENT_SETTINGS))
+        run_available(enriched, f"{folder}/checkpoint", keep).awaitTermination()
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
     return spark.read.parquet(f"{folder}/out").drop("write_id")
 
 

@@ -296,3 +296,31 @@ def test_aggregates_are_repeated_for_slices_with_rows_only(rows):
     found = enrich._per_seen_slice(sliced.groupBy("k").agg(enrich._seen_slices()), 8)
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, sliced.select("k", "_slice").distinct().collect()))
     assert found.where("k = 'one'").count() == 1 and found.where("k = 'many'").count() == 8
+
+
+def test_stream_query_keeps_little_open_at_once(spark, monkeypatch):
+    """Events come in the order of their time in many micro-batches, so a store never has all windows; same rows."""
+    from paywatch.plans import queries as plans
+
+    started, run = [], plans.run_available
+    monkeypatch.setattr(plans, "run_available", lambda *args: started.append(run(*args)) or started[-1])
+    folder = "/root/testdata/sf0.001"
+    whole = plans.QUERIES["stream_window_enrich"](spark, folder)
+    expected = sorted(map(str, whole.collect()))
+    monkeypatch.setattr(plans, "ARRIVALS_PER_CORE", 40)
+    parts = plans.QUERIES["stream_window_enrich"](spark, folder).select(whole.columns)
+    assert sorted(map(str, parts.collect())) == expected and len(expected) > 1000
+    together, apart = ([p["stateOperators"][2]["numRowsTotal"] for p in q.recentProgress] for q in started)
+    assert max(apart) < max(together) / 3
+    assert spark.conf.get("spark.sql.streaming.maxBatchesToRetainInMemory", None) in (None, "2")
+
+
+def test_parts_are_read_in_the_order_of_their_names(spark, tmp_path):
+    from paywatch.sources.transactions import in_order
+
+    path = str(tmp_path / "t")
+    spark.range(100).repartitionByRange(5, "id").write.parquet(path)
+    assert in_order(spark, path)
+    files = sorted(p for p in (tmp_path / "t").glob("part-*"))
+    times = [p.stat().st_mtime for p in files]
+    assert len(files) == 5 and times == sorted(set(times))
