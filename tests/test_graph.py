@@ -432,3 +432,27 @@ def test_communities_of_a_graph_that_grew(rows):
     assert {r[0] for r in grown.select("node_id").collect()} == {n for a, b, _ in links for n in (a, b)}
     assert modularity(after, grown).first()[0] >= 0.97 * modularity(after, communities(after)).first()[0]
     assert grown.groupBy("community_id").agg(F.min("node_id").alias("first")).where("first != community_id").isEmpty()
+
+
+def test_triangles_free_what_no_step_reads_any_more(spark, rows):
+    """Of the tables between steps only those of nodes are left, and no shuffle files of the steps."""
+    from pathlib import Path
+
+    from paywatch.operators.triangles import triangles
+    from paywatch.session import scratch_root
+
+    def left():
+        folders = set(Path(scratch_root(spark)).glob("paywatch/triangles-*")) - old
+        return {p.name.split("-")[0] for folder in folders for p in folder.iterdir()}
+
+    def shuffled():
+        return {f.getName() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(
+            spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()) if f.getName().startswith("shuffle_")}
+
+    old = set(Path(scratch_root(spark)).glob("paywatch/triangles-*"))
+    edges = rows("src string, dst string", ("a", "b"), ("b", "c"), ("c", "a"), ("c", "d"))
+    before = shuffled()
+    found = triangles(edges)
+    assert not shuffled() - before
+    assert left() == {"numbered", "alone", "counts"}
+    assert sorted(map(tuple, found.collect())) == [("a", 1), ("b", 1), ("c", 1), ("d", 0)]
